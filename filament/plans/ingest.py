@@ -60,7 +60,8 @@ def typed_rows(parsed: Parsed, spec: PipelineSpec) -> DataFrame:
     the scanner error of an over-long line).  Rows dropped by a failing transform keep
     ``_terr`` so they can be counted; they carry no conversion error."""
     df = parsed.rows.withColumn("_o", parsed.order).withColumn("_terr", F.col(TRANSFORM_ERROR))
-    typed = typed_projection(df, spec.output_fields, keep=["_file", "_o", "_terr", "_too_long"])
+    keep = ["_file", "_o", "_terr", "_too_long"] + (["_line_no"] if "_line_no" in df.columns else [])
+    typed = typed_projection(df, spec.output_fields, keep=keep)
     err = (F.when(F.col("_too_long"), F.lit(TOO_LONG_ERROR))
             .when(F.col("_terr").isNull(), F.col(ERROR)))
     return typed.withColumn(ERROR, err).drop("_too_long")
