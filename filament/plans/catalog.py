@@ -117,7 +117,9 @@ rng AS (
 
 
 def _ranges_ctx(spark: SparkSession, sf_dir: str) -> ChainContext:
-    table = bucketed_ranges(D.customer_ranges(spark, sf_dir))
+    """The customer-derived IP table, bucketed and cached (a dimension table, sized
+    before it is broadcast)."""
+    table = bucketed_ranges(D.customer_ranges(spark, sf_dir)).cache()
     return ChainContext(ip_table=table, ip_attrs=list(D.RANGE_ATTRS), ip_table_rows=table.count())
 
 

@@ -38,7 +38,17 @@ NOW = dt.datetime(1999, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on small inputs: a table stored as one small file (one row
+    group) scans as one partition, so it is spread round-robin over the default
+    parallelism.  Large tables already scan as many splits and are left alone."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def ip_text(n: Column) -> Column:
@@ -204,3 +214,96 @@ def order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp").alias("dead_letter_at"), F.lit("").alias("dead_letter_to"),
         F.when(status == "failed", F.concat(F.lit("err "), k.cast("string"))).otherwise(F.lit("")).alias("error"),
         k.alias("seq"), F.lit("r0").alias("run_id"))
+
+
+# ---------------------------------------------------------------------------
+# Landing folders: derived feeds written as real files (bench and tests)
+# ---------------------------------------------------------------------------
+
+# Status codes cycled by the HTTP-like feed and the method dictionary.
+HTTP_STATUS = [200, 200, 200, 204, 301, 404, 500]
+METHODS = {"1": "GET", "2": "POST", "3": "HEAD", "4": "PUT", "5": "DELETE"}
+N_HTTP_FILES = 40
+
+
+def http_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTTP-like lines ``ts|++|client|++|server|++|method|++|url|++|status|++|bytes|++|probe|++|region``
+    from ``lineitem``; file key ``l_orderkey % 40``, order by (order key, line number)."""
+    li = table(spark, sf_dir, "lineitem")
+    k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    ts = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(
+        secs=((k * 7 + F.col("l_linenumber")) % 86400).cast("decimal(18,6)"))
+    status = F.element_at(F.array(*[F.lit(str(x)) for x in HTTP_STATUS]), (k % 7 + 1).cast("int"))
+    region = F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (s % 4 + 1).cast("int"))
+    text = F.concat_ws("|++|", ts_text(ts), ip_text(src_int(k)), ip_text(dst_int(s)),
+                       ((F.col("l_linenumber") % 5) + 1).cast("string"),
+                       F.concat(F.lit("/api/v1/resource/"), (p % 10000).cast("string")), status,
+                       (F.lit(512) + p % 4096).cast("string"),
+                       F.concat(F.lit("probe-http-"), F.lpad((s % 64).cast("string"), 3, "0")), region)
+    return li.select((k % N_HTTP_FILES).alias("key"), (k * 8 + F.col("l_linenumber")).alias("ord"), text.alias("text"))
+
+
+def dns_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed (with its header lines) keyed by file number."""
+    ev = table(spark, sf_dir, "events")
+    t = event_lines_text(event_fields(ev)).unionByName(header_texts(ev))
+    return t.select(F.regexp_extract("path", "f([0-9]+)", 1).cast("long").alias("key"),
+                    F.col("event_id").alias("ord"), "text")
+
+
+def ip_table_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = customer_ranges(spark, sf_dir)
+    body = r.select(F.lit(0).alias("key"), F.col("_order").alias("ord"),
+                    F.concat_ws(",", ip_text(F.col("start")), ip_text(F.col("end")), "segment", "nation").alias("text"))
+    head = spark.range(1).select(F.lit(0).alias("key"), F.lit(-1).cast("long").alias("ord"),
+                                 F.lit("start_ip,end_ip,segment,nation").alias("text"))
+    return body.unionByName(head)
+
+
+def write_landing(spark: SparkSession, texts: DataFrame, root: str, name: str, n_keys: int) -> str:
+    """Write ``key, ord, text`` rows as one file per key (lines in ``ord`` order) and
+    move each into the flat folder ``root/landing`` as ``name.format(key)`` — the
+    atomic rename a producer does when a file is complete."""
+    staging = f"{root}/staging"
+    (texts.repartition(n_keys, "key").sortWithinPartitions("key", "ord").select("key", "text")
+          .write.mode("overwrite").option("lineSep", "\n").partitionBy("key").text(staging))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    landing = jvm.org.apache.hadoop.fs.Path(f"{root}/landing")
+    fs = landing.getFileSystem(conf)
+    fs.mkdirs(landing)
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging)):
+        if not st.isDirectory() or "=" not in st.getPath().getName():
+            continue
+        key = st.getPath().getName().split("=", 1)[1]
+        parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
+        for i, part in enumerate(sorted(parts, key=lambda x: x.getPath().getName())):
+            suffix = "" if len(parts) == 1 else f".{i}"
+            fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{root}/landing/{name.format(key)}{suffix}"))
+    return f"{root}/landing"
+
+
+def http_spec(watch_dir: str, method_dict_file: str = "") -> PipelineSpec:
+    fields = [FieldSpec("event_time", "DateTime", layout="2006-01-02 15:04:05"), FieldSpec("client_ip", "IPv4"),
+              FieldSpec("server_ip", "IPv4"), FieldSpec("method", "LowCardinality(String)"), FieldSpec("url", "String"),
+              FieldSpec("status_code", "UInt16"), FieldSpec("bytes_sent", "UInt64"),
+              FieldSpec("probe_id", "LowCardinality(String)"), FieldSpec("region", "LowCardinality(String)")]
+    fields += [FieldSpec(f"{p}_geo_{a}", "LowCardinality(String)", generated=True)
+               for p in ("client", "server") for a in RANGE_ATTRS]
+    dm = (TransformSpec("dict_mapper", field="method", dict_file=method_dict_file) if method_dict_file
+          else TransformSpec("dict_mapper", field="method", dict=dict(METHODS)))
+    return PipelineSpec(
+        name="http_cdr", watch_dir=watch_dir, table="cdr.http", fields=fields, file_pattern="*.log",
+        delimiter="|++|",
+        transformers=[TransformSpec("ip_matcher", fields=("client_ip", "server_ip"), label_fields=("client_geo", "server_geo")),
+                      dm],
+        retry_failed=True, max_retries=2, retry_interval_s=5, event_time_field="event_time",
+        sort_fields=("event_time", "client_ip", "status_code"))
+
+
+def dns_spec(watch_dir: str) -> PipelineSpec:
+    s = events_spec(dedup=True)
+    s.watch_dir = watch_dir
+    s.file_pattern = "*.cdr"
+    s.retry_failed, s.max_retries, s.retry_interval_s = True, 2, 5
+    return s

@@ -36,8 +36,8 @@ def number(lines: DataFrame, spec: PipelineSpec, est_index_rows: int | None = No
     if not spec.needs_line_numbers:
         return lines
     if "_block" in lines.columns:
-        return number_scanned(lines, est_index_rows)
-    return number_by_key(lines, est_buckets=est_index_rows)
+        return number_scanned(lines, est_index_rows, with_head=spec.has_header_meta)
+    return number_by_key(lines, est_buckets=est_index_rows, with_head=spec.has_header_meta)
 
 
 def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_rows: int | None = None) -> Parsed:

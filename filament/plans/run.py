@@ -114,23 +114,24 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
 
     ledger = read_ledger(spark, ledger_path)
     seq0 = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
+    # Control plane in memory: recover/retry, enqueue and claim are computed on the
+    # small ledger and listing frames, collected once and appended in one write.
     cur = L.latest(ledger)
+    moved = spark.createDataFrame([], L.LEDGER_SCHEMA)
     if recover_first:
         moved = L.recover(cur, spec.name, now, seq0).unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
-        append_ledger(moved, ledger_path)
-        cur = L.latest(read_ledger(spark, ledger_path))
-
+        moved = spark.createDataFrame(moved.collect(), L.LEDGER_SCHEMA)
+        cur = L.latest(ledger.unionByName(moved))
     listing = list_dir(spark, spec.watch_dir_clean)
     ready = ready_files(listing, spec, now)
-    append_ledger(L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id), ledger_path)
-    cur = L.latest(read_ledger(spark, ledger_path))
-    claimed_df = L.claim(cur, spec.name, now, seq0 + 2, run_id)
-    claimed_rows = claimed_df.collect()              # control plane: one row per file
+    enq = spark.createDataFrame(L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
+    cur = L.latest(ledger.unionByName(moved).unionByName(enq))
+    claimed_rows = L.claim(cur, spec.name, now, seq0 + 2, run_id).collect()   # control plane: one row per file
+    claimed = spark.createDataFrame(claimed_rows, L.LEDGER_SCHEMA)
+    append_ledger(moved.unionByName(enq).unionByName(claimed), ledger_path)
     if not claimed_rows:
         res.seconds = time.time() - t0
         return res
-    append_ledger(claimed_df, ledger_path)
-    claimed = spark.createDataFrame(claimed_rows, claimed_df.schema)
     res.files_claimed = len(claimed_rows)
 
     paths = [r.file_path for r in claimed_rows]
@@ -141,7 +142,7 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
     verdicts: dict[str, tuple[int, str | None, int]] = {}
     typed = lines = None
     if visible:
-        max_split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 134217728)
+        max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
         est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
         lines = scan_lines(spark, [_escape_glob(p) for p in visible], spec.max_line_bytes,
                            directory=spec.watch_dir_clean)

@@ -32,16 +32,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def checkpoint_base(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``)."""
+    sc = spark.sparkContext
+    return sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A folder under the cluster's shared checkpoint location (``spark.checkpoint.dir``).
 
     The setting is read from the session; only when it is unset (tests, local runs) a
-    local scratch folder is created and recorded in the session, never on a cluster
-    that names its own.
+    local scratch folder is created and set as the context's checkpoint folder — never
+    on a cluster that names its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = checkpoint_base(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="filament-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, sub) if "://" not in base else base.rstrip("/") + "/" + sub
+        base = spark.sparkContext.getCheckpointDir() or base
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    return base.rstrip("/") + "/" + sub

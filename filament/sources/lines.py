@@ -61,35 +61,49 @@ def scan_lines(spark: SparkSession, paths: list[str] | str, max_line_bytes: int
 
 
 def split_index(lines: DataFrame) -> DataFrame:
-    """Per (file, split): lines before the split, first row id, and the file's first
-    non-blank line (raw and trimmed) for header metadata.  One row per input split."""
+    """Per (file, split): lines before the split and the split's first row id, plus the
+    row id of the file's first line.  Count and min only — a hash aggregate with
+    partial aggregation; no string- or struct-valued buffer (those force a sort-based
+    aggregate over every line).  One row per input split."""
     per_split = lines.groupBy("_uri", "_block").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_mid").alias("_mid0"),
-        F.min_by(F.struct("_raw", "_line"), "_mid").alias("_first"),
     )
     w = Window.partitionBy("_uri").orderBy("_block")
     return (per_split
             .withColumn("_base", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_head", F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-            .select("_uri", "_block", "_base", "_mid0",
-                    F.col("_head._raw").alias("_head_raw"), F.col("_head._line").alias("_head_line")))
+            .withColumn("_head_mid", F.first("_mid0").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .select("_uri", "_block", "_base", "_mid0", "_head_mid"))
 
 
 def _join_index(df: DataFrame, index: DataFrame, keys: list[str], est_rows: int | None) -> DataFrame:
-    if est_rows is not None and est_rows <= BROADCAST_INDEX_ROWS:
+    if est_rows is None or est_rows <= BROADCAST_INDEX_ROWS:
         index = F.broadcast(index)
     return df.join(index, keys, "inner")
 
 
-def number_scanned(lines: DataFrame, est_splits: int | None = None) -> DataFrame:
-    """S3 on scanned lines: adds ``_line_no`` (1-based over non-blank lines) and the
-    file's first non-blank line ``_head_raw`` / ``_head_line``.  ``est_splits`` (from the
-    file listing) decides between broadcasting the split index and a shuffle join."""
+def attach_heads(numbered: DataFrame, heads: DataFrame, est_files: int | None) -> DataFrame:
+    """Join each file's first line (``_head_raw``, ``_head_line``) onto its rows."""
+    if est_files is None or est_files <= BROADCAST_INDEX_ROWS:
+        heads = F.broadcast(heads)
+    return numbered.join(heads, "_file", "left")
+
+
+def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: bool = True) -> DataFrame:
+    """S3 on scanned lines: adds ``_line_no`` (1-based over non-blank lines) and, with
+    ``with_head``, the file's first non-blank line ``_head_raw`` / ``_head_line``.
+    ``est_splits`` (from the file listing) decides between broadcasting the split index
+    and a shuffle join.  The first lines are found by a broadcast probe on
+    (file, first row id): one more light scan, no sort."""
     idx = split_index(lines)
     out = _join_index(lines, idx, ["_uri", "_block"], est_splits)
-    return (out.withColumn("_line_no", F.col("_base") + (F.col("_mid") - F.col("_mid0")) + 1)
-               .drop("_base", "_mid0"))
+    out = out.withColumn("_line_no", F.col("_base") + (F.col("_mid") - F.col("_mid0")) + 1)
+    if with_head:
+        head_ids = idx.select("_uri", F.col("_head_mid").alias("_mid")).distinct()
+        heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], est_splits)
+                 .select("_file", F.col("_raw").alias("_head_raw"), F.col("_line").alias("_head_line")))
+        out = attach_heads(out, heads, est_splits)
+    return out.drop("_base", "_mid0", "_head_mid")
 
 
 def lines_from_frame(df: DataFrame, path: Column, text: Column, order: Column,
@@ -106,25 +120,31 @@ def lines_from_frame(df: DataFrame, path: Column, text: Column, order: Column,
     return out
 
 
-def number_by_key(lines: DataFrame, bucket_width: int = 4096, est_buckets: int | None = None) -> DataFrame:
+def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int | None = None,
+                  with_head: bool = True) -> DataFrame:
     """S3 on a lines frame ordered by (``_ord``, ``_pos``): ``_line_no`` and the file's
     first line.  Lines are bucketed by ``_ord // bucket_width``; a bucket's rows are
-    numbered by a window over (file, bucket) and offset by the running count of the
-    earlier buckets of the file (small index, broadcast when its size allows)."""
+    numbered by a window over (file, bucket) — at most ``bucket_width`` texts per window
+    partition, however large the file — and offset by the running count of the
+    file's earlier buckets (a small index, broadcast when its size allows)."""
     b = lines.withColumn("_bucket", F.floor(F.col("_ord") / F.lit(bucket_width)).cast("long"))
-    per_bucket = b.groupBy("_file", "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(F.struct("_raw", "_line"), F.struct("_ord", "_pos")).alias("_first"))
+    per_bucket = b.groupBy("_file", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("_ord").alias("_ord0"))
     w = Window.partitionBy("_file").orderBy("_bucket")
     idx = (per_bucket
            .withColumn("_base", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("_head", F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-           .select("_file", "_bucket", "_base",
-                   F.col("_head._raw").alias("_head_raw"), F.col("_head._line").alias("_head_line")))
+           .withColumn("_head_ord", F.first("_ord0").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     rn = F.row_number().over(Window.partitionBy("_file", "_bucket").orderBy("_ord", "_pos"))
     numbered = b.withColumn("_rn", rn)
-    out = _join_index(numbered, idx, ["_file", "_bucket"], est_buckets)
-    return out.withColumn("_line_no", F.col("_base") + F.col("_rn")).drop("_base", "_rn", "_bucket")
+    out = _join_index(numbered, idx.select("_file", "_bucket", "_base"), ["_file", "_bucket"], est_buckets)
+    out = out.withColumn("_line_no", F.col("_base") + F.col("_rn")).drop("_base", "_rn", "_bucket")
+    if with_head:
+        head_ids = idx.select("_file", F.col("_head_ord").alias("_ord")).distinct()
+        first_text = _join_index(lines.select("_file", "_ord", "_pos", "_raw", "_line"), head_ids, ["_file", "_ord"], est_buckets)
+        # lines of one text per file: small, so a struct-valued min_by is fine here
+        heads = first_text.groupBy("_file").agg(F.min_by(F.struct("_raw", "_line"), "_pos").alias("_h")).select(
+            "_file", F.col("_h._raw").alias("_head_raw"), F.col("_h._line").alias("_head_line"))
+        out = attach_heads(out, heads, est_buckets)
+    return out
 
 
 def skip_lines(numbered: DataFrame, skip: int) -> DataFrame:

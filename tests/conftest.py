@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from filament.session import build_session  # noqa: E402
+from filament.session import build_session, checkpoint_base  # noqa: E402
 
 DATA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "data")
 
@@ -14,10 +14,8 @@ DATA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "data")
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", 4, "filament-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="filament-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not checkpoint_base(s):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filament-test-ckpt-"))
     yield s
 
 
