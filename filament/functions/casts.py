@@ -108,9 +108,10 @@ def convert_text(raw: Column, base: str, layout: str = "") -> tuple[Column, Colu
     return raw, F.lit(None).cast("string")
 
 
-def cast_field(text: Column, f: FieldSpec) -> tuple[Column, Column]:
-    """(typed value, error message or NULL) for one declared field read from ``text``."""
-    raw = go_trim(F.coalesce(text, F.lit("")))
+def cast_field(text: Column, f: FieldSpec, trimmed: bool = False) -> tuple[Column, Column]:
+    """(typed value, error message or NULL) for one declared field read from ``text``
+    (``trimmed``: ``text`` is already the trimmed, non-null text)."""
+    raw = text if trimmed else go_trim(F.coalesce(text, F.lit("")))
     if f.default:
         raw = F.when(raw == "", F.lit(f.default)).otherwise(raw)
     base = f.base_type

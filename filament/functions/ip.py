@@ -50,59 +50,64 @@ def is_ipv6(c: Column) -> Column:
 
 def is_ip(c: Column) -> Column:
     """True for text a standard IP parser accepts (dotted IPv4 or IPv6, no zone)."""
+    # IPv6 text is rare in these feeds: its long regex runs only when a ':' is present.
     return F.when(c.contains(":"), is_ipv6(c)).otherwise(is_ipv4(c))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body`` (a one-element array lambda)."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _mapped_alternatives() -> list[str]:
+    """Spellings of an IPv4-mapped IPv6 prefix (five zero groups then ``ffff:``), by
+    rule: a ``::`` standing for at least one of the zero groups, with a left and b
+    right explicit zero groups (a + b <= 4), or all five written out."""
+    z = "0{1,4}"
+    alts = [f"(?:{z}:){{5}}ffff:"]
+    for a in range(0, 5):
+        left = f"(?:{z}:){{{a}}}" if a else ""
+        alts.append(f"{left}:(?:{z}:){{0,{4 - a}}}ffff:" if a else f"::(?:{z}:){{0,4}}ffff:")
+    return alts
 
 
-def _dotted_to_long(c: Column) -> Column:
-    return let(F.split(c, r"\."), lambda parts: reduce(
-        lambda acc, i: acc * 256 + F.get(parts, i).cast("long"), range(1, 4), F.get(parts, 0).cast("long")))
+_HEX = "[0-9a-f]{1,4}"
+# Tail after the mapped prefix: dotted quad or two hex groups; with all five zero
+# groups written out, the tail itself may be compressed (``ffff::``, ``ffff::H``, ``ffff:H::``).
+MAPPED_RE = ("(?i)^(?:(?:" + "|".join(_mapped_alternatives()) + f")(?:{IPV4_RE}|{_HEX}:{_HEX})"
+             + f"|(?:0{{1,4}}:){{5}}ffff(?:::|::{_HEX}|:{_HEX}::))\\z")
+
 
+def _octet(c: Column, i: int) -> Column:
+    """i-th (1-based) dot-separated part of a validated dotted quad."""
+    return F.substring_index(F.substring_index(c, ".", i), ".", -1)
 
-def _ipv6_text_hex(c: Column) -> Column:
-    """IPv6 text with a dotted tail rewritten as two hex groups."""
-    def body(tail: Column) -> Column:
-        hexed = let(_dotted_to_long(tail), lambda v: F.concat(
-            F.lower(F.hex(F.shiftright(v, 16))), F.lit(":"), F.lower(F.hex(v.bitwiseAND(F.lit(65535))))))
-        return F.when(tail != "", F.concat(F.left(c, F.length(c) - F.length(tail)), hexed)).otherwise(c)
-    return let(F.regexp_extract(c, rf"({IPV4_RE})\z", 1), body)
+
+def _dotted_to_long(c: Column) -> Column:
+    return reduce(lambda acc, i: acc * 256 + _octet(c, i + 1).cast("long"), range(1, 4), _octet(c, 1).cast("long"))
 
 
-def _mapped_v4(groups: Column) -> Column:
-    def g(i: int) -> Column:
-        return F.conv(F.get(groups, i), 16, 10).cast("long")
-    mapped = reduce(lambda a, b: a & b, [g(i) == 0 for i in range(5)]) & (g(5) == 65535)
-    return F.when(mapped, g(6) * 65536 + g(7))
+def _hex(c: Column) -> Column:
+    return F.conv(c, 16, 10).cast("long")
 
 
-def _ipv6_groups(text: Column) -> Column:
-    """Eight hex groups of a valid IPv6 text without dotted tail."""
-    def body(halves: Column) -> Column:
-        left, right = F.get(halves, 0), F.get(halves, 1)
-        empty = F.array().cast("array<string>")
-        left_arr = F.when(left == "", empty).otherwise(F.split(left, ":"))
-        right_arr = F.when(right.isNull() | (right == ""), empty).otherwise(F.split(right, ":"))
-        zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left_arr) - F.size(right_arr))
-        return F.when(right.isNull(), left_arr).otherwise(F.concat(left_arr, zeros, right_arr))
-    return let(F.split(text, "::", 2), body)
+def _mapped_value(t: Column) -> Column:
+    """IPv4 value of a text that matches ``MAPPED_RE``."""
+    low = F.lower(t)
+    tail = F.regexp_extract(low, "ffff:(:?[0-9a-f.:]*)\\z", 1)
+    h2 = F.regexp_extract(tail, f"^({_HEX}):({_HEX})\\z", 1)
+    h2b = F.regexp_extract(tail, f"^({_HEX}):({_HEX})\\z", 2)
+    return (F.when(tail.rlike(f"^{IPV4_RE}\\z"), _dotted_to_long(tail))
+             .when(h2 != "", _hex(h2) * 65536 + _hex(h2b))
+             .when(tail == ":", F.lit(0).cast("long"))
+             .when(tail.rlike(f"^:{_HEX}\\z"), _hex(F.substring(tail, 2, 4)))
+             .when(tail.rlike(f"^{_HEX}::\\z"), _hex(F.regexp_extract(tail, f"^({_HEX})", 1)) * 65536))
 
 
 def ip_to_u32(c: Column) -> Column:
     """IPv4 value of a trimmed text: dotted quad, an IPv4-mapped IPv6 address in any
-    spelling, or a decimal integer 0..2^32-1.  NULL when none applies (no error)."""
-    def body(t: Column) -> Column:
-        v6 = let(_ipv6_groups(_ipv6_text_hex(t)), _mapped_v4)
-        digits = F.regexp_replace(t, "^0+(?=[0-9])", "")
-        dec = F.when(t.rlike(r"^[0-9]+\z") & (F.length(digits) <= 10), digits.cast("decimal(20,0)"))
-        dec = let(dec, lambda d: F.when(d <= F.lit(4294967295), d.cast("long")))
-        return (F.when(t.contains(":"), F.when(is_ipv6(t), v6))
-                 .when(is_ipv4(t), _dotted_to_long(t))
-                 .otherwise(dec))
-    return let(c, body)
+    spelling, or a decimal integer 0..2^32-1.  NULL when none applies (no error).
+    Regex and string functions only (no lambda), so it stays code-generated."""
+    digits = F.regexp_replace(c, "^0+(?=[0-9])", "")
+    dec = F.when(c.rlike(r"^[0-9]+\z") & (F.length(digits) <= 10), digits.cast("decimal(20,0)"))
+    return (F.when(c.contains(":"), F.when(c.rlike(MAPPED_RE), _mapped_value(c)))
+             .when(is_ipv4(c), _dotted_to_long(c))
+             .when(dec <= F.lit(4294967295), dec.cast("long")))
 
 
 def u32_to_dotted(c: Column) -> Column:

@@ -73,19 +73,23 @@ def ip_enrich(df: DataFrame, fields: list[str], label_fields: list[str], table:
     """For each field in order, look its (trimmed) value up; on a match write
     ``<prefix>_<attr>`` for every attribute the range has, overwriting; empty or absent
     values and misses leave the columns as they are.  The prefix is the label at the
-    field's first position in ``fields``, else the field name."""
-    for field in fields:
-        if field not in df.columns:
-            continue                       # absent key: no-op
+    field's first position in ``fields``, else the field name.  All probe integers are
+    computed in one projection before the joins."""
+    present = [f for f in fields if f in df.columns]          # absent key: no-op
+    # trimmed keys first, as their own columns: the conversion references its input
+    # many times inside CASE branches, where Spark does not share subexpressions
+    keys = {f"_ik{j}": go_trim(col(field)) for j, field in enumerate(present)}
+    df = df.withColumns(keys) if keys else df
+    ipcols = {f"_ip{j}": F.when(F.col(f"_ik{j}") != "", ip_to_u32(F.col(f"_ik{j}"))) for j in range(len(present))}
+    df = df.withColumns(ipcols).drop(*keys) if ipcols else df
+    for j, field in enumerate(present):
         idx = fields.index(field)
         prefix = label_fields[idx] if idx < len(label_fields) else field
-        key = go_trim(col(field))
-        ip = F.when(key != "", ip_to_u32(key))
-        df = lookup(df, ip, table, attrs, prefix, table_rows)
+        df = lookup(df, F.col(f"_ip{j}"), table, attrs, prefix, table_rows)
         updates = {}
         for a in attrs:
             name = f"{prefix}_{a}"
             existing = col(name) if name in df.columns else F.lit(None).cast("string")
             updates[name] = F.when(F.col("_m_hit"), F.coalesce(F.col(f"_m_{a}"), existing)).otherwise(existing)
         df = df.withColumns(updates).drop("_m_hit", *[f"_m_{a}" for a in attrs])
-    return df
+    return df.drop(*ipcols)

@@ -33,14 +33,18 @@ def _unquote(part: Column) -> Column:
     return go_trim(F.regexp_replace(go_trim(part), _UNQUOTE, "$2"))
 
 
-def split_quoted(line: Column, delimiter: str) -> Column:
-    """Array of fields of a one-byte-delimited line with quote handling."""
+def quoted_parts(line: Column, delimiter: str) -> Column:
+    """Raw (untrimmed, still quoted) fields of a one-byte-delimited line."""
     if delimiter in ("\"", "'"):
         # The delimiter itself opens a quote, so it never splits.
-        parts = F.array(line)
-    else:
-        parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(quoted_tokenizer(delimiter)), 1)
-    return F.transform(parts, _unquote)
+        return F.array(line)
+    return F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(quoted_tokenizer(delimiter)), 1)
+
+
+def split_quoted(line: Column, delimiter: str) -> Column:
+    """P1 as an array of cleaned fields (uses a lambda; the row path uses
+    ``field_values`` instead, which stays inside whole-stage code generation)."""
+    return F.transform(quoted_parts(line, delimiter), _unquote)
 
 
 def split_literal(line: Column, delimiter: str) -> Column:
@@ -53,11 +57,22 @@ def split_line(line: Column, delimiter: str) -> Column:
     return split_quoted(line, delimiter) if is_single_byte(delimiter) else split_literal(line, delimiter)
 
 
-def positional_fields(df: DataFrame, parts: Column, names: list[str]) -> DataFrame:
-    """I-th part → i-th name (trimmed); missing parts → ``""``; extra parts dropped.
+def field_values(parts: Column, delimiter: str, n: int) -> list[Column]:
+    """Cleaned values of the first ``n`` raw parts (missing → ``""``), one plain
+    expression per field — no lambda, so the projection stays code-generated."""
+    clean = _unquote if is_single_byte(delimiter) else go_trim
+    return [F.coalesce(clean(F.get(parts, i)), F.lit("")) for i in range(n)]
+
+
+def raw_parts(line: Column, delimiter: str) -> Column:
+    return quoted_parts(line, delimiter) if is_single_byte(delimiter) else F.split(line, regex_literal(delimiter), -1)
+
+
+def positional_fields(df: DataFrame, line: Column, names: list[str], delimiter: str = "|") -> DataFrame:
+    """I-th part → i-th name (cleaned); missing parts → ``""``; extra parts dropped.
     A repeated name takes its last position (the later assignment wins)."""
     last_pos = {n: i for i, n in enumerate(names)}
     arr = "_parts"
-    df = df.withColumn(arr, parts)
-    cols = {n: F.coalesce(F.get(F.col(arr), i), F.lit("")) for n, i in last_pos.items()}
-    return df.withColumns(cols).drop(arr)
+    df = df.withColumn(arr, raw_parts(line, delimiter))
+    vals = field_values(F.col(arr), delimiter, len(names))
+    return df.withColumns({n: vals[i] for n, i in last_pos.items()}).drop(arr)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filament.functions.casts import cast_field
-from filament.functions.text import col
+from filament.functions.text import col, go_trim
 from filament.spec import FieldSpec
 
 ERROR = "_error"
@@ -30,6 +30,20 @@ def typed_columns(df: DataFrame, fields: list[FieldSpec]) -> tuple[list[Column],
 
 
 def typed_projection(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
-    """Select the typed output columns plus ``_error`` and any ``keep`` columns."""
-    values, err = typed_columns(df, fields)
-    return df.select(*[F.col(k) for k in keep], *values, err.alias(ERROR))
+    """Select the typed output columns plus ``_error`` and any ``keep`` columns.
+
+    Two projections: the trimmed text of every field first (one column per field),
+    then the conversions over those columns — a conversion references its text many
+    times inside CASE branches, where Spark does not share subexpressions."""
+    texts, pre = {}, []
+    for i, f in enumerate(fields):
+        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
+        texts[f"_tx{i}"] = go_trim(F.coalesce(src, F.lit("")))
+    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+    values, errors = [], []
+    for i, f in enumerate(fields):
+        v, e = cast_field(F.col(f"_tx{i}"), f, trimmed=True)
+        values.append(v.alias(f.name))
+        errors.append(e)
+    err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
+    return staged.select(*[F.col(k) for k in keep], *values, err.alias(ERROR))

@@ -2,24 +2,74 @@
 
 One bad row fails its file; files without data rows are still ``done`` with 0 rows,
 so counts are left-joined from the list of claimed files.
+
+Only counts and minimum positions are aggregated (hash aggregation with partial
+aggregation; a string-valued ``min_by`` would force a sort of every row).  The
+message of each failed file's first error is fetched afterwards from the error rows
+at those positions.  Scanned lines are grouped per (file, split) first — positions
+are row ids, ordered within a split — and combined per file on the small result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+POS_BITS = 20
+
+
+def _err(typed: DataFrame, error_col: str):
+    return F.col(error_col).isNotNull()
+
+
+def split_verdicts(typed: DataFrame, error_col: str = "_error") -> DataFrame:
+    """Per (file, unit): rows, transform-dropped rows, errors and the first error
+    position.  The unit is the split (scanned lines) or the whole file (derived)."""
+    err = _err(typed, error_col)
+    if "_block" in typed.columns:
+        keys, pos = ["_file", "_block"], F.col("_mid")
+    else:
+        keys, pos = ["_file"], F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")
+    terr = F.col("_terr").isNotNull() if "_terr" in typed.columns else F.lit(False)
+    return typed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(terr.cast("long")).alias("_nterr"),
+        F.count(F.when(err, 1)).alias("_nerr"),
+        F.min(F.when(err, pos)).alias("_epos"))
+
+
+def combine(per_unit: DataFrame) -> DataFrame:
+    """Per file: ``rows, dropped, errors`` and the (split, position) of the first error."""
+    if "_block" not in per_unit.columns:
+        return per_unit.select("_file", F.col("_n").alias("rows"), F.col("_nterr").alias("dropped"),
+                               F.col("_nerr").alias("errors"), F.lit(None).cast("long").alias("_eblock"), "_epos")
+    per_file = per_unit.groupBy("_file").agg(
+        F.sum("_n").alias("rows"), F.sum("_nterr").alias("dropped"), F.sum("_nerr").alias("errors"),
+        F.min(F.when(F.col("_nerr") > 0, F.col("_block"))).alias("_eblock"))
+    first = per_unit.select("_file", F.col("_block").alias("_eblock"), "_epos")
+    return per_file.join(first, ["_file", "_eblock"], "left")
+
+
+def first_error_messages(typed: DataFrame, firsts: DataFrame, error_col: str = "_error") -> DataFrame:
+    """``_file, first_error`` for the positions in ``firsts`` (``_file, _eblock, _epos``)."""
+    e = typed.filter(_err(typed, error_col))
+    if "_block" in typed.columns:
+        e = e.select("_file", F.col("_block").alias("_eblock"), F.col("_mid").alias("_epos"),
+                     F.col(error_col).alias("first_error"))
+        keys = ["_file", "_eblock", "_epos"]
+    else:
+        e = e.select("_file", (F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")).alias("_epos"),
+                     F.col(error_col).alias("first_error"))
+        keys = ["_file", "_epos"]
+    return e.join(F.broadcast(firsts.select(*keys)), keys, "inner").select("_file", "first_error")
+
 
-def file_verdict(typed: DataFrame, order: Column, file_col: str = "_file", error_col: str = "_error",
-                 extra_error: Column | None = None) -> DataFrame:
-    """``_file, rows, first_error`` per file present in ``typed`` (partial aggregation:
-    one small row per file and task before the shuffle)."""
-    err = F.col(error_col) if extra_error is None else F.coalesce(extra_error, F.col(error_col))
-    t = typed.select(F.col(file_col).alias("_file"), err.alias("_err"), order.alias("_o"))
-    return t.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min_by(F.col("_err"), F.when(F.col("_err").isNotNull(), F.col("_o"))).alias("first_error"),
-    )
+def file_verdict(typed: DataFrame, error_col: str = "_error") -> DataFrame:
+    """``_file, rows, dropped, errors, first_error`` per file present in ``typed``."""
+    v = combine(split_verdicts(typed, error_col))
+    firsts = v.filter(F.col("errors") > 0)
+    msgs = first_error_messages(typed, firsts, error_col)
+    return v.join(msgs, "_file", "left").drop("_eblock", "_epos")
 
 
 def verdict_for_files(files: DataFrame, verdict: DataFrame) -> DataFrame:

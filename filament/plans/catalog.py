@@ -298,8 +298,8 @@ def q_positional(spark, sf_dir):
     short = F.concat_ws("|", "ts_text", "src", "dst")
     full = F.concat_ws("|", "ts_text", "src", "dst", "event_type", "code")
     a = positional_fields(f.select("event_id", short.alias("l1"), full.alias("l2")),
-                          split_quoted(F.col("l1"), "|"), ["t", "s", "d", "extra1", "extra2"])
-    b = positional_fields(a, split_quoted(F.col("l2"), "|"), ["t2", "s2"])
+                          F.col("l1"), ["t", "s", "d", "extra1", "extra2"], "|")
+    b = positional_fields(a, F.col("l2"), ["t2", "s2"], "|")
     return b.select("event_id", "t", "s", "d", "extra1", "extra2", "t2", "s2")
 
 
@@ -320,7 +320,7 @@ FROM num n JOIN hdr h USING (path) WHERE n.line_no > 1"""
 def q_header_merge(spark, sf_dir):
     prep(spark)
     n = number_by_key(D.event_feed(spark, sf_dir))
-    rows = positional_fields(n.filter(F.col("_line_no") > 1), split_quoted(F.col("_line"), "|"), ["ts", "src"])
+    rows = positional_fields(n.filter(F.col("_line_no") > 1), F.col("_line"), ["ts", "src"], "|")
     hdr = header_columns(F.col("_head_line"), F.col("_head_raw"), "|", ["ts", "region", "missing"])
     out = header_merge(rows, hdr)
     return out.select(F.col("_file").alias("file_path"), F.col("_line_no").alias("line_no"),
@@ -791,7 +791,7 @@ FROM e GROUP BY path"""
 def q_file_verdict(spark, sf_dir):
     prep(spark)
     _, typed = _bad_typed(spark, sf_dir)
-    v = file_verdict(typed, F.col("_o"))
+    v = file_verdict(typed)
     failed = F.col("first_error").isNotNull()
     return v.select(F.col("_file").alias("file_path"), "rows", "first_error",
                     F.when(failed, F.lit("failed")).otherwise(F.lit("done")).alias("status"),
@@ -1142,7 +1142,7 @@ def q_dead_letter(spark, sf_dir):
     prep(spark)
     from filament.sinks.files import dead_letter_rows
     parsed, typed = _bad_typed(spark, sf_dir)
-    v = file_verdict(typed, F.col("_o")).filter(F.col("first_error").isNotNull())
+    v = file_verdict(typed).filter(F.col("first_error").isNotNull())
     claimed = v.select(F.lit("events_cdr").alias("pipeline"), F.col("_file").alias("file_path"),
                        F.lit(1).alias("attempts"), F.lit("processing").alias("status"))
     for c, t in L.LEDGER_COLUMNS:

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from filament.operators.chain import TRANSFORM_ERROR, ChainContext, apply_chain
 from filament.operators.merge import header_columns, header_merge
 from filament.operators.provenance import add_provenance
-from filament.operators.split import positional_fields, split_line
+from filament.operators.split import positional_fields
 from filament.operators.typed import ERROR, typed_projection
-from filament.sources.lines import number_by_key, number_scanned, row_order, skip_lines
+from filament.sources.lines import number_by_key, number_scanned, order_columns
 from filament.spec import PipelineSpec
 
 TOO_LONG_ERROR = "scan file: bufio.Scanner: token too long"
@@ -29,15 +29,28 @@ TOO_LONG_ERROR = "scan file: bufio.Scanner: token too long"
 @dataclass
 class Parsed:
     rows: DataFrame          # row-keyed frame after the chain (one column per key)
-    order: Column            # order of rows within a file
+    order: list[str]         # columns ordering the rows within a file
+
+HDR = "_hdr_"
+
+
+def _parsed_heads(spec: PipelineSpec):
+    """Header metadata parsed once per file (on the small heads table)."""
+    names = [h.name for h in spec.header_fields]
+
+    def fn(heads: DataFrame) -> DataFrame:
+        cols = header_columns(F.col("_head_line"), F.col("_head_raw"), spec.delimiter, names, spec.max_header_bytes)
+        return heads.select("_file", *[c.alias(HDR + n) for n, c in cols.items()])
+    return fn
 
 
 def number(lines: DataFrame, spec: PipelineSpec, est_index_rows: int | None = None) -> DataFrame:
     if not spec.needs_line_numbers:
         return lines
+    head_fn = _parsed_heads(spec) if spec.has_header_meta else None
     if "_block" in lines.columns:
-        return number_scanned(lines, est_index_rows, with_head=spec.has_header_meta)
-    return number_by_key(lines, est_buckets=est_index_rows, with_head=spec.has_header_meta)
+        return number_scanned(lines, est_index_rows, with_head=spec.has_header_meta, head_fn=head_fn)
+    return number_by_key(lines, est_buckets=est_index_rows, with_head=spec.has_header_meta, head_fn=head_fn)
 
 
 def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_rows: int | None = None) -> Parsed:
@@ -45,22 +58,21 @@ def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_row
     df = number(lines, spec, est_index_rows)
     if spec.skip_lines:
         df = df.filter((F.col("_line_no") > F.lit(spec.skip_lines)) | F.col("_too_long"))
-    df = positional_fields(df, split_line(F.col("_line"), spec.delimiter), spec.input_names)
+    df = positional_fields(df, F.col("_line"), spec.input_names, spec.delimiter)
     if spec.has_header_meta:
-        hdr = header_columns(F.col("_head_line"), F.col("_head_raw"), spec.delimiter,
-                             [h.name for h in spec.header_fields], spec.max_header_bytes)
-        df = header_merge(df, hdr)
+        names = [h.name for h in spec.header_fields]
+        df = header_merge(df, {n: F.col(HDR + n) for n in names}).drop(*[HDR + n for n in names])
     df = add_provenance(df, spec.dedup)
     df = apply_chain(df, spec.transformers, ctx)
-    return Parsed(df, row_order(df))
+    return Parsed(df, order_columns(df))
 
 
 def typed_rows(parsed: Parsed, spec: PipelineSpec) -> DataFrame:
-    """``_file, _o, _terr`` + declared output columns + ``_error`` (conversion error, or
+    """``_file``, the order columns, ``_terr`` + declared output columns + ``_error`` (conversion error, or
     the scanner error of an over-long line).  Rows dropped by a failing transform keep
     ``_terr`` so they can be counted; they carry no conversion error."""
-    df = parsed.rows.withColumn("_o", parsed.order).withColumn("_terr", F.col(TRANSFORM_ERROR))
-    keep = ["_file", "_o", "_terr", "_too_long"] + (["_line_no"] if "_line_no" in df.columns else [])
+    df = parsed.rows.withColumn("_terr", F.col(TRANSFORM_ERROR))
+    keep = ["_file", *parsed.order, "_terr", "_too_long"] + (["_line_no"] if "_line_no" in df.columns else [])
     typed = typed_projection(df, spec.output_fields, keep=keep)
     err = (F.when(F.col("_too_long"), F.lit(TOO_LONG_ERROR))
             .when(F.col("_terr").isNull(), F.col(ERROR)))

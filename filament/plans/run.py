@@ -29,7 +29,7 @@ from filament.operators import ledger as L
 from filament.operators.chain import ChainContext
 from filament.operators.iplookup import bucketed_ranges
 from filament.operators.ready import ready_files
-from filament.operators.verdict import file_verdict
+from filament.operators.verdict import combine, first_error_messages, split_verdicts
 from filament.plans.ingest import output_only, parse, typed_rows
 from filament.sinks.files import dead_letter_rows, write_dead_letter
 from filament.sinks.table import write_run
@@ -148,12 +148,15 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
                            directory=spec.watch_dir_clean)
         parsed = parse(lines, spec, ctx, est_splits)
         typed = typed_rows(parsed, spec)
-        v = (typed.groupBy("_file").agg(
-                F.count(F.lit(1)).alias("_read"),
-                F.sum(F.col("_terr").isNotNull().cast("long")).alias("_terrs"),
-                F.min_by(F.col("_error"), F.when(F.col("_error").isNotNull(), F.col("_o"))).alias("_first_error")))
-        for r in v.collect():                        # one row per file
-            verdicts[r._file] = (int(r._read), r._first_error, int(r._terrs or 0))
+        per_file = combine(split_verdicts(typed)).collect()      # one row per file
+        firsts = [r for r in per_file if r.errors]
+        msgs = {}
+        if firsts:                                    # only when some file failed
+            keys = spark.createDataFrame([(r._file, r._eblock, r._epos) for r in firsts],
+                                         "_file string, _eblock long, _epos long")
+            msgs = {r._file: r.first_error for r in first_error_messages(typed, keys).collect()}
+        for r in per_file:
+            verdicts[r._file] = (int(r.rows), msgs.get(r._file) if r.errors else None, int(r.dropped or 0))
 
     errors = {p: HIDDEN_NAME_ERROR for p in hidden}
     for p in visible:

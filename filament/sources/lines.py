@@ -89,7 +89,8 @@ def attach_heads(numbered: DataFrame, heads: DataFrame, est_files: int | None) -
     return numbered.join(heads, "_file", "left")
 
 
-def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: bool = True) -> DataFrame:
+def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: bool = True,
+                   head_fn=None) -> DataFrame:
     """S3 on scanned lines: adds ``_line_no`` (1-based over non-blank lines) and, with
     ``with_head``, the file's first non-blank line ``_head_raw`` / ``_head_line``.
     ``est_splits`` (from the file listing) decides between broadcasting the split index
@@ -102,7 +103,7 @@ def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: b
         head_ids = idx.select("_uri", F.col("_head_mid").alias("_mid")).distinct()
         heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], est_splits)
                  .select("_file", F.col("_raw").alias("_head_raw"), F.col("_line").alias("_head_line")))
-        out = attach_heads(out, heads, est_splits)
+        out = attach_heads(out, head_fn(heads) if head_fn else heads, est_splits)
     return out.drop("_base", "_mid0", "_head_mid")
 
 
@@ -121,7 +122,7 @@ def lines_from_frame(df: DataFrame, path: Column, text: Column, order: Column,
 
 
 def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int | None = None,
-                  with_head: bool = True) -> DataFrame:
+                  with_head: bool = True, head_fn=None) -> DataFrame:
     """S3 on a lines frame ordered by (``_ord``, ``_pos``): ``_line_no`` and the file's
     first line.  Lines are bucketed by ``_ord // bucket_width``; a bucket's rows are
     numbered by a window over (file, bucket) — at most ``bucket_width`` texts per window
@@ -143,7 +144,7 @@ def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int
         # lines of one text per file: small, so a struct-valued min_by is fine here
         heads = first_text.groupBy("_file").agg(F.min_by(F.struct("_raw", "_line"), "_pos").alias("_h")).select(
             "_file", F.col("_h._raw").alias("_head_raw"), F.col("_h._line").alias("_head_line"))
-        out = attach_heads(out, heads, est_buckets)
+        out = attach_heads(out, head_fn(heads) if head_fn else heads, est_buckets)
     return out
 
 
@@ -152,8 +153,7 @@ def skip_lines(numbered: DataFrame, skip: int) -> DataFrame:
     return numbered.filter(F.col("_line_no") > F.lit(skip)) if skip > 0 else numbered
 
 
-def row_order(df: DataFrame) -> Column:
-    """An order over the lines of one file, available without numbering."""
-    if "_block" in df.columns:
-        return F.struct("_block", "_mid")
-    return F.struct("_ord", "_pos")
+def order_columns(df: DataFrame) -> list[str]:
+    """Columns ordering the lines of one file without numbering them: (split start,
+    row id) for scanned lines, (order key, position) for derived ones."""
+    return ["_block", "_mid"] if "_block" in df.columns else ["_ord", "_pos"]
