@@ -104,34 +104,63 @@ class RunResult:
         }
 
 
-def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_path: str, table_path: str,
-             now: dt.datetime | None = None, run_id: str | None = None, dead_letter_path: str = "",
-             recover_first: bool = True) -> RunResult:
-    t0 = time.time()
-    now = now or dt.datetime.now(dt.timezone.utc)
-    run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    res = RunResult(run_id)
-
+def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, now: dt.datetime, run_id: str,
+                   ready: DataFrame, recover_first: bool) -> tuple[list, int]:
+    """Recover/retry, enqueue ``ready`` files and claim every pending file, computed on
+    the small ledger frame and appended in one write.  Returns the claimed records."""
     ledger = read_ledger(spark, ledger_path)
     seq0 = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
-    # Control plane in memory: recover/retry, enqueue and claim are computed on the
-    # small ledger and listing frames, collected once and appended in one write.
     cur = L.latest(ledger)
     moved = spark.createDataFrame([], L.LEDGER_SCHEMA)
     if recover_first:
         moved = L.recover(cur, spec.name, now, seq0).unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
         moved = spark.createDataFrame(moved.collect(), L.LEDGER_SCHEMA)
         cur = L.latest(ledger.unionByName(moved))
-    listing = list_dir(spark, spec.watch_dir_clean)
-    ready = ready_files(listing, spec, now)
     enq = spark.createDataFrame(L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
     cur = L.latest(ledger.unionByName(moved).unionByName(enq))
     claimed_rows = L.claim(cur, spec.name, now, seq0 + 2, run_id).collect()   # control plane: one row per file
     claimed = spark.createDataFrame(claimed_rows, L.LEDGER_SCHEMA)
     append_ledger(moved.unionByName(enq).unionByName(claimed), ledger_path)
+    return claimed_rows, seq0 + 3
+
+
+def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_path: str, table_path: str,
+             now: dt.datetime | None = None, run_id: str | None = None, dead_letter_path: str = "",
+             recover_first: bool = True) -> RunResult:
+    """One batch run: list the watched folder, then ingest every claimed file."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    t0 = time.time()
+    ready = ready_files(list_dir(spark, spec.watch_dir_clean), spec, now)
+    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first)
+    res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
+    res.seconds = time.time() - t0
+    return res
+
+
+def run_files(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, files: list[tuple[str, int, dt.datetime]],
+              ledger_path: str, table_path: str, now: dt.datetime | None = None, run_id: str | None = None,
+              dead_letter_path: str = "") -> RunResult:
+    """Ingest a given set of files ``(path, size, mtime)`` (a streaming micro-batch):
+    enqueue them, claim what is pending, ingest.  Files already done are skipped."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    t0 = time.time()
+    ready = spark.createDataFrame([(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
+    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first=False)
+    res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
+    res.seconds = time.time() - t0
+    return res
+
+
+def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, claimed_rows: list, seq: int,
+                   ledger_path: str, table_path: str, now: dt.datetime, run_id: str,
+                   dead_letter_path: str = "") -> RunResult:
+    """Read, parse, enrich, convert and publish the claimed files; append the verdicts."""
+    res = RunResult(run_id)
     if not claimed_rows:
-        res.seconds = time.time() - t0
         return res
+    claimed = spark.createDataFrame(claimed_rows, L.LEDGER_SCHEMA)
     res.files_claimed = len(claimed_rows)
 
     paths = [r.file_path for r in claimed_rows]
@@ -179,10 +208,10 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
     done_v = spark.createDataFrame(
         [(p, verdicts.get(p, (0, None, 0))[0] - verdicts.get(p, (0, None, 0))[2]) for p in good],
         "file_path string, rows long")
-    new_rows = L.done(claimed, done_v, now_done, seq0 + 3, run_id)
+    new_rows = L.done(claimed, done_v, now_done, seq, run_id)
     if errors:
         err_df = spark.createDataFrame(list(errors.items()), "file_path string, error string")
-        failed = L.fail(claimed, err_df, now_done, seq0 + 3, spec.retry_failed, spec.retry_interval_s,
+        failed = L.fail(claimed, err_df, now_done, seq, spec.retry_failed, spec.retry_interval_s,
                         spec.max_retries, spec.dead_letter_dir, run_id)
         failed_rows = failed.collect()
         new_rows = new_rows.unionByName(spark.createDataFrame(failed_rows, failed.schema))
@@ -198,7 +227,6 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
     res.transform_errors = sum(verdicts[p][2] for p in good if p in verdicts)
     res.rows_written = res.rows_read - res.transform_errors
     res.errors = errors
-    res.seconds = time.time() - t0
     return res
 
 
