@@ -52,10 +52,12 @@ def main() -> None:
     ctx = load_context(spark, [dns, http], ip_dir + "/ipdb0.csv", list(D.RANGE_ATTRS))
     times["load_dimensions"] = time.time() - t0
     rows = 0
+    phases: dict[str, dict] = {}
     for spec in (dns, http):
         t = time.time()
         r = run_once(spark, spec, ctx, root + "/ledger", root + "/tables/" + spec.name)
         times["ingest_" + spec.name] = time.time() - t
+        phases[spec.name] = r.phases
         rows += r.rows_written
         if r.files_failed:
             raise SystemExit(f"bench ingestion failed files: {r.errors}")
@@ -71,7 +73,7 @@ def main() -> None:
     out = {"metric": "end_to_end_ingest_sec", "value": round(ingest_s, 3), "unit": "sec",
            "rows": rows, "rows_per_sec": round(rows / ingest_s, 1),
            "queries": {k: round(v, 3) for k, v in times.items()},
-           "total_sec": round(sum(times.values()), 3), "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+           "ingest_phases": phases, "total_sec": round(sum(times.values()), 3), "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
            "cpus": cpus}
     print(json.dumps(out))
 

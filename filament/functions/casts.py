@@ -28,30 +28,28 @@ _INF_RE = r"(?i)^[+-]?inf(?:inity)?\z"
 _NAN_RE = r"(?i)^nan\z"
 
 
-def _syntax(func: str, raw: Column) -> Column:
-    return F.concat(F.lit(f'strconv.{func}: parsing "'), raw, F.lit('": invalid syntax'))
-
-
-def _range(func: str, raw: Column) -> Column:
-    return F.concat(F.lit(f'strconv.{func}: parsing "'), raw, F.lit('": value out of range'))
+# Error codes carried per row; messages are built only for the rows that report them.
+SYNTAX, RANGE, INVALID = 1, 2, 3
 
 
 def _integer(raw: Column, bits: int, signed: bool) -> tuple[Column, Column]:
-    func = "ParseInt" if signed else "ParseUint"
     text = F.when(raw == "", F.lit("0")).otherwise(raw)
-    grammar = r"^[+-]?[0-9]+\z" if signed else r"^[0-9]+\z"
-    ok_syntax = text.rlike(grammar)
-    digits = F.regexp_replace(text, r"^([+-]?)0+(?=[0-9])", "$1")
-    fits_len = F.length(F.regexp_replace(digits, "^[+-]", "")) <= 20
-    num = F.when(ok_syntax & fits_len, digits.try_cast("decimal(21,0)"))
     lo = -(2 ** (bits - 1)) if signed else 0
     hi = 2 ** (bits - 1) - 1 if signed else 2 ** bits - 1
-    in_range = num.isNotNull() & (num >= F.lit(lo).cast("decimal(21,0)")) & (num <= F.lit(str(hi)).cast("decimal(21,0)"))
     target = spark_type(("int" if signed else "uint") + str(bits))
-    value = F.when(in_range, num.cast(target))
-    error = (F.when(~ok_syntax, _syntax(func, text))
-             .when(~in_range, _range(func, text)))
-    return value, error
+    # up to 18 digits always fit a long: no decimal arithmetic on that path
+    short = text.rlike(r"^[+-]?[0-9]{1,18}\z" if signed else r"^[0-9]{1,18}\z")
+    v = F.when(short, text.cast("long"))
+    fast_ok = (v >= F.lit(lo)) & (v <= F.lit(hi)) if hi < 2 ** 63 else (v >= F.lit(lo))
+    ok_syntax = text.rlike(r"^[+-]?[0-9]+\z" if signed else r"^[0-9]+\z")
+    digits = F.regexp_replace(text, r"^([+-]?)0+(?=[0-9])", "$1")
+    num = F.when(ok_syntax & (F.length(F.regexp_replace(digits, "^[+-]", "")) <= 20),
+                 digits.try_cast("decimal(21,0)"))
+    in_range = num.isNotNull() & (num >= F.lit(lo).cast("decimal(21,0)")) & (num <= F.lit(str(hi)).cast("decimal(21,0)"))
+    value = F.when(short, F.when(fast_ok, v.cast(target))).when(in_range, num.cast(target))
+    code = (F.when(short, F.when(~fast_ok, F.lit(RANGE)))
+             .when(~ok_syntax, F.lit(SYNTAX)).when(~in_range, F.lit(RANGE)))
+    return value, code
 
 
 def _float(raw: Column, bits: int) -> tuple[Column, Column]:
@@ -64,9 +62,8 @@ def _float(raw: Column, bits: int) -> tuple[Column, Column]:
     value = (F.when(is_inf, inf_val)
              .when(is_nan, F.lit(float("nan")).cast(target))
              .when(grammar & ~F.isnan(parsed) & (F.abs(parsed) != F.lit(float("inf")).cast(target)), parsed))
-    error = (F.when(~(grammar | is_inf | is_nan), _syntax("ParseFloat", raw))
-             .when(value.isNull(), _range("ParseFloat", raw)))
-    return value, error
+    code = F.when(~(grammar | is_inf | is_nan), F.lit(SYNTAX)).when(value.isNull(), F.lit(RANGE))
+    return value, code
 
 
 def _time(raw: Column, base: str, layout: str) -> tuple[Column, Column]:
@@ -77,23 +74,19 @@ def _time(raw: Column, base: str, layout: str) -> tuple[Column, Column]:
     if base == "datetime":
         ts = F.date_trunc("second", ts)
     value = ts.cast("date") if base == "date" else ts
-    if layout:
-        msg = F.concat(F.lit('parsing time "'), raw, F.lit(f'" as "{layout}": cannot parse'))
-    else:
-        msg = F.concat(F.lit('invalid time "'), raw, F.lit('"'))
-    error = F.when(ts.isNull(), msg)
-    return value, error
+    return value, F.when(ts.isNull(), F.lit(INVALID))
 
 
-def convert_text(raw: Column, base: str, layout: str = "") -> tuple[Column, Column]:
-    """Convert non-null trimmed text by base type → (value, error)."""
+def convert_code(raw: Column, base: str, layout: str = "") -> tuple[Column, Column]:
+    """Convert non-null trimmed text by base type → (value, error code or NULL)."""
+    none = F.lit(None).cast("int")
     if base in STRING_TYPES:
-        return raw, F.lit(None).cast("string")
+        return raw, none
     if base == "bool":
         value = (F.when(raw == "", F.lit(False))
                  .when(raw.isin(TRUE_WORDS), F.lit(True))
                  .when(raw.isin(FALSE_WORDS), F.lit(False)))
-        return value, F.when(value.isNull(), _syntax("ParseBool", raw))
+        return value, F.when(value.isNull(), F.lit(SYNTAX))
     if base in UINT_BITS:
         return _integer(raw, UINT_BITS[base], signed=False)
     if base in INT_BITS:
@@ -104,22 +97,49 @@ def convert_text(raw: Column, base: str, layout: str = "") -> tuple[Column, Colu
         return _time(raw, base, layout)
     if base in IP_TYPES:
         ok = is_ip(raw)
-        return F.when(ok, raw), F.when(~ok, F.concat(F.lit('invalid IP "'), raw, F.lit('"')))
-    return raw, F.lit(None).cast("string")
+        return F.when(ok, raw), F.when(~ok, F.lit(INVALID))
+    return raw, none
 
 
-def cast_field(text: Column, f: FieldSpec, trimmed: bool = False) -> tuple[Column, Column]:
-    """(typed value, error message or NULL) for one declared field read from ``text``
-    (``trimmed``: ``text`` is already the trimmed, non-null text)."""
-    raw = text if trimmed else go_trim(F.coalesce(text, F.lit("")))
-    if f.default:
-        raw = F.when(raw == "", F.lit(f.default)).otherwise(raw)
+def error_message(f: FieldSpec, code: Column, text: Column) -> Column:
+    """The message of a conversion error of field ``f`` (``code`` non-null)."""
     base = f.base_type
-    value, err = convert_text(raw, base, f.layout)
-    dtype = spark_type(base)
+    if base == "bool":
+        body = F.concat(F.lit('strconv.ParseBool: parsing "'), text, F.lit('": invalid syntax'))
+    elif base in UINT_BITS or base in INT_BITS or base in FLOAT_BITS:
+        func = "ParseUint" if base in UINT_BITS else "ParseInt" if base in INT_BITS else "ParseFloat"
+        shown = F.when(text == "", F.lit("0")).otherwise(text) if func != "ParseFloat" else text
+        kind = F.when(code == SYNTAX, F.lit("invalid syntax")).otherwise(F.lit("value out of range"))
+        body = F.concat(F.lit(f'strconv.{func}: parsing "'), shown, F.lit('": '), kind)
+    elif base in TIME_TYPES:
+        body = (F.concat(F.lit('parsing time "'), text, F.lit(f'" as "{f.layout}": cannot parse')) if f.layout
+                else F.concat(F.lit('invalid time "'), text, F.lit('"')))
+    elif base in IP_TYPES:
+        body = F.concat(F.lit('invalid IP "'), text, F.lit('"'))
+    else:
+        body = F.lit("conversion error")
+    return F.concat(F.lit(f'field "{f.name}": '), body)
+
+
+def prepared_text(text: Column, f: FieldSpec, trimmed: bool = False) -> Column:
+    """Trimmed text with the declared default applied (the converter's input)."""
+    raw = text if trimmed else go_trim(F.coalesce(text, F.lit("")))
+    return F.when(raw == "", F.lit(f.default)).otherwise(raw) if f.default else raw
+
+
+def cast_code(text: Column, f: FieldSpec) -> tuple[Column, Column]:
+    """(typed value, error code) for prepared text (see ``prepared_text``)."""
+    value, code = convert_code(text, f.base_type, f.layout)
+    dtype = spark_type(f.base_type)
     if f.nullable:
-        empty = raw == ""
+        empty = text == ""
         value = F.when(empty, F.lit(None).cast(dtype)).otherwise(value)
-        err = F.when(empty, F.lit(None).cast("string")).otherwise(err)
-    err = F.when(err.isNotNull(), F.concat(F.lit(f'field "{f.name}": '), err))
-    return value.cast(dtype), err
+        code = F.when(empty, F.lit(None).cast("int")).otherwise(code)
+    return value.cast(dtype), code
+
+
+def cast_field(text: Column, f: FieldSpec, trimmed: bool = False) -> tuple[Column, Column]:
+    """(typed value, error message or NULL) for one declared field read from ``text``."""
+    raw = prepared_text(text, f, trimmed)
+    value, code = cast_code(raw, f)
+    return value, F.when(code.isNotNull(), error_message(f, code, raw))

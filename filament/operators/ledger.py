@@ -27,7 +27,8 @@ KEY = ["pipeline", "file_path"]
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
+    from filament.session import local_frame
+    return local_frame(spark, [], LEDGER_SCHEMA)
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Output columns are the header fields then the fields, in declared order, each read
 from its source key, converted by its declared type (with default / nullable
-handling), and renamed to its name.  ``_error`` holds the first failing field's
-message in declared order (NULL for a good row).
+handling), and renamed to its name.  A row's first failing field in declared order
+is carried as codes — ``_err_field`` (index), ``_err_kind``, ``_err_text`` — and its
+message (``_error``) is built from them, so the per-row code stays small and the
+message strings are only built where they are read.
 """
 
 from __future__ import annotations
@@ -11,39 +13,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filament.functions.casts import cast_field
-from filament.functions.text import col, go_trim
+from filament.functions.casts import cast_code, error_message, prepared_text
+from filament.functions.text import col
 from filament.spec import FieldSpec
 
 ERROR = "_error"
+ERR_FIELD, ERR_KIND, ERR_TEXT = "_err_field", "_err_kind", "_err_text"
 
 
-def typed_columns(df: DataFrame, fields: list[FieldSpec]) -> tuple[list[Column], Column]:
-    values, errors = [], []
-    for f in fields:
+def typed_codes(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
+    """Typed values plus ``_err_field, _err_kind, _err_text``.
+
+    Two projections: the prepared text of every field first (one column each), then
+    the conversions over those columns — a conversion references its text many times
+    inside CASE branches, where Spark does not share subexpressions."""
+    texts = {}
+    for i, f in enumerate(fields):
         src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
-        v, e = cast_field(src, f)
+        texts[f"_tx{i}"] = prepared_text(src, f)
+    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+    values, codes = [], []
+    for i, f in enumerate(fields):
+        v, c = cast_code(F.col(f"_tx{i}"), f)
         values.append(v.alias(f.name))
-        errors.append(e)
-    first_error = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return values, first_error
+        codes.append(c)
+    none_i = F.lit(None).cast("int")
+    err_field = F.coalesce(*[F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(codes)], none_i)
+    err_kind = F.coalesce(*codes, none_i)
+    err_text = F.coalesce(*[F.when(c.isNotNull(), F.col(f"_tx{i}")) for i, c in enumerate(codes)],
+                          F.lit(None).cast("string"))
+    return staged.select(*[F.col(k) for k in keep], *values, err_field.alias(ERR_FIELD),
+                         err_kind.alias(ERR_KIND), err_text.alias(ERR_TEXT))
+
+
+def message_column(fields: list[FieldSpec]) -> Column:
+    """``_error`` message from the error codes (NULL for a good row)."""
+    out = F.lit(None).cast("string")
+    for i, f in reversed(list(enumerate(fields))):
+        out = F.when(F.col(ERR_FIELD) == i, error_message(f, F.col(ERR_KIND), F.col(ERR_TEXT))).otherwise(out)
+    return out
 
 
 def typed_projection(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
-    """Select the typed output columns plus ``_error`` and any ``keep`` columns.
+    """Typed output columns plus ``_error`` (message) and any ``keep`` columns."""
+    t = typed_codes(df, fields, keep)
+    return t.withColumn(ERROR, message_column(fields)).drop(ERR_FIELD, ERR_KIND, ERR_TEXT)
 
-    Two projections: the trimmed text of every field first (one column per field),
-    then the conversions over those columns — a conversion references its text many
-    times inside CASE branches, where Spark does not share subexpressions."""
-    texts, pre = {}, []
-    for i, f in enumerate(fields):
-        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
-        texts[f"_tx{i}"] = go_trim(F.coalesce(src, F.lit("")))
-    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+
+def typed_columns(df: DataFrame, fields: list[FieldSpec]) -> tuple[list[Column], Column]:
+    """Single-projection form (values, first error message) for small inputs."""
+    from filament.functions.casts import cast_field
     values, errors = [], []
-    for i, f in enumerate(fields):
-        v, e = cast_field(F.col(f"_tx{i}"), f, trimmed=True)
+    for f in fields:
+        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
+        v, e = cast_field(src, f)
         values.append(v.alias(f.name))
         errors.append(e)
-    err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return staged.select(*[F.col(k) for k in keep], *values, err.alias(ERROR))
+    return values, F.coalesce(*errors) if errors else F.lit(None).cast("string")

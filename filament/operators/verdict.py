@@ -22,7 +22,7 @@ def _err(typed: DataFrame, error_col: str):
     return F.col(error_col).isNotNull()
 
 
-def split_verdicts(typed: DataFrame, error_col: str = "_error") -> DataFrame:
+def split_verdicts(typed: DataFrame, error_col: str = "_err_field") -> DataFrame:
     """Per (file, unit): rows, transform-dropped rows, errors and the first error
     position.  The unit is the split (scanned lines) or the whole file (derived)."""
     err = _err(typed, error_col)
@@ -50,25 +50,26 @@ def combine(per_unit: DataFrame) -> DataFrame:
     return per_file.join(first, ["_file", "_eblock"], "left")
 
 
-def first_error_messages(typed: DataFrame, firsts: DataFrame, error_col: str = "_error") -> DataFrame:
-    """``_file, first_error`` for the positions in ``firsts`` (``_file, _eblock, _epos``)."""
-    e = typed.filter(_err(typed, error_col))
+def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col: str = "_err_field") -> DataFrame:
+    """``_file, first_error`` for the positions in ``firsts`` (``_file, _eblock, _epos``);
+    ``message`` builds the text from the row's error codes."""
+    e = typed.filter(_err(typed, error_col)).withColumn("_msg", message)
     if "_block" in typed.columns:
         e = e.select("_file", F.col("_block").alias("_eblock"), F.col("_mid").alias("_epos"),
-                     F.col(error_col).alias("first_error"))
+                     F.col("_msg").alias("first_error"))
         keys = ["_file", "_eblock", "_epos"]
     else:
         e = e.select("_file", (F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")).alias("_epos"),
-                     F.col(error_col).alias("first_error"))
+                     F.col("_msg").alias("first_error"))
         keys = ["_file", "_epos"]
     return e.join(F.broadcast(firsts.select(*keys)), keys, "inner").select("_file", "first_error")
 
 
-def file_verdict(typed: DataFrame, error_col: str = "_error") -> DataFrame:
+def file_verdict(typed: DataFrame, message, error_col: str = "_err_field") -> DataFrame:
     """``_file, rows, dropped, errors, first_error`` per file present in ``typed``."""
     v = combine(split_verdicts(typed, error_col))
     firsts = v.filter(F.col("errors") > 0)
-    msgs = first_error_messages(typed, firsts, error_col)
+    msgs = first_error_messages(typed, firsts, message, error_col)
     return v.join(msgs, "_file", "left").drop("_eblock", "_epos")
 
 

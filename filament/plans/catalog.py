@@ -31,7 +31,7 @@ from filament.operators.split import positional_fields, split_line, split_litera
 from filament.operators.typed import typed_projection
 from filament.operators.verdict import file_verdict, verdict_for_files
 from filament.plans import derived as D
-from filament.plans.ingest import parse, typed_rows
+from filament.plans.ingest import error_message, parse, typed_rows, with_messages
 from filament.sinks.table import MONTH_COL, read_table, write_run
 from filament.session import shared_dir
 from filament.sources.dictionary import dict_from_lines
@@ -129,7 +129,7 @@ def _ranges_ctx(spark: SparkSession, sf_dir: str) -> ChainContext:
 
 def publishable(typed: DataFrame) -> DataFrame:
     """Rows of files without any error (all-or-nothing per file)."""
-    bad = typed.filter(F.col("_error").isNotNull()).select("_file").distinct()
+    bad = typed.filter(F.col("_err_field").isNotNull()).select("_file").distinct()
     return typed.join(bad, "_file", "left_anti")
 
 
@@ -771,6 +771,7 @@ def _bad_typed(spark, sf_dir):
 def q_bad_rows(spark, sf_dir):
     prep(spark)
     _, typed = _bad_typed(spark, sf_dir)
+    typed = with_messages(typed, D.events_spec(dedup=False))
     return typed.filter(F.col("_error").isNotNull()).select(
         F.col("_file").alias("file_path"), F.col("_line_no").alias("line_no"), F.col("_error").alias("error"))
 
@@ -791,7 +792,7 @@ FROM e GROUP BY path"""
 def q_file_verdict(spark, sf_dir):
     prep(spark)
     _, typed = _bad_typed(spark, sf_dir)
-    v = file_verdict(typed)
+    v = file_verdict(typed, error_message(D.events_spec(dedup=False)))
     failed = F.col("first_error").isNotNull()
     return v.select(F.col("_file").alias("file_path"), "rows", "first_error",
                     F.when(failed, F.lit("failed")).otherwise(F.lit("done")).alias("status"),
@@ -1142,7 +1143,7 @@ def q_dead_letter(spark, sf_dir):
     prep(spark)
     from filament.sinks.files import dead_letter_rows
     parsed, typed = _bad_typed(spark, sf_dir)
-    v = file_verdict(typed).filter(F.col("first_error").isNotNull())
+    v = file_verdict(typed, error_message(D.events_spec(dedup=False))).filter(F.col("first_error").isNotNull())
     claimed = v.select(F.lit("events_cdr").alias("pipeline"), F.col("_file").alias("file_path"),
                        F.lit(1).alias("attempts"), F.lit("processing").alias("status"))
     for c, t in L.LEDGER_COLUMNS:

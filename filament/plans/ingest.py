@@ -19,7 +19,7 @@ from filament.operators.chain import TRANSFORM_ERROR, ChainContext, apply_chain
 from filament.operators.merge import header_columns, header_merge
 from filament.operators.provenance import add_provenance
 from filament.operators.split import positional_fields
-from filament.operators.typed import ERROR, typed_projection
+from filament.operators.typed import ERR_FIELD, ERR_KIND, ERR_TEXT, ERROR, message_column, typed_codes
 from filament.sources.lines import number_by_key, number_scanned, order_columns
 from filament.spec import PipelineSpec
 
@@ -68,15 +68,28 @@ def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_row
 
 
 def typed_rows(parsed: Parsed, spec: PipelineSpec) -> DataFrame:
-    """``_file``, the order columns, ``_terr`` + declared output columns + ``_error`` (conversion error, or
-    the scanner error of an over-long line).  Rows dropped by a failing transform keep
-    ``_terr`` so they can be counted; they carry no conversion error."""
+    """``_file``, the order columns, ``_terr``, the declared output columns and the
+    error codes of the row's first failing field (``_err_field`` = -1 for a line over
+    the scanner limit).  Rows dropped by a failing transform keep ``_terr`` so they can
+    be counted; they carry no conversion error."""
     df = parsed.rows.withColumn("_terr", F.col(TRANSFORM_ERROR))
     keep = ["_file", *parsed.order, "_terr", "_too_long"] + (["_line_no"] if "_line_no" in df.columns else [])
-    typed = typed_projection(df, spec.output_fields, keep=keep)
-    err = (F.when(F.col("_too_long"), F.lit(TOO_LONG_ERROR))
-            .when(F.col("_terr").isNull(), F.col(ERROR)))
-    return typed.withColumn(ERROR, err).drop("_too_long")
+    typed = typed_codes(df, spec.output_fields, keep=keep)
+    dropped = F.col("_terr").isNotNull()
+    return typed.withColumns({
+        ERR_FIELD: F.when(F.col("_too_long"), F.lit(-1)).when(~dropped, F.col(ERR_FIELD)),
+        ERR_KIND: F.when(~dropped, F.col(ERR_KIND)),
+        ERR_TEXT: F.when(~dropped, F.col(ERR_TEXT)),
+    }).drop("_too_long")
+
+
+def error_message(spec: PipelineSpec):
+    """Message column for typed rows (reads the error codes)."""
+    return F.when(F.col(ERR_FIELD) == -1, F.lit(TOO_LONG_ERROR)).otherwise(message_column(spec.output_fields))
+
+
+def with_messages(typed: DataFrame, spec: PipelineSpec) -> DataFrame:
+    return typed.withColumn(ERROR, error_message(spec))
 
 
 def output_only(typed: DataFrame, spec: PipelineSpec) -> DataFrame:

@@ -29,8 +29,9 @@ from filament.operators import ledger as L
 from filament.operators.chain import ChainContext
 from filament.operators.iplookup import bucketed_ranges
 from filament.operators.ready import ready_files
-from filament.operators.verdict import combine, first_error_messages, split_verdicts
-from filament.plans.ingest import output_only, parse, typed_rows
+from filament.operators.verdict import first_error_messages, split_verdicts
+from filament.session import local_frame, shared_dir
+from filament.plans.ingest import error_message, output_only, parse, typed_rows
 from filament.sinks.files import dead_letter_rows, write_dead_letter
 from filament.sinks.table import write_run
 from filament.sources.dictionary import load_dict_file
@@ -72,6 +73,15 @@ def append_ledger(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Drop a run's staging folder after the ledger commit."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _escape_glob(p: str) -> str:
     out = []
     for ch in p:
@@ -81,6 +91,19 @@ def _escape_glob(p: str) -> str:
     return "".join(out)
 
 
+class _Phases:
+    """Wall time per phase of a run (kept on the result for the bench report)."""
+
+    def __init__(self) -> None:
+        self.t = time.time()
+        self.times: dict[str, float] = {}
+
+    def mark(self, name: str) -> None:
+        now = time.time()
+        self.times[name] = round(self.times.get(name, 0.0) + now - self.t, 3)
+        self.t = now
+
+
 @dataclass
 class RunResult:
     run_id: str
@@ -93,6 +116,7 @@ class RunResult:
     transform_errors: int = 0
     seconds: float = 0.0
     errors: dict[str, str] = field(default_factory=dict)
+    phases: dict[str, float] = field(default_factory=dict)
 
     def counters(self, pipeline: str) -> dict[str, int]:
         return {
@@ -111,15 +135,15 @@ def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, no
     ledger = read_ledger(spark, ledger_path)
     seq0 = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
     cur = L.latest(ledger)
-    moved = spark.createDataFrame([], L.LEDGER_SCHEMA)
+    moved = local_frame(spark, [], L.LEDGER_SCHEMA)
     if recover_first:
         moved = L.recover(cur, spec.name, now, seq0).unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
-        moved = spark.createDataFrame(moved.collect(), L.LEDGER_SCHEMA)
+        moved = local_frame(spark, moved.collect(), L.LEDGER_SCHEMA)
         cur = L.latest(ledger.unionByName(moved))
-    enq = spark.createDataFrame(L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
+    enq = local_frame(spark, L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
     cur = L.latest(ledger.unionByName(moved).unionByName(enq))
     claimed_rows = L.claim(cur, spec.name, now, seq0 + 2, run_id).collect()   # control plane: one row per file
-    claimed = spark.createDataFrame(claimed_rows, L.LEDGER_SCHEMA)
+    claimed = local_frame(spark, claimed_rows, L.LEDGER_SCHEMA)
     append_ledger(moved.unionByName(enq).unionByName(claimed), ledger_path)
     return claimed_rows, seq0 + 3
 
@@ -133,7 +157,9 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
     t0 = time.time()
     ready = ready_files(list_dir(spark, spec.watch_dir_clean), spec, now)
     claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first)
+    control = time.time() - t0
     res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
+    res.phases = {"control_plane": round(control, 3), **res.phases}
     res.seconds = time.time() - t0
     return res
 
@@ -146,7 +172,7 @@ def run_files(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, files:
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     t0 = time.time()
-    ready = spark.createDataFrame([(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
+    ready = local_frame(spark, [(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
     claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first=False)
     res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.seconds = time.time() - t0
@@ -158,9 +184,10 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
                    dead_letter_path: str = "") -> RunResult:
     """Read, parse, enrich, convert and publish the claimed files; append the verdicts."""
     res = RunResult(run_id)
+    ph = _Phases()
     if not claimed_rows:
         return res
-    claimed = spark.createDataFrame(claimed_rows, L.LEDGER_SCHEMA)
+    claimed = local_frame(spark, claimed_rows, L.LEDGER_SCHEMA)
     res.files_claimed = len(claimed_rows)
 
     paths = [r.file_path for r in claimed_rows]
@@ -169,24 +196,38 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
     sizes = {r.file_path: (r.file_size or 0) for r in claimed_rows}
 
     verdicts: dict[str, tuple[int, str | None, int]] = {}
-    typed = lines = None
+    staged = lines = None
+    stage_dir = shared_dir(spark, f"staging/{spec.name}/{run_id}")
     if visible:
         max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
         est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
         lines = scan_lines(spark, [_escape_glob(p) for p in visible], spec.max_line_bytes,
                            directory=spec.watch_dir_clean)
-        parsed = parse(lines, spec, ctx, est_splits)
-        typed = typed_rows(parsed, spec)
-        per_file = combine(split_verdicts(typed)).collect()      # one row per file
-        firsts = [r for r in per_file if r.errors]
+        typed = typed_rows(parse(lines, spec, ctx, est_splits), spec)
+        # One pass over the expensive part (parse, enrich, convert): the typed rows are
+        # staged in the shared folder — this also cuts the lineage, so a lost executor
+        # never re-parses other tasks' input — and verdict and publication read the
+        # staged columns.
+        typed.write.mode("overwrite").parquet(stage_dir)
+        ph.mark("parse_convert_stage")
+        staged = spark.read.parquet(stage_dir)
+        per_file: dict[str, list] = {}
+        for r in split_verdicts(staged).collect():              # one row per input split
+            per_file.setdefault(r._file, []).append(r)
+        firsts = []
+        for f, units in per_file.items():
+            bad = [u for u in units if u._nerr]
+            if bad:
+                u = min(bad, key=lambda x: x._block)
+                firsts.append((f, u._block, u._epos))
         msgs = {}
         if firsts:                                    # only when some file failed
-            keys = spark.createDataFrame([(r._file, r._eblock, r._epos) for r in firsts],
-                                         "_file string, _eblock long, _epos long")
-            msgs = {r._file: r.first_error for r in first_error_messages(typed, keys).collect()}
-        for r in per_file:
-            verdicts[r._file] = (int(r.rows), msgs.get(r._file) if r.errors else None, int(r.dropped or 0))
+            keys = local_frame(spark, firsts, "_file string, _eblock long, _epos long")
+            msgs = {r._file: r.first_error for r in first_error_messages(staged, keys, error_message(spec)).collect()}
+        for f, units in per_file.items():
+            verdicts[f] = (sum(u._n for u in units), msgs.get(f), sum(u._nterr or 0 for u in units))
 
+    ph.mark("verdict")
     errors = {p: HIDDEN_NAME_ERROR for p in hidden}
     for p in visible:
         n, err, _ = verdicts.get(p, (0, None, 0))
@@ -194,34 +235,38 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
             errors[p] = err
     good = [p for p in visible if p not in errors]
 
-    if typed is not None and good:
-        out = typed.filter(F.col("_terr").isNull())
-        if len(errors) <= BROADCAST_FILE_LIST:
-            bad_files = [p for p in visible if p in errors]
+    if staged is not None and good:
+        out = staged.filter(F.col("_terr").isNull())
+        bad_files = [p for p in visible if p in errors]
+        if len(bad_files) <= BROADCAST_FILE_LIST:
             if bad_files:
                 out = out.filter(~F.col("_file").isin(bad_files))
         else:
-            out = out.join(spark.createDataFrame([(p,) for p in errors], "_file string"), "_file", "left_anti")
+            out = out.join(local_frame(spark, [(p,) for p in bad_files], "_file string"), "_file", "left_anti")
         write_run(output_only(out, spec), table_path, run_id, spec.event_time_field, spec.sort_fields)
+        ph.mark("publish")
 
     now_done = now
-    done_v = spark.createDataFrame(
+    done_v = local_frame(spark, 
         [(p, verdicts.get(p, (0, None, 0))[0] - verdicts.get(p, (0, None, 0))[2]) for p in good],
         "file_path string, rows long")
     new_rows = L.done(claimed, done_v, now_done, seq, run_id)
     if errors:
-        err_df = spark.createDataFrame(list(errors.items()), "file_path string, error string")
+        err_df = local_frame(spark, list(errors.items()), "file_path string, error string")
         failed = L.fail(claimed, err_df, now_done, seq, spec.retry_failed, spec.retry_interval_s,
                         spec.max_retries, spec.dead_letter_dir, run_id)
         failed_rows = failed.collect()
-        new_rows = new_rows.unionByName(spark.createDataFrame(failed_rows, failed.schema))
+        new_rows = new_rows.unionByName(local_frame(spark, failed_rows, failed.schema))
         dead = [r for r in failed_rows if r.status == "dead"]
         res.files_failed = len(failed_rows)
         res.files_dead = len(dead)
         if dead and dead_letter_path and lines is not None:
-            dead_df = spark.createDataFrame([(r.file_path, r.error) for r in dead], "file_path string, error string")
+            dead_df = local_frame(spark, [(r.file_path, r.error) for r in dead], "file_path string, error string")
             write_dead_letter(dead_letter_rows(lines, dead_df, spec.name), dead_letter_path)
     append_ledger(new_rows, ledger_path)            # commit point
+    _remove(spark, stage_dir)
+    ph.mark("ledger_commit")
+    res.phases = ph.times
     res.files_done = len(good)
     res.rows_read = sum(verdicts[p][0] for p in good if p in verdicts)
     res.transform_errors = sum(verdicts[p][2] for p in good if p in verdicts)

@@ -18,8 +18,14 @@ INGEST_TIME_COL = "ingest_time"
 
 
 def with_layout(df: DataFrame, event_time: str = "", sort_fields: tuple[str, ...] = (),
-                ingest_time: bool = True) -> DataFrame:
-    """K2 + K3 + O2: month column, ingest time default, per-task sort."""
+                ingest_time: bool = True, range_partitions: int | None = None) -> DataFrame:
+    """K2 + K3 + O2: month column, ingest time default, sorted output.
+
+    With ``range_partitions`` the rows are range-partitioned on (month, storage
+    order) first: each task writes one contiguous key range, so a run spanning many
+    months writes few files per month (not one per task and month), the table is
+    globally ordered, and a month holding most rows is split by event time across
+    tasks rather than landing in one."""
     if ingest_time and INGEST_TIME_COL not in df.columns:
         df = df.withColumn(INGEST_TIME_COL, F.current_timestamp())
     order = []
@@ -27,14 +33,18 @@ def with_layout(df: DataFrame, event_time: str = "", sort_fields: tuple[str, ...
         df = df.withColumn(MONTH_COL, F.date_format(F.col(event_time), "yyyyMM"))
         order.append(MONTH_COL)
     order += [c for c in sort_fields]
+    if order and range_partitions:
+        df = df.repartitionByRange(range_partitions, *order)
     return df.sortWithinPartitions(*order) if order else df
 
 
 def write_run(df: DataFrame, table_path: str, run_id: str, event_time: str = "",
-              sort_fields: tuple[str, ...] = (), ingest_time: bool = True) -> str:
+              sort_fields: tuple[str, ...] = (), ingest_time: bool = True, range_partitions: int | None = None) -> str:
     """K1: append one run's rows; returns the run directory."""
     out = f"{table_path.rstrip('/')}/run_id={run_id}"
-    laid = with_layout(df, event_time, sort_fields, ingest_time)
+    if range_partitions is None and event_time:
+        range_partitions = max(1, df.rdd.getNumPartitions())
+    laid = with_layout(df, event_time, sort_fields, ingest_time, range_partitions)
     w = laid.write.mode("overwrite")
     if event_time:
         w = w.partitionBy(MONTH_COL)

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from filament.session import local_frame
 from filament.spec import join_path
 
 LISTING_SCHEMA = "path string, name string, is_dir boolean, size long, mtime timestamp, uri string"
@@ -35,4 +36,4 @@ def list_entries(spark: SparkSession, directory: str) -> list[tuple]:
 
 def list_dir(spark: SparkSession, directory: str) -> DataFrame:
     """S9 as a DataFrame (one row per entry)."""
-    return spark.createDataFrame(list_entries(spark, directory), LISTING_SCHEMA)
+    return local_frame(spark, list_entries(spark, directory), LISTING_SCHEMA)
