@@ -33,22 +33,28 @@ SYNTAX, RANGE, INVALID = 1, 2, 3
 
 
 def _integer(raw: Column, bits: int, signed: bool) -> tuple[Column, Column]:
+    """Base-10 integer with the exact grammar (no sign for unsigned), empty = 0.
+    Up to 18 significant digits go through a long; only 64-bit types look at 19-20
+    digit values through a decimal."""
     text = F.when(raw == "", F.lit("0")).otherwise(raw)
     lo = -(2 ** (bits - 1)) if signed else 0
     hi = 2 ** (bits - 1) - 1 if signed else 2 ** bits - 1
     target = spark_type(("int" if signed else "uint") + str(bits))
-    # up to 18 digits always fit a long: no decimal arithmetic on that path
-    short = text.rlike(r"^[+-]?[0-9]{1,18}\z" if signed else r"^[0-9]{1,18}\z")
-    v = F.when(short, text.cast("long"))
-    fast_ok = (v >= F.lit(lo)) & (v <= F.lit(hi)) if hi < 2 ** 63 else (v >= F.lit(lo))
     ok_syntax = text.rlike(r"^[+-]?[0-9]+\z" if signed else r"^[0-9]+\z")
     digits = F.regexp_replace(text, r"^([+-]?)0+(?=[0-9])", "$1")
-    num = F.when(ok_syntax & (F.length(F.regexp_replace(digits, "^[+-]", "")) <= 20),
-                 digits.try_cast("decimal(21,0)"))
-    in_range = num.isNotNull() & (num >= F.lit(lo).cast("decimal(21,0)")) & (num <= F.lit(str(hi)).cast("decimal(21,0)"))
-    value = F.when(short, F.when(fast_ok, v.cast(target))).when(in_range, num.cast(target))
-    code = (F.when(short, F.when(~fast_ok, F.lit(RANGE)))
-             .when(~ok_syntax, F.lit(SYNTAX)).when(~in_range, F.lit(RANGE)))
+    nd = F.length(digits) - F.when(digits.rlike("^[+-]"), F.lit(1)).otherwise(F.lit(0))
+    short = ok_syntax & (nd <= 18)
+    v = F.when(short, digits.cast("long"))
+    fits = (v >= F.lit(lo)) & (v <= F.lit(hi)) if hi < 2 ** 63 else (v >= F.lit(lo))
+    if bits == 64:
+        big = F.when(ok_syntax & ~short & (nd <= 20), digits.try_cast("decimal(20,0)"))
+        big_fits = (big >= F.lit(lo).cast("decimal(20,0)")) & (big <= F.lit(str(hi)).cast("decimal(20,0)"))
+        in_range = F.when(short, fits).otherwise(F.coalesce(big_fits, F.lit(False)))
+        value = F.when(short & fits, v.cast(target)).when(big_fits, big.cast(target))
+    else:
+        in_range = short & fits
+        value = F.when(in_range, v.cast(target))
+    code = F.when(~ok_syntax, F.lit(SYNTAX)).when(~in_range, F.lit(RANGE))
     return value, code
 
 

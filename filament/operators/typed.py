@@ -70,3 +70,23 @@ def typed_columns(df: DataFrame, fields: list[FieldSpec]) -> tuple[list[Column],
         values.append(v.alias(f.name))
         errors.append(e)
     return values, F.coalesce(*errors) if errors else F.lit(None).cast("string")
+
+
+def typed_with_errors(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
+    """Each field's value and its own ``<name>_err`` message, in three projections
+    (text → value + code → message) so no single generated method grows too large."""
+    texts = {}
+    for i, f in enumerate(fields):
+        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
+        texts[f"_tx{i}"] = prepared_text(src, f)
+    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+    cols = []
+    for i, f in enumerate(fields):
+        v, c = cast_code(F.col(f"_tx{i}"), f)
+        cols += [v.alias(f.name), c.alias(f"_cd{i}")]
+    coded = staged.select(*[F.col(k) for k in keep], *[F.col(f"_tx{i}") for i in range(len(fields))], *cols)
+    out = [F.col(k) for k in keep]
+    for i, f in enumerate(fields):
+        code = F.col(f"_cd{i}")
+        out += [F.col(f.name), F.when(code.isNotNull(), error_message(f, code, F.col(f"_tx{i}"))).alias(f"{f.name}_err")]
+    return coded.select(*out)

@@ -28,7 +28,7 @@ from filament.operators.provenance import add_provenance, record_id, row_hash
 from filament.operators.ready import ready_files
 from filament.operators.report import agg_count, agg_extent, counters_from_ledger, throughput
 from filament.operators.split import positional_fields, split_line, split_literal, split_quoted
-from filament.operators.typed import typed_projection
+from filament.operators.typed import typed_projection, typed_with_errors
 from filament.operators.verdict import file_verdict, verdict_for_files
 from filament.plans import derived as D
 from filament.plans.ingest import error_message, parse, typed_rows, with_messages
@@ -134,11 +134,17 @@ def publishable(typed: DataFrame) -> DataFrame:
 
 
 def ingest_events_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: the whole chain over the derived feed.  The typed rows are staged
+    once in the shared checkpoint folder (as ``run_once`` does), so the per-file
+    all-or-nothing filter reads staged columns instead of re-running the chain."""
+    import uuid
     prep(spark)
     spec = D.events_spec()
     parsed = parse(D.event_feed(spark, sf_dir), spec, _ranges_ctx(spark, sf_dir))
-    typed = typed_rows(parsed, spec)
-    good = publishable(typed).filter(F.col("_terr").isNull())
+    stage = shared_dir(spark, f"query-stage/ingest-events-{uuid.uuid4().hex[:12]}")
+    typed_rows(parsed, spec).write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    good = publishable(staged).filter(F.col("_terr").isNull())
     return ntz(good.select(*[f.name for f in spec.output_fields]))
 
 
@@ -470,11 +476,8 @@ def _cast_ints_sql() -> str:
 def q_cast_ints(spark, sf_dir):
     prep(spark)
     li = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _int_text(None).alias("t"))
-    cols = []
-    for short, typ, *_ in _INT_TYPES:
-        v, e = cast_field(F.col("t"), FieldSpec(short, typ))
-        cols += [v.alias(short), e.alias(f"{short}_err")]
-    return li.select("l_orderkey", "l_linenumber", *cols)
+    return typed_with_errors(li, [FieldSpec(short, typ, source="t") for short, typ, *_ in _INT_TYPES],
+                             ["l_orderkey", "l_linenumber"])
 
 
 FLOAT_TEXT_SQL = """
@@ -522,10 +525,8 @@ def _cast_floats_sql() -> str:
 def q_cast_floats(spark, sf_dir):
     prep(spark)
     li = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _float_text().alias("t"))
-    v64, e64 = cast_field(F.col("t"), FieldSpec("f64", "Float64"))
-    v32, e32 = cast_field(F.col("t"), FieldSpec("f32", "Float32"))
-    return li.select("l_orderkey", "l_linenumber", v64.alias("f64"), e64.alias("f64_err"),
-                     v32.alias("f32"), e32.alias("f32_err"))
+    return typed_with_errors(li, [FieldSpec("f64", "Float64", source="t"), FieldSpec("f32", "Float32", source="t")],
+                             ["l_orderkey", "l_linenumber"])
 
 
 BOOL_SQL = f"""
@@ -608,11 +609,10 @@ FROM c"""
 def q_cast_times(spark, sf_dir):
     prep(spark)
     o = D.table(spark, sf_dir, "orders").select("o_orderkey", _time_text().alias("t"))
-    a, ae = cast_field(F.col("t"), FieldSpec("dt_layout", "DateTime", layout="2006-01-02 15:04:05"))
-    b, be = cast_field(F.col("t"), FieldSpec("dt64_auto", "DateTime64(6)"))
-    d, _ = cast_field(F.col("t"), FieldSpec("d_auto", "Date"))
-    return ntz(o.select("o_orderkey", a.alias("dt_layout"), ae.alias("dt_layout_err"),
-                        b.alias("dt64_auto"), be.alias("dt64_auto_err"), d.alias("d_auto")))
+    t = typed_with_errors(o, [FieldSpec("dt_layout", "DateTime", layout="2006-01-02 15:04:05", source="t"),
+                              FieldSpec("dt64_auto", "DateTime64(6)", source="t"), FieldSpec("d_auto", "Date", source="t")],
+                          ["o_orderkey"])
+    return ntz(t.drop("d_auto_err"))
 
 
 IP_TEXT_SQL = f"""
