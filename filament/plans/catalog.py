@@ -759,12 +759,17 @@ FROM num WHERE line_no > 1 AND NOT regexp_full_match(split_part(line, '|', 6), '
 
 
 def _bad_typed(spark, sf_dir):
+    """The feed with corrupt rows, parsed and converted once and staged in the shared
+    checkpoint folder (verdict, error rows and dead letters all read it)."""
+    import uuid
     spec = D.events_spec(dedup=False)
     k = F.col("event_id")
     status = F.when(k % 97 == 13, F.concat(F.lit("bad"), (k % 3).cast("string"))).otherwise((k % 600).cast("string"))
     ctx = _ranges_ctx(spark, sf_dir)
     parsed = parse(D.event_feed(spark, sf_dir, status=status), spec, ctx)
-    return parsed, typed_rows(parsed, spec)
+    stage = shared_dir(spark, f"query-stage/bad-feed-{uuid.uuid4().hex[:12]}")
+    typed_rows(parsed, spec).write.mode("overwrite").parquet(stage)
+    return parsed, spark.read.parquet(stage)
 
 
 @query("bad_rows", BAD_ROWS_SQL)
