@@ -51,7 +51,7 @@ def dict_map_table(df: DataFrame, field: str, table: DataFrame, table_rows: int
     if field not in df.columns:
         return df
     right = table.select(F.col("key").alias("_dk"), F.col("value").alias("_dv"), F.lit(True).alias("_dhit"))
-    if table_rows is None or table_rows <= BROADCAST_DICT_ROWS:
+    if table_rows is not None and table_rows <= BROADCAST_DICT_ROWS:
         right = F.broadcast(right)
     j = df.join(right, col(field) == F.col("_dk"), "left")
     out = _apply(j, field, F.col("_dhit").isNotNull(), F.col("_dv"), target, default)

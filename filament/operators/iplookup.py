@@ -62,7 +62,7 @@ def lookup(df: DataFrame, ip: "F.Column", table: DataFrame, attrs: list[str], pr
     right = table.select(
         F.col("_bucket").alias("_rb"), F.col("start").alias("_rs"), F.col("end").alias("_re"),
         *[F.col(a).alias(f"_m_{a}") for a in attrs], F.lit(True).alias("_m_hit"))
-    if table_rows is None or table_rows <= BROADCAST_RANGE_ROWS:
+    if table_rows is not None and table_rows <= BROADCAST_RANGE_ROWS:
         right = F.broadcast(right)
     cond = ((F.col("_ipb") == F.col("_rb")) & (F.col("_ipv") >= F.col("_rs")) & (F.col("_ipv") <= F.col("_re")))
     return probe.join(right, cond, "left").drop("_ipv", "_ipb", "_rb", "_rs", "_re")

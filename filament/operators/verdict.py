@@ -50,7 +50,11 @@ def combine(per_unit: DataFrame) -> DataFrame:
     return per_file.join(first, ["_file", "_eblock"], "left")
 
 
-def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col: str = "_err_field") -> DataFrame:
+BROADCAST_FILES = 100_000
+
+
+def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col: str = "_err_field",
+                         n_firsts: int | None = None) -> DataFrame:
     """``_file, first_error`` for the positions in ``firsts`` (``_file, _eblock, _epos``);
     ``message`` builds the text from the row's error codes."""
     e = typed.filter(_err(typed, error_col)).withColumn("_msg", message)
@@ -62,7 +66,10 @@ def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col
         e = e.select("_file", (F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")).alias("_epos"),
                      F.col("_msg").alias("first_error"))
         keys = ["_file", "_epos"]
-    return e.join(F.broadcast(firsts.select(*keys)), keys, "inner").select("_file", "first_error")
+    right = firsts.select(*keys)
+    if n_firsts is not None and n_firsts <= BROADCAST_FILES:    # one row per failed file, counted
+        right = F.broadcast(right)
+    return e.join(right, keys, "inner").select("_file", "first_error")
 
 
 def file_verdict(typed: DataFrame, message, error_col: str = "_err_field") -> DataFrame:

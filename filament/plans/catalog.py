@@ -199,7 +199,7 @@ def q_scan_lines(spark, sf_dir):
 @query("line_numbers", f"WITH {DOCS} SELECT file_key, line_no, line, sha1(raw) AS raw_hash FROM dn")
 def q_line_numbers(spark, sf_dir):
     prep(spark)
-    n = number_scanned(D.document_lines(spark, sf_dir))
+    n = number_scanned(D.document_lines(spark, sf_dir), est_splits=D.DOC_BUCKETS * 64)
     return n.select("file_key", F.col("_line_no").alias("line_no"), F.col("_line").alias("line"),
                     row_hash(F.col("_raw")).alias("raw_hash"))
 
@@ -207,7 +207,7 @@ def q_line_numbers(spark, sf_dir):
 @query("skip_lines", f"WITH {DOCS} SELECT file_key, line_no, line FROM dn WHERE line_no > 5")
 def q_skip_lines(spark, sf_dir):
     prep(spark)
-    n = number_scanned(D.document_lines(spark, sf_dir))
+    n = number_scanned(D.document_lines(spark, sf_dir), est_splits=D.DOC_BUCKETS * 64)
     return n.filter(F.col("_line_no") > 5).select("file_key", F.col("_line_no").alias("line_no"),
                                                    F.col("_line").alias("line"))
 

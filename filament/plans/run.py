@@ -223,7 +223,8 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         msgs = {}
         if firsts:                                    # only when some file failed
             keys = local_frame(spark, firsts, "_file string, _eblock long, _epos long")
-            msgs = {r._file: r.first_error for r in first_error_messages(staged, keys, error_message(spec)).collect()}
+            msgs = {r._file: r.first_error for r in
+                    first_error_messages(staged, keys, error_message(spec), n_firsts=len(firsts)).collect()}
         for f, units in per_file.items():
             verdicts[f] = (sum(u._n for u in units), msgs.get(f), sum(u._nterr or 0 for u in units))
 
@@ -262,7 +263,7 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         res.files_dead = len(dead)
         if dead and dead_letter_path and lines is not None:
             dead_df = local_frame(spark, [(r.file_path, r.error) for r in dead], "file_path string, error string")
-            write_dead_letter(dead_letter_rows(lines, dead_df, spec.name), dead_letter_path)
+            write_dead_letter(dead_letter_rows(lines, dead_df, spec.name, n_dead=len(dead)), dead_letter_path)
     append_ledger(new_rows, ledger_path)            # commit point
     _remove(spark, stage_dir)
     ph.mark("ledger_commit")

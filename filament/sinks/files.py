@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dead_letter_rows(lines: DataFrame, dead: DataFrame, pipeline: str) -> DataFrame:
-    """Raw lines of the files in ``dead`` (``file_path, error``) with the reason."""
+BROADCAST_FILES = 100_000
+
+
+def dead_letter_rows(lines: DataFrame, dead: DataFrame, pipeline: str, n_dead: int | None = None) -> DataFrame:
+    """Raw lines of the files in ``dead`` (``file_path, error``) with the reason.  The
+    file list (one row per dead file) is broadcast only when its counted size allows."""
     d = dead.select(F.col("file_path").alias("_file"), F.col("error").alias("reason"))
-    return (lines.join(F.broadcast(d), "_file", "inner")
+    if n_dead is not None and n_dead <= BROADCAST_FILES:
+        d = F.broadcast(d)
+    return (lines.join(d, "_file", "inner")
                  .select(F.lit(pipeline).alias("pipeline"), F.col("_file").alias("file_path"),
                          F.col("_raw").alias("line"), "reason"))
 
@@ -24,10 +30,12 @@ def write_dead_letter(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("pipeline").parquet(path)
 
 
-def archive_rows(lines: DataFrame, files: DataFrame, pipeline: str) -> DataFrame:
+def archive_rows(lines: DataFrame, files: DataFrame, pipeline: str, n_files: int | None = None) -> DataFrame:
     """Raw lines of successfully processed files (batch archive)."""
     f = files.select(F.col("file_path").alias("_file"))
-    return (lines.join(F.broadcast(f), "_file", "left_semi")
+    if n_files is not None and n_files <= BROADCAST_FILES:
+        f = F.broadcast(f)
+    return (lines.join(f, "_file", "left_semi")
                  .select(F.lit(pipeline).alias("pipeline"), F.col("_file").alias("file_path"), F.col("_raw").alias("line")))
 
 

@@ -58,5 +58,8 @@ def read_table(spark: SparkSession, table_path: str, committed_runs: list[str] |
     if committed_runs is None:
         return df
     if isinstance(committed_runs, DataFrame):
-        return df.join(F.broadcast(committed_runs.select("run_id").distinct()), "run_id", "left_semi")
+        # one row per committed run: collected (control plane) so the filter prunes
+        # run_id partitions at planning time
+        runs = [r.run_id for r in committed_runs.select("run_id").distinct().collect()]
+        return df.filter(F.col("run_id").isin(runs))
     return df.filter(F.col("run_id").isin(list(committed_runs)))

@@ -77,14 +77,17 @@ def split_index(lines: DataFrame) -> DataFrame:
 
 
 def _join_index(df: DataFrame, index: DataFrame, keys: list[str], est_rows: int | None) -> DataFrame:
-    if est_rows is None or est_rows <= BROADCAST_INDEX_ROWS:
+    """Broadcast the index only behind a known bound (one row per split or bucket,
+    estimated from the listing); without one, AQE converts the join at run time when
+    the materialised index is small, else it stays a shuffle join."""
+    if est_rows is not None and est_rows <= BROADCAST_INDEX_ROWS:
         index = F.broadcast(index)
     return df.join(index, keys, "inner")
 
 
 def attach_heads(numbered: DataFrame, heads: DataFrame, est_files: int | None) -> DataFrame:
     """Join each file's first line (``_head_raw``, ``_head_line``) onto its rows."""
-    if est_files is None or est_files <= BROADCAST_INDEX_ROWS:
+    if est_files is not None and est_files <= BROADCAST_INDEX_ROWS:
         heads = F.broadcast(heads)
     return numbered.join(heads, "_file", "left")
 
