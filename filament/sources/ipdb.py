@@ -52,9 +52,14 @@ def load_ip_table(spark: SparkSession, path: str, columns: list[str], check: boo
     """Read an IP table file into ``start, end, <columns…>, _order`` (one Spark job
     checks for bad IPs when ``check``; the table is a small dimension)."""
     from filament.sources.lines import number_scanned, scan_lines
-    lines = number_scanned(scan_lines(spark, path, keep_blank=True))
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    size = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp).getLen()
+    max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    est_splits = size // max_split + 1                           # one index row per split
+    lines = number_scanned(scan_lines(spark, path, keep_blank=True), est_splits=est_splits, with_head=False)
     lines = lines.withColumn("_phys", F.col("_line_no")).withColumn("_order", F.col("_line_no"))
-    ranges = ranges_from_lines(lines, columns)
+    ranges = ranges_from_lines(lines, columns).cache()          # a small dimension, used twice
     if check:
         bad = ranges.filter(F.col("_bad").isNotNull()).select("_bad").limit(1).collect()
         if bad:
