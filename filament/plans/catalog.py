@@ -758,13 +758,19 @@ SELECT path AS file_path, line_no,
 FROM num WHERE line_no > 1 AND NOT regexp_full_match(split_part(line, '|', 6), '[0-9]+')"""
 
 
-def _bad_typed(spark, sf_dir):
-    """The feed with corrupt rows, parsed and converted once and staged in the shared
-    checkpoint folder (verdict, error rows and dead letters all read it)."""
+def _bad_status(few: bool = False):
+    k = F.col("event_id")
+    bad = (k % 97 == 13) & (k % 20 < 5) if few else (k % 97 == 13)
+    return F.when(bad, F.concat(F.lit("bad"), (k % 3).cast("string"))).otherwise((k % 600).cast("string"))
+
+
+def _bad_typed(spark, sf_dir, few: bool = False):
+    """The feed with corrupt rows (in every file, or ``few``: only files 0-4), parsed
+    and converted once and staged in the shared checkpoint folder (verdict, error rows,
+    dead letters and archive all read it)."""
     import uuid
     spec = D.events_spec(dedup=False)
-    k = F.col("event_id")
-    status = F.when(k % 97 == 13, F.concat(F.lit("bad"), (k % 3).cast("string"))).otherwise((k % 600).cast("string"))
+    status = _bad_status(few)
     ctx = _ranges_ctx(spark, sf_dir)
     parsed = parse(D.event_feed(spark, sf_dir, status=status), spec, ctx)
     stage = shared_dir(spark, f"query-stage/bad-feed-{uuid.uuid4().hex[:12]}")
@@ -1241,3 +1247,22 @@ def q_sink_layout(spark, sf_dir):
     back = read_table(spark, path, ["r1"])
     return back.groupBy(MONTH_COL).agg(F.count(F.lit(1)).alias("n"), F.min("src_ip").alias("min_src")) \
                .select(F.col(MONTH_COL).cast("string").alias("event_month"), "n", "min_src")
+
+
+# K6: archive rows — the raw lines of every file that passed, set aside after success.
+ARCHIVE_SQL = f"""
+WITH {BAD_EV.replace("WHEN event_id % 97 = 13 THEN", "WHEN event_id % 97 = 13 AND event_id % 20 < 5 THEN")},
+r AS (SELECT path, split_part(line, '|', 6) AS st FROM num WHERE line_no > 1),
+bad AS (SELECT DISTINCT path FROM r WHERE NOT regexp_full_match(st, '[0-9]+'))
+SELECT 'events_cdr' AS pipeline, n.path AS file_path, n.line AS line
+FROM num n WHERE n.path NOT IN (SELECT path FROM bad)"""
+
+
+@query("archive_lines", ARCHIVE_SQL)
+def q_archive_lines(spark, sf_dir):
+    prep(spark)
+    from filament.sinks.files import archive_rows
+    _, typed = _bad_typed(spark, sf_dir, few=True)
+    v = file_verdict(typed, error_message(D.events_spec(dedup=False)))
+    good = v.filter(F.col("first_error").isNull()).select(F.col("_file").alias("file_path"))
+    return archive_rows(D.event_feed(spark, sf_dir, status=_bad_status(few=True)), good, "events_cdr")
