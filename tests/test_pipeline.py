@@ -149,3 +149,16 @@ def test_plan_shape(spark, ctx):
     assert "NestedLoop" not in plan and "PythonUDF" not in plan and "EvalPython" not in plan
     main_path = plan.split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in main_path and "BroadcastHashJoin" in plan
+
+
+def test_aggregates_are_hash_based(spark, ctx, tmp):
+    """The per-split line index and the per-file verdict aggregate counts and minimum
+    positions only: hash aggregation with partial aggregation, never a sort of all rows."""
+    from filament.operators.verdict import split_verdicts
+    from filament.plans.ingest import parse, typed_rows
+    from filament.sources.lines import scan_lines, split_index
+    spec = dns_spec(DATA + "/dns")
+    lines = scan_lines(spark, [DATA + "/dns/dns_sample_001.cdr"], directory=DATA + "/dns")
+    for df in (split_index(lines), split_verdicts(typed_rows(parse(lines, spec, ctx, 1), spec))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
