@@ -37,10 +37,12 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def latest(ledger: DataFrame) -> DataFrame:
-    """The current record per key (highest ``seq``; partial aggregation first)."""
-    rec = F.struct(*[F.col(n) for n, _ in LEDGER_COLUMNS])
-    return (ledger.groupBy(*KEY).agg(F.max_by(rec, F.col("seq")).alias("_r"))
-                  .select("_r.*"))
+    """The current record per key — the highest ``seq``, found with a hash
+    aggregate (a struct-valued ``max_by`` would sort the whole ledger) and joined back
+    on (key, seq); seq is unique per key."""
+    top = ledger.groupBy(*KEY).agg(F.max("seq").alias("_top"))
+    return (ledger.join(top, KEY).filter(F.col("seq") == F.col("_top"))
+                  .select(*[n for n, _ in LEDGER_COLUMNS]))
 
 
 def _ts(now: dt.datetime) -> Column:
