@@ -1,0 +1,169 @@
+"""Operator 1, secret scans: assignment-aware lexing.
+
+Three base patterns (``assign``, ``access``, ``hex``) are found leftmost and
+non-overlapping, each kind on its own.  On top of them the text is lexed as source or
+configuration syntax into name-literal pairs (``name = "x"``, ``"name": 'x'``,
+``export NAME=x``, ``name: x``, ``name := x``, literals joined by ``+``); identifiers and
+``${...}`` references on a right-hand side are replaced by the literal that was last
+assigned to them, and each literal is scored by how sensitive its target's name is and how
+much it looks like a random value.  Literals that score at least ``THRESHOLD`` become
+spans of kind ``lexed`` (the span is the literal itself, where it stands).
+
+Defined results: a null text counts as empty; an empty text has no spans; every row gives
+one row, also repeated ids and null ids; other columns are not read.  Offsets are code
+points, ends exclusive.  Whole texts are scanned.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+from pyspark.sql import DataFrame
+
+from .common import arrow_map
+
+KINDS = ("assign", "access", "hex", "lexed")
+THRESHOLD = 0.5
+
+# fixed values: the base patterns of the contract
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ASSIGN_STEMS = ("passw", "secret", "token", "api")
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a match of AKIA[A-Z0-9]+ with 20 or more characters
+HEX = re.compile(r"[0-9a-f]{24,}")
+
+#: how strongly part of a name speaks for a secret value
+NAME_WEIGHTS = {
+    "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 0.9,
+    "credential": 0.9, "credentials": 0.9, "privatekey": 1.0, "accesskey": 0.9, "secretkey": 1.0, "authkey": 0.9,
+    "bearer": 0.8, "auth": 0.6, "key": 0.4, "salt": 0.5, "signature": 0.4,
+}
+LEX_STEMS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "salt", "signature")
+NEGATIVE = frozenset("file path url uri name id length size count type public hint field label column".split())
+PLACEHOLDER = re.compile(r"(?i)^(?:<.*>|\*+|x+|\.+|changeme|example|placeholder|none|null|true|false|your[\W_].*|test)$")
+PAIR = re.compile(r"""(?<![\w.\-])(["']?)([A-Za-z_][\w.\-]*+)\1[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+""", re.A)
+QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`''')
+REF = re.compile(r"\$\{([\w.\-]+)\}|\$([A-Za-z_]\w*)|\{\{\s*([\w.\-]+)\s*\}\}", re.A)
+BARE = re.compile(r"""[^\s"'`,;#<>(){}\[\]$]+""")
+JOIN = re.compile(r"[ \t]*\+[ \t]*")
+NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+
+
+def name_score(name: str) -> float:
+    """0..1: the weight of the most telling part of an identifier (snake, dotted, camel case)."""
+    parts = [p.lower() for p in NAME_PART.findall(name.rpartition(".")[2])]
+    if parts and parts[-1] in NEGATIVE:
+        return 0.0
+    pairs = parts + [a + b for a, b in zip(parts, parts[1:])]
+    return max((NAME_WEIGHTS.get(p, 0.0) for p in pairs), default=0.0)
+
+
+def literal_score(value: str) -> float:
+    """0..1: length, entropy and mixture of character classes; placeholders score 0."""
+    n = len(value)
+    if n < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+        return 0.0
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
+    classes = sum((any(c.isdigit() for c in value), any(c.islower() for c in value),
+                   any(c.isupper() for c in value), any(not c.isalnum() for c in value)))
+    return min(1.0, entropy / 3.5) * min(1.0, n / 10) * (1.0 if classes >= 2 else 0.4)
+
+
+def lex_pairs(text: str):
+    """Yields ``(name, [(value, start, end), ...])``: the literals that reach each target, with
+    constants propagated in order of assignment."""
+    known: dict[str, list[tuple[str, int, int]]] = {}
+    for m in PAIR.finditer(text):
+        pos, parts = m.end(), []
+        while True:
+            if q := QUOTED.match(text, pos):
+                g = q.lastindex
+                inner = q.group(g) if g else ""
+                refs = [x for r in REF.finditer(inner) for x in known.get(next(filter(None, r.groups())), [])]
+                parts += refs or ([(inner, q.start(g), q.end(g))] if inner else [])
+                pos = q.end()
+            elif r := REF.match(text, pos):
+                parts += known.get(next(filter(None, r.groups())), [])
+                pos = r.end()
+            elif b := BARE.match(text, pos):
+                word = b.group().rstrip(".")
+                parts += known.get(word) or ([(word, b.start(), b.start() + len(word))] if word else [])
+                pos = b.end()
+            else:
+                break
+            if not (j := JOIN.match(text, pos)):
+                break
+            pos = j.end()
+        if parts:
+            known[m.group(2)] = parts
+            yield m.group(2), parts
+
+
+def find_spans(text: str | None) -> list[tuple[int, int, int]]:
+    """All spans as ``(start, kind index, end)``, sorted by start and then kind as listed."""
+    if not text:
+        return []
+    out = []
+    lower = text.lower()
+    if any(s in lower for s in ASSIGN_STEMS):
+        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    if "AKIA" in text:
+        out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    if ("=" in text or ":" in text) and any(s in lower for s in LEX_STEMS):
+        lexed = set()
+        for name, parts in lex_pairs(text):
+            if (s := name_score(name)) and s * literal_score("".join(p[0] for p in parts)) >= THRESHOLD:
+                lexed.update((a, 3, b) for _, a, b in parts)
+        out += lexed
+    return sorted(out)
+
+
+def redact(text: str | None, mark: str = "[SECRET]") -> str | None:
+    """The text with every (merged) span replaced by ``mark``."""
+    spans = find_spans(text)
+    if not spans:
+        return text
+    out, at, upto = [], 0, -1
+    for start, _, end in spans:
+        if start < upto:  # inside or overlapping the span before
+            at = upto = max(upto, end)
+            continue
+        out += [text[at:start], mark]
+        at = upto = end
+    return "".join(out) + text[at:]
+
+
+def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: the id, counts of the base kinds and every span as a struct."""
+    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, n_assign long, n_access long, n_hex long, " \
+             "spans array<struct<kind:string,start:long,end:long>>"
+
+    def run(batches):
+        for b in batches:
+            found = [find_spans(t) for t in b.column(1).to_pylist()]
+            yield {
+                id_col: b.column(0),
+                **{f"n_{k}": [sum(s[1] == i for s in f) for f in found] for i, k in enumerate(KINDS[:3])},
+                "spans": [[{"kind": KINDS[k], "start": a, "end": e} for a, k, e in f] for f in found],
+            }
+
+    return arrow_map(df.select(id_col, text_col), run, schema)
+
+
+def redact_secrets(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """All columns of ``df``, the text with its secrets replaced (null stays null)."""
+    i = df.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            yield {n: (b.column(k) if k != i else [redact(t, mark) for t in b.column(k).to_pylist()])
+                   for k, n in enumerate(df.columns)}
+
+    return arrow_map(df, run, df.schema)
+
+
+def digest(spans: list[dict]) -> str:
+    return hashlib.sha256(",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans).encode()).hexdigest()
