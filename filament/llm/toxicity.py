@@ -7,7 +7,8 @@ The output is the probability of each grade, the expected severity (sum over k o
 
 Fitting takes a bounded sample: at most about ``MAX_LABELLED`` labelled rows, dealt by a hash of the id.
 Spark counts the words per class; the ``MAX_TERMS`` words that separate the classes most
-(a two-proportion z score) are the features.  The labels give toxic 0 or 1 only; to fit
+(by the likelihood ratio G², at
+least twice the logarithm of the number of words, in ``MIN_ROWS`` rows or more) are the features.  The labels give toxic 0 or 1 only; to fit
 three ordered grades, toxic rows with more separating words than the median are grade 2.
 
 Prediction reads whole texts.  Defined results: a null or empty text has no features and
@@ -30,7 +31,7 @@ from .common import arrow_map, staged
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 2_000
-MIN_Z = 4.0
+MIN_ROWS = 5
 WORD = re.compile(r"\w+")
 
 
@@ -93,16 +94,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return OrdinalModel()
-    p, q = F.col("bad") / bad, F.col("good") / good
-    both = (F.col("bad") + F.col("good") + 1) / (bad + good + 2)
-    z = (p - q) / F.sqrt(both * (1 - both) * (1 / bad + 1 / good))
-    terms = (rows.select("y", F.explode("words").alias("w")).groupBy("w")
-             .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
-             .withColumn("z", z).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "w").limit(max_terms).collect())
+    counts = staged(rows.select("y", F.explode("words").alias("w")).groupBy("w")
+                    .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")), spark)
+    n_words, share_bad = counts.count(), bad / (bad + good)
+
+    def part(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+
+    n = F.col("bad") + F.col("good")
+    g2 = 2 * (part(F.col("bad"), n * share_bad) + part(F.col("good"), n * (1 - share_bad)))
+    terms = (counts.where(n >= MIN_ROWS).withColumn("g2", g2).withColumn("for", F.col("bad") > n * share_bad)
+             .where(F.col("g2") >= 2 * float(np.log(max(n_words, 2)))).orderBy(F.desc("g2"), "w").limit(max_terms).collect())
     if not terms:
         return OrdinalModel()
     names = [r["w"] for r in terms]
-    telling = {r["w"] for r in terms if r["z"] > 0}
+    telling = {r["w"] for r in terms if r["for"]}
     place = spark.sparkContext.broadcast({w: i for i, w in enumerate(names)})
 
     def features(batches):
