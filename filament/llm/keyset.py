@@ -30,8 +30,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def repeated_keys(df: DataFrame, keys: Callable) -> Broadcast:
-    """``keys(batch)`` yields uint64 arrays (well mixed), one per row or group of rows."""
+def repeated_keys(df: DataFrame, keys: Callable, least: int = 2) -> Broadcast:
+    """``keys(batch)`` yields uint64 arrays (well mixed), one per row or group of rows.  With
+    ``least`` 1 the bitmap holds every key."""
     spark = df.sparkSession
     bits = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
     shift = np.uint64(64 - bits)
@@ -65,7 +66,7 @@ def repeated_keys(df: DataFrame, keys: Callable) -> Broadcast:
                 x[1].append(np.frombuffer(a, np.uint64))
         for i, (k, a) in by.items():
             k, n = np.unique(np.concatenate(k), return_counts=True)
-            twice = np.union1d(k[n > 1], np.concatenate(a))
+            twice = np.union1d(k[n >= least], np.concatenate(a))
             yield {"bucket": [i], "n": [len(twice)], "keys": [twice.tobytes()]}
 
     dealt = arrow_map(df, deal, "bucket int, keys binary, again binary").repartition(1 << bits, "bucket")

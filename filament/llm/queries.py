@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, ngram_join, secrets, token_counts, toxicity, warc
+from . import langid, ngram_join, repeats, secrets, token_counts, toxicity, warc
 from .common import table
 
 FOLDS = 5
@@ -43,11 +43,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc_archive, op3_token_counts, op5_language_id, op7_toxicity,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc_archive, op3_token_counts, op5_language_id, op7_toxicity, op9_suffix_dedup,
                                    op10_ngram_jaccard_join)}
 
 #: DuckDB SQL where it can express the query
