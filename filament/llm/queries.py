@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, ngram_join, repeats, secrets, token_counts, toxicity, warc
+from . import embedding_dedup, langid, ngram_join, repeats, secret_scan, token_counts, toxicity, warc
 from .common import table
 
 FOLDS = 5
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "lexed")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined(base), 256).alias("base_sha256"),
@@ -38,6 +38,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs, profiles).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -51,7 +55,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc_archive, op3_token_counts, op5_language_id, op7_toxicity, op9_suffix_dedup,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc_archive, op3_token_counts, op5_language_id, op6_embedding_near_dedup, op7_toxicity, op9_suffix_dedup,
                                    op10_ngram_jaccard_join)}
 
 #: DuckDB SQL where it can express the query
