@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, langid, ngram_join, repeats, secret_scan, token_counts, toxicity, warc
+from . import decontaminate, embedding_dedup, langid, ngram_join, packing, repeats, secret_scan, token_counts, toxicity, warc
 from .common import table
 
 FOLDS = 5
@@ -31,6 +31,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
@@ -47,6 +53,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -55,8 +65,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc_archive, op3_token_counts, op5_language_id, op6_embedding_near_dedup, op7_toxicity, op9_suffix_dedup,
-                                   op10_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_warc_archive, op3_token_counts, op4_retrieval_packing, op5_language_id, op6_embedding_near_dedup,
+    op7_toxicity, op8_benchmark_decontamination, op9_suffix_dedup, op10_ngram_jaccard_join)}
 
 #: DuckDB SQL where it can express the query
 ORACLES = {
