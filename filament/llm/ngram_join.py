@@ -286,3 +286,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = rows.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
     return rows.join(least, "group", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """All columns of ``docs``; of each component the document with the smallest id stays.  Of rows
+    with equal id one stays; documents with a null id stay."""
+    found = staged(jaccard_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col, n, num, den))
+    gone = staged(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct())
+    again = staged(found.groupBy(id_col).count().where("count > 1").select(id_col))
+    kept = semi_join_ids(docs, gone, [id_col], "left_anti")
+    if again.isEmpty():
+        return kept
+    return semi_join_ids(kept, again, [id_col], "left_anti").unionByName(
+        semi_join_ids(kept, again, [id_col]).dropDuplicates([id_col]))

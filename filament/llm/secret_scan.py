@@ -155,12 +155,12 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def redact_secrets(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All columns of ``df``, the text with its secrets replaced (null stays null)."""
-    i = df.columns.index(text_col)
+    names, i = df.columns, df.columns.index(text_col)
 
     def run(batches):
         for b in batches:
             yield {n: (b.column(k) if k != i else [redact(t, mark) for t in b.column(k).to_pylist()])
-                   for k, n in enumerate(df.columns)}
+                   for k, n in enumerate(names)}
 
     return arrow_map(df, run, df.schema)
 
