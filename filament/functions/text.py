@@ -26,8 +26,10 @@ def go_trim(c: Column) -> Column:
 
 
 def strip_cr(c: Column) -> Column:
-    """Drop one trailing carriage return, as line scanning does for CRLF input."""
-    return F.regexp_replace(c, "\r\\z", "")
+    """Drop one trailing carriage return, as line scanning does for CRLF input.  Works on
+    the bytes: text that is not UTF-8 keeps every other byte (a regex would replace it)."""
+    b = c.cast("binary")
+    return F.when(c.endswith("\r"), F.substring(b, F.lit(1), F.length(b) - 1).cast("string")).otherwise(c)
 
 
 def base_name(path: Column) -> Column:
@@ -56,9 +58,3 @@ def sanitize_name(c: Column) -> Column:
     out = F.regexp_replace(out, "[^A-Za-z0-9_]", "_")
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("default")).otherwise(out)
 
-
-def sanitize_name_py(name: str) -> str:
-    if not name:
-        return "default"
-    return "".join(chr(b) if (chr(b).isascii() and (chr(b).isalnum() or chr(b) == "_")) else "_"
-                   for b in name.encode("utf-8"))

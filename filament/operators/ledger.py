@@ -137,8 +137,3 @@ def retry(latest_df: DataFrame, pipeline: str, max_retries: int, now: dt.datetim
 def status_counts(latest_df: DataFrame) -> DataFrame:
     """Files per pipeline and status."""
     return latest_df.groupBy("pipeline", "status").agg(F.count(F.lit(1)).alias("files"))
-
-
-def list_status(latest_df: DataFrame, pipeline: str, status: str) -> DataFrame:
-    """Records of one pipeline in one state (``ListPending`` and friends)."""
-    return latest_df.filter((F.col("pipeline") == pipeline) & (F.col("status") == status))

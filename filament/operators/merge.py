@@ -1,8 +1,9 @@
 """Header and static merges.
 
 Header metadata is the first non-blank line of each file, split with the row rule
-and named positionally (missing → ``""``).  A first line of 64 KiB or more yields no
-metadata at all (the line is still skipped).  Every header key overwrites the row's
+and named positionally (missing → ``""``).  With
+``max_header_bytes`` a first line of that size or more yields no metadata (the line is still
+skipped).  Every header key overwrites the row's
 value (header wins).  A static merge fills only absent keys (row wins; ``""`` counts
 as present).
 """
@@ -17,10 +18,12 @@ from filament.operators.split import split_line
 
 
 def header_columns(head_line: Column, head_raw: Column, delimiter: str, names: list[str],
-                   max_header_bytes: int = 64 * 1024) -> dict[str, Column]:
+                   max_header_bytes: int | None = None) -> dict[str, Column]:
     """Header key → value columns computed from the file's first non-blank line.
     NULL (no metadata) when the file has no such line or it exceeds the limit."""
-    usable = head_line.isNotNull() & (F.octet_length(head_raw) < F.lit(max_header_bytes))
+    usable = head_line.isNotNull()
+    if max_header_bytes:
+        usable = usable & (F.octet_length(head_raw) < F.lit(max_header_bytes))
     parts = split_line(head_line, delimiter)
     out: dict[str, Column] = {}
     for i, n in enumerate(names):
@@ -37,14 +40,6 @@ def header_merge(df: DataFrame, header: dict[str, Column]) -> DataFrame:
     return df.withColumns(updates) if updates else df
 
 
-def header_table(numbered: DataFrame, delimiter: str, names: list[str], key: str = "_file",
-                 max_header_bytes: int = 64 * 1024) -> DataFrame:
-    """One row per file: the parsed header (J4's small side)."""
-    first = numbered.select(key, "_head_line", "_head_raw").dropDuplicates([key])
-    cols = header_columns(F.col("_head_line"), F.col("_head_raw"), delimiter, names, max_header_bytes)
-    return first.select(key, *[c.alias(n) for n, c in cols.items()])
-
-
 def static_merge(df: DataFrame, values: dict[str, str]) -> DataFrame:
     """Constants fill absent keys only."""
     updates = {k: F.coalesce(col(k), F.lit(v)) if k in df.columns else F.lit(v) for k, v in values.items()}

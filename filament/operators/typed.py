@@ -60,18 +60,6 @@ def typed_projection(df: DataFrame, fields: list[FieldSpec], keep: list[str] = (
     return t.withColumn(ERROR, message_column(fields)).drop(ERR_FIELD, ERR_KIND, ERR_TEXT)
 
 
-def typed_columns(df: DataFrame, fields: list[FieldSpec]) -> tuple[list[Column], Column]:
-    """Single-projection form (values, first error message) for small inputs."""
-    from filament.functions.casts import cast_field
-    values, errors = [], []
-    for f in fields:
-        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
-        v, e = cast_field(src, f)
-        values.append(v.alias(f.name))
-        errors.append(e)
-    return values, F.coalesce(*errors) if errors else F.lit(None).cast("string")
-
-
 def typed_with_errors(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
     """Each field's value and its own ``<name>_err`` message, in three projections
     (text → value + code → message) so no single generated method grows too large."""

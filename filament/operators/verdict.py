@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POS_BITS = 20
 
 
 def _err(typed: DataFrame, error_col: str):
@@ -23,26 +22,19 @@ def _err(typed: DataFrame, error_col: str):
 
 
 def split_verdicts(typed: DataFrame, error_col: str = "_err_field") -> DataFrame:
-    """Per (file, unit): rows, transform-dropped rows, errors and the first error
-    position.  The unit is the split (scanned lines) or the whole file (derived)."""
+    """Per (file, split) of scanned lines: rows, transform-dropped rows, errors and the
+    first error position (row id)."""
     err = _err(typed, error_col)
-    if "_block" in typed.columns:
-        keys, pos = ["_file", "_block"], F.col("_mid")
-    else:
-        keys, pos = ["_file"], F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")
     terr = F.col("_terr").isNotNull() if "_terr" in typed.columns else F.lit(False)
-    return typed.groupBy(*keys).agg(
+    return typed.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(terr.cast("long")).alias("_nterr"),
         F.count(F.when(err, 1)).alias("_nerr"),
-        F.min(F.when(err, pos)).alias("_epos"))
+        F.min(F.when(err, F.col("_mid"))).alias("_epos"))
 
 
 def combine(per_unit: DataFrame) -> DataFrame:
     """Per file: ``rows, dropped, errors`` and the (split, position) of the first error."""
-    if "_block" not in per_unit.columns:
-        return per_unit.select("_file", F.col("_n").alias("rows"), F.col("_nterr").alias("dropped"),
-                               F.col("_nerr").alias("errors"), F.lit(None).cast("long").alias("_eblock"), "_epos")
     per_file = per_unit.groupBy("_file").agg(
         F.sum("_n").alias("rows"), F.sum("_nterr").alias("dropped"), F.sum("_nerr").alias("errors"),
         F.min(F.when(F.col("_nerr") > 0, F.col("_block"))).alias("_eblock"))
@@ -50,6 +42,18 @@ def combine(per_unit: DataFrame) -> DataFrame:
     return per_file.join(first, ["_file", "_eblock"], "left")
 
 
+def keyed_verdicts(typed: DataFrame, error_col: str = "_err_field") -> DataFrame:
+    """``combine`` for derived lines, ordered by (``_ord``, ``_pos``): the smallest ``_ord``
+    with an error per file, then the smallest ``_pos`` in it, so neither is bounded."""
+    err = _err(typed, error_col)
+    terr = F.col("_terr").isNotNull() if "_terr" in typed.columns else F.lit(False)
+    per_file = typed.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(terr.cast("long")).alias("dropped"),
+        F.count(F.when(err, 1)).alias("errors"), F.min(F.when(err, F.col("_ord"))).alias("_eblock"))
+    first = typed.filter(err).groupBy("_file", F.col("_ord").alias("_eblock")).agg(F.min("_pos").alias("_epos"))
+    return per_file.join(first, ["_file", "_eblock"], "left").select("_file", "rows", "dropped", "errors", "_eblock", "_epos")
+
+
 BROADCAST_FILES = 100_000
 
 
@@ -58,14 +62,9 @@ def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col
     """``_file, first_error`` for the positions in ``firsts`` (``_file, _eblock, _epos``);
     ``message`` builds the text from the row's error codes."""
     e = typed.filter(_err(typed, error_col)).withColumn("_msg", message)
-    if "_block" in typed.columns:
-        e = e.select("_file", F.col("_block").alias("_eblock"), F.col("_mid").alias("_epos"),
-                     F.col("_msg").alias("first_error"))
-        keys = ["_file", "_eblock", "_epos"]
-    else:
-        e = e.select("_file", (F.col("_ord") * F.lit(1 << POS_BITS) + F.col("_pos")).alias("_epos"),
-                     F.col("_msg").alias("first_error"))
-        keys = ["_file", "_epos"]
+    block, pos = ("_block", "_mid") if "_block" in typed.columns else ("_ord", "_pos")
+    e = e.select("_file", F.col(block).alias("_eblock"), F.col(pos).cast("long").alias("_epos"), F.col("_msg").alias("first_error"))
+    keys = ["_file", "_eblock", "_epos"]
     right = firsts.select(*keys)
     if n_firsts is not None and n_firsts <= BROADCAST_FILES:    # one row per failed file, counted
         right = F.broadcast(right)
@@ -74,7 +73,8 @@ def first_error_messages(typed: DataFrame, firsts: DataFrame, message, error_col
 
 def file_verdict(typed: DataFrame, message, error_col: str = "_err_field") -> DataFrame:
     """``_file, rows, dropped, errors, first_error`` per file present in ``typed``."""
-    v = combine(split_verdicts(typed, error_col))
+    v = combine(split_verdicts(typed, error_col)) if "_block" in typed.columns else keyed_verdicts(typed, error_col)
+    v = v.withColumn("_epos", F.col("_epos").cast("long"))
     firsts = v.filter(F.col("errors") > 0)
     msgs = first_error_messages(typed, firsts, message, error_col)
     return v.join(msgs, "_file", "left").drop("_eblock", "_epos")

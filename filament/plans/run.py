@@ -8,10 +8,11 @@ Many files are handled by one set of jobs.  The control plane (paths, one verdic
 row per file) is small and is the only thing brought to the driver; the data is read
 three times at most (split index when numbering is needed, verdict, publication)
 and never cached, so a lost executor only costs the recomputation of its tasks.
-Publication is all-or-nothing per file: a bad file contributes no rows.  The
-ledger append after the table write is the commit point (crash in between → the
-files stay ``processing``, are recovered next run, and the orphan run directory is
-never read because no ``done`` record names it).
+Publication is all-or-nothing per file: a bad file contributes no rows.  A file that
+vanished or cannot be read fails by itself (and is retried like others); the rest publish.
+Each attempt writes under a run id of its own, and the ledger append after the writes
+is the commit point (crash in between → the files stay ``processing``, are recovered by the next
+run or the stream's next batch, and the orphan folders are never read because no record names them).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import datetime as dt
 import math
 import time
 import uuid
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,7 @@ from filament.operators.ready import ready_files
 from filament.operators.verdict import first_error_messages, split_verdicts
 from filament.session import local_frame, shared_dir
 from filament.plans.ingest import error_message, output_only, parse, typed_rows
-from filament.sinks.files import dead_letter_rows, write_dead_letter
+from filament.sinks.files import archive_rows, dead_letter_rows, write_lines
 from filament.sinks.table import write_run
 from filament.sources.dictionary import load_dict_file
 from filament.sources.ipdb import load_ip_table
@@ -40,7 +42,6 @@ from filament.sources.lines import scan_lines
 from filament.sources.listing import list_dir
 from filament.spec import PipelineSpec
 
-HIDDEN_NAME_ERROR = "hidden_name: names starting with '_' or '.' are not readable by the file source"
 BROADCAST_FILE_LIST = 100_000
 
 
@@ -82,13 +83,45 @@ def _remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _escape_glob(p: str) -> str:
-    out = []
-    for ch in p:
-        if ch in "*?[]{}\\":
-            out.append("\\")
-        out.append(ch)
-    return "".join(out)
+def missing_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Claimed paths that are not there (any more), with the error they fail with."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = {}
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if not hp.getFileSystem(conf).exists(hp):
+            out[p] = f"open {p}: no such file or directory"
+    return out
+
+
+def unreadable_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Reads every file to its end, a task each, and returns the errors of those that fail.  Run
+    only after a read failed, to find out which files to blame."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        rows.append((hp.getFileSystem(conf).makeQualified(hp).toString(), p))
+
+    def probe(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for b in batches:
+            failed, errors = [], []
+            for where, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    source, name = fs.FileSystem.from_uri("file://" + where[5:] if where.startswith("file:/") and where[5:7] != "//" else where)
+                    with source.open_input_stream(name) as stream:
+                        while stream.read(8 << 20):
+                            pass
+                except Exception as e:  # whatever keeps this file from being read is its error
+                    failed.append(path)
+                    errors.append(f"read {path}: {e}")
+            yield pa.RecordBatch.from_arrays([pa.array(failed, pa.string()), pa.array(errors, pa.string())], names=["path", "error"])
+
+    files = local_frame(spark, rows, "qualified string, path string").repartition(max(1, min(len(rows), 1000)))
+    return {r.path: r.error for r in files.mapInArrow(probe, "path string, error string").collect()}
 
 
 class _Phases:
@@ -129,17 +162,20 @@ class RunResult:
 
 
 def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, now: dt.datetime, run_id: str,
-                   ready: DataFrame, recover_first: bool) -> tuple[list, int]:
+                   ready: DataFrame, reclaim: str | None = None) -> tuple[list, int]:
     """Recover/retry, enqueue ``ready`` files and claim every pending file, computed on
-    the small ledger frame and appended in one write.  Returns the claimed records."""
+    the small ledger frame and appended in one write.  Returns the claimed records.  With
+    ``reclaim`` only interrupted files whose run id starts so are recovered (a stream takes back
+    what its own crashed batches held)."""
     ledger = read_ledger(spark, ledger_path)
     seq0 = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
     cur = L.latest(ledger)
-    moved = local_frame(spark, [], L.LEDGER_SCHEMA)
-    if recover_first:
-        moved = L.recover(cur, spec.name, now, seq0).unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
-        moved = local_frame(spark, moved.collect(), L.LEDGER_SCHEMA)
-        cur = L.latest(ledger.unionByName(moved))
+    mine = cur if reclaim is None else cur.filter(F.col("run_id").startswith(reclaim))
+    moved = L.recover(mine, spec.name, now, seq0)
+    if spec.retry_failed:
+        moved = moved.unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
+    moved = local_frame(spark, moved.collect(), L.LEDGER_SCHEMA)
+    cur = L.latest(ledger.unionByName(moved))
     enq = local_frame(spark, L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
     cur = L.latest(ledger.unionByName(moved).unionByName(enq))
     claimed_rows = L.claim(cur, spec.name, now, seq0 + 2, run_id).collect()   # control plane: one row per file
@@ -149,14 +185,13 @@ def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, no
 
 
 def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_path: str, table_path: str,
-             now: dt.datetime | None = None, run_id: str | None = None, dead_letter_path: str = "",
-             recover_first: bool = True) -> RunResult:
+             now: dt.datetime | None = None, run_id: str | None = None, dead_letter_path: str = "") -> RunResult:
     """One batch run: list the watched folder, then ingest every claimed file."""
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     t0 = time.time()
     ready = ready_files(list_dir(spark, spec.watch_dir_clean), spec, now)
-    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first)
+    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready)
     control = time.time() - t0
     res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.phases = {"control_plane": round(control, 3), **res.phases}
@@ -165,15 +200,16 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
 
 
 def run_files(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, files: list[tuple[str, int, dt.datetime]],
-              ledger_path: str, table_path: str, now: dt.datetime | None = None, run_id: str | None = None,
+              ledger_path: str, table_path: str, owner: str, now: dt.datetime | None = None,
               dead_letter_path: str = "") -> RunResult:
-    """Ingest a given set of files ``(path, size, mtime)`` (a streaming micro-batch):
-    enqueue them, claim what is pending, ingest.  Files already done are skipped."""
+    """Ingest a given set of files ``(path, size, mtime)`` (a streaming micro-batch): take back what
+    an interrupted batch of the same ``owner`` still holds, retry what is due, enqueue the files,
+    claim what is pending, ingest.  Files already done are skipped."""
     now = now or dt.datetime.now(dt.timezone.utc)
-    run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    run_id = f"{owner}-{now.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     t0 = time.time()
     ready = local_frame(spark, [(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
-    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, recover_first=False)
+    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, reclaim=owner + "-")
     res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.seconds = time.time() - t0
     return res
@@ -185,30 +221,39 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
     """Read, parse, enrich, convert and publish the claimed files; append the verdicts."""
     res = RunResult(run_id)
     ph = _Phases()
+    t0 = time.time()
     if not claimed_rows:
         return res
     claimed = local_frame(spark, claimed_rows, L.LEDGER_SCHEMA)
     res.files_claimed = len(claimed_rows)
 
     paths = [r.file_path for r in claimed_rows]
-    hidden = [p for p in paths if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
-    visible = [p for p in paths if p not in set(hidden)]
     sizes = {r.file_path: (r.file_size or 0) for r in claimed_rows}
+    errors = missing_files(spark, paths)
+    visible = [p for p in paths if p not in errors]
 
     verdicts: dict[str, tuple[int, str | None, int]] = {}
     staged = lines = None
     stage_dir = shared_dir(spark, f"staging/{spec.name}/{run_id}")
-    if visible:
-        max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-        est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
-        lines = scan_lines(spark, [_escape_glob(p) for p in visible], spec.max_line_bytes,
-                           directory=spec.watch_dir_clean)
-        typed = typed_rows(parse(lines, spec, ctx, est_splits), spec)
+    max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    while visible:
         # One pass over the expensive part (parse, enrich, convert): the typed rows are
         # staged in the shared folder — this also cuts the lineage, so a lost executor
         # never re-parses other tasks' input — and verdict and publication read the
-        # staged columns.
-        typed.write.mode("overwrite").parquet(stage_dir)
+        # staged columns.  If it fails, the files that cannot be read fail and the rest goes on.
+        est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
+        lines = scan_lines(spark, visible, spec.max_line_bytes, directory=spec.watch_dir_clean)
+        try:
+            typed_rows(parse(lines, spec, ctx, est_splits), spec).write.mode("overwrite").parquet(stage_dir)
+            break
+        except Exception:
+            found = missing_files(spark, visible)
+            found |= unreadable_files(spark, [p for p in visible if p not in found])
+            if not found:
+                raise
+            errors |= found
+            visible = [p for p in visible if p not in found]
+    if visible:
         ph.mark("parse_convert_stage")
         staged = spark.read.parquet(stage_dir)
         per_file: dict[str, list] = {}
@@ -229,7 +274,6 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
             verdicts[f] = (sum(u._n for u in units), msgs.get(f), sum(u._nterr or 0 for u in units))
 
     ph.mark("verdict")
-    errors = {p: HIDDEN_NAME_ERROR for p in hidden}
     for p in visible:
         n, err, _ = verdicts.get(p, (0, None, 0))
         if err is not None:
@@ -247,7 +291,7 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         write_run(output_only(out, spec), table_path, run_id, spec.event_time_field, spec.sort_fields)
         ph.mark("publish")
 
-    now_done = now
+    now_done = now + dt.timedelta(seconds=time.time() - t0)     # what the files really took
     done_v = local_frame(spark, 
         [(p, verdicts.get(p, (0, None, 0))[0] - verdicts.get(p, (0, None, 0))[2]) for p in good],
         "file_path string, rows long")
@@ -263,10 +307,18 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         res.files_dead = len(dead)
         if dead and dead_letter_path and lines is not None:
             dead_df = local_frame(spark, [(r.file_path, r.error) for r in dead], "file_path string, error string")
-            write_dead_letter(dead_letter_rows(lines, dead_df, spec.name, n_dead=len(dead)), dead_letter_path)
+            write_lines(dead_letter_rows(lines, dead_df, spec.name, n_dead=len(dead)), dead_letter_path, run_id)
     append_ledger(new_rows, ledger_path)            # commit point
     _remove(spark, stage_dir)
     ph.mark("ledger_commit")
+    if spec.archive_dir and good:
+        # the files are done: an archive that fails takes nothing back
+        try:
+            done_files = local_frame(spark, [(p,) for p in good], "file_path string")
+            write_lines(archive_rows(lines, done_files, spec.name, n_files=len(good)), spec.archive_dir, run_id)
+        except Exception as e:
+            warnings.warn(f"pipeline {spec.name}: archive of run {run_id} failed: {e}")
+        ph.mark("archive")
     res.phases = ph.times
     res.files_done = len(good)
     res.rows_read = sum(verdicts[p][0] for p in good if p in verdicts)
@@ -276,7 +328,8 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
     return res
 
 
-def committed_runs(spark: SparkSession, ledger_path: str, pipeline: str) -> DataFrame:
-    """Run ids holding published rows: runs named by a current ``done`` record."""
+def committed_runs(spark: SparkSession, ledger_path: str, pipeline: str, status: str = "done") -> DataFrame:
+    """Run ids holding published rows: runs named by a current ``done`` record (dead-letter
+    rows: ``status="dead"``)."""
     cur = L.latest(read_ledger(spark, ledger_path))
-    return cur.filter((F.col("pipeline") == pipeline) & (F.col("status") == "done")).select("run_id").distinct()
+    return cur.filter((F.col("pipeline") == pipeline) & (F.col("status") == status)).select("run_id").distinct()

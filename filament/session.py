@@ -44,12 +44,15 @@ def checkpoint_base(spark: SparkSession) -> str | None:
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A folder under the cluster's shared checkpoint location (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (tests, local runs) a
-    local scratch folder is created and set as the context's checkpoint folder — never
-    on a cluster that names its own.
+    The setting is read from the session; only when it is unset in a local session (tests)
+    a scratch folder is created and set as the context's checkpoint folder.  A cluster that
+    names none is an error: its executors would write to disks of their own.
     """
     base = checkpoint_base(spark)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="filament-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base

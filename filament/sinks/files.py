@@ -1,16 +1,18 @@
 """Dead-letter (K5), archive (K6) and external-database (K4) sinks.
 
 Files are never moved by Spark jobs: the content of a dead or archived file is
-written as rows (raw line, line order, file path, reason) to a table partitioned by
-pipeline, which is what a downstream replay needs.  Streaming runs can additionally
-use the file source's ``cleanSource=archive`` to move finished files.
+written as rows (raw line, file path, reason) under ``run_id=<id>/pipeline=<name>/``, which is
+what a downstream replay needs.  Like the table, only runs that the ledger names count, so
+lines written before a crash are not read twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filament.sinks.table import read_table
+
 
 BROADCAST_FILES = 100_000
 
@@ -26,8 +28,14 @@ def dead_letter_rows(lines: DataFrame, dead: DataFrame, pipeline: str, n_dead: i
                          F.col("_raw").alias("line"), "reason"))
 
 
-def write_dead_letter(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("pipeline").parquet(path)
+def write_lines(rows: DataFrame, path: str, run_id: str) -> None:
+    """One run's dead-letter or archive rows, in a folder of their own."""
+    rows.write.mode("errorifexists").partitionBy("pipeline").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+
+
+def read_lines(spark: SparkSession, path: str, committed_runs: DataFrame) -> DataFrame:
+    """Dead-letter or archive rows of committed runs."""
+    return read_table(spark, path, committed_runs)
 
 
 def archive_rows(lines: DataFrame, files: DataFrame, pipeline: str, n_files: int | None = None) -> DataFrame:

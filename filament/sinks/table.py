@@ -1,11 +1,12 @@
 """Typed table sink (K1–K3, O2) and run-scoped publication.
 
 Rows are appended as Parquet under ``<table>/run_id=<id>/`` partitioned by the event
-month (``yyyyMM`` of the event-time column).  Within each task, rows are sorted by
-month then the storage-order columns before writing, so every file is a sorted run
-and no shuffle is added (a ``repartition(month)`` would put a whole month — often all
-of a run — into one task).  The ledger append after the write is the commit point:
-``read_table`` only returns runs whose files the ledger marks ``done`` in that run.
+month (``yyyyMM`` of the event-time column).  With an event time the rows are range-partitioned on
+(month, storage order) first — one shuffle and a sampling pass over the staged rows — so a
+run writes few files per month, the table is ordered, and a month that holds most rows
+is split by event time instead of landing in one task.  A run folder is written once: a
+folder that exists is an error, never overwritten.  The ledger append after the write is the
+commit point: ``read_table`` returns only the runs it is given.
 """
 
 from __future__ import annotations
@@ -43,20 +44,19 @@ def write_run(df: DataFrame, table_path: str, run_id: str, event_time: str = "",
     """K1: append one run's rows; returns the run directory."""
     out = f"{table_path.rstrip('/')}/run_id={run_id}"
     if range_partitions is None and event_time:
-        range_partitions = max(1, df.rdd.getNumPartitions())
+        range_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = with_layout(df, event_time, sort_fields, ingest_time, range_partitions)
-    w = laid.write.mode("overwrite")
+    w = laid.write.mode("errorifexists")
     if event_time:
         w = w.partitionBy(MONTH_COL)
     w.parquet(out)
     return out
 
 
-def read_table(spark: SparkSession, table_path: str, committed_runs: list[str] | DataFrame | None = None) -> DataFrame:
-    """Published rows: only committed runs (``run_id`` partition pruning)."""
+def read_table(spark: SparkSession, table_path: str, committed_runs: list[str] | DataFrame) -> DataFrame:
+    """Published rows: only the committed runs given (``plans.run.committed_runs``; ``run_id``
+    partition pruning).  What a crashed run left behind is never returned."""
     df = spark.read.option("basePath", table_path).parquet(table_path)
-    if committed_runs is None:
-        return df
     if isinstance(committed_runs, DataFrame):
         # one row per committed run: collected (control plane) so the filter prunes
         # run_id partitions at planning time

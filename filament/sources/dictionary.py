@@ -2,7 +2,7 @@
 
 Blank and ``#`` lines are skipped, a line is split at its first comma only, both
 sides trimmed, lines without a comma ignored, and the last duplicate key wins.
-A line of 64 KiB or more fails the load.
+With ``max_line_bytes`` a line of that size or more fails the load.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from filament.functions.text import go_trim
 from filament.sources.lines import scan_lines
 
-MAX_DICT_LINE = 64 * 1024
-
 
 class DictFileError(ValueError):
     pass
@@ -29,8 +27,8 @@ def dict_from_lines(lines: DataFrame) -> DataFrame:
     return t.groupBy("key").agg(F.max_by("value", "_o").alias("value"))
 
 
-def load_dict_file(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
-    lines = scan_lines(spark, path, max_line_bytes=MAX_DICT_LINE)
-    if check and lines.filter("_too_long").limit(1).count():
+def load_dict_file(spark: SparkSession, path: str, max_line_bytes: int | None = None) -> DataFrame:
+    lines = scan_lines(spark, path, max_line_bytes=max_line_bytes)
+    if max_line_bytes and lines.filter("_too_long").limit(1).count():
         raise DictFileError(f"scan dict file: {path}: token too long")
     return dict_from_lines(lines.withColumn("_o", F.struct("_block", "_mid")))

@@ -22,30 +22,87 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filament.functions.text import decode_file_uri, go_trim, strip_cr
+from filament.session import local_frame
 
 # Rows in the per-split / per-bucket index beyond which it is joined by shuffle
 # instead of broadcast (the index has one row per input split or key bucket).
 BROADCAST_INDEX_ROWS = 2_000_000
 
 
-def scan_lines(spark: SparkSession, paths: list[str] | str, max_line_bytes: int = 16 * 1024 * 1024,
+def is_hidden(path: str) -> bool:
+    """Names that Spark's file sources pass over."""
+    return path.rsplit("/", 1)[-1][:1] in ("_", ".")
+
+
+def _hidden_text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``_uri, _block, _value`` of files whose names the text source passes over: each file is
+    streamed by one task (they are rare, and not splittable here)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    full = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        full.append((hp.getFileSystem(conf).makeQualified(hp).toString(), p))
+
+    def read(batches):
+        import urllib.parse
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def batch(lines):
+            return pa.RecordBatch.from_arrays([pa.array([uri] * len(lines)), pa.array([0] * len(lines), pa.int64()),
+                                               pa.array(lines, pa.binary())], names=["_uri", "_block", "_bytes"])
+
+        for b in batches:
+            for where, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                uri = "file:" + urllib.parse.quote(path) if "://" not in path else path
+                source, name = fs.FileSystem.from_uri("file://" + where[5:] if where.startswith("file:/") and where[5:7] != "//" else where)
+                with source.open_input_stream(name) as stream:
+                    rest = b""
+                    while chunk := stream.read(4 << 20):
+                        *lines, rest = (rest + chunk).split(b"\n")
+                        if lines:
+                            yield batch(lines)
+                    if rest:
+                        yield batch([rest])
+
+    files = local_frame(spark, full, "qualified string, path string").repartition(len(full))
+    got = files.mapInArrow(read, "_uri string, _block long, _bytes binary")
+    return got.select("_uri", "_block", F.col("_bytes").cast("string").alias("_value"))
+
+
+def escape_glob(p: str) -> str:
+    """A literal path for readers that expand globs."""
+    return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in p)
+
+
+def scan_lines(spark: SparkSession, paths: list[str] | str, max_line_bytes: int | None = None,
                keep_blank: bool = False, directory: str | None = None) -> DataFrame:
-    """Every non-blank line of ``paths`` with split coordinates for numbering.
-
-    Columns: ``_uri, _file, _block, _mid, _raw, _line, _too_long``.  A line of
-    ``max_line_bytes`` or more (counting a trailing CR) is kept even when blank so the
-    file can fail on it.  With ``directory`` (a cleaned, configured folder), ``_file`` is
-    that folder joined with the decoded base name — the path as the pipeline names it —
-    instead of the absolute path decoded from the URI."""
-    text = spark.read.option("lineSep", "\n").text(paths)
-    df = text.select(
-        F.col("_metadata.file_path").alias("_uri"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.col("value").alias("_value"),
-    )
+    """Every non-blank line of ``paths`` (a list: literal file paths, hidden names included;
+    a string: a path or glob) with split coordinates for numbering.
+
+    Columns: ``_uri, _file, _block, _mid, _raw, _line, _too_long``.  ``_raw`` holds the line's
+    bytes as they are in the file.  With ``max_line_bytes``, a line of that many bytes or more
+    (counting a trailing CR) is kept even when blank so the file can fail on it.  With ``directory``
+    (a cleaned, configured folder), ``_file`` is that folder joined with the decoded base name —
+    the path as the pipeline names it — instead of the absolute path decoded from the URI."""
+    hidden = [p for p in paths if is_hidden(p)] if isinstance(paths, list) else []
+    seen = [escape_glob(p) for p in paths if not is_hidden(p)] if isinstance(paths, list) else paths
+    df = None
+    if seen:
+        text = spark.read.option("lineSep", "\n").text(seen)
+        df = text.select(
+            F.col("_metadata.file_path").alias("_uri"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.col("value").alias("_value"),
+        )
+    if hidden:
+        more = _hidden_text(spark, hidden)
+        df = more if df is None else df.unionByName(more)
+    too_long = F.octet_length("_value") >= F.lit(max_line_bytes) if max_line_bytes else F.lit(False)
     df = (df.withColumn("_raw", strip_cr(F.col("_value")))
             .withColumn("_line", go_trim(F.col("_raw")))
-            .withColumn("_too_long", F.octet_length("_value") >= F.lit(max_line_bytes))
+            .withColumn("_too_long", too_long)
             .filter((F.col("_line") != "") | F.col("_too_long") | F.lit(keep_blank))
             .drop("_value"))
     # Row id after the blank filter: ids of one split's kept lines are consecutive.
@@ -111,14 +168,14 @@ def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: b
 
 
 def lines_from_frame(df: DataFrame, path: Column, text: Column, order: Column,
-                     max_line_bytes: int = 16 * 1024 * 1024) -> DataFrame:
+                     max_line_bytes: int | None = None) -> DataFrame:
     """A lines frame from table data: ``text`` may hold several ``\\n``-separated lines,
     ``order`` (a unique integer per text within the path) orders the texts."""
     base = df.select(path.alias("_file"), text.alias("_text"), order.cast("long").alias("_ord"))
     exploded = base.select("_file", "_ord", F.posexplode(F.split(F.col("_text"), "\n", -1)).alias("_pos", "_value"))
     out = (exploded.withColumn("_raw", strip_cr(F.col("_value")))
                    .withColumn("_line", go_trim(F.col("_raw")))
-                   .withColumn("_too_long", F.octet_length("_value") >= F.lit(max_line_bytes))
+                   .withColumn("_too_long", F.octet_length("_value") >= F.lit(max_line_bytes) if max_line_bytes else F.lit(False))
                    .filter((F.col("_line") != "") | F.col("_too_long"))
                    .drop("_value"))
     return out
@@ -151,11 +208,6 @@ def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int
     return out
 
 
-def skip_lines(numbered: DataFrame, skip: int) -> DataFrame:
-    """Drop the first ``skip`` non-blank lines of each file."""
-    return numbered.filter(F.col("_line_no") > F.lit(skip)) if skip > 0 else numbered
-
-
 def order_columns(df: DataFrame) -> list[str]:
     """Columns ordering the lines of one file without numbering them: (split start,
     row id) for scanned lines, (order key, position) for derived ones."""

@@ -302,8 +302,8 @@ class PipelineSpec:
     # Spark-side options (no counterpart in the reference)
     event_time_field: str = ""          # month partition column source (K2)
     sort_fields: tuple[str, ...] = ()   # storage ordering within files (O2)
-    max_line_bytes: int = 16 * 1024 * 1024
-    max_header_bytes: int = 64 * 1024
+    max_line_bytes: int | None = None   # a longer line fails its file; off by default
+    max_header_bytes: int | None = None  # a longer first line gives no metadata; off by default
 
     def __post_init__(self) -> None:
         self.fields = [f if isinstance(f, FieldSpec) else FieldSpec(**f) for f in self.fields]

@@ -7,6 +7,11 @@ set very high so late-copied old files are not silently skipped.  Inside
 ``foreachBatch`` the micro-batch's distinct file paths (one row per file) are
 collected, temp-suffixed names dropped, and ``run_files`` enqueues, claims and
 ingests them — the ledger keeps a replayed micro-batch from publishing a file twice.
+Run ids start with the id that the checkpoint gives the query, so two streams, or a stream
+begun anew, never share a run folder; a batch that is replayed after a crash takes back the
+files that its stream left ``processing``, and each batch retries failed files that are due.
+The text source passes over hidden names (``_x``, ``.x``); each batch adds those from
+the folder's listing.
 Only the ``atomic_rename`` readiness fits a streaming source; ``marker`` and
 ``stable_size`` need the listing of ``run_once``.
 """
@@ -14,6 +19,7 @@ Only the ``atomic_rename`` readiness fits a streaming source; ``marker`` and
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 from filament.functions.text import decode_file_uri
 from filament.operators.chain import ChainContext
 from filament.plans.run import run_files
+from filament.operators.ready import ready_files
 from filament.session import shared_dir
+from filament.sources.listing import list_dir
 from filament.spec import PipelineSpec, SpecError
 
 
@@ -39,10 +47,19 @@ def start_stream(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, led
     src = reader.load(spec.watch_dir_clean).select(F.col("_metadata.file_path").alias("_uri"),
                                                    F.col("_metadata.file_size").alias("_size"),
                                                    F.col("_metadata.file_modification_time").alias("_mtime"))
+    owner = None
+
+    def stream_id() -> str:
+        """The query id that Spark keeps in the checkpoint (the same after a restart)."""
+        text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+        return "stream-" + json.loads(text)["id"]
+
     suffixes = tuple(x for x in spec.temp_suffixes if x)
     base = spec.watch_dir_clean
 
     def handle(batch, epoch_id: int) -> None:
+        nonlocal owner
+        owner = owner or stream_id()
         files = (batch.groupBy("_uri").agg(F.max("_size").alias("_size"), F.max("_mtime").alias("_mtime"))
                       .select(decode_file_uri(F.col("_uri")).alias("p"), "_size", "_mtime").collect())
         todo = []
@@ -51,9 +68,11 @@ def start_stream(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, led
             if suffixes and name.endswith(suffixes):
                 continue
             todo.append((f"{base}/{name}" if base not in (".", "") else name, int(r._size or 0), r._mtime))
+        known = {t[0] for t in todo}
+        hidden = ready_files(list_dir(spark, base).filter(F.col("name").rlike("^[_.]")), spec, dt.datetime.now(dt.timezone.utc))
+        todo += [(r.path, r.size, r.mtime) for r in hidden.collect() if r.path not in known]
         if todo:
-            run_files(spark, spec, ctx, todo, ledger_path, table_path, run_id=f"stream-{epoch_id:09d}",
-                      dead_letter_path=dead_letter_path)
+            run_files(spark, spec, ctx, todo, ledger_path, table_path, owner, dead_letter_path=dead_letter_path)
 
     w = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

@@ -1,13 +1,15 @@
-"""Reader semantics: skip + header merge, line numbers, short headers, literal split,
-CR handling and blank lines (ported from the reference's reader tests)."""
+"""Reader semantics: headers, skipping, numbering, delimiters, carriage returns, bytes that are not UTF-8."""
+import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from filament.operators.chain import ChainContext
-from filament.operators.provenance import row_hash
+from filament.operators.provenance import record_id, row_hash
+from filament.operators.verdict import file_verdict
 from filament.plans.ingest import parse
-from filament.sources.lines import number_scanned, scan_lines
+from filament.sources.lines import lines_from_frame, number_scanned, scan_lines
 from filament.spec import FieldSpec, PipelineSpec
 
 
@@ -18,51 +20,59 @@ def _write(tmp, name, data: bytes):
     return p
 
 
-def _spec(tmp, **kw):
-    return PipelineSpec(name="t", watch_dir=tmp, table="t", **kw)
+def _rows(spark, tmp, path, fields, **kw):
+    spec = PipelineSpec(name="t", watch_dir=tmp, table="t", fields=[FieldSpec(f) for f in fields], **kw)
+    return parse(scan_lines(spark, [path], directory=tmp), spec, ChainContext()).rows.collect()
 
 
-def test_skip_and_header_merge(spark, tmp):
-    p = _write(tmp, "a.txt", b"probe-1\n1|10.0.0.1\n2|10.0.0.2\n3|10.0.0.3\n")
-    spec = _spec(tmp, fields=[FieldSpec("ts"), FieldSpec("ip")], has_header_meta=True,
-                 header_fields=[FieldSpec("device")])
-    rows = parse(scan_lines(spark, [p], directory=tmp), spec, ChainContext()).rows
-    got = sorted((r.ts, r.ip, r.device, r._line_no) for r in rows.collect())
-    assert got == [("1", "10.0.0.1", "probe-1", 2), ("2", "10.0.0.2", "probe-1", 3), ("3", "10.0.0.3", "probe-1", 4)]
+def test_header_line_and_further_skips(spark, tmp):
+    p = _write(tmp, "a.txt", b"\ncell-9,rack 4\nunits,ms\n7,1.5\n8,2.5\n")
+    rows = _rows(spark, tmp, p, ["n", "ms"], delimiter=",", has_header_meta=True,
+                 header_fields=[FieldSpec("cell"), FieldSpec("rack"), FieldSpec("room")], skip_header_lines=1)
+    assert sorted((r.n, r.ms, r.cell, r.rack, r.room, r._line_no) for r in rows) == [
+        ("7", "1.5", "cell-9", "rack 4", "", 3), ("8", "2.5", "cell-9", "rack 4", "", 4)]
 
 
-def test_line_numbers_and_hashes(spark, tmp):
-    p = _write(tmp, "b.txt", b"probe|south\n1|10.0.0.1\n2|10.0.0.2\n")
-    spec = _spec(tmp, fields=[FieldSpec("ts"), FieldSpec("ip")], skip_header_lines=1)
-    rows = parse(scan_lines(spark, [p], directory=tmp), spec, ChainContext()).rows
-    got = sorted(rows.select("_line_no", row_hash(F.col("_raw")).alias("h")).collect())
-    assert [r._line_no for r in got] == [2, 3]
-    assert got[0].h != got[1].h
+def test_header_of_another_shape(spark, tmp):
+    """The header is split with the row rule; a field named like a header key takes its value."""
+    p = _write(tmp, "b.txt", b"'left\tright'\tx\n1\t2\n")
+    rows = _rows(spark, tmp, p, ["k", "v"], delimiter="\t", has_header_meta=True, header_fields=[FieldSpec("title"), FieldSpec("v")])
+    assert [(r.k, r.v, r.title) for r in rows] == [("1", "x", "left\tright")]
 
 
-def test_header_short_and_literal_split(spark, tmp):
-    p = _write(tmp, "c.txt", b"probe-1|south\nx|++|y\n")
-    spec = _spec(tmp, fields=[FieldSpec("a"), FieldSpec("b")], delimiter="|", has_header_meta=True,
-                 header_fields=[FieldSpec("h1"), FieldSpec("h2"), FieldSpec("h3")])
-    r = parse(scan_lines(spark, [p], directory=tmp), spec, ChainContext()).rows.collect()[0]
-    assert (r.h1, r.h2, r.h3) == ("probe-1", "south", "")
-    p2 = _write(tmp, "d.txt", b"x|++|y\nm|++|n\n")
-    spec2 = _spec(tmp, fields=[FieldSpec("a"), FieldSpec("b")], delimiter="|++|")
-    got = sorted((r.a, r.b) for r in parse(scan_lines(spark, [p2], directory=tmp), spec2, ChainContext()).rows.collect())
-    assert got == [("m", "n"), ("x", "y")]
+def test_delimiters(spark, tmp):
+    p = _write(tmp, "c.txt", "a§b§c\n\"q§r\"§s\n".encode())
+    assert sorted((r.x, r.y, r.z) for r in _rows(spark, tmp, p, ["x", "y", "z"], delimiter="§")) == [('"q', 'r"', "s"), ("a", "b", "c")]
+    p = _write(tmp, "d.txt", b"m:=:n:=:o\np\n")
+    assert sorted((r.x, r.y) for r in _rows(spark, tmp, p, ["x", "y"], delimiter=":=:")) == [("m", "n"), ("p", "")]
 
 
 def test_cr_blank_lines_and_numbering(spark, tmp):
-    data = b"\r\n  \nfirst\r\nsec\rond\n\n\t\nthird"
-    p = _write(tmp, "e.txt", data)
+    p = _write(tmp, "e.txt", b"\r\n\t \none \r\r\n\n t\rwo\r\n\x0b\nend")
     n = number_scanned(scan_lines(spark, [p], directory=tmp))
-    got = sorted((r._line_no, r._raw, r._line) for r in n.collect())
-    assert got == [(1, "first", "first"), (2, "sec\rond", "sec\rond"), (3, "third", "third")]
-    assert all(r._file == os.path.join(tmp, "e.txt") for r in n.select("_file").collect())
+    assert sorted((r._line_no, r._raw, r._line) for r in n.collect()) == [(1, "one \r", "one"), (2, " t\rwo", "t\rwo"), (3, "end", "end")]
+    assert {r._file for r in n.select("_file").collect()} == {os.path.join(tmp, "e.txt")}
+
+
+@pytest.mark.parametrize("name", ["f.txt", "_f.txt", ".f.txt"])
+def test_bytes_are_kept(spark, tmp, name):
+    """GBK and Latin-1 lines keep their bytes in the line, the hash and the record id, also with CRLF,
+    in files with hidden names too."""
+    lines = ["编号|名称|中文".encode("gbk"), "prix|café|à".encode("latin-1"), b"\xd6\xd0|\xc4\xe3|x", b"\xff\xfe|\x80\r", "plain|ascii|é".encode()]
+    p = _write(tmp, name, b"\r\n".join(lines) + b"\r\n")
+    n = number_scanned(scan_lines(spark, [p], directory=tmp))
+    got = n.select("_line_no", F.col("_raw").cast("binary").alias("raw"), row_hash(F.col("_raw")).alias("h"),
+                   record_id(F.col("_file"), F.col("_line_no").cast("string"), row_hash(F.col("_raw"))).alias("id"))
+    for r in got.collect():
+        line = lines[r._line_no - 1]
+        h = hashlib.sha1(line).hexdigest()
+        assert bytes(r.raw) == line and r.h == h
+        assert r.id == hashlib.sha1(f"{p}\0{r._line_no}\0{h}\0".encode()).hexdigest()
+    assert n.count() == len(lines)
 
 
 def test_numbering_across_splits(spark, tmp):
-    lines = [f"{i}|v{i}" if i % 7 else "   " for i in range(30000)]
+    lines = [f"row {i} of it" if i % 5 else " \t" for i in range(30000)]
     p = _write(tmp, "big.txt", ("\n".join(lines) + "\n").encode())
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
@@ -70,6 +80,21 @@ def test_numbering_across_splits(spark, tmp):
         got = sorted((r._line_no, r._line) for r in n.select("_line_no", "_line").collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
-    expected = [l for l in lines if l.strip()]
-    assert [g[1] for g in got] == expected
-    assert [g[0] for g in got] == list(range(1, len(expected) + 1))
+    assert got == list(enumerate((x for x in lines if x.strip()), 1))
+
+
+def test_first_error_position_is_not_bounded(spark):
+    """Positions in one text and texts' order keys may both be large."""
+    rows = [("/f", 1, 1 << 20, "late"), ("/f", 2, 0, "second"), ("/g", 1 << 50, 5, "b"), ("/g", 1 << 50, 4, "a"), ("/h", 1, 0, None)]
+    df = spark.createDataFrame(rows, "_file string, _ord long, _pos int, m string").withColumn(
+        "_err_field", F.when(F.col("m").isNotNull(), F.lit(0)))
+    got = file_verdict(df, F.col("m")).collect()
+    assert sorted((r._file, r.rows, r.errors, r.first_error) for r in got) == [("/f", 2, 2, "late"), ("/g", 2, 2, "a"), ("/h", 1, 0, None)]
+
+
+def test_limits_are_opt_in(spark, tmp):
+    p = _write(tmp, "long.txt", b"x" * (20 << 20) + b"\nshort\n")
+    assert scan_lines(spark, [p], directory=tmp).filter("_too_long").count() == 0
+    assert scan_lines(spark, [p], 1000, directory=tmp).filter("_too_long").count() == 1
+    df = spark.createDataFrame([("/x", "a\nb\n\n c \r", 1)], "p string, t string, o long")
+    assert sorted(r._line for r in lines_from_frame(df, F.col("p"), F.col("t"), F.col("o")).collect()) == ["a", "b", "c"]

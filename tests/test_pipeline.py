@@ -1,150 +1,250 @@
-"""End-to-end runs on the fixture files: golden rows, failure → retry → dead letter,
-hidden and empty files, provenance, streaming re-runs and plan shape."""
+"""End-to-end runs on the fixture files: golden rows, failure → retry → dead letter, hidden,
+empty, vanished and unreadable files, crashes, provenance, streaming and plan shape."""
 import datetime as dt
+import hashlib
 import os
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from filament.operators import ledger as L
+from filament.plans import run as R
 from filament.plans.run import committed_runs, load_context, read_ledger, run_once
-from filament.sinks.table import read_table
-from filament.spec import DedupSpec
+from filament.sinks.files import read_lines
+from filament.sinks.table import read_table, write_run
+from filament.spec import DedupSpec, FieldSpec
 
-from specs import DATA, GEO, dns_spec, http_spec
+from specs import DATA, GEO, shop_spec, voice_spec
 
-NOW = dt.datetime(2026, 5, 18, tzinfo=dt.timezone.utc)
+NOW = dt.datetime(2025, 5, 1, tzinfo=dt.timezone.utc)
+GOOD, BAD = os.path.join(DATA, "shop", "shop_1.log"), os.path.join(DATA, "bad", "shop_bad.log")
 
 
 @pytest.fixture(scope="module")
 def ctx(spark):
-    return load_context(spark, [http_spec(DATA + "/http")], DATA + "/ipdb.csv", GEO)
+    return load_context(spark, [shop_spec(DATA + "/shop")], DATA + "/sites.csv", GEO)
 
 
-def _table(spark, tmp, spec, sub):
+def folder(tmp, name="w"):
+    path = os.path.join(tmp, name)
+    os.makedirs(path)
+    return path
+
+
+def rows_of(spark, tmp, spec, sub):
     return read_table(spark, f"{tmp}/tables/{sub}", committed_runs(spark, f"{tmp}/ledger", spec.name))
 
 
-def test_dns_golden(spark, ctx, tmp):
-    spec = dns_spec(DATA + "/dns")
-    r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/dns", now=NOW)
-    assert (r.files_done, r.rows_written, r.files_failed) == (1, 3, 0)
-    rows = sorted(_table(spark, tmp, spec, "dns").collect(), key=lambda x: x.event_time)
-    assert [(x.probe_id, x.region) for x in rows] == [("probe-dns-01", "south")] * 3
-    assert [x.dns_type for x in rows] == ["A", "AAAA", "MX"]
-    assert [x.response_code for x in rows] == [0, 0, 3]
-    assert [(x.src_geo_country, x.src_geo_province, x.src_geo_city, x.src_geo_isp) for x in rows] == [
-        ("CN", "Guangdong", "Shenzhen", "PrivateNet"), ("CN", "Shanghai", "Shanghai", "PrivateNet"),
-        ("CN", "Beijing", "Beijing", "PrivateNet")]
-    assert [x.dst_geo_isp for x in rows] == ["Google", "Cloudflare", "Google"]
-    assert rows[0].event_time == dt.datetime(2026, 5, 17, 10, 0, 1)
-    assert {x.event_month for x in rows} == {202605}
-    # a second run finds nothing new (done is by path)
-    again = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/dns", now=NOW)
-    assert again.files_claimed == 0
-
-
-def test_http_golden(spark, ctx, tmp):
-    spec = http_spec(DATA + "/http")
-    r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/http", now=NOW)
-    assert (r.files_done, r.rows_written) == (1, 3)
-    rows = sorted(_table(spark, tmp, spec, "http").collect(), key=lambda x: x.event_time)
-    assert [x.method for x in rows] == ["GET", "POST", "HEAD"]
-    assert [x.status_code for x in rows] == [200, 201, 204] and [int(x.bytes_sent) for x in rows] == [1024, 2048, 0]
-    assert [(x.client_geo_city, x.server_geo_isp) for x in rows] == [
-        ("Hangzhou", "Edgecast"), ("Shenzhen", "ExampleISP"), ("Shanghai", "Edgecast")]
+def states(spark, tmp):
+    return {r.file_path.rsplit("/", 1)[1]: (r.status, r.attempts) for r in L.latest(read_ledger(spark, f"{tmp}/ledger")).collect()}
+
+
+def test_voice_golden(spark, ctx, tmp):
+    spec = voice_spec(DATA + "/voice")
+    r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/v", now=NOW)
+    assert (r.files_done, r.rows_written, r.files_failed) == (1, 4, 0)
+    rows = sorted(rows_of(spark, tmp, spec, "v").collect(), key=lambda x: x.started)
+    assert {(x.switch, x.area) for x in rows} == {("msc-7", "west")}
+    assert [x.route for x in rows] == ["trunk-12", "trunk;13", "trunk-12", "trunk-1"]
+    assert [x.codec for x in rows] == ["PCMA", "PCMU", "G729", "99"] and [x.cause for x in rows] == [16, 31, 0, 16]
+    assert [(x.caller_site, x.caller_owner) for x in rows] == [("Lyon", "core"), ("Turin", "edge"), ("Lyon", "core"), ("", "")]
+    assert [(x.callee_site, x.callee_owner) for x in rows] == [("peer-a", "carrier"), ("lab", ""), ("peer-a", "carrier"), ("lab", "")]
+    assert [x.event_month for x in rows] == [202503, 202503, 202503, 202504]
+    assert all(x.ingest_time is not None for x in rows)                    # K3
+    assert run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/v", now=NOW).files_claimed == 0
+
+
+def test_shop_golden_and_archive(spark, ctx, tmp):
+    spec = shop_spec(DATA + "/shop", archive_dir=f"{tmp}/archive")
+    r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW)
+    assert (r.files_done, r.rows_written) == (1, 2)
+    rows = sorted(rows_of(spark, tmp, spec, "s").collect(), key=lambda x: x.at)
+    assert [(x.verb, x.status_code, int(x.bytes_sent), x.url) for x in rows] == [("GET", 200, 5120, "/cart?id=1"), ("POST", 502, 0, "/pay")]
+    assert [(x.client_site, x.server_site) for x in rows] == [("Lyon", "lab"), ("", "lab")]
+    kept = read_lines(spark, f"{tmp}/archive", committed_runs(spark, f"{tmp}/ledger", spec.name)).collect()
+    assert sorted(x.line for x in kept) == open(GOOD).read().splitlines()
+
+
+def test_failing_archive_takes_nothing_back(spark, ctx, tmp):
+    with open(f"{tmp}/file", "w") as fh:
+        fh.write("not a folder")
+    spec = shop_spec(DATA + "/shop", archive_dir=f"{tmp}/file")
+    with pytest.warns(UserWarning, match="archive of run"):
+        r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW)
+    assert r.files_done == 1 and rows_of(spark, tmp, spec, "s").count() == 2
+    assert states(spark, tmp) == {"shop_1.log": ("done", 0)}
 
 
 def test_bad_file_retry_then_dead(spark, ctx, tmp):
-    watch = os.path.join(tmp, "w")
-    os.makedirs(watch)
-    shutil.copy(os.path.join(DATA, "bad", "http_bad_invalid_status.log"), watch)
-    spec = http_spec(watch, dead_letter_dir=os.path.join(tmp, "dead"))
-    r1 = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/http", now=NOW, dead_letter_path=f"{tmp}/dl")
+    watch = folder(tmp)
+    shutil.copy(BAD, watch)
+    spec = shop_spec(watch, dead_letter_dir=os.path.join(tmp, "dead"))
+    go = lambda later: run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW + later, dead_letter_path=f"{tmp}/dl")
+    r1 = go(dt.timedelta())
     assert (r1.files_failed, r1.files_dead, r1.rows_written) == (1, 0, 0)
     err = list(r1.errors.values())[0]
-    assert err == 'field "status_code": strconv.ParseUint: parsing "not_a_number": invalid syntax'
-    # before the retry interval nothing happens; after it, the second attempt makes it dead
-    r2 = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/http", now=NOW + dt.timedelta(seconds=2))
-    assert r2.files_claimed == 0
-    r3 = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/http", now=NOW + dt.timedelta(seconds=6),
-                  dead_letter_path=f"{tmp}/dl")
+    assert err == 'field "status_code": strconv.ParseUint: parsing "teapot": invalid syntax'
+    assert go(dt.timedelta(seconds=2)).files_claimed == 0          # before the retry interval
+    r3 = go(dt.timedelta(minutes=5))
     assert (r3.files_failed, r3.files_dead) == (1, 1)
-    led = read_ledger(spark, f"{tmp}/ledger")
-    last = led.orderBy(F.desc("seq")).first()
-    assert (last.status, last.attempts, last.dead_letter_to) == ("dead", 2, os.path.join(tmp, "dead") + "/http_bad_invalid_status.log")
-    dl = spark.read.parquet(f"{tmp}/dl").collect()
-    assert len(dl) == 1 and dl[0].reason == err and dl[0].pipeline == "http_cdr"
-    assert not os.path.exists(f"{tmp}/tables/http")                        # no rows published
-    r4 = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/http", now=NOW + dt.timedelta(days=1))
-    assert r4.files_claimed == 0
+    last = read_ledger(spark, f"{tmp}/ledger").orderBy(F.desc("seq")).first()
+    assert (last.status, last.attempts, last.dead_letter_to) == ("dead", 2, os.path.join(tmp, "dead") + "/shop_bad.log")
+    dl = read_lines(spark, f"{tmp}/dl", committed_runs(spark, f"{tmp}/ledger", spec.name, "dead")).collect()
+    assert [(x.reason, x.pipeline, x.line) for x in dl] == [(err, "shop", open(BAD).read().rstrip("\n"))]
+    assert not os.path.exists(f"{tmp}/tables/s")                    # no rows published
+    assert go(dt.timedelta(days=1)).files_claimed == 0
+
+
+def test_dead_letters_once_after_a_crash(spark, ctx, tmp, monkeypatch):
+    watch = folder(tmp)
+    shutil.copy(BAD, watch)
+    spec = shop_spec(watch, max_retries=1)
+    go = lambda: run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW, dead_letter_path=f"{tmp}/dl")
+    real, calls = R.append_ledger, []
+
+    def crash(df, path):
+        calls.append(path)
+        if len(calls) == 2:                                           # behind the dead letters, before the commit
+            raise RuntimeError("crash")
+        real(df, path)
+
+    monkeypatch.setattr(R, "append_ledger", crash)
+    with pytest.raises(RuntimeError):
+        go()
+    assert go().files_dead == 1
+    assert read_lines(spark, f"{tmp}/dl", committed_runs(spark, f"{tmp}/ledger", spec.name, "dead")).count() == 1
+
+
+def test_crash_before_commit_publishes_once(spark, ctx, tmp, monkeypatch):
+    watch = folder(tmp)
+    shutil.copy(GOOD, watch)
+    spec = shop_spec(watch)
+    real, calls = R.append_ledger, []
+
+    def crash(df, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("crash")
+        real(df, path)
+
+    monkeypatch.setattr(R, "append_ledger", crash)
+    with pytest.raises(RuntimeError):
+        run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW)
+    assert rows_of(spark, tmp, spec, "s").count() == 0                # written, not committed
+    run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW)
+    assert rows_of(spark, tmp, spec, "s").count() == 2
+    with pytest.raises(Exception, match="already exists"):
+        write_run(spark.range(1), f"{tmp}/tables/s", committed_runs(spark, f"{tmp}/ledger", spec.name).first()[0])
 
 
 def test_hidden_empty_and_mixed_files(spark, ctx, tmp):
-    watch = os.path.join(tmp, "m")
-    os.makedirs(watch)
-    good = open(os.path.join(DATA, "http", "http_sample_001.log")).read()
-    for name, body in [("ok.log", good), ("_hidden.log", good), ("empty.log", ""), ("blank.log", "\n \n"),
-                       ("bad.log", good + open(os.path.join(DATA, "bad", "http_bad_invalid_status.log")).read())]:
+    watch = folder(tmp)
+    good = open(GOOD).read()
+    for name, body in [("ok.log", good), ("_hidden.log", good), (".dot.log", good.rstrip("\n")), ("empty.log", ""), ("blank.log", "\n \n"),
+                       ("bad.log", good + open(BAD).read())]:
         with open(os.path.join(watch, name), "w") as fh:
             fh.write(body)
-    spec = http_spec(watch)
+    spec = shop_spec(watch)
     r = run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/m", now=NOW)
-    assert r.files_done == 3 and r.files_failed == 2 and r.rows_written == 3
-    assert r.errors[os.path.join(watch, "_hidden.log")].startswith("hidden_name")
-    latest = {x.file_path.rsplit("/", 1)[1]: (x.status, x.rows) for x in
-              read_ledger(spark, f"{tmp}/ledger").groupBy("file_path").agg(F.max_by(F.struct("status", "rows"), "seq").alias("r"))
-              .select("file_path", "r.*").collect()}
-    assert latest["empty.log"] == ("done", 0) and latest["blank.log"] == ("done", 0) and latest["ok.log"] == ("done", 3)
-    assert latest["bad.log"][0] == "failed"
-    assert _table(spark, tmp, spec, "m").count() == 3                       # the bad file published nothing
+    assert (r.files_done, r.files_failed, r.rows_written) == (5, 1, 6)
+    assert states(spark, tmp) == {"ok.log": ("done", 0), "_hidden.log": ("done", 0), ".dot.log": ("done", 0), "empty.log": ("done", 0),
+                                  "blank.log": ("done", 0), "bad.log": ("failed", 1)}
+    assert rows_of(spark, tmp, spec, "m").count() == 6                      # the bad file published nothing
+
+
+def test_vanished_and_unreadable_files(spark, ctx, tmp):
+    """A file that is gone or broken fails by itself, up to dead; the others publish."""
+    watch = folder(tmp)
+    shutil.copy(BAD, os.path.join(watch, "gone.log"))
+    spec = shop_spec(watch)
+    go = lambda n: run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", now=NOW + dt.timedelta(hours=n))
+    go(0)
+    os.remove(os.path.join(watch, "gone.log"))
+    shutil.copy(GOOD, os.path.join(watch, "ok.log"))
+    with open(os.path.join(watch, "broken.log.gz"), "wb") as fh:
+        fh.write(b"\x1f\x8b not gzip at all")
+    spec.file_pattern = "*.log*"
+    r = go(1)
+    assert (r.files_done, r.files_failed, r.files_dead) == (1, 2, 1)
+    assert "no such file" in r.errors[os.path.join(watch, "gone.log")] and "broken.log.gz" in r.errors[os.path.join(watch, "broken.log.gz")]
+    assert states(spark, tmp) == {"gone.log": ("dead", 2), "broken.log.gz": ("failed", 1), "ok.log": ("done", 0)}
+    assert go(2).files_dead == 1 and states(spark, tmp)["broken.log.gz"] == ("dead", 2)
+    assert rows_of(spark, tmp, spec, "s").count() == 2
 
 
 def test_provenance_fields(spark, ctx, tmp):
-    from filament.spec import FieldSpec
-    spec = dns_spec(DATA + "/dns", dedup=DedupSpec(enabled=True))
+    spec = voice_spec(DATA + "/voice", dedup=DedupSpec(enabled=True))
     spec.fields = spec.fields + [FieldSpec(n, "String", generated=True) for n in
                                  ("_etl_source_file", "_etl_line_number", "_etl_row_hash", "_etl_record_id")]
     run_once(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/p", now=NOW)
-    rows = sorted(_table(spark, tmp, spec, "p").collect(), key=lambda x: int(x._etl_line_number))
-    assert [x._etl_source_file for x in rows] == ["dns_sample_001.cdr"] * 3
-    assert [x._etl_line_number for x in rows] == ["2", "3", "4"]
-    import hashlib
-    path = os.path.join(DATA, "dns", "dns_sample_001.cdr")
-    line2 = open(path).read().split("\n")[1]
-    h = hashlib.sha1(line2.encode()).hexdigest()
+    rows = sorted(rows_of(spark, tmp, spec, "p").collect(), key=lambda x: int(x._etl_line_number))
+    assert [x._etl_source_file for x in rows] == ["calls_a.cdr"] * 4
+    assert [x._etl_line_number for x in rows] == ["2", "3", "4", "5"]
+    path = os.path.join(DATA, "voice", "calls_a.cdr")
+    h = hashlib.sha1(open(path).read().split("\n")[1].encode()).hexdigest()
     assert rows[0]._etl_row_hash == h
     assert rows[0]._etl_record_id == hashlib.sha1(f"{path}\0" f"2\0{h}\0".encode()).hexdigest()
 
 
-def test_streaming_available_now_twice(spark, ctx, tmp):
+def stream(spark, spec, ctx, tmp, ck="ck"):
     from filament.streaming.stream import start_stream
-    watch = os.path.join(tmp, "s")
-    os.makedirs(watch)
-    shutil.copy(os.path.join(DATA, "http", "http_sample_001.log"), os.path.join(watch, "a.log"))
+    start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/{ck}").awaitTermination()
+
+
+def test_streaming_again_and_anew(spark, ctx, tmp):
+    watch = folder(tmp)
+    spec = shop_spec(watch)
+    shutil.copy(GOOD, os.path.join(watch, "a.log"))
+    shutil.copy(GOOD, os.path.join(watch, "_h.log"))
     with open(os.path.join(watch, "b.log.tmp"), "w") as fh:
         fh.write("partial")
-    spec = http_spec(watch)
-    q = start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/ck")
-    q.awaitTermination()
-    assert _table(spark, tmp, spec, "s").count() == 3
-    q2 = start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/ck")
-    q2.awaitTermination()
-    assert _table(spark, tmp, spec, "s").count() == 3                            # second run adds nothing
-    shutil.copy(os.path.join(DATA, "http", "http_sample_001.log"), os.path.join(watch, "c.log"))
-    q3 = start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/ck")
-    q3.awaitTermination()
-    assert _table(spark, tmp, spec, "s").count() == 6
+    stream(spark, spec, ctx, tmp)
+    assert rows_of(spark, tmp, spec, "s").count() == 4
+    stream(spark, spec, ctx, tmp)
+    assert rows_of(spark, tmp, spec, "s").count() == 4                # nothing new
+    shutil.copy(GOOD, os.path.join(watch, "c.log"))
+    stream(spark, spec, ctx, tmp)
+    assert rows_of(spark, tmp, spec, "s").count() == 6
+    shutil.copy(GOOD, os.path.join(watch, "d.log"))
+    stream(spark, spec, ctx, tmp, ck="ck2")                           # a checkpoint begun anew starts at batch 0 again
+    assert rows_of(spark, tmp, spec, "s").count() == 8
+
+
+def test_streaming_replay_after_a_crash(spark, ctx, tmp, monkeypatch):
+    """A crash behind the claim: the replayed batch takes its files back and publishes once."""
+    watch = folder(tmp)
+    spec = shop_spec(watch)
+    shutil.copy(GOOD, os.path.join(watch, "a.log"))
+    monkeypatch.setattr(R, "ingest_claimed", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(Exception, match="crash"):
+        stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("processing", 0)}
+    monkeypatch.undo()
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 2
+
+
+def test_streaming_retries(spark, ctx, tmp):
+    watch = folder(tmp)
+    spec = shop_spec(watch)
+    spec.retry_interval_s = 0
+    shutil.copy(BAD, os.path.join(watch, "a.log"))
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("failed", 1)}
+    shutil.copy(GOOD, os.path.join(watch, "a.log"))                   # mended in place; the next batch retries it
+    shutil.copy(GOOD, os.path.join(watch, "b.log"))
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("done", 1), "b.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 4
 
 
 def test_plan_shape(spark, ctx):
-    """No nested-loop join, no Python UDF on the row path, and no shuffle at all when
+    """No nested-loop join, no Python on the row path, and no shuffle at all when
     the spec needs no line numbers."""
     from filament.plans.ingest import parse, typed_rows
     from filament.sources.lines import scan_lines
-    spec = http_spec(DATA + "/http")
-    typed = typed_rows(parse(scan_lines(spark, [DATA + "/http/http_sample_001.log"], directory=DATA + "/http"),
-                             spec, ctx), spec)
+    spec = shop_spec(DATA + "/shop")
+    typed = typed_rows(parse(scan_lines(spark, [GOOD], directory=DATA + "/shop"), spec, ctx), spec)
     plan = typed._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "PythonUDF" not in plan and "EvalPython" not in plan
     main_path = plan.split("BroadcastExchange")[0]
@@ -157,8 +257,8 @@ def test_aggregates_are_hash_based(spark, ctx, tmp):
     from filament.operators.verdict import split_verdicts
     from filament.plans.ingest import parse, typed_rows
     from filament.sources.lines import scan_lines, split_index
-    spec = dns_spec(DATA + "/dns")
-    lines = scan_lines(spark, [DATA + "/dns/dns_sample_001.cdr"], directory=DATA + "/dns")
+    spec = voice_spec(DATA + "/voice")
+    lines = scan_lines(spark, [DATA + "/voice/calls_a.cdr"], directory=DATA + "/voice")
     for df in (split_index(lines), split_verdicts(typed_rows(parse(lines, spec, ctx, 1), spec))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "HashAggregate" in plan
