@@ -105,13 +105,14 @@ def place_hash(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> np.ndar
 
 
 def first_of(df: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``first``, the smallest ``struct(id, start, key)`` of the rows with equal ``by``."""
-    place = F.struct("id", "start", "key")
-    least = df.groupBy(*by).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return df.join(least, by, "left").withColumn("first", F.coalesce("first", place))
+    """Per ``by``: ``first``, the smallest ``struct(id, start, key)``, and the number of rows ``n``;
+    staged, so that Spark can split the keys that are hot when it is joined back."""
+    return staged(df.groupBy(*by).agg(F.min(F.struct("id", "start", "key")).alias("first"), F.count("*").alias("n")))
 
 
-LATER = "first.id < id or (first.id = id and first.start < start)"
+def later(df: DataFrame, firsts: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of ``df`` that stand behind the first one with equal ``by``."""
+    return df.join(firsts.where("n > 1").drop("n"), by).where("first.id < id or (first.id = id and first.start < start)")
 
 
 def intervals(texts: list[bytes], groups: np.ndarray, length: int = LENGTH):
@@ -155,7 +156,9 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     earlier.  Spans of a document may overlap."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"))
-    docs = docs.withColumn("key", F.xxhash64("t")).select("id", "key", "t")
+    # the key tells documents with equal ids apart; where ids are unique it has nothing to tell
+    unique = docs.count() == docs.select("id").distinct().count()
+    docs = docs.withColumn("key", F.lit(0).cast("long") if unique else F.xxhash64("t")).select("id", "key", "t")
     long_ = docs.where(F.octet_length("t") >= length)
 
     def anchors(b):
@@ -176,12 +179,11 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        "start": start.astype(np.int32), "size": size.astype(np.int32)}
 
     found = staged(arrow_map(long_, repeated, "h long, body long, id long, key long, start int, size int"), spark)
-    ranked = first_of(found, ["h", "body", "size"])
-    whole = ranked.where(LATER).select("id", "key", "start", (F.col("start") + F.col("size")).alias("stop"))
+    bodies_of = first_of(found, ["h", "body", "size"])
+    whole = later(found, bodies_of, ["h", "body", "size"]).select("id", "key", "start", (F.col("start") + F.col("size")).alias("stop"))
 
     # anchors under which different segments stand, and the first of each of these
-    firsts = found.groupBy("h", "body", "size").agg(F.min(F.struct("id", "start", "key")).alias("first"))
-    firsts = staged(firsts.select("h", "first.*"), spark)
+    firsts = bodies_of.select("h", "first.*")
     several = firsts.groupBy("h").agg(F.count("*").alias("segments")).where("segments > 1")
     chosen = staged(firsts.join(several, "h"), spark)
 
@@ -242,7 +244,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield {"w": d, "id": [i] * n, "key": [k] * n, "start": list(range(s, s + n))}
 
     hot_windows = staged(arrow_map(parts.join(hot, "h", "left_semi"), windows, "w binary, id long, key long, start int"), spark)
-    common = first_of(hot_windows, ["w"]).where(LATER).select("id", "key", "start", (F.col("start") + length).alias("stop"))
+    common = later(hot_windows, first_of(hot_windows, ["w"]), ["w"]).select("id", "key", "start", (F.col("start") + length).alias("stop"))
     return docs, whole.unionByName(near).unionByName(common)
 
 
@@ -260,7 +262,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: id, ``n_bytes, n_removed, n_spans, kept_sha256`` and ``spans``, the
     maximal removed runs (bytes, ends exclusive)."""
     docs, spans = repeat_spans(docs, id_col, text_col, length)
-    spans = staged(spans.distinct().groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("found")))
+    spans = staged(spans.groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("found")))
     schema = f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
 
     def cut(batches):
