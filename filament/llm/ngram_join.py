@@ -3,8 +3,9 @@
 A document's set: the distinct ``N``-word shingles of its whole text, A-Z lower-cased, words cut
 at white space; fewer words form one shingle; no words, no set and no link.  Shingles are 58-bit
 hashes; above them 6 bits hold how common the shingle is, so numeric order is the global
-order: rare ones first.  (Commonness only orders: the counts are gathered by Spark over all documents, the ``HEAVY``
-most common shingles are kept, the rest counts as rare.)
+order: rare ones first.  Commonness only orders, the results don't depend on it: for a share of
+all shingles (dealt by hash, twice what prefixes need) Spark finds over all documents which stand in
+one place only, and how often the most common ones stand; the other shingles come last.
 
 Two sets with Jaccard >= ``T`` share a shingle among the first |x| - ceil(T |x|) + 1 of each.
 1. Equal sets form a class; from here on one set stands for it.
@@ -24,21 +25,22 @@ Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, semi_join_ids, staged
-from .keyset import maybe_repeated, mix, repeated_keys
+from .common import BROADCAST_ID_BYTES, arrow_map, components, semi_join_ids, staged
+from .keyset import LOW, maybe_repeated, mix, repeated_keys
 
 N = 3
 T_NUM, T_DEN = 9, 10
-HEAVY = 1 << 17
-HEAVY_LOCAL = 4
 BLOCK = 256
 LEVEL_SHIFT = np.uint64(58)
 HASH_MASK = np.uint64((1 << 58) - 1)
+UNKNOWN = 62
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)
 
 
@@ -55,46 +57,32 @@ def shingle_hashes(text: str | None, n: int = N) -> np.ndarray:
     return np.unique(h & HASH_MASK)
 
 
-def ordered(hashes: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Hashes with their level on top, in global order."""
-    keys, levels = heavy
-    if len(keys) and len(hashes):
-        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        hashes = np.sort(hashes | np.where(keys[at] == hashes, levels[at], np.uint64(0)) << LEVEL_SHIFT)
-    return hashes
-
+class Order:
+    """The global order of shingles: ``bitmap`` knows the repeated among the sampled ones, ``common``
+    the counts of the most common."""
 
-def prefix_length(n: int, num: int = T_NUM, den: int = T_DEN) -> int:
-    return n - -(-num * n // den) + 1 if n else 0
+    def __init__(self, sampled: int, bitmap, common: tuple[np.ndarray, np.ndarray]):
+        self.sampled, self.bitmap, (self.keys, counts) = sampled, bitmap, common
+        self.levels = np.array([min(60, 2 + int(n).bit_length()) for n in counts], np.uint64)
 
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Hashes with their level on top, in global order."""
+        if not len(hashes):
+            return hashes
+        k = mix(hashes)
+        level = np.where(sampled(k, self.sampled), maybe_repeated(k, self.bitmap).astype(np.uint64), np.uint64(UNKNOWN))
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, k & LOW), len(self.keys) - 1)
+            level = np.where((self.keys[at] == k & LOW) & (level == 1), self.levels[at], level)
+        return np.sort(hashes | level << LEVEL_SHIFT)
 
-def heavy_shingles(docs: DataFrame, text_col: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most common shingles and the bit length of their counts, over all documents.  A
-    task reports those that stand in ``HEAVY_LOCAL`` of a few thousand documents."""
 
-    def count(batches):
-        held, size = [], 0
+def sampled(keys: np.ndarray, sixteenths: int) -> np.ndarray:
+    return (keys & np.uint64(15)) < sixteenths
 
-        def flush():
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            k, c = k[c >= HEAVY_LOCAL], c[c >= HEAVY_LOCAL]
-            return {"k": k.astype(np.int64), "c": c}
 
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                held.append(shingle_hashes(t, n))
-                size += len(held[-1])
-                if size >= 1 << 22:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
-
-    top = (arrow_map(docs.select(text_col), count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
-           .orderBy(F.desc("c"), "k").limit(HEAVY).collect())  # bounded: HEAVY rows
-    top.sort(key=lambda r: r["k"])
-    return (np.array([r["k"] for r in top], np.uint64),
-            np.array([min(63, int(r["c"]).bit_length()) for r in top], np.uint64))
+def prefix_length(n: int, num: int = T_NUM, den: int = T_DEN) -> int:
+    return n - -(-num * n // den) + 1 if n else 0
 
 
 class Trie:
@@ -182,9 +170,34 @@ def join_block(nodes: list[bytes], sets: list[np.ndarray], known: list, num: int
     return [(nodes[q], nodes[y]) for q in range(len(sets)) for y in trie.walk(q, num, den)]
 
 
-def join_blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``members(block, sig, known)`` joined with their sets, a trie per block; returns ``u, v``."""
-    rows = members.join(sets, "sig").select("block", "sig", "known", "set").repartition("block").sortWithinPartitions("block", "sig")
+def join_blocks(docs: DataFrame, members: DataFrame, classes: DataFrame, order: Callable, n: int, num: int, den: int) -> DataFrame:
+    """A trie per block: ``members(sig, blocks, known)`` says which blocks a class goes to, and
+    ``classes(sig, id, tkey)`` which document gives its set.  Sets are made from the texts and go to
+    their blocks in one shuffle.  Returns ``u, v``."""
+    wanted = staged(members.join(classes, "sig"))
+    size = wanted.agg(F.sum(F.lit(64) + 8 * F.size("blocks"))).first()[0] or 0
+    side = (F.broadcast(wanted) if size <= BROADCAST_ID_BYTES else wanted).withColumnRenamed("id", "wid").withColumnRenamed("tkey", "wkey")
+    texts = docs.join(side, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tkey") == F.col("wkey")))
+
+    def deal(batches):
+        ranked = order()
+        names = ("block", "sig", "known", "set")
+        for b in batches:
+            out: dict = {k: [] for k in names}
+            size = 0
+            for text, sig, known, blocks in zip(*(c.to_pylist() for c in b.columns)):
+                own = ranked(shingle_hashes(text, n)).tobytes()
+                for block in blocks:
+                    for k, v in zip(names, (block, sig, known, own)):
+                        out[k].append(v)
+                    size += len(own)
+                    if size > 16 << 20:
+                        yield out
+                        out, size = {k: [] for k in names}, 0
+            yield out
+
+    rows = arrow_map(texts.select("t", "sig", "known", "blocks"), deal, "block long, sig binary, known binary, set binary")
+    rows = rows.repartition("block").sortWithinPartitions("block", "sig")
 
     def run(batches):
         block, held = None, ([], [], [])
@@ -215,21 +228,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: the id, ``n_shingles`` and ``component_id``; links hold where
     ``den * |x & y| >= num * |x | y|``."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    heavy = spark.sparkContext.broadcast(heavy_shingles(docs, "t", n))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("tkey", F.xxhash64("t"))
     id_type = docs.schema["id"].dataType.simpleString()
+    share = min(16, -(-32 * (den - num) // den))  # sixteenths: twice the share of a prefix
+
+    def keys(b):
+        for t in b.column(0).to_pylist():
+            k = mix(shingle_hashes(t, n))
+            yield k[sampled(k, share)]
+
+    rare, common = repeated_keys(docs.select("t"), keys)
+    common = spark.sparkContext.broadcast(common)
+    order = lambda: Order(share, rare.value, common.value)  # noqa: E731  made where it is used
 
     def signature(s: np.ndarray) -> bytes | None:
         return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
     def features(batches):
+        ranked = order()
         for b in batches:
-            sets = [ordered(shingle_hashes(t, n), heavy.value) for t in b.column(1).to_pylist()]
-            yield {"id": b.column(0), "n": [len(s) for s in sets], "sig": [signature(s) for s in sets],
+            sets = [ranked(shingle_hashes(t, n)) for t in b.column(2).to_pylist()]
+            yield {"id": b.column(0), "tkey": b.column(1), "n": [len(s) for s in sets], "sig": [signature(s) for s in sets],
                    "prefix": [s[:prefix_length(len(s), num, den)].tobytes() for s in sets]}
 
-    feat = staged(arrow_map(docs, features, f"id {id_type}, n long, sig binary, prefix binary"), spark)
-    bitmap = repeated_keys(feat.where("n > 0").select("prefix"),
+    feat = staged(arrow_map(docs.select("id", "tkey", "t"), features, f"id {id_type}, tkey long, n long, sig binary, prefix binary"), spark)
+    bitmap, _ = repeated_keys(feat.where("n > 0").select("prefix"),
                            lambda b: (mix(np.frombuffer(p, np.uint64)) for p in b.column(0).to_pylist()))
 
     def shared(batches):
@@ -244,18 +267,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     occ = staged(occ.join(lead, "token"), spark)
 
     # one document per candidate class gives its set
-    classes = occ.select("sig").distinct()
-    wanted = staged(feat.where("n > 0").join(classes, "sig", "left_semi").groupBy("sig").agg(F.min("id").alias("id"))
-                    .select("id").distinct(), spark)
-
-    def whole(batches):
-        for b in batches:
-            sets = [ordered(shingle_hashes(t, n), heavy.value) for t in b.column(0).to_pylist()]
-            sets = [s for s in sets if len(s)]
-            yield {"sig": [signature(s) for s in sets], "set": [s.tobytes() for s in sets]}
-
-    sets = staged(arrow_map(semi_join_ids(docs.where("id is not null"), wanted, ["id"]).select("t"), whole, "sig binary, set binary")
-                  .unionByName(arrow_map(docs.where("id is null").select("t"), whole, "sig binary, set binary")), spark)
+    place = feat.where("n > 0").join(occ.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(
+        F.min(F.struct("id", "tkey")).alias("p"))
+    classes = staged(place.select("sig", "p.id", "p.tkey"), spark)
 
     # blocks of the smallest class that shares a shingle; large ones are cut, the leader goes to each piece
     pairs = occ.select("lead", "sig").distinct()
@@ -263,9 +277,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     dealt = pairs.join(size, "lead").withColumn("salt", F.when(
         F.col("sig") == F.col("lead"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))))
-    dealt = dealt.select("lead", "sig", F.explode("salt").alias("salt"))  # blocks whose hashes meet by chance only test more
-    members = dealt.select(F.xxhash64("lead", "salt").alias("block"), "sig", F.lit(None).cast("binary").alias("known"))
-    links = staged(join_blocks(members, sets, num, den), spark)
+    members = dealt.select("lead", "sig", F.explode("salt").alias("salt")).groupBy("sig").agg(
+        F.collect_list(F.xxhash64("lead", "salt")).alias("blocks")).withColumn("known", F.lit(None).cast("binary"))
+    links = staged(join_blocks(docs, members, classes, order, n, num, den), spark)  # blocks whose hashes meet only test more
     first = components(links)
 
     # shingles whose classes are still in several components; equal groups of candidates once
@@ -277,8 +291,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "token", F.ceil(F.col("m") / F.lit(BLOCK / 2)).cast("int").alias("cuts"))
     rest = at.join(once, "token").withColumn("i", F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))
     rest = rest.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rest = rest.select(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("block"), "sig", "known")
-    more = staged(join_blocks(rest, sets, num, den), spark)
+    rest = rest.groupBy("sig", "known").agg(F.collect_set(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j"))).alias("blocks"))
+    more = staged(join_blocks(docs, rest, classes, order, n, num, den), spark)
 
     final = components(links.unionByName(more).unionByName(first.select(F.col("node").alias("u"), F.col("root").alias("v"))))
     rows = feat.select("id", "n", "sig").join(final.withColumnRenamed("node", "sig"), "sig", "left").select(

@@ -165,7 +165,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for _, _, _, h in segments(encoded(b.column(0)), length):
             yield h
 
-    bitmap = repeated_keys(long_.select("t"), anchors)
+    bitmap, _ = repeated_keys(long_.select("t"), anchors)
 
     def repeated(batches):
         for b in batches:
@@ -190,7 +190,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def places(b):
         yield place_hash(*(c.to_numpy() for c in b.columns))
 
-    wanted = repeated_keys(chosen.select("id", "key", "start"), places, least=1)
+    wanted, _ = repeated_keys(chosen.select("id", "key", "start"), places, least=1)
 
     def bodies(batches):
         for b in batches:
