@@ -9,13 +9,15 @@ The error column is NULL for good values, else a message naming the field.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from filament.functions.ip import is_ip
+from filament.functions.ip import canonical_ip
 from filament.functions.text import go_trim
 from filament.spec import (DEFAULT_TIME_LAYOUTS, FLOAT_BITS, INT_BITS, IP_TYPES, STRING_TYPES,
-                           TIME_TYPES, UINT_BITS, FieldSpec, go_layout_to_pattern, spark_type)
+                           TIME_TYPES, UINT_BITS, FieldSpec, fraction_rule, go_layout_to_pattern, spark_type)
 
 # The spellings a boolean field accepts.
 TRUE_WORDS = ["1", "t", "T", "TRUE", "true", "True"]
@@ -24,6 +26,9 @@ FALSE_WORDS = ["0", "f", "F", "FALSE", "false", "False"]
 ZERO_TIME_EPOCH_S = -62135596800
 
 _FLOAT_RE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+_HEX_FLOAT_RE = r"^[+-]?0[xX](?:[0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+\z"
+# Underscores stand between digits, or between a digit and the hex prefix.
+_UNDERSCORE_RE = r"^[^_]*(?:(?<=[0-9a-fA-FxX])_(?=[0-9a-fA-F])[^_]*)+\z"
 _INF_RE = r"(?i)^[+-]?inf(?:inity)?\z"
 _NAN_RE = r"(?i)^nan\z"
 
@@ -33,53 +38,59 @@ SYNTAX, RANGE, INVALID = 1, 2, 3
 
 
 def _integer(raw: Column, bits: int, signed: bool) -> tuple[Column, Column]:
-    """Base-10 integer with the exact grammar (no sign for unsigned), empty = 0.
-    Up to 18 significant digits go through a long; only 64-bit types look at 19-20
-    digit values through a decimal."""
-    text = F.when(raw == "", F.lit("0")).otherwise(raw)
+    """Base-10 integer with the exact grammar (no sign for unsigned), empty = 0: one guard and
+    one cast, both used by the value and by the code."""
     lo = -(2 ** (bits - 1)) if signed else 0
     hi = 2 ** (bits - 1) - 1 if signed else 2 ** bits - 1
     target = spark_type(("int" if signed else "uint") + str(bits))
-    ok_syntax = text.rlike(r"^[+-]?[0-9]+\z" if signed else r"^[0-9]+\z")
-    digits = F.regexp_replace(text, r"^([+-]?)0+(?=[0-9])", "$1")
-    nd = F.length(digits) - F.when(digits.rlike("^[+-]"), F.lit(1)).otherwise(F.lit(0))
-    short = ok_syntax & (nd <= 18)
-    v = F.when(short, digits.cast("long"))
-    fits = (v >= F.lit(lo)) & (v <= F.lit(hi)) if hi < 2 ** 63 else (v >= F.lit(lo))
-    if bits == 64:
-        big = F.when(ok_syntax & ~short & (nd <= 20), digits.try_cast("decimal(20,0)"))
-        big_fits = (big >= F.lit(lo).cast("decimal(20,0)")) & (big <= F.lit(str(hi)).cast("decimal(20,0)"))
-        in_range = F.when(short, fits).otherwise(F.coalesce(big_fits, F.lit(False)))
-        value = F.when(short & fits, v.cast(target)).when(big_fits, big.cast(target))
-    else:
-        in_range = short & fits
-        value = F.when(in_range, v.cast(target))
-    code = F.when(~ok_syntax, F.lit(SYNTAX)).when(~in_range, F.lit(RANGE))
-    return value, code
+    ok = raw.rlike(r"^(?:[+-]?[0-9]+)?\z" if signed else r"^[0-9]*\z")
+    text = F.when(raw == "", F.lit("0")).otherwise(raw)
+    v = text.try_cast("long")
+    if hi >= 2 ** 63:
+        v = F.coalesce(v.cast("decimal(20,0)"), text.try_cast("decimal(20,0)"))
+    fits = F.coalesce(v.between(F.lit(lo), F.lit(hi) if hi < 2 ** 63 else F.lit(str(hi)).cast("decimal(20,0)")), F.lit(False))
+    value = F.when(ok & fits, v.cast(target))
+    return value, F.when(~ok, F.lit(SYNTAX)).when(~fits, F.lit(RANGE))
 
 
 def _float(raw: Column, bits: int) -> tuple[Column, Column]:
-    target = "float" if bits == 32 else "double"
+    target, java = ("float", "Float") if bits == 32 else ("double", "Double")
+    inf = float("inf")
+    # rare spellings, looked at only where the plain grammar fails
+    bare = F.when(raw.contains("_") & raw.rlike(_UNDERSCORE_RE), F.replace(raw, F.lit("_"), F.lit(""))).otherwise(raw)
+    hexed = F.when(bare.rlike(_HEX_FLOAT_RE), F.try_reflect(F.lit(f"java.lang.{java}"), F.lit(f"parse{java}"), bare).cast(target))
     grammar = raw.rlike(_FLOAT_RE)
-    is_inf = raw.rlike(_INF_RE)
-    is_nan = raw.rlike(_NAN_RE)
-    parsed = F.when(grammar, raw.try_cast(target))
-    inf_val = F.when(raw.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))).cast(target)
-    value = (F.when(is_inf, inf_val)
-             .when(is_nan, F.lit(float("nan")).cast(target))
-             .when(grammar & ~F.isnan(parsed) & (F.abs(parsed) != F.lit(float("inf")).cast(target)), parsed))
-    code = F.when(~(grammar | is_inf | is_nan), F.lit(SYNTAX)).when(value.isNull(), F.lit(RANGE))
-    return value, code
+    signed_inf = F.when(raw.startswith("-"), F.lit(-inf)).otherwise(F.lit(inf)).cast(target)
+    rare = (F.when(raw.rlike(_INF_RE), F.struct(signed_inf.alias("v"), F.lit(False).alias("finite")))
+             .when(raw.rlike(_NAN_RE), F.struct(F.lit(float("nan")).cast(target).alias("v"), F.lit(False).alias("finite")))
+             .when(bare.rlike(_FLOAT_RE), F.struct(bare.try_cast(target).alias("v"), F.lit(True).alias("finite")))
+             .when(hexed.isNotNull(), F.struct(hexed.alias("v"), F.lit(True).alias("finite"))))
+    got = F.when(grammar, F.struct(raw.try_cast(target).alias("v"), F.lit(True).alias("finite"))).otherwise(rare)
+    v = got["v"]
+    over = got["finite"] & (F.abs(v) == F.lit(inf).cast(target))
+    return F.when(~over, v), F.when(got.isNull(), F.lit(SYNTAX)).when(over, F.lit(RANGE))
+
+
+def _parsed(raw: Column, layout: str) -> Column:
+    rule = fraction_rule(layout)
+    text = F.when(raw.rlike("[.,][0-9]"), F.regexp_replace(raw, *rule)).otherwise(raw) if rule else raw
+    ts = F.try_to_timestamp(text, F.lit(go_layout_to_pattern(layout)))
+    counted = re.search(r"[.,](0+)(?![0-9])", layout)
+    # the parser takes fewer fraction digits than the layout counts; the layout does not
+    return F.when(text.rlike(rf"[.,][0-9]{{{len(counted[1])}}}(?![0-9])"), ts) if counted else ts
 
 
 def _time(raw: Column, base: str, layout: str) -> tuple[Column, Column]:
-    layouts = [layout] if layout else DEFAULT_TIME_LAYOUTS
-    parsed = F.coalesce(*[F.try_to_timestamp(raw, F.lit(go_layout_to_pattern(l))) for l in layouts])
-    zero = F.timestamp_seconds(F.lit(ZERO_TIME_EPOCH_S))
-    ts = F.when(raw == "", zero).otherwise(parsed)
-    if base == "datetime":
-        ts = F.date_trunc("second", ts)
-    value = ts.cast("date") if base == "date" else ts
+    """Parsed once per value.  Without a layout the shape of the text says which of the default
+    layouts can apply: with ``T``, a date alone, or date and time."""
+    if layout:
+        parsed = _parsed(raw, layout)
+    else:
+        zoned, _, clock, _, day = DEFAULT_TIME_LAYOUTS  # the second and fourth accept nothing that these don't
+        parsed = (F.when(raw.contains("T"), _parsed(raw, zoned)).when(F.length(raw) <= 10, _parsed(raw, day))
+                   .otherwise(_parsed(raw, clock)))
+    ts = F.when(raw == "", F.timestamp_seconds(F.lit(ZERO_TIME_EPOCH_S))).otherwise(parsed)
+    value = F.date_trunc("second", ts) if base == "datetime" else ts.cast("date") if base == "date" else ts
     return value, F.when(ts.isNull(), F.lit(INVALID))
 
 
@@ -102,8 +113,8 @@ def convert_code(raw: Column, base: str, layout: str = "") -> tuple[Column, Colu
     if base in TIME_TYPES:
         return _time(raw, base, layout)
     if base in IP_TYPES:
-        ok = is_ip(raw)
-        return F.when(ok, raw), F.when(~ok, F.lit(INVALID))
+        ip = canonical_ip(raw)
+        return ip, F.when(ip.isNull(), F.lit(INVALID))
     return raw, none
 
 

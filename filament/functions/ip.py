@@ -99,6 +99,39 @@ def _mapped_value(t: Column) -> Column:
              .when(tail.rlike(f"^{_HEX}::\\z"), _hex(F.regexp_extract(tail, f"^({_HEX})", 1)) * 65536))
 
 
+def _ipv6_text(c: Column) -> Column:
+    """Canonical text of a valid IPv6 address: lower case, no leading zeros, and ``::`` for the longest
+    run of two or more zero groups (the first of equal ones)."""
+    t = F.lower(c)
+    tail = F.regexp_extract(t, "([0-9.]+)\\z", 1)
+    v = _dotted_to_long(tail)
+    hexed = F.concat(F.regexp_replace(t, "[0-9.]+\\z", ""), F.lower(F.hex(F.shiftright(v, 16))), F.lit(":"),
+                     F.lower(F.hex(v.bitwiseAND(F.lit(65535)))))
+    t = F.when(t.contains("."), hexed).otherwise(t)
+    left, right = F.substring_index(t, "::", 1), F.substring_index(t, "::", -1)
+
+    def part(side: Column) -> Column:
+        return F.when(side == "", F.lit("")).otherwise(F.concat(F.lit(":"), side))
+
+    given = F.length(F.concat(part(left), part(right))) - F.length(F.replace(F.concat(part(left), part(right)), F.lit(":"), F.lit("")))
+    full = F.when(t.contains("::"), F.concat(part(left), F.repeat(F.lit(":0"), (F.lit(8) - given).cast("int")), part(right))
+                  ).otherwise(F.concat(F.lit(":"), t))
+    full = F.regexp_replace(full, ":0{1,3}(?=[0-9a-f])", ":")
+    out = F.substring(full, 2, 100)
+    for k in range(2, 9):  # the last that matches wins: the longest run
+        run = f"^(.*?)(?::0){{{k}}}(?::(.*))?\\z"
+        short = F.concat(F.regexp_replace(F.regexp_extract(full, run, 1), "^:", ""), F.lit("::"), F.regexp_extract(full, run, 2))
+        out = F.when(full.rlike(run), short).otherwise(out)
+    return out
+
+
+def canonical_ip(c: Column) -> Column:
+    """The address in its usual spelling (NULL if it is none): dotted IPv4, also for IPv4-mapped
+    IPv6 addresses, else canonical IPv6."""
+    v6 = F.when(c.rlike(MAPPED_RE), u32_to_dotted(_mapped_value(c))).when(is_ipv6(c), _ipv6_text(c))
+    return F.when(c.contains(":"), v6).when(is_ipv4(c), c)
+
+
 def ip_to_u32(c: Column) -> Column:
     """IPv4 value of a trimmed text: dotted quad, an IPv4-mapped IPv6 address in any
     spelling, or a decimal integer 0..2^32-1.  NULL when none applies (no error).

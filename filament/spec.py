@@ -33,19 +33,21 @@ TIME_TYPES = {"date", "datetime", "datetime64"}
 IP_TYPES = {"ipv4", "ipv6"}
 
 
+# Type wrappers that say nothing about conversion.
+WRAPPERS = {"nullable", "lowcardinality"}
+_CALL = re.compile(r"([^(]+)\((.*)\)", re.S)
+
+
 def normalize_type(type_name: str) -> str:
-    """Base type of a declared column type: lower-case, unwrap ``nullable(..)`` and
-    ``lowcardinality(..)`` repeatedly, then cut at the first ``(`` (if not leading).
-    Inner spaces are not trimmed again after unwrapping."""
-    t = type_name.strip().lower()
-    while True:
-        if t.startswith("nullable(") and t.endswith(")"):
-            t = t[len("nullable("):-1]
-        elif t.startswith("lowcardinality(") and t.endswith(")"):
-            t = t[len("lowcardinality("):-1]
-        else:
-            idx = t.find("(")
-            return t[:idx] if idx > 0 else t
+    """Base type of a declared column type, read as ``name(arguments)``: a wrapper stands for its
+    argument, any other name loses its arguments.  ``LowCardinality(Nullable(UInt8))`` is ``uint8``,
+    ``DateTime64(3)`` is ``datetime64``."""
+    text = type_name.strip().lower()
+    call = _CALL.fullmatch(text)
+    if call and call[1] in WRAPPERS:
+        return normalize_type(call[2]) if call[2].strip() == call[2] else call[2].partition("(")[0]
+    head, bracket, _ = text.partition("(")
+    return head if head or not bracket else text
 
 
 def spark_type(base: str) -> T.DataType:
@@ -80,6 +82,8 @@ _GO_TOKENS = [
     ("4", "m"), ("5", "s"),
 ]
 _FRACTION = re.compile(r"^[.,](0+|9+)(?![0-9])")
+# Tokens whose digits may touch those of a neighbour in a compact layout.
+_NUMERIC = {"2006", "01", "02", "03", "04", "05", "06", "15", "002"}
 # Default layouts tried in order when a time field has none (RFC3339Nano, RFC3339,
 # "2006-01-02 15:04:05", "2006-01-02 15:04:05.999", "2006-01-02").
 DEFAULT_TIME_LAYOUTS = [
@@ -107,8 +111,10 @@ def go_layout_to_pattern(layout: str) -> str:
     """Translate a Go reference layout into a Spark ``to_timestamp`` pattern.
 
     Go also accepts a fractional second right after the seconds field when the layout
-    has none, so ``ss`` is followed by an optional variable-length fraction."""
-    i, out = 0, []
+    has none, so ``ss`` is followed by an optional variable-length fraction (see
+    ``fraction_rule`` for what a pattern cannot say).  The hour ``15`` may have one digit,
+    unless other digits touch it."""
+    i, out, before = 0, [], ""
     while i < len(layout):
         rest = layout[i:]
         if rest.startswith("_2"):
@@ -121,20 +127,37 @@ def go_layout_to_pattern(layout: str) -> str:
             else:
                 out.append("[." + "S" * 9 + "]")
             i += len(m.group(0))
+            before = ""
             continue
         for tok, pat in _GO_TOKENS:
             if rest.startswith(tok):
-                out.append(pat)
                 i += len(tok)
+                if tok == "15" and (before in _NUMERIC or any(layout.startswith(t, i) for t in _NUMERIC)):
+                    pat = "HH"
+                out.append(pat)
+                before = tok
                 if tok == "05" and not _FRACTION.match(layout[i:]):
                     out.append("[.SSSSSSSSS]")
                 break
         else:
             out.append(_quote_literal(rest[0]))
             i += 1
+            before = ""
     return "".join(out)
 
 
+def fraction_rule(layout: str) -> tuple[str, str] | None:
+    """What to replace in a text before its pattern is applied (regex, replacement): a fraction may
+    follow a comma, and digits beyond nine are cut off, unless the layout counts them (``.000``).
+    None where the layout has dots or commas of its own elsewhere, or no seconds."""
+    plain = re.sub(r"[.,](?:0+|9+)(?![0-9])", "", layout)
+    if "05" not in layout or "." in plain or "," in plain:
+        return None
+    if re.search(r"[.,]0+(?![0-9])", layout):
+        return ",([0-9])", ".$1"
+    return "[.,]([0-9]{1,9})[0-9]*", ".$1"
+
+
 # ---------------------------------------------------------------------------
 # File-name globs
 # ---------------------------------------------------------------------------

@@ -1,5 +1,5 @@
-"""Typed conversion: the converter cases of the reference plus randomized equality
-against small Python models of the accepted grammars."""
+"""Typed conversion: single cases plus randomized equality against small Python models of the
+accepted grammars."""
 import datetime as dt
 import random
 
@@ -114,7 +114,76 @@ def test_defaults_and_nullable(spark):
     assert got[0][0] is None and "invalid IP" in got[0][1]
 
 
+def test_more_floats(spark):
+    vals = ["0x1p-2", "-0X1.8p+3", "0x.8p1", "0x1", "0x1p", "1_000.5", "1__0", "_1", "1_", "0x_1p4", "1e1_0", "0x1p2000"]
+    got = _conv(spark, vals, FieldSpec("f", "Float64"))
+    assert [g[0] for g in got] == [0.25, -12.0, 1.0, None, None, 1000.5, None, None, None, 16.0, 1e10, None]
+    assert "out of range" in got[11][1] and all("invalid syntax" in got[i][1] for i in (3, 4, 6, 7, 8))
+    assert _conv(spark, ["0x1.000001p0"], FieldSpec("g", "Float32"))[0][0] == 1.0
+
+
+def test_compact_comma_and_long_fractions(spark):
+    at = dt.datetime(2024, 12, 31, 7, 8, 9)
+    assert _conv(spark, ["20241231070809", "20241231070809.5", "2024123107080"], FieldSpec("t", "DateTime64(3)", layout="20060102150405"))[:2] == [
+        (at, None), (at.replace(microsecond=500000), None)]
+    lay = FieldSpec("t", "DateTime64(6)", layout="2006-01-02 15:04:05")
+    got = _conv(spark, ["2024-12-31 07:08:09,25", "2024-12-31 7:08:09.1234567891234", "2024-12-31 07:08:09."], lay)
+    assert [g[0] for g in got] == [at.replace(microsecond=250000), at.replace(microsecond=123456), None]
+    fixed = FieldSpec("t", "DateTime64(6)", layout="02.01.2006 15:04:05.000")
+    assert [g[0] for g in _conv(spark, ["31.12.2024 07:08:09.250", "31.12.2024 07:08:09.25"], fixed)] == [at.replace(microsecond=250000), None]
+    auto = _conv(spark, ["2024-12-31T07:08:09,5Z", "2024-12-31 07:08:09.99999999999", "2024-12-31"], FieldSpec("t", "DateTime64(6)"))
+    assert [g[0] for g in auto] == [at.replace(microsecond=500000), at.replace(microsecond=999999), dt.datetime(2024, 12, 31)]
+
+
 def test_ips(spark):
-    vals = ["1.2.3.4", "01.2.3.4", "256.0.0.1", "::ffff:1.2.3.4", "2001:db8::1", "fe80::1%eth0", "167772161"]
-    ok = [v is not None for v, _ in _conv(spark, vals, FieldSpec("ip", "IPv4"))]
-    assert ok == [True, False, False, True, True, False, False]
+    """Accepted texts and their canonical form, as Python's ipaddress module writes it (mapped
+    addresses as IPv4)."""
+    import ipaddress
+    rng = random.Random(11)
+    vals = ["1.2.3.4", "01.2.3.4", "256.0.0.1", "::ffff:1.2.3.4", "2001:DB8:0:0:0:0:0:1", "fe80::1%eth0", "167772161", "::", "::1", "1::",
+            "0:0:1::0:0:0", "1:0:0:2:0:0:0:3", "1:0:2:0:3:0:4:0", "::1.2.3.4", "64:ff9b::1.2.3.4", "0:0:0:0:0:ffff:0102:0304", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8:9", ":::", "g::1"]
+    for _ in range(200):
+        groups = [rng.choice(["0", "0", "0000", "1", "AbC", "0f0", "ffff"]) for _ in range(8)]
+        text = ":".join(groups)
+        if rng.random() < 0.4:
+            a, b = sorted((rng.randrange(9), rng.randrange(9)))
+            text = ":".join(groups[:a]) + "::" + ":".join(groups[b:]) if b - a else text
+        vals.append(text)
+
+    def model(v):
+        try:
+            ip = ipaddress.ip_address(v) if "%" not in v else None
+        except ValueError:
+            return None
+        return None if ip is None else str(ip.ipv4_mapped) if ip.version == 6 and ip.ipv4_mapped else str(ip)
+
+    got = _conv(spark, vals, FieldSpec("ip", "IPv4"))
+    # Python writes ::102:304 for ::1.2.3.4 like we do
+    assert [g[0] for g in got] == [model(v) for v in vals]
+
+
+def test_generated_methods_are_compiled(spark):
+    """No generated method of a wide typed projection reaches the JVM's limit for compiled code."""
+    from filament.operators.typed import typed_codes, typed_with_errors
+    types = ["UInt8", "Int8", "UInt16", "Int16", "UInt32", "Int32", "UInt64", "Int64", "Float64", "Float32", "Bool", "DateTime", "Date", "IPv4", "String"]
+    df = spark.range(1).select(F.col("id").cast("string").alias("t"))
+    fields = [FieldSpec(f"f{i}", t, source="t") for i, t in enumerate(types * 2)]
+    for out in (typed_codes(df, fields), typed_with_errors(df, fields[:15])):
+        sizes = [s._2().maxMethodCodeSize() for s in _codegen(spark, out)]
+        assert all(s < 8000 for s in sizes), sizes
+
+
+def _codegen(spark, df):
+    """(source, statistics) of each whole-stage part of the plan."""
+    jvm = spark.sparkContext._jvm
+    parts = getattr(jvm.org.apache.spark.sql.execution, "debug").__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(
+        df._jdf.queryExecution().executedPlan())
+
+    class Part:
+        def __init__(self, p):
+            self.p = p
+
+        def _2(self):
+            return self.p._3()
+
+    return [Part(parts.apply(i)) for i in range(parts.size())]

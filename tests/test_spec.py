@@ -20,6 +20,8 @@ def test_layouts():
     assert go_layout_to_pattern("2006-01-02T15:04:05Z07:00") == "yyyy-MM-dd'T'H:mm:ss[.SSSSSSSSS]XXX"
     assert go_layout_to_pattern("2006-01-02 15:04:05.000") == "yyyy-MM-dd H:mm:ss.SSS"
     assert go_layout_to_pattern("02/Jan/2006") == "dd/MMM/yyyy"
+    assert go_layout_to_pattern("20060102150405") == "yyyyMMddHHmmss[.SSSSSSSSS]"
+    assert go_layout_to_pattern("15h04 02.01.06") == "H'h'mm dd.MM.yy"
     with pytest.raises(SpecError):
         go_layout_to_pattern("_2 Jan")
 
