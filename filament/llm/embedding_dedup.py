@@ -6,10 +6,11 @@ r = sqrt(2 - 2t).  Bit-equal vectors form a class and are handled once, with the
    ``SAMPLE`` vectors (dealt by a hash).  The number of inverted lists follows the row count: about
    ``PER_LIST`` vectors a list, at most ``MAX_LISTS``.
 2. Index: every vector gets its list, its residual's codes and its quantisation error e.
-3. Search: a vector probes each list whose cell comes within r of it (the distance to the
-   bisecting plane between its own centroid and the list's, and the list's radius) - probes are
-   sufficient, no partner can stand in another list.
-   Each pair of lists meets once.  In a list, distances to codes come from a table per query
+3. Search: a vector probes each list whose cell comes near it: the distance to the plane between
+   its own centroid's cell and the list's is at most ``SIGMAS`` * r / sqrt(dimensions) - of a difference
+   of length r, the part along one direction has a standard deviation of r / sqrt(dimensions) -
+   and never more than r, beyond which no partner can stand there.  The number of probes
+   follows from this, it isn't capped.  Each pair of lists meets once.  In a list, distances to codes come from a table per query
    (asymmetric); candidates are those with table distance - e <= r, which no partner misses.
 4. Rerank: exact cosine in double precision.
 Lists are cut into blocks of about ``BLOCK`` vectors; queries meet block by block, so no list is held by
@@ -38,7 +39,7 @@ SUBSPACE = 8
 CODES = 256
 BLOCK = 1024
 QUERIES = 256
-EPS = 1e-9
+SIGMAS = 3.0
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -81,11 +82,11 @@ class Quantiser:
         return own, codes.astype(np.uint8), np.linalg.norm(rest - back, axis=1)
 
     def probes(self, x: np.ndarray, own: np.ndarray, radius: np.ndarray, r: float) -> np.ndarray:
-        """Which lists (columns) may hold a vector within ``r`` of each row."""
+        """Which lists (columns) are searched for vectors within ``r`` of each row."""
         d = squared(x, self.coarse)
         apart = np.sqrt(squared(self.coarse, self.coarse))[own]
         plane = (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * apart, 1e-12)
-        return (plane <= r + 1e-6) & (np.sqrt(d) <= radius[None, :] + r + 1e-6)
+        return (plane <= r * min(1.0, SIGMAS / x.shape[1] ** 0.5) + 1e-6) & (np.sqrt(d) <= radius[None, :] + r + 1e-6)
 
     def tables(self, x: np.ndarray, which: int) -> np.ndarray:
         """Squared distances from each query's residual to every code: (query, subspace, code)."""

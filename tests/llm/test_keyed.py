@@ -252,10 +252,24 @@ def test_vectors_brute(spark, monkeypatch, per_list, block):
     rows += [(2000, None), (2001, [0.0] * 24), (2002, [None] + [1.0] * 23), (2003, [float("nan")] * 24), (2004, [1.0, 2.0]), (2005, []),
              (None, rows[4][1]), (2006, [float("inf")] * 24), (2004, [1.0, 2.0]), (2007, [1e30] * 24), (2008, [1e-30] * 24)]
     got = embedding_dedup.near_duplicates(frame(spark, [(*r, 0) for r in rows], "vec_id long, embedding array<float>, label int")).collect()
-    assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vectors_brute(rows)
+    want = vectors_brute(rows)
+    assert sum(r["n_links"] for r in got) >= 0.999 * sum(n * k for (_, n, _), k in want.items())
+    assert sum((collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) & want).values()) >= 0.99 * len(rows)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_vectors_exact_with_all_probes(spark, monkeypatch, seed):
+    """With probes out to r nothing is missed."""
+    monkeypatch.setattr(embedding_dedup, "SIGMAS", 1e9)
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", 15)
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(20, 24))
+    rows = [(i, [float(f) for f in centres[i % 20] + rng.normal(size=24) * 0.22]) for i in range(300)]
+    got = embedding_dedup.near_duplicates(frame(spark, rows, "vec_id long, embedding array<double>")).collect()
+    assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vectors_brute(rows)
+
+
 def test_vectors_empty(spark):
     none = frame(spark, [], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(none).count() == 0
