@@ -4,12 +4,15 @@ A document's set: the distinct ``N``-word shingles of its whole text, A-Z lower-
 at white space; fewer words form one shingle; no words, no set and no link.  Shingles are 58-bit
 hashes; above them 6 bits hold how common the shingle is, so numeric order is the global
 order: rare ones first.  Commonness only orders, the results don't depend on it: for a share of
-all shingles (dealt by hash, twice what prefixes need) Spark finds over all documents which stand in
+all shingles (dealt by hash, far more than prefixes need) Spark finds over all documents which stand in
 one place only, and how often the most common ones stand; the other shingles come last.
 
 Two sets with Jaccard >= ``T`` share a shingle among the first |x| - ceil(T |x|) + 1 of each.
 1. Equal sets form a class; from here on one set stands for it.
-2. Shingles that stand in the prefixes of several classes link candidates.  Each candidate
+2. Shingles that stand in the prefixes of several classes of like length link candidates: a set
+   of n shingles is filed under the shingle and its length's power of 1/T and the next, which any
+   partner shares; the shorter of two partners has a shared shingle already among its first
+   n - ceil(2T/(1+T) n) + 1, so groups in which no set has are left out.  Each candidate
    goes to the block of the smallest class it shares a shingle with.
 3. A block's sets are stored in a trie; each set walks it, carrying the overlap of the
    shared path, and leaves subtrees that cannot reach the overlap needed by their
@@ -37,7 +40,7 @@ from .keyset import LOW, maybe_repeated, mix, repeated_keys
 
 N = 3
 T_NUM, T_DEN = 9, 10
-BLOCK = 256
+BLOCK = 128
 LEVEL_SHIFT = np.uint64(58)
 HASH_MASK = np.uint64((1 << 58) - 1)
 UNKNOWN = 62
@@ -85,6 +88,14 @@ def prefix_length(n: int, num: int = T_NUM, den: int = T_DEN) -> int:
     return n - -(-num * n // den) + 1 if n else 0
 
 
+def length_class(n: int, num: int, den: int) -> int:
+    """The power of den/num that a length reaches; partners' classes differ by one at most."""
+    k, limit = 0, 1.0
+    while limit * den / num <= n:
+        limit, k = limit * den / num, k + 1
+    return k
+
+
 class Trie:
     """Sets in global order as a path-compressed trie, and the walk that joins a set with it.
 
@@ -191,7 +202,7 @@ def join_blocks(docs: DataFrame, members: DataFrame, classes: DataFrame, order:
                     for k, v in zip(names, (block, sig, known, own)):
                         out[k].append(v)
                     size += len(own)
-                    if size > 16 << 20:
+                    if size > 4 << 20:
                         yield out
                         out, size = {k: [] for k in names}, 0
             yield out
@@ -207,16 +218,17 @@ def join_blocks(docs: DataFrame, members: DataFrame, classes: DataFrame, order:
             return {"u": [a for a, _ in links], "v": [b for _, b in links]}
 
         for b in batches:
-            for key, sig, known, data in zip(*(c.to_pylist() for c in b.columns)):
-                if key != block:
-                    if held[0]:
-                        yield close()
-                    block, held = key, ([], [], [])
-                if held[0] and held[0][-1] == sig:
-                    continue
-                held[0].append(sig)
-                held[1].append(np.frombuffer(data, np.uint64))
-                held[2].append(known)
+            for at in range(0, b.num_rows, 64):  # sets are long; few at a time leave Arrow's memory
+                for key, sig, known, data in zip(*(c.to_pylist() for c in b.slice(at, 64).columns)):
+                    if key != block:
+                        if held[0]:
+                            yield close()
+                        block, held = key, ([], [], [])
+                    if held[0] and held[0][-1] == sig:
+                        continue
+                    held[0].append(sig)
+                    held[1].append(np.frombuffer(data, np.uint64))
+                    held[2].append(known)
         if held[0]:
             yield close()
 
@@ -230,7 +242,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("tkey", F.xxhash64("t"))
     id_type = docs.schema["id"].dataType.simpleString()
-    share = min(16, -(-32 * (den - num) // den))  # sixteenths: twice the share of a prefix
+    share = min(16, max(8, -(-32 * (den - num) // den)))  # sixteenths: half of all shingles, or twice the share of a prefix
 
     def keys(b):
         for t in b.column(0).to_pylist():
@@ -257,14 +269,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def shared(batches):
         for b in batches:
-            rows = [(s, p[maybe_repeated(mix(p), bitmap.value)]) for s, p in
-                    ((s, np.frombuffer(p, np.uint64)) for s, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))]
-            yield {"sig": [s for s, p in rows for _ in range(len(p))],
-                   "token": np.concatenate([p for _, p in rows] or [np.zeros(0, np.uint64)]).astype(np.int64)}
-
-    occ = staged(arrow_map(feat.where("n > 0").select("sig", "prefix"), shared, "sig binary, token long").distinct(), spark)
-    lead = occ.groupBy("token").agg(F.min("sig").alias("lead"), F.max("sig").alias("last")).where("lead < last").drop("last")
-    occ = staged(occ.join(lead, "token"), spark)
+            out: dict = {"sig": [], "token": [], "early": []}
+            for s, p, size in zip(*(c.to_pylist() for c in b.columns)):
+                p = np.frombuffer(p, np.uint64)
+                at = np.flatnonzero(maybe_repeated(mix(p), bitmap.value))
+                if len(at):
+                    length = length_class(size, num, den)
+                    early = at < size + 1 - -(-2 * num * size // (den + num))
+                    for k in (length, length + 1):  # keys that meet by chance only test more
+                        out["token"].append(mix(p[at] + np.uint64(k) * np.uint64(MULTIPLIERS[0])).astype(np.int64))
+                        out["early"].append(early)
+                        out["sig"] += [s] * len(at)
+            if out["sig"]:
+                yield {"sig": out["sig"], "token": np.concatenate(out["token"]), "early": np.concatenate(out["early"])}
+
+    occ = staged(arrow_map(feat.where("n > 0").select("sig", "prefix", "n"), shared, "sig binary, token long, early boolean").distinct(), spark)
+    lead = occ.groupBy("token").agg(F.min("sig").alias("lead"), F.max("sig").alias("last"), F.max("early").alias("early")).where("lead < last and early")
+    occ = staged(occ.drop("early").join(lead.drop("last", "early"), "token"), spark)
 
     # one document per candidate class gives its set
     place = feat.where("n > 0").join(occ.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(
