@@ -99,24 +99,15 @@ def _mapped_value(t: Column) -> Column:
              .when(tail.rlike(f"^{_HEX}::\\z"), _hex(F.regexp_extract(tail, f"^({_HEX})", 1)) * 65536))
 
 
-def _ipv6_text(c: Column) -> Column:
-    """Canonical text of a valid IPv6 address: lower case, no leading zeros, and ``::`` for the longest
-    run of two or more zero groups (the first of equal ones)."""
-    t = F.lower(c)
-    tail = F.regexp_extract(t, "([0-9.]+)\\z", 1)
-    v = _dotted_to_long(tail)
-    hexed = F.concat(F.regexp_replace(t, "[0-9.]+\\z", ""), F.lower(F.hex(F.shiftright(v, 16))), F.lit(":"),
-                     F.lower(F.hex(v.bitwiseAND(F.lit(65535)))))
-    t = F.when(t.contains("."), hexed).otherwise(t)
-    left, right = F.substring_index(t, "::", 1), F.substring_index(t, "::", -1)
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: a one-element array.  Higher-order functions aren't
+    inlined in generated code, so a long expression for a rare case adds nothing to it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    def part(side: Column) -> Column:
-        return F.when(side == "", F.lit("")).otherwise(F.concat(F.lit(":"), side))
 
-    given = F.length(F.concat(part(left), part(right))) - F.length(F.replace(F.concat(part(left), part(right)), F.lit(":"), F.lit("")))
-    full = F.when(t.contains("::"), F.concat(part(left), F.repeat(F.lit(":0"), (F.lit(8) - given).cast("int")), part(right))
-                  ).otherwise(F.concat(F.lit(":"), t))
-    full = F.regexp_replace(full, ":0{1,3}(?=[0-9a-f])", ":")
+def _shorten(full: Column) -> Column:
+    """``:g1:...:g8`` without leading zeros -> canonical text: ``::`` for the longest run of two or
+    more zero groups (the first of equal ones)."""
     out = F.substring(full, 2, 100)
     for k in range(2, 9):  # the last that matches wins: the longest run
         run = f"^(.*?)(?::0){{{k}}}(?::(.*))?\\z"
@@ -125,11 +116,35 @@ def _ipv6_text(c: Column) -> Column:
     return out
 
 
+def _expand(t: Column) -> Column:
+    """A valid lower-case IPv6 text without a dotted tail -> ``:g1:...:g8`` without leading zeros."""
+    def part(side: Column) -> Column:
+        return F.when(side == "", F.lit("")).otherwise(F.concat(F.lit(":"), side))
+
+    left, right = part(F.substring_index(t, "::", 1)), part(F.substring_index(t, "::", -1))
+    both = F.concat(left, right)
+    given = F.length(both) - F.length(F.replace(both, F.lit(":"), F.lit("")))
+    full = F.when(t.contains("::"), F.concat(left, F.repeat(F.lit(":0"), (F.lit(8) - given).cast("int")), right)
+                  ).otherwise(F.concat(F.lit(":"), t))
+    return F.regexp_replace(full, ":0{1,3}(?=[0-9a-f])", ":")
+
+
+def _hex_tail(t: Column) -> Column:
+    """A dotted tail written as two groups."""
+    v = _dotted_to_long(F.regexp_extract(t, "([0-9.]+)\\z", 1))
+    hexed = F.concat(F.regexp_replace(t, "[0-9.]+\\z", ""), F.lower(F.hex(F.shiftright(v, 16))), F.lit(":"),
+                     F.lower(F.hex(v.bitwiseAND(F.lit(65535)))))
+    return F.when(t.contains("."), hexed).otherwise(t)
+
+
 def canonical_ip(c: Column) -> Column:
     """The address in its usual spelling (NULL if it is none): dotted IPv4, also for IPv4-mapped
-    IPv6 addresses, else canonical IPv6."""
-    v6 = F.when(c.rlike(MAPPED_RE), u32_to_dotted(_mapped_value(c))).when(is_ipv6(c), _ipv6_text(c))
-    return F.when(c.contains(":"), v6).when(is_ipv4(c), c)
+    IPv6 addresses, else lower-case compressed IPv6."""
+    def v6(x: Column) -> Column:
+        text = _bound(_expand(_bound(F.lower(x), _hex_tail)), _shorten)
+        return F.when(x.rlike(MAPPED_RE), u32_to_dotted(_mapped_value(x))).when(is_ipv6(x), text)
+
+    return F.when(c.contains(":"), _bound(c, v6)).when(is_ipv4(c), c)
 
 
 def ip_to_u32(c: Column) -> Column:

@@ -20,7 +20,7 @@ LEDGER_COLUMNS = [
     ("pipeline", "string"), ("file_path", "string"), ("file_size", "bigint"), ("file_mod_time", "timestamp"),
     ("status", "string"), ("rows", "bigint"), ("attempts", "int"), ("processed_at", "timestamp"),
     ("next_retry_at", "timestamp"), ("dead_letter_at", "timestamp"), ("dead_letter_to", "string"),
-    ("error", "string"), ("seq", "bigint"), ("run_id", "string"),
+    ("error", "string"), ("seq", "bigint"), ("run_id", "string"), ("rows_read", "bigint"),
 ]
 LEDGER_SCHEMA = ", ".join(f"{n} {t}" for n, t in LEDGER_COLUMNS)
 KEY = ["pipeline", "file_path"]
@@ -32,8 +32,8 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Ledger column order and types."""
-    return df.select(*[F.col(n).cast(t).alias(n) for n, t in LEDGER_COLUMNS])
+    """Ledger column order and types (columns that an older ledger lacks are NULL)."""
+    return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in LEDGER_COLUMNS])
 
 
 def latest(ledger: DataFrame) -> DataFrame:
@@ -89,8 +89,10 @@ def recover(latest_df: DataFrame, pipeline: str, now: dt.datetime, seq: int) ->
 
 
 def done(claimed: DataFrame, verdict: DataFrame, now: dt.datetime, seq: int, run_id: str) -> DataFrame:
-    """L4: rows set, error cleared, attempts kept.  ``verdict``: ``file_path, rows``."""
-    j = claimed.drop("rows").join(verdict.select("file_path", "rows"), "file_path")
+    """L4: rows set, error cleared, attempts kept.  ``verdict``: ``file_path, rows`` and, where
+    rows were dropped on the way, ``rows_read``."""
+    read = F.col("rows_read") if "rows_read" in verdict.columns else F.col("rows")
+    j = claimed.drop("rows", "rows_read").join(verdict.select("file_path", "rows", read.alias("rows_read")), "file_path")
     return _rewrite(j, seq, now, status=F.lit("done"), error=F.lit(""), run_id=F.lit(run_id))
 
 

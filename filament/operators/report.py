@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filament.functions.text import sanitize_name
 
-# Counters derivable from the ledger (the engine-internal ones —
-# claim/list/mark errors and per-batch counts — have no counterpart here).
-LEDGER_METRICS = ["files_done_total", "files_failed_total", "files_dead_total", "rows_written_total",
-                  "files_seen_total"]
+# The counters kept per pipeline.
+LEDGER_METRICS = ["files_seen_total", "files_processing_total", "files_done_total", "files_failed_total", "files_dead_total",
+                  "files_scheduled_retry_total", "files_failed_no_retry_total", "rows_read_total", "rows_written_total",
+                  "transform_errors_total", "file_process_ms_total"]
+ENDED = ("done", "failed", "dead")
 
 
 def agg_count(df: DataFrame) -> DataFrame:
@@ -25,24 +26,37 @@ def agg_extent(df: DataFrame, time_col: str) -> DataFrame:
     return a.withColumn("extent", F.concat(F.date_format("min_time", fmt), F.lit(" -> "), F.date_format("max_time", fmt)))
 
 
-def counters_from_ledger(latest: DataFrame) -> DataFrame:
-    """A5: ``pipeline, metric, value`` (long form) from the current ledger records."""
-    s = F.col("status")
-    wide = latest.groupBy("pipeline").agg(
-        F.count(F.when(s == "done", 1)).alias("files_done_total"),
-        F.count(F.when(s.isin("failed", "dead"), 1)).alias("files_failed_total"),
-        F.count(F.when(s == "dead", 1)).alias("files_dead_total"),
-        F.coalesce(F.sum(F.when(s == "done", F.col("rows"))), F.lit(0)).cast("long").alias("rows_written_total"),
-        F.count(F.lit(1)).alias("files_seen_total"))
+def counters_from_ledger(ledger: DataFrame) -> DataFrame:
+    """A5: ``pipeline, metric, value`` (long form) over the whole ledger: every record counts, so a
+    file that failed twice and then passed has two failures.  Processing time runs from a file's
+    claim to the record that ends it.  Pipeline names are sanitized as metric names are."""
+    w = Window.partitionBy("pipeline", "file_path").orderBy("seq")
+    s, before = F.col("status"), F.lag(F.struct("status", "processed_at")).over(w)
+    rec = ledger.withColumn("_before", before).withColumn("_first", (F.row_number().over(w) == 1).cast("long"))
+    took = F.when(s.isin(*ENDED) & (F.col("_before.status") == "processing"),
+                  F.unix_millis("processed_at") - F.unix_millis("_before.processed_at"))
+    final = s.isin("failed", "dead")
+    count = lambda c: F.count(F.when(c, 1))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    done_rows, read = F.when(s == "done", F.col("rows")), F.when(s == "done", F.coalesce("rows_read", "rows"))
+    wide = rec.groupBy(sanitize_name(F.col("pipeline")).alias("pipeline")).agg(
+        F.sum("_first").alias("files_seen_total"), count(s == "processing").alias("files_processing_total"),
+        count(s == "done").alias("files_done_total"), count(final).alias("files_failed_total"), count(s == "dead").alias("files_dead_total"),
+        count((s == "failed") & F.col("next_retry_at").isNotNull()).alias("files_scheduled_retry_total"),
+        count((s == "failed") & F.col("next_retry_at").isNull()).alias("files_failed_no_retry_total"),
+        total(read).alias("rows_read_total"), total(done_rows).alias("rows_written_total"),
+        total(read - done_rows).alias("transform_errors_total"), total(took).alias("file_process_ms_total"))
     stack = ", ".join(f"'{m}', {m}" for m in LEDGER_METRICS)
     return wide.selectExpr("pipeline", f"stack({len(LEDGER_METRICS)}, {stack}) AS (metric, value)")
 
 
-def counters_from_run(spark, pipeline: str, counts: dict[str, int]) -> DataFrame:
-    """A5 for one run: ``<sanitized pipeline>`` keyed counters (durations in ms)."""
-    rows = [(pipeline, m, int(v)) for m, v in counts.items()]
-    df = spark.createDataFrame(rows, "pipeline string, metric string, value long")
-    return df.withColumn("pipeline", sanitize_name(F.col("pipeline")))
+def throughput_from_ledger(ledger: DataFrame) -> DataFrame:
+    """A6 per pipeline: rows of done files over the time from the first claim to the last end."""
+    s = F.col("status")
+    t = ledger.groupBy("pipeline").agg(
+        F.coalesce(F.sum(F.when(s == "done", F.col("rows"))), F.lit(0)).alias("rows_written"),
+        (F.max(F.when(s.isin(*ENDED), F.unix_millis("processed_at"))) - F.min(F.when(s == "processing", F.unix_millis("processed_at")))).alias("elapsed_ms"))
+    return throughput(t, "rows_written", "elapsed_ms")
 
 
 def throughput(df: DataFrame, rows_col: str, ms_col: str) -> DataFrame:

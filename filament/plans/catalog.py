@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filament.functions.casts import cast_field
-from filament.functions.ip import IPV4_RE, IPV6_RE, ip_to_u32, u32_to_dotted
+from filament.functions.ip import ip_to_u32, u32_to_dotted
 from filament.functions.text import WHITE_SPACE, go_trim
 from filament.operators import ledger as L
 from filament.operators.chain import ChainContext, TRANSFORM_ERROR, apply_chain, register
@@ -26,7 +26,7 @@ from filament.operators.iplookup import bucketed_ranges, ip_enrich, lookup
 from filament.operators.merge import header_columns, header_merge, static_merge
 from filament.operators.provenance import add_provenance, record_id, row_hash
 from filament.operators.ready import ready_files
-from filament.operators.report import agg_count, agg_extent, counters_from_ledger, throughput
+from filament.operators.report import agg_count, agg_extent, counters_from_ledger, throughput_from_ledger
 from filament.operators.split import positional_fields, split_line, split_literal, split_quoted
 from filament.operators.typed import typed_projection, typed_with_errors
 from filament.operators.verdict import file_verdict, verdict_for_files
@@ -52,6 +52,10 @@ def query(name: str, sql: str | None):
     return deco
 
 
+#: file names (about 100 bytes each) that a query broadcasts at most
+BROADCAST_FILES = 100_000
+
+
 def prep(spark: SparkSession) -> None:
     # Wall-clock semantics of the derived text: parse and print in UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -117,9 +121,9 @@ rng AS (
 
 
 def _ranges_ctx(spark: SparkSession, sf_dir: str) -> ChainContext:
-    """The customer-derived IP table, bucketed and cached (a dimension table, sized
-    before it is broadcast)."""
-    table = bucketed_ranges(D.customer_ranges(spark, sf_dir)).cache()
+    """The customer-derived IP table, bucketed (a dimension table, counted before it is
+    broadcast)."""
+    table = bucketed_ranges(D.customer_ranges(spark, sf_dir))
     return ChainContext(ip_table=table, ip_attrs=list(D.RANGE_ATTRS), ip_table_rows=table.count())
 
 
@@ -128,9 +132,10 @@ def _ranges_ctx(spark: SparkSession, sf_dir: str) -> ChainContext:
 # ---------------------------------------------------------------------------
 
 def publishable(typed: DataFrame) -> DataFrame:
-    """Rows of files without any error (all-or-nothing per file)."""
+    """Rows of files without any error (all-or-nothing per file).  The bad files are counted, and
+    broadcast unless there are very many, so the rows aren't shuffled on a few file names."""
     bad = typed.filter(F.col("_err_field").isNotNull()).select("_file").distinct()
-    return typed.join(bad, "_file", "left_anti")
+    return typed.join(F.broadcast(bad) if bad.count() <= BROADCAST_FILES else bad, "_file", "left_anti")
 
 
 def ingest_events_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +185,7 @@ query("ingest_events", INGEST_SQL)(ingest_events_df)
 
 DOCS = f"""
 dl AS (
-  SELECT doc_id % 8 AS file_key, doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS raw
+  SELECT doc_id % 64 AS file_key, doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS raw
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
 dl2 AS (
   SELECT file_key, doc_id, pos, regexp_replace(raw, '\\r$', '') AS raw FROM dl),
@@ -199,7 +204,7 @@ def q_scan_lines(spark, sf_dir):
 @query("line_numbers", f"WITH {DOCS} SELECT file_key, line_no, line, sha1(raw) AS raw_hash FROM dn")
 def q_line_numbers(spark, sf_dir):
     prep(spark)
-    n = number_scanned(D.document_lines(spark, sf_dir), est_splits=D.DOC_BUCKETS * 64)
+    n = number_scanned(D.document_lines(spark, sf_dir))
     return n.select("file_key", F.col("_line_no").alias("line_no"), F.col("_line").alias("line"),
                     row_hash(F.col("_raw")).alias("raw_hash"))
 
@@ -207,18 +212,29 @@ def q_line_numbers(spark, sf_dir):
 @query("skip_lines", f"WITH {DOCS} SELECT file_key, line_no, line FROM dn WHERE line_no > 5")
 def q_skip_lines(spark, sf_dir):
     prep(spark)
-    n = number_scanned(D.document_lines(spark, sf_dir), est_splits=D.DOC_BUCKETS * 64)
+    n = number_scanned(D.document_lines(spark, sf_dir))
     return n.filter(F.col("_line_no") > 5).select("file_key", F.col("_line_no").alias("line_no"),
                                                    F.col("_line").alias("line"))
 
 
-# A3: rows per file, left-joined from the file list (files 20..23 have no data lines,
-# and every file's first line is skipped as a header).
+# S1, P4 over lines that are not UTF-8: hashes are those of the bytes in the file.
+@query("row_hash_bytes", """
+SELECT event_id % 64 AS file_key, row_number() OVER (PARTITION BY event_id % 64 ORDER BY event_id) AS line_no,
+       sha1(encode(event_id::VARCHAR || '|' || event_type) || unhex('D6') || unhex(printf('%02X', event_id % 100 + 128))) AS row_hash
+FROM events""")
+def q_row_hash_bytes(spark, sf_dir):
+    prep(spark)
+    n = number_scanned(D.byte_lines(spark, sf_dir), with_head=False)
+    return n.select(F.col("file_key").cast("long").alias("file_key"), F.col("_line_no").alias("line_no"), row_hash(F.col("_raw")).alias("row_hash"))
+
+
+# A3: rows per file, left-joined from the file list (files with an odd number have no data
+# lines, and every file's first line is skipped as a header).
 ROWS_PER_FILE_SQL = """
-WITH files AS (SELECT DISTINCT '/in/g' || (event_id % 24)::VARCHAR || '.log' AS file_path FROM events),
-l AS (SELECT '/in/g' || (event_id % 24)::VARCHAR || '.log' AS file_path,
+WITH files AS (SELECT DISTINCT '/in/g' || (event_id % 48)::VARCHAR || '.log' AS file_path FROM events),
+l AS (SELECT '/in/g' || (event_id % 24 * 2)::VARCHAR || '.log' AS file_path,
              row_number() OVER (PARTITION BY event_id % 24 ORDER BY event_id) AS line_no
-      FROM events WHERE event_id % 24 < 20)
+      FROM events)
 SELECT f.file_path, count(l.line_no) FILTER (WHERE l.line_no > 1)::BIGINT AS rows
 FROM files f LEFT JOIN l USING (file_path) GROUP BY f.file_path"""
 
@@ -227,10 +243,9 @@ FROM files f LEFT JOIN l USING (file_path) GROUP BY f.file_path"""
 def q_rows_per_file(spark, sf_dir):
     prep(spark)
     ev = D.table(spark, sf_dir, "events")
-    path = F.concat(F.lit("/in/g"), (F.col("event_id") % 24).cast("string"), F.lit(".log"))
-    files = ev.select(path.alias("_file")).distinct()
-    data = ev.filter(F.col("event_id") % 24 < 20)
-    lines = lines_from_frame(data, path, F.col("event_type"), F.col("event_id"))
+    path = lambda n: F.concat(F.lit("/in/g"), n.cast("string"), F.lit(".log"))
+    files = ev.select(path(F.col("event_id") % 48).alias("_file")).distinct()
+    lines = lines_from_frame(ev, path(F.col("event_id") % 24 * 2), F.col("event_type"), F.col("event_id"))
     n = number_by_key(lines)
     counts = n.filter(F.col("_line_no") > 1).groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
     return verdict_for_files(files, counts).select(F.col("_file").alias("file_path"), "rows")
@@ -247,7 +262,7 @@ WITH b AS (
   SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t, event_type, props, user_id
   FROM events)
 SELECT event_id,
-       t AS f1, event_type || '|x' AS f2, props AS f3, ' u ' || user_id::VARCHAR AS f4_raw,
+       t AS f1, event_type || '|x' AS f2, props AS f3,
        'u ' || user_id::VARCHAR AS f4,
        CASE WHEN event_id % 11 = 0 THEN 'it''s|x|y' ELSE ((event_id % 7) + 1)::VARCHAR END AS f5,
        CASE WHEN event_id % 11 = 0 THEN 5 ELSE 5 END::INTEGER AS n_parts
@@ -268,7 +283,6 @@ def q_split_quoted(spark, sf_dir):
     prep(spark)
     df = _split_lines(spark, sf_dir).withColumn("p", split_quoted(F.col("line"), "|"))
     return df.select("event_id", *[F.get("p", i).alias(f"f{i + 1}") for i in range(3)],
-                     F.concat(F.lit(" u "), F.col("user_id").cast("string")).alias("f4_raw"),
                      F.get("p", 3).alias("f4"), F.get("p", 4).alias("f5"), F.size("p").alias("n_parts"))
 
 
@@ -489,6 +503,8 @@ CASE WHEN l_orderkey % 97 = 0 THEN '1e400'
      WHEN l_orderkey % 71 = 0 THEN '5.'
      WHEN l_orderkey % 67 = 0 THEN ''
      WHEN l_orderkey % 61 = 0 THEN '0x1p-2'
+     WHEN l_orderkey % 43 = 0 THEN '1_0.5e1_0'
+     WHEN l_orderkey % 41 = 0 THEN '1__0'
      WHEN l_orderkey % 59 = 0 THEN '1e39'
      WHEN l_orderkey % 53 = 0 THEN '-2.5E-3'
      ELSE l_orderkey::VARCHAR || '.' || lpad((l_linenumber * 7 % 100)::VARCHAR, 2, '0') END"""
@@ -498,7 +514,7 @@ def _float_text():
     k = F.col("l_orderkey")
     return (F.when(k % 97 == 0, "1e400").when(k % 89 == 0, "inf").when(k % 83 == 0, "-Infinity")
              .when(k % 79 == 0, "1d").when(k % 73 == 0, ".5").when(k % 71 == 0, "5.").when(k % 67 == 0, "")
-             .when(k % 61 == 0, "0x1p-2").when(k % 59 == 0, "1e39").when(k % 53 == 0, "-2.5E-3")
+             .when(k % 61 == 0, "0x1p-2").when(k % 43 == 0, "1_0.5e1_0").when(k % 41 == 0, "1__0").when(k % 59 == 0, "1e39").when(k % 53 == 0, "-2.5E-3")
              .otherwise(F.concat(k.cast("string"), F.lit("."), F.lpad((F.col("l_linenumber") * 7 % 100).cast("string"), 2, "0"))))
 
 
@@ -507,9 +523,10 @@ def _float_sql(t: str, sql_type: str, name: str, max_abs: str) -> tuple[str, str
     inf = f"regexp_full_match(lower({t}), '[+-]?inf(inity)?')"
     parsed = f"TRY_CAST({t} AS DOUBLE)"
     ok_range = f"(abs({parsed}) <= {max_abs})"
-    val = (f"CASE WHEN {inf} THEN (CASE WHEN {t} LIKE '-%' THEN '-inf' ELSE 'inf' END)::{sql_type} "
+    odd = f"{t} IN ('0x1p-2', '1_0.5e1_0')"
+    val = (f"CASE WHEN {t} = '0x1p-2' THEN 0.25 WHEN {t} = '1_0.5e1_0' THEN 10.5e10::{sql_type} WHEN {inf} THEN (CASE WHEN {t} LIKE '-%' THEN '-inf' ELSE 'inf' END)::{sql_type} "
            f"WHEN {dec} AND {ok_range} THEN TRY_CAST({t} AS {sql_type}) END")
-    err = (f"CASE WHEN NOT ({dec} OR {inf}) THEN 'field \"{name}\": strconv.ParseFloat: parsing \"' || {t} || '\": invalid syntax' "
+    err = (f"CASE WHEN {odd} THEN NULL WHEN NOT ({dec} OR {inf}) THEN 'field \"{name}\": strconv.ParseFloat: parsing \"' || {t} || '\": invalid syntax' "
            f"WHEN {dec} AND NOT {ok_range} THEN 'field \"{name}\": strconv.ParseFloat: parsing \"' || {t} || '\": value out of range' END")
     return val, err
 
@@ -565,6 +582,8 @@ CASE WHEN o_orderkey % 97 = 0 THEN '1995-02-30 10:00:00'
      WHEN o_orderkey % 71 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
      WHEN o_orderkey % 67 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T10:11:12Z'
      WHEN o_orderkey % 61 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T10:11:12.123456+02:00'
+     WHEN o_orderkey % 59 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',5'
+     WHEN o_orderkey % 53 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.123456789123'
      ELSE strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%Y-%m-%d %H:%M:%S') END"""
 
 
@@ -577,12 +596,13 @@ def _time_text():
     return (F.when(k % 97 == 0, "1995-02-30 10:00:00").when(k % 89 == 0, F.concat(d, F.lit(" 9:05:01")))
              .when(k % 83 == 0, F.concat(full, F.lit(".25"))).when(k % 79 == 0, "").when(k % 73 == 0, "not a time")
              .when(k % 71 == 0, d).when(k % 67 == 0, F.concat(d, F.lit("T10:11:12Z")))
-             .when(k % 61 == 0, F.concat(d, F.lit("T10:11:12.123456+02:00"))).otherwise(shifted))
+             .when(k % 61 == 0, F.concat(d, F.lit("T10:11:12.123456+02:00"))).when(k % 59 == 0, F.concat(full, F.lit(",5")))
+             .when(k % 53 == 0, F.concat(full, F.lit(".123456789123"))).otherwise(shifted))
 
 
 def _cast_times_sql() -> str:
-    plain = "regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?')"
-    padded = "regexp_replace(t, ' ([0-9]):', ' 0\\1:')"
+    plain = "regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?')"
+    padded = "regexp_replace(regexp_replace(t, ' ([0-9]):', ' 0\\1:'), '[.,]([0-9]{1,6})[0-9]*$', '.\\1')"
     with_layout = f"CASE WHEN t = '' THEN TIMESTAMP '0001-01-01 00:00:00' WHEN {plain} THEN TRY_CAST({padded} AS TIMESTAMP) END"
     rfc = "regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})')"
     date_only = "regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"
@@ -594,9 +614,9 @@ def _cast_times_sql() -> str:
     no_layout = (f"CASE WHEN t = '' THEN TIMESTAMP '0001-01-01 00:00:00' WHEN {rfc} THEN {rfc_val} "
                  f"WHEN {plain} THEN TRY_CAST({padded} AS TIMESTAMP) WHEN {date_only} THEN TRY_CAST(t AS TIMESTAMP) END")
     return f"""
-WITH b AS (SELECT o_orderkey, {TRIM(TIME_TEXT_SQL)} AS t FROM orders),
-c AS (SELECT o_orderkey, t, {with_layout} AS a, {no_layout} AS b FROM b)
-SELECT o_orderkey,
+WITH b AS (SELECT o_orderkey, date_trunc('day', o_orderdate) + to_seconds(o_orderkey % 86400) AS compact, {TRIM(TIME_TEXT_SQL)} AS t FROM orders),
+c AS (SELECT o_orderkey, t, compact, {with_layout} AS a, {no_layout} AS b FROM b)
+SELECT o_orderkey, compact AS dt_compact,
        date_trunc('second', a) AS dt_layout,
        CASE WHEN a IS NULL THEN 'field "dt_layout": parsing time "' || t || '" as "2006-01-02 15:04:05": cannot parse' END AS dt_layout_err,
        b AS dt64_auto,
@@ -608,17 +628,20 @@ FROM c"""
 @query("cast_times", _cast_times_sql())
 def q_cast_times(spark, sf_dir):
     prep(spark)
-    o = D.table(spark, sf_dir, "orders").select("o_orderkey", _time_text().alias("t"))
-    t = typed_with_errors(o, [FieldSpec("dt_layout", "DateTime", layout="2006-01-02 15:04:05", source="t"),
+    at = F.date_trunc("day", "o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    o = D.table(spark, sf_dir, "orders").select("o_orderkey", _time_text().alias("t"), F.date_format(at, "yyyyMMddHHmmss").alias("c"))
+    t = typed_with_errors(o, [FieldSpec("dt_compact", "DateTime", layout="20060102150405", source="c"), FieldSpec("dt_layout", "DateTime", layout="2006-01-02 15:04:05", source="t"),
                               FieldSpec("dt64_auto", "DateTime64(6)", source="t"), FieldSpec("d_auto", "Date", source="t")],
                           ["o_orderkey"])
-    return ntz(t.drop("d_auto_err"))
+    return ntz(t.drop("d_auto_err", "dt_compact_err"))
 
 
 IP_TEXT_SQL = f"""
 CASE WHEN o_orderkey % 13 = 0 THEN '0' || {DOTTED('(o_orderkey * 2654435761) % 4294967296')}
      WHEN o_orderkey % 11 = 0 THEN '::ffff:' || {DOTTED('(o_orderkey * 2654435761) % 4294967296')}
-     WHEN o_orderkey % 7 = 0 THEN '2001:db8::' || lower(printf('%x', o_orderkey % 65536))
+     WHEN o_orderkey % 7 = 0 AND o_orderkey % 3 = 0 THEN '2001:db8::' || lower(printf('%x', o_orderkey % 65536))
+     WHEN o_orderkey % 7 = 0 AND o_orderkey % 3 = 1 THEN '2001:DB8:0:00:000:0000:0:' || upper(printf('%x', o_orderkey % 65536))
+     WHEN o_orderkey % 7 = 0 THEN '0:0:1::' || lower(printf('%x', o_orderkey % 65536)) || ':0:0'
      WHEN o_orderkey % 5 = 0 THEN (o_orderkey * 2654435761 % 4294967296)::VARCHAR
      WHEN o_orderkey % 17 = 0 THEN '256.1.2.3'
      WHEN o_orderkey % 19 = 0 THEN ''
@@ -630,18 +653,26 @@ def _ip_text():
     n = (k * 2654435761) % 4294967296
     dotted = u32_to_dotted(n)
     return (F.when(k % 13 == 0, F.concat(F.lit("0"), dotted)).when(k % 11 == 0, F.concat(F.lit("::ffff:"), dotted))
-             .when(k % 7 == 0, F.concat(F.lit("2001:db8::"), F.lower(F.hex(k % 65536))))
+             .when((k % 7 == 0) & (k % 3 == 0), F.concat(F.lit("2001:db8::"), F.lower(F.hex(k % 65536))))
+             .when((k % 7 == 0) & (k % 3 == 1), F.concat(F.lit("2001:DB8:0:00:000:0000:0:"), F.hex(k % 65536)))
+             .when(k % 7 == 0, F.concat(F.lit("0:0:1::"), F.lower(F.hex(k % 65536)), F.lit(":0:0")))
              .when(k % 5 == 0, n.cast("string")).when(k % 17 == 0, "256.1.2.3").when(k % 19 == 0, "")
              .otherwise(dotted))
 
 
+# What each form of IP_TEXT_SQL must become, stated form by form.
 CAST_IP_SQL = f"""
-WITH b AS (SELECT o_orderkey, {IP_TEXT_SQL} AS t FROM orders),
-c AS (SELECT o_orderkey, t,
-             CASE WHEN t LIKE '%:%' THEN regexp_full_match(t, '{IPV6_RE}') ELSE regexp_full_match(t, '{IPV4_RE}') END AS ok
-      FROM b)
-SELECT o_orderkey, CASE WHEN ok THEN t END AS ip,
-       CASE WHEN NOT ok THEN 'field "ip": invalid IP "' || t || '"' END AS ip_err
+WITH b AS (SELECT o_orderkey AS k, {IP_TEXT_SQL} AS t, lower(printf('%x', o_orderkey % 65536)) AS h,
+                  {DOTTED('(o_orderkey * 2654435761) % 4294967296')} AS dotted FROM orders),
+c AS (SELECT k, t, CASE
+        WHEN k % 13 = 0 THEN NULL
+        WHEN k % 11 = 0 THEN dotted
+        WHEN k % 7 = 0 AND k % 3 < 2 THEN '2001:db8::' || CASE WHEN h = '0' THEN '' ELSE h END
+        WHEN k % 7 = 0 AND h = '0' THEN '0:0:1::'
+        WHEN k % 7 = 0 THEN '::1:0:0:' || h || ':0:0'
+        WHEN k % 5 = 0 OR k % 17 = 0 OR k % 19 = 0 THEN NULL
+        ELSE dotted END AS ip FROM b)
+SELECT k AS o_orderkey, ip, CASE WHEN ip IS NULL THEN 'field "ip": invalid IP "' || t || '"' END AS ip_err
 FROM c"""
 
 
@@ -653,13 +684,10 @@ def q_cast_ip(spark, sf_dir):
     return o.select("o_orderkey", v.alias("ip"), e.alias("ip_err"))
 
 
-IP_TO_INT_SQL = f"""
-WITH b AS (SELECT o_orderkey, {IP_TEXT_SQL} AS t FROM orders)
-SELECT o_orderkey,
-       CASE WHEN regexp_full_match(t, '{IPV4_RE}') THEN {IPINT('t')}
-            WHEN regexp_full_match(t, '::ffff:{IPV4_RE}') THEN {IPINT("substr(t, 8)")}
-            WHEN regexp_full_match(t, '[0-9]+') AND TRY_CAST(t AS HUGEINT) <= 4294967295 THEN t::BIGINT
-       END AS ip_int
+IP_TO_INT_SQL = """
+WITH b AS (SELECT o_orderkey AS k, (o_orderkey * 2654435761) % 4294967296 AS n FROM orders)
+SELECT k AS o_orderkey, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 11 = 0 THEN n WHEN k % 7 = 0 THEN NULL WHEN k % 5 = 0 THEN n
+                             WHEN k % 17 = 0 OR k % 19 = 0 THEN NULL ELSE n END::BIGINT AS ip_int
 FROM b"""
 
 
@@ -1165,7 +1193,7 @@ def q_dead_letter(spark, sf_dir):
     dead = failed.filter(F.col("status") == "dead").select("file_path", "error")
     lines = D.event_feed(spark, sf_dir, status=F.when(F.col("event_id") % 97 == 13, F.concat(
         F.lit("bad"), (F.col("event_id") % 3).cast("string"))).otherwise((F.col("event_id") % 600).cast("string")))
-    return dead_letter_rows(lines, dead, "events_cdr")
+    return dead_letter_rows(lines, dead, "events_cdr", n_dead=dead.count())
 
 
 # ---------------------------------------------------------------------------
@@ -1190,26 +1218,37 @@ def q_agg_extent(spark, sf_dir):
 
 COUNTERS_SQL = f"""
 WITH {LEDGER_SQL},
+x AS (SELECT *, lag(status) OVER w AS before, lag(processed_at) OVER w AS since, row_number() OVER w AS nth
+      FROM (SELECT lg.*, rows + seq % 7 AS rows_read FROM lg) WINDOW w AS (PARTITION BY pipeline, file_path ORDER BY seq)),
 c AS (SELECT pipeline,
+             (count(*) FILTER (WHERE nth = 1))::BIGINT AS files_seen_total,
+             (count(*) FILTER (WHERE status = 'processing'))::BIGINT AS files_processing_total,
              (count(*) FILTER (WHERE status = 'done'))::BIGINT AS files_done_total,
              (count(*) FILTER (WHERE status IN ('failed', 'dead')))::BIGINT AS files_failed_total,
              (count(*) FILTER (WHERE status = 'dead'))::BIGINT AS files_dead_total,
+             (count(*) FILTER (WHERE status = 'failed' AND next_retry_at IS NOT NULL))::BIGINT AS files_scheduled_retry_total,
+             (count(*) FILTER (WHERE status = 'failed' AND next_retry_at IS NULL))::BIGINT AS files_failed_no_retry_total,
+             coalesce(sum(rows_read) FILTER (WHERE status = 'done'), 0)::BIGINT AS rows_read_total,
              coalesce(sum(rows) FILTER (WHERE status = 'done'), 0)::BIGINT AS rows_written_total,
-             count(*)::BIGINT AS files_seen_total
-      FROM cur GROUP BY pipeline)
-UNPIVOT c ON files_done_total, files_failed_total, files_dead_total, rows_written_total, files_seen_total
-INTO NAME metric VALUE value"""
+             coalesce(sum(rows_read - rows) FILTER (WHERE status = 'done'), 0)::BIGINT AS transform_errors_total,
+             coalesce(sum(epoch_ms(processed_at) - epoch_ms(since)) FILTER (WHERE before = 'processing' AND status IN ('done', 'failed', 'dead')), 0)::BIGINT
+               AS file_process_ms_total
+      FROM x GROUP BY pipeline)
+UNPIVOT c ON COLUMNS(* EXCLUDE (pipeline)) INTO NAME metric VALUE value"""
 
 
 @query("counters", COUNTERS_SQL)
 def q_counters(spark, sf_dir):
     prep(spark)
-    return counters_from_ledger(L.latest(D.order_ledger(spark, sf_dir)))
+    return counters_from_ledger(D.order_ledger(spark, sf_dir))
 
 
 THROUGHPUT_SQL = f"""
 WITH {LEDGER_SQL},
-t AS (SELECT pipeline, sum(rows) FILTER (WHERE status = 'done') AS rows, count(*) * 1500 AS ms FROM cur GROUP BY pipeline)
+t AS (SELECT pipeline, coalesce(sum(rows) FILTER (WHERE status = 'done'), 0) AS rows,
+             max(epoch_ms(processed_at)) FILTER (WHERE status IN ('done', 'failed', 'dead'))
+             - min(epoch_ms(processed_at)) FILTER (WHERE status = 'processing') AS ms
+      FROM lg GROUP BY pipeline)
 SELECT pipeline, rows::BIGINT AS rows_written, ms::BIGINT AS elapsed_ms,
        (rows // greatest(ms // 1000, 1))::BIGINT AS rows_per_sec,
        rows::DOUBLE / (ms::DOUBLE / 1000.0) AS rows_per_sec_exact
@@ -1219,34 +1258,35 @@ FROM t"""
 @query("throughput", THROUGHPUT_SQL)
 def q_throughput(spark, sf_dir):
     prep(spark)
-    cur = L.latest(D.order_ledger(spark, sf_dir))
-    t = cur.groupBy("pipeline").agg(
-        F.sum(F.when(F.col("status") == "done", F.col("rows"))).alias("rows_written"),
-        (F.count(F.lit(1)) * 1500).alias("elapsed_ms"))
-    return throughput(t, "rows_written", "elapsed_ms")
+    return throughput_from_ledger(D.order_ledger(spark, sf_dir))
 
 
-@query("verify_select", f"""WITH {EV}
-SELECT strptime(split_part(line, '|', 1), '%Y-%m-%d %H:%M:%S') AS event_time, split_part(line, '|', 2) AS src_ip,
-       split_part(line, '|', 4) AS event_type
-FROM num WHERE line_no > 1 AND split_part(line, '|', 4) = 'error' ORDER BY event_time""")
+@query("verify_select", f"SELECT * FROM ({INGEST_SQL}) ORDER BY event_time, _etl_record_id")
 def q_verify_select(spark, sf_dir):
-    df = ingest_events_df(spark, sf_dir)
-    return df.filter(F.col("event_type") == "error").select("event_time", "src_ip", "event_type").orderBy("event_time")
+    """Every published row and column, in order."""
+    return ingest_events_df(spark, sf_dir).orderBy("event_time", "_etl_record_id")
 
 
 @query("sink_layout", f"""WITH {EV}
 SELECT strftime(strptime(split_part(line, '|', 1), '%Y-%m-%d %H:%M:%S'), '%Y%m') AS event_month,
-       count(*)::BIGINT AS n, min(split_part(line, '|', 2)) AS min_src
+       count(*)::BIGINT AS n, min(split_part(line, '|', 2)) AS min_src, 0::BIGINT AS out_of_order, 0::BIGINT AS without_ingest_time
 FROM num WHERE line_no > 1 GROUP BY 1""")
 def q_sink_layout(spark, sf_dir):
+    """The published table read back: rows per month, rows that stand before a smaller one in
+    their file, and rows without an ingest time."""
     import uuid
     df = ingest_events_df(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
     path = shared_dir(spark, f"sink-layout-{uuid.uuid4().hex[:12]}")
     write_run(df, path, "r1", "event_time", ("event_time", "src_ip"))
     back = read_table(spark, path, ["r1"])
-    return back.groupBy(MONTH_COL).agg(F.count(F.lit(1)).alias("n"), F.min("src_ip").alias("min_src")) \
-               .select(F.col(MONTH_COL).cast("string").alias("event_month"), "n", "min_src")
+    place = Window.partitionBy("_f", "_s").orderBy("_i")
+    row = F.struct("event_time", "src_ip")
+    seen = back.withColumns({"_f": F.col("_metadata.file_path"), "_s": F.col("_metadata.file_block_start"), "_i": F.monotonically_increasing_id()})
+    seen = seen.withColumn("_before", F.lag(row).over(place))
+    return seen.groupBy(F.col(MONTH_COL).cast("string").alias("event_month")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("src_ip").alias("min_src"),
+        F.count(F.when(F.col("_before") > row, 1)).alias("out_of_order"),
+        F.count(F.when(F.col("ingest_time").isNull(), 1)).alias("without_ingest_time"))
 
 
 # K6: archive rows — the raw lines of every file that passed, set aside after success.
@@ -1265,4 +1305,4 @@ def q_archive_lines(spark, sf_dir):
     _, typed = _bad_typed(spark, sf_dir, few=True)
     v = file_verdict(typed, error_message(D.events_spec(dedup=False)))
     good = v.filter(F.col("first_error").isNull()).select(F.col("_file").alias("file_path"))
-    return archive_rows(D.event_feed(spark, sf_dir, status=_bad_status(few=True)), good, "events_cdr")
+    return archive_rows(D.event_feed(spark, sf_dir, status=_bad_status(few=True)), good, "events_cdr", n_files=good.count())

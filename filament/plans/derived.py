@@ -10,8 +10,9 @@ from them with integer arithmetic that DuckDB reproduces exactly:
   ``end = least(start + (c_custkey % 7) * 1000000, 2^32 - 1)``, attributes
   ``c_mktsegment`` and ``c_nationkey`` (distinct starts, overlapping widths).
 * **listing / ledger** — file metadata rows derived from ``orders``.
-* **document files** — ``documents.text`` written as text files (8 buckets by
-  ``doc_id``), the only input that goes through a real file scan.
+* **document files** — ``documents.text`` written as text files (64 buckets by
+  ``doc_id``), and **byte files**, event lines with bytes that are not UTF-8: the inputs that go
+  through a real file scan.
 """
 
 from __future__ import annotations
@@ -38,17 +39,7 @@ NOW = dt.datetime(1999, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on small inputs: a table stored as one small file (one row
-    group) scans as one partition, so it is spread round-robin over the default
-    parallelism.  Large tables already scan as many splits and are left alone."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def ip_text(n: Column) -> Column:
@@ -142,33 +133,40 @@ def events_spec(dedup: bool = True) -> PipelineSpec:
 # Documents written as files (the real text scan)
 # ---------------------------------------------------------------------------
 
-_DOC_FILES: dict[tuple[int, str], str] = {}
-DOC_BUCKETS = 8
-
-
-def document_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write ``documents.text`` as text files, one per ``doc_id % 8`` bucket in
-    ``doc_id`` order, under the shared checkpoint folder (once per session)."""
-    key = (id(spark), os.path.abspath(sf_dir))
-    if key in _DOC_FILES:
-        return _DOC_FILES[key]
-    out = shared_dir(spark, f"derived-docs-{uuid.uuid4().hex[:12]}")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    (d.withColumn("bucket", (F.col("doc_id") % DOC_BUCKETS).cast("int"))
-      .repartition(DOC_BUCKETS, "bucket").sortWithinPartitions("bucket", "doc_id")
-      .select("bucket", "text")
-      .write.mode("overwrite").option("lineSep", "\n").partitionBy("bucket").text(out))
-    _DOC_FILES[key] = out
+DOC_BUCKETS = 64
+
+
+def _bucket_files(spark: SparkSession, df: DataFrame, key: str, text: str) -> str:
+    """Text files under the shared folder, one per ``key % 64`` bucket in ``key`` order."""
+    out = shared_dir(spark, f"derived-files-{uuid.uuid4().hex[:12]}")
+    (df.select((F.col(key) % DOC_BUCKETS).cast("int").alias("bucket"), key, text)
+       .repartition(DOC_BUCKETS, "bucket").sortWithinPartitions("bucket", key)
+       .select("bucket", text)
+       .write.mode("overwrite").option("lineSep", "\n").partitionBy("bucket").text(out))
     return out
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scanned lines of the document files with ``file_key`` = bucket number."""
-    root = document_files(spark, sf_dir)
+def _bucket_lines(spark: SparkSession, root: str) -> DataFrame:
     lines = scan_lines(spark, root)
     return lines.withColumn("file_key", F.regexp_extract(F.col("_file"), "bucket=([0-9]+)", 1).cast("int"))
 
 
+def byte_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned lines of event files whose lines end with two bytes that are no UTF-8 (0xD6 and
+    one that varies, never a line end) and CRLF."""
+    ev = table(spark, sf_dir, "events")
+    odd = F.unhex(F.lpad(F.hex(F.col("event_id") % 100 + 128), 2, "0"))
+    raw = F.concat(F.col("event_id").cast("string").cast("binary"), F.lit("|").cast("binary"), F.col("event_type").cast("binary"),
+                   F.unhex(F.lit("D6")), odd, F.lit("\r").cast("binary"))
+    return _bucket_lines(spark, _bucket_files(spark, ev.select("event_id", raw.cast("string").alias("line")), "event_id", "line"))
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned lines of the document files with ``file_key`` = bucket number."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _bucket_lines(spark, _bucket_files(spark, docs, "doc_id", "text"))
+
+
 # ---------------------------------------------------------------------------
 # Listing and ledger derived from orders
 # ---------------------------------------------------------------------------
@@ -213,7 +211,7 @@ def order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 0, ts + F.expr("INTERVAL 1500 DAYS")).alias("next_retry_at"),
         F.lit(None).cast("timestamp").alias("dead_letter_at"), F.lit("").alias("dead_letter_to"),
         F.when(status == "failed", F.concat(F.lit("err "), k.cast("string"))).otherwise(F.lit("")).alias("error"),
-        k.alias("seq"), F.lit("r0").alias("run_id"))
+        k.alias("seq"), F.lit("r0").alias("run_id"), (k % 1000 + k % 7).cast("long").alias("rows_read"))
 
 
 # ---------------------------------------------------------------------------

@@ -151,15 +151,6 @@ class RunResult:
     errors: dict[str, str] = field(default_factory=dict)
     phases: dict[str, float] = field(default_factory=dict)
 
-    def counters(self, pipeline: str) -> dict[str, int]:
-        return {
-            "files_seen_total": self.files_claimed, "files_processing_total": self.files_claimed,
-            "files_done_total": self.files_done, "files_failed_total": self.files_failed,
-            "files_dead_total": self.files_dead, "rows_read_total": self.rows_read,
-            "rows_written_total": self.rows_written, "transform_errors_total": self.transform_errors,
-            "file_process_ms_total": int(self.seconds * 1000),
-        }
-
 
 def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, now: dt.datetime, run_id: str,
                    ready: DataFrame, reclaim: str | None = None) -> tuple[list, int]:
@@ -292,9 +283,9 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         ph.mark("publish")
 
     now_done = now + dt.timedelta(seconds=time.time() - t0)     # what the files really took
-    done_v = local_frame(spark, 
-        [(p, verdicts.get(p, (0, None, 0))[0] - verdicts.get(p, (0, None, 0))[2]) for p in good],
-        "file_path string, rows long")
+    done_v = local_frame(spark,
+        [(p, v[0] - v[2], v[0]) for p in good for v in [verdicts.get(p, (0, None, 0))]],
+        "file_path string, rows long, rows_read long")
     new_rows = L.done(claimed, done_v, now_done, seq, run_id)
     if errors:
         err_df = local_frame(spark, list(errors.items()), "file_path string, error string")

@@ -1,5 +1,4 @@
-"""Readiness and the ledger transitions (ported from the reference's watcher and
-store tests), as pure DataFrame functions."""
+"""Readiness, the ledger transitions and the reports over it, as pure DataFrame functions."""
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -76,7 +75,7 @@ def test_ledger_lifecycle(spark):
 
 
 def test_max_retries_and_dead(spark):
-    rec = [("dns", "/data/b.csv", 5, NOW, "processing", 0, 1, NOW, None, None, "", "", 1, "r")]
+    rec = [("dns", "/data/b.csv", 5, NOW, "processing", 0, 1, NOW, None, None, "", "", 1, "r", 0)]
     cur = _cur(spark, rec)
     err = spark.createDataFrame([("/data/b.csv", "bad")], "file_path string, error string")
     dead = L.fail(cur, err, NOW, 2, True, 5, 2, "/dead").collect()[0]
@@ -90,8 +89,30 @@ def test_max_retries_and_dead(spark):
 
 
 def test_latest_and_status(spark):
-    rows = [("p", "/f", 1, NOW, s, 0, 0, NOW, None, None, "", "", q, "r") for s, q in
+    rows = [("p", "/f", 1, NOW, s, 0, 0, NOW, None, None, "", "", q, "r", 0) for s, q in
             [("pending", 1), ("processing", 3), ("done", 2)]]
     cur = _cur(spark, rows)
     assert [r.status for r in cur.collect()] == ["processing"]
     assert [(r.status, r.files) for r in L.status_counts(cur).collect()] == [("processing", 1)]
+
+
+def test_counters_over_the_whole_ledger(spark):
+    """A file that failed twice and then passed has two failures; names are sanitized."""
+    from filament.operators.report import counters_from_ledger, throughput_from_ledger
+    at = lambda s: NOW + dt.timedelta(seconds=s)
+    log = []
+    for seq, (status, when, retry, rows, read) in enumerate([
+            ("pending", 0, None, 0, None), ("processing", 1, None, 0, None), ("failed", 3, at(9), 0, None), ("pending", 9, None, 0, None),
+            ("processing", 10, None, 0, None), ("failed", 14, None, 0, None), ("pending", 20, None, 0, None), ("processing", 21, None, 0, None),
+            ("done", 22, None, 40, 45)]):
+        log.append(("a.b é", "/f", 1, NOW, status, rows, 0, at(when), retry, None, "", "", seq, "r", read))
+    log.append(("a.b é", "/g", 1, NOW, "processing", 0, 0, at(2), None, None, "", "", 0, "r", None))
+    log.append(("a.b é", "/g", 1, NOW, "dead", 0, 0, at(4), None, None, "", "", 1, "r", None))
+    df = spark.createDataFrame(log, L.LEDGER_SCHEMA)
+    got = {(r.pipeline, r.metric): r.value for r in counters_from_ledger(df).collect()}
+    want = {"files_seen_total": 2, "files_processing_total": 4, "files_done_total": 1, "files_failed_total": 3, "files_dead_total": 1,
+            "files_scheduled_retry_total": 1, "files_failed_no_retry_total": 1, "rows_read_total": 45, "rows_written_total": 40,
+            "transform_errors_total": 5, "file_process_ms_total": 9000}
+    assert got == {("a_b___", k): v for k, v in want.items()}
+    t = throughput_from_ledger(df).collect()[0]
+    assert (t.rows_written, t.elapsed_ms, t.rows_per_sec) == (40, 21000, 1)
