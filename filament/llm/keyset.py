@@ -21,7 +21,7 @@ from .common import arrow_map, staged
 
 BITS_PER_KEY = 32
 MAX_BITS = 1 << 30
-FLUSH_KEYS = 1 << 21
+FLUSH_KEYS = 1 << 20
 COMMON = 1 << 17
 COMMON_LOCAL = 4
 LOW = ~np.uint64(0xFFFF)
