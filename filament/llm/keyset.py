@@ -34,6 +34,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and their counts (sorting whole words is faster than ``np.unique``)."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
 def packed(keys: np.ndarray) -> bytes:
     """The upper 48 bits of each key."""
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
@@ -57,7 +66,7 @@ def repeated_keys(df: DataFrame, keys: Callable, least: int = 2) -> tuple[Broadc
         held, size = [], 0
 
         def flush():
-            k, n = np.unique(np.concatenate(held) & LOW, return_counts=True)
+            k, n = distinct(np.concatenate(held) & LOW)
             cut = np.searchsorted(k >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
             own = [(i, k[a:b], n[a:b]) for i, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
             return {"bucket": [i for i, _, _ in own], "keys": [packed(x) for _, x, _ in own], "again": [packed(x[y > 1]) for _, x, y in own],
@@ -83,7 +92,7 @@ def repeated_keys(df: DataFrame, keys: Callable, least: int = 2) -> tuple[Broadc
                 for to, part in zip(x, (unpacked(k), unpacked(a), unpacked(c), np.frombuffer(n, "<u4"))):
                     to.append(part)
         for i, (k, a, c, n) in by.items():
-            k, arrived = np.unique(np.concatenate(k), return_counts=True)
+            k, arrived = distinct(np.concatenate(k))
             twice = np.union1d(k[arrived >= least], np.concatenate(a))
             c, inverse = np.unique(np.concatenate(c), return_inverse=True)
             total = np.bincount(inverse, np.concatenate(n), len(c)).astype(np.int64)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ID_BYTES, arrow_map, components, semi_join_ids, staged
-from .keyset import LOW, maybe_repeated, mix, repeated_keys
+from .keyset import LOW, distinct, maybe_repeated, mix, repeated_keys
 
 N = 3
 T_NUM, T_DEN = 9, 10
@@ -57,7 +57,7 @@ def shingle_hashes(text: str | None, n: int = N) -> np.ndarray:
     h = np.full(len(w) - size + 1, size, np.uint64)
     for i in range(size):
         h = mix(h + w[i:len(w) - size + 1 + i] * np.uint64(MULTIPLIERS[i % 5] + 2 * (i // 5)))
-    return np.unique(h & HASH_MASK)
+    return distinct(h & HASH_MASK)[0]
 
 
 class Order:
