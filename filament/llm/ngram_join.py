@@ -100,14 +100,17 @@ class Trie:
     """Sets in global order as a path-compressed trie, and the walk that joins a set with it.
 
     Built from the sorted sets: neighbours' common prefixes give the nodes.  A node is
-    ``[label, depth, shortest, longest, children, members, one]``: the shingles on its
-    edge, where they begin, the lengths below it, children, sets that end here, and a
-    component that all sets below belonged to when last looked at (or None).
+    ``[label, depth, shortest, longest, children, members, one, heads, rank]``: the shingles on its
+    edge, where they begin, the lengths below it, children, sets that end here, a component that
+    all sets below belong to (or None), and the beginnings of the children's edges side by side,
+    so that a walk tests the bounds of many children at once, and the place of its first set in
+    sorted order (a set only looks for partners before it, so each pair is tested once).
     """
 
     def __init__(self, sets: list[np.ndarray], parent: list[int]):
         self.sets, self.parent = sets, parent
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.rank = {i: k for k, i in enumerate(order)}
         self.root = self.build(order, 0) if order else None
 
     def find(self, i: int) -> int:
@@ -127,7 +130,8 @@ class Trie:
             end = at + int(differ[0]) if len(differ) else m
             lengths = [len(self.sets[i]) for i in group]
             members = [i for i in group if len(self.sets[i]) == end]
-            node = [first[at:end], at, min(lengths), max(lengths), [], members, None]
+            parts = {self.find(i) for i in group}
+            node = [first[at:end], at, min(lengths), max(lengths), [], members, group[0] if len(parts) == 1 else None, None, self.rank[group[0]]]
             rest = [i for i in group if len(self.sets[i]) > end]
             a = 0
             while a < len(rest):
@@ -144,15 +148,15 @@ class Trie:
 
     def walk(self, q: int, num: int, den: int) -> list[int]:
         """Links of set ``q`` that join its component to others; unites them on the way."""
-        x, links = self.sets[q], []
+        x, links, place = self.sets[q], [], self.rank[q]
         size = len(x)
         stack = [(self.root, 0, 0)]
         while stack:
             node, seen, shared = stack.pop()
             own = self.find(q)
-            if node[6] is not None and self.find(node[6]) == own:
+            if node[8] >= place or node[6] is not None and self.find(node[6]) == own:
                 continue
-            label, depth, lo, hi, children, members, _ = node
+            label, depth, lo, hi, children, members = node[:6]
             for a in range(0, len(label), 128):  # the bound is looked at along long edges too
                 part = label[a:a + 128]
                 at = np.searchsorted(x[seen:], part)
@@ -165,13 +169,40 @@ class Trie:
                     break
             else:
                 for y in members:
-                    if self.find(y) != own and shared * (num + den) >= num * (size + len(self.sets[y])):
+                    if self.rank[y] < place and self.find(y) != own and shared * (num + den) >= num * (size + len(self.sets[y])):
                         self.parent[self.find(y)] = own
                         links.append(y)
-                node[6] = own if not children and members and all(self.find(y) == own for y in members) else None
+                if not children and all(self.find(y) == own for y in members):
+                    node[6] = own
+                if len(children) > 3:
+                    children = self.reachable(node, x, seen, shared, num, den)
                 stack += [(c, seen, shared) for c in children]
         return links
 
+    def reachable(self, node: list, x: np.ndarray, seen: int, shared: int, num: int, den: int) -> list:
+        """The children whose bound holds behind the first shingles of their edges (about as many as
+        a partner may lack), tested side by side."""
+        children = node[4]
+        if node[7] is None:
+            width = min(512, 16 + int(1.2 * node[3] * (den - num) / (den + num)))
+            heads = np.full((len(children), width), ~np.uint64(0))
+            sizes = np.array([min(width, len(c[0])) for c in children])
+            for row, c, n in zip(heads, children, sizes):
+                row[:n] = c[0][:n]
+            node[7] = (heads, sizes, heads[np.arange(len(children)), sizes - 1],
+                       np.array([c[2] for c in children]), np.array([c[3] for c in children]))
+        heads, sizes, last, lo, hi = node[7]
+        rest, size = x[seen:], len(x)
+        at = np.searchsorted(rest, heads.ravel())
+        hit = at < len(rest)
+        hit[hit] = rest[at[hit]] == heads.ravel()[hit]
+        both = shared + hit.reshape(heads.shape).sum(axis=1)  # the filling is no shingle
+        gone = seen + np.searchsorted(rest, last, "right")
+        depth = node[1] + len(node[0]) + sizes
+        best = np.clip(size - gone + depth, lo, hi)
+        good = (both + np.minimum(size - gone, best - depth)) * (num + den) >= num * (size + best)
+        return [children[i] for i in np.flatnonzero(good)]
+
 
 def join_block(nodes: list[bytes], sets: list[np.ndarray], known: list, num: int, den: int) -> list[tuple[bytes, bytes]]:
     """Links that, with ``known`` components, connect whatever of the block is connected."""
@@ -309,9 +340,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_ = at.groupBy("token").agg(F.min("known").alias("a"), F.max("known").alias("b"), F.count("*").alias("m"),
                                     F.bit_xor(F.xxhash64("sig")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), "sig")).alias("h2")).where("a < b")
     once = open_.groupBy("h1", "h2", "m").agg(F.min("token").alias("token")).select(
-        "token", F.ceil(F.col("m") / F.lit(BLOCK / 2)).cast("int").alias("cuts"))
+        "token", F.when(F.col("m") <= BLOCK, 1).otherwise(F.ceil(F.col("m") / F.lit(BLOCK / 2))).cast("int").alias("cuts"))
     rest = at.join(once, "token").withColumn("i", F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))
-    rest = rest.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    rest = rest.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("cuts = 1 or i <> j")
     rest = rest.groupBy("sig", "known").agg(F.collect_set(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j"))).alias("blocks"))
     more = staged(join_blocks(docs, rest, classes, order, n, num, den), spark)
 
