@@ -34,7 +34,6 @@ WINDOW = 1024
 SHARD_BYTES = 16 << 20
 K1, B = 1.2, 0.75
 COMMON = 0.25
-LONG_PIECE = re.compile(r"\S{2000}|\s{2000}")
 # fixed value: how byte-level BPE of this family cuts texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -47,6 +46,12 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def has_long_run(text: str, size: int = 1000) -> bool:
+    """Is there a stretch without a change between words and white space?  True for runs of
+    2 * ``size`` characters, false for runs under ``size``."""
+    return any(len(text[a:a + size].split(None, 1)) < 2 for a in range(0, len(text) - size + 1, size))
+
+
 class Tokens:
     """Ids of a byte-level BPE tokenizer file (JSON).  Where its merges rank like its ids, the ids
     come from the same vocabulary as ranks, which is several times faster; texts with very
@@ -74,7 +79,7 @@ class Tokens:
     def ids(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if self.fast is None or LONG_PIECE.search(text):
+        if self.fast is None or has_long_run(text):
             return self.slow.encode(text, add_special_tokens=False).ids
         if self.cut is None or not any(s in text for s in self.special):
             return self.fast.encode_ordinary(text)
@@ -149,19 +154,19 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW):
         pieces = [take(seed, int(left[seed]))]
         room = window - pieces[0][2]
         if room:
-            near = np.flatnonzero((score > 0) & (left > 0))
-            near = near[np.lexsort((near, -score[near]))]
-            for k in near[left[near] <= room]:
-                if left[k] <= room:
-                    pieces.append(take(int(k), int(left[k])))
-                    room -= pieces[-1][2]
-                    if not room:
-                        break
-            rest = iter(near[left[near] > 0])
-            while room:
-                k = next(rest, None)
-                k = longest() if k is None else int(k)
+            score[left == 0] = 0.0
+            while room:  # whole ones first, the nearest that fits
+                k = int(np.argmax(np.where(left <= room, score, 0.0)))
+                if left[k] > room or score[k] <= 0:
+                    break
+                pieces.append(take(k, int(left[k])))
+                score[k] = 0.0
+                room -= pieces[-1][2]
+            while room:  # then the nearest is cut
+                k = int(np.argmax(score))
+                k = k if score[k] > 0 else longest()
                 pieces.append(take(k, min(room, int(left[k]))))
+                score[k] *= left[k] > 0
                 room -= pieces[-1][2]
         total -= window
         yield pieces
