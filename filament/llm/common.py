@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: ids of a semi-join side are broadcast up to this many bytes (8 per id), else shuffled
 BROADCAST_ID_BYTES = 32 << 20
+#: rows that a Python function holds as Python objects at a time
+SLICE_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,12 +50,13 @@ def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` for a generator of column dicts (name -> list, numpy or Arrow array)."""
+    """``mapInArrow`` for a generator of column dicts (name -> list, numpy or Arrow array).  It
+    gets at most ``SLICE_ROWS`` rows at a time, however large Spark's batches are."""
     st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     arrow = to_arrow_schema(st)
 
     def run(batches):
-        for cols in fn(batches):
+        for cols in fn(b.slice(a, SLICE_ROWS) for b in batches for a in range(0, b.num_rows, SLICE_ROWS)):
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=f.type)
                  for f in arrow for c in [cols[f.name]]], schema=arrow)
