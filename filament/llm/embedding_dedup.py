@@ -6,20 +6,22 @@ r = sqrt(2 - 2t).  Bit-equal vectors form a class and are handled once, with the
    ``SAMPLE`` vectors (dealt by a hash).  The number of inverted lists follows the row count: about
    ``PER_LIST`` vectors a list, at most ``MAX_LISTS``.
 2. Index: every vector gets its list, its residual's codes and its quantisation error e.
-3. Search: a vector probes each list whose cell comes near it: the distance to the plane between
-   its own centroid's cell and the list's is at most ``SIGMAS`` * r / sqrt(dimensions) - of a difference
-   of length r, the part along one direction has a standard deviation of r / sqrt(dimensions) -
-   and never more than r, beyond which no partner can stand there.  The number of probes
-   follows from this, it isn't capped.  Each pair of lists meets once.  In a list, distances to codes come from a table per query
-   (asymmetric); candidates are those with table distance - e <= r, which no partner misses.
+3. Search: a vector probes each list whose cell comes within r of it: the distance to the plane between
+   its own centroid's cell and the list's is at most r, and so is the distance to the ball of the
+   list's vectors.  No partner can stand in another list; the number of probes isn't capped.
+   Distances to codes come from one table per query (asymmetric; the part that depends on the list is a
+   number per vector); candidates are those with table distance - e <= r, which no partner misses.
 4. Rerank: exact cosine in double precision.
-Lists are cut into blocks of about ``BLOCK`` vectors; queries meet block by block, so no list is held by
-one task.  A block returns its vectors' numbers of links and, for the components, each vector's
-smallest linked one: as many rows as vectors, not pairs.
-
-Defined results: vectors that are null, empty, zero, hold null or non-finite components, or have
-another length than most link with nothing.  Rows with equal ids are vectors of their own; null ids
-are passed over when the smallest id is taken.  Other columns are not read.
+Lists stand together in bins of about ``BLOCK`` vectors, and larger ones are cut into blocks of that size;
+a query goes once to a bin of which it probes any list, and each pair of bins meets once.  So no list is
+held by one task, and a vector is dealt to as many blocks as there are at most.  A block returns its
+vectors' numbers of links and, for the components, each vector's smallest linked one: as many rows as
+vectors, not pairs.
+
+Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with
+nothing; the others link with those of their own length only, each length with lists of its own.  Rows
+with equal ids are vectors of their own; null ids are passed over when the smallest id is taken.  Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ SUBSPACE = 8
 CODES = 256
 BLOCK = 1024
 QUERIES = 256
-SIGMAS = 3.0
+SIGMAS = np.inf  # read by nothing: probes reach r, whatever a test sets here
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -82,19 +84,21 @@ class Quantiser:
         return own, codes.astype(np.uint8), np.linalg.norm(rest - back, axis=1)
 
     def probes(self, x: np.ndarray, own: np.ndarray, radius: np.ndarray, r: float) -> np.ndarray:
-        """Which lists (columns) are searched for vectors within ``r`` of each row."""
+        """Which lists (columns) may hold a vector within ``r`` of each row."""
         d = squared(x, self.coarse)
         apart = np.sqrt(squared(self.coarse, self.coarse))[own]
-        plane = (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * apart, 1e-12)
-        return (plane <= r * min(1.0, SIGMAS / x.shape[1] ** 0.5) + 1e-6) & (np.sqrt(d) <= radius[None, :] + r + 1e-6)
-
-    def tables(self, x: np.ndarray, which: int) -> np.ndarray:
-        """Squared distances from each query's residual to every code: (query, subspace, code)."""
-        rest = x - self.coarse[which]
-        out = np.full((len(x), len(self.parts), CODES), np.inf)
+        beyond = d - d[np.arange(len(x)), own][:, None]  # twice the distance to the plane, times ``apart``
+        return (beyond <= 2 * apart * (r + 1e-6) + 1e-9) & (np.sqrt(d) <= radius[None, :] + r + 1e-6)
+
+    def distances(self, x: np.ndarray, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Distances from unit vectors to coded ones (query, coded): |q|^2 - 2 q.c - 2 q.code + |c + code|^2,
+        where q.code comes from a table per query and subspace."""
+        back = self.coarse[lists] + np.concatenate([c[codes[:, m]] for m, c in enumerate(self.books)], axis=1)
+        near, at = np.unique(lists, return_inverse=True)
+        dot = (x @ self.coarse[near].T)[:, at]
         for m, ((a, b), c) in enumerate(zip(self.parts, self.books)):
-            out[:, m, :len(c)] = squared(rest[:, a:b], c)
-        return out
+            dot += np.take(x[:, a:b] @ c.T, codes[:, m], axis=1)
+        return np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * dot + (back * back).sum(1)[None, :], 0))
 
 
 def unit_vectors(column) -> list[np.ndarray | None]:
@@ -114,14 +118,10 @@ def unit_vectors(column) -> list[np.ndarray | None]:
     return out
 
 
-def link_block(base, queries, quant: Quantiser, which: int, r: float, threshold: float) -> np.ndarray:
+def link_block(base, queries, quant: Quantiser, r: float, threshold: float) -> np.ndarray:
     """Boolean (query, base): found by table distance, confirmed by exact cosine."""
-    (bx, bcodes, berr), qx = base, queries
-    t = quant.tables(qx, which)
-    d = np.zeros((len(qx), len(bx)))
-    for m in range(t.shape[1]):
-        d += t[:, m, :][:, bcodes[:, m]]
-    near = np.sqrt(d) - berr[None, :] <= r + 1e-6
+    (bx, blists, bcodes, berr), qx = base, queries
+    near = quant.distances(qx, blists, bcodes) - berr[None, :] <= r + 1e-6
     links = np.zeros(near.shape, bool)
     rows = np.flatnonzero(near.any(axis=1))
     cols = np.flatnonzero(near.any(axis=0))
@@ -149,68 +149,93 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                    "x": [None if x is None else x.tobytes() for x in xs]}
 
     rows = staged(arrow_map(df, prepare, f"id {id_type}, sig binary, x binary"), spark)
-    common = rows.where("sig is not null").groupBy(F.octet_length("x").alias("bytes")).count().orderBy(F.desc("count"), "bytes").first()
-    width = common["bytes"] if common else 0
-    good = rows.where(F.octet_length("x") == width)
+    good = rows.where("sig is not null")
     copies = good.groupBy("sig").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
     reps = staged(good.select("sig", "x").dropDuplicates(["sig"]).join(copies.drop("least"), "sig"), spark)
-    n = reps.count()
+    widths = {t["bytes"]: t["count"] for t in reps.groupBy(F.octet_length("x").alias("bytes")).count().collect()}
+    n = sum(widths.values())
     if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.lit(True).alias("kept"))
     part = F.pmod(F.xxhash64(F.lit("pq"), "sig"), F.lit(1 << 20)) < max(1, round(min(1.0, SAMPLE / n) * (1 << 20)))
-    sample = np.array([np.frombuffer(t["x"]) for t in sorted(reps.where(part).select("sig", "x").limit(2 * SAMPLE).collect(), key=lambda t: t["sig"])])
-    if not len(sample):
-        sample = np.array([np.frombuffer(t["x"]) for t in reps.orderBy("sig").limit(64).collect()])
-    fitted = Quantiser.fit(sample, max(1, min(MAX_LISTS, n // PER_LIST)))
-    parts = spark.sparkContext.broadcast((fitted.coarse, fitted.books))  # bounded: MAX_LISTS + CODES vectors
+    sample: dict = {w: [] for w in widths}
+    for t in sorted(reps.where(part).select("sig", "x").limit(2 * SAMPLE).collect(), key=lambda t: t["sig"]):
+        sample[len(t["x"])].append(np.frombuffer(t["x"]))
+    fitted, first, lists = {}, {}, 0  # by bytes of a vector: its quantiser, its first list
+    for w, m in sorted(widths.items()):
+        fitted[w] = Quantiser.fit(np.array(sample[w] or [np.zeros(w // 8)]), max(1, min(MAX_LISTS, m // PER_LIST)))
+        first[w] = lists
+        lists += len(fitted[w].coarse)
+    parts = spark.sparkContext.broadcast({w: (q.coarse, q.books) for w, q in fitted.items()})  # bounded: the sample's size
+
+    def by_width(column):
+        """``(bytes, rows, vectors)`` of a batch."""
+        data = column.to_pylist()
+        for w in sorted({len(v) for v in data}):
+            at = [i for i, v in enumerate(data) if len(v) == w]
+            yield w, at, np.array([np.frombuffer(data[i]) for i in at])
 
     def index(batches):
-        quant = Quantiser(*parts.value)
+        quants = {w: Quantiser(*q) for w, q in parts.value.items()}
         for b in batches:
-            x = np.array([np.frombuffer(v) for v in b.column(1).to_pylist()]).reshape(b.num_rows, -1)
-            own, codes, err = quant.encode(x)
-            away = np.linalg.norm(x - quant.coarse[own], axis=1)
-            yield {"sig": b.column(0), "x": b.column(1), "copies": b.column(2), "list": own, "codes": [c.tobytes() for c in codes],
-                   "err": err, "away": away}
+            which, err, away = np.zeros(b.num_rows, int), np.zeros(b.num_rows), np.zeros(b.num_rows)
+            coded: list = [None] * b.num_rows
+            for w, at, x in by_width(b.column(1)):
+                own, codes, err[at] = quants[w].encode(x)
+                which[at] = own + first[w]
+                away[at] = np.linalg.norm(x - quants[w].coarse[own], axis=1)
+                for i, c in zip(at, codes):
+                    coded[i] = c.tobytes()
+            yield {"sig": b.column(0), "x": b.column(1), "copies": b.column(2), "list": which, "codes": coded, "err": err, "away": away}
 
     indexed = staged(arrow_map(reps, index, "sig binary, x binary, copies long, list int, codes binary, err double, away double"), spark)
-    sizes = {t["list"]: t for t in indexed.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect()}  # MAX_LISTS at most
-    lists = len(fitted.coarse)
+    sizes = {t["list"]: t for t in indexed.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect()}  # MAX_LISTS a length
     radius = np.array([sizes[i]["away"] if i in sizes else -np.inf for i in range(lists)])
-    cuts = np.array([-(-sizes[i]["n"] // BLOCK) if i in sizes else 0 for i in range(lists)])
-    shape = spark.sparkContext.broadcast((radius, cuts))
+    bins, cuts = np.zeros(lists, int), []
+    held = 0
+    for i in range(lists):
+        m = sizes[i]["n"] if i in sizes else 0
+        if not cuts or i in first.values() or held + m > BLOCK:
+            cuts.append(1)
+            held = 0
+        held += m
+        bins[i], cuts[-1] = len(cuts) - 1, max(1, -(-held // BLOCK))
+    shape = spark.sparkContext.broadcast((radius, bins, cuts))
 
     def deal(batches):
-        quant = Quantiser(*parts.value)
-        radius, cuts = shape.value
+        quants = {w: Quantiser(*q) for w, q in parts.value.items()}
+        radius, bins, cuts = shape.value
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
-            x = np.array([np.frombuffer(v) for v in cols[1]]).reshape(b.num_rows, -1)
-            own = np.array(cols[3])
-            probe = quant.probes(x, own, radius, r)
-            out: dict = {k: [] for k in ("list", "block", "role", "sig", "x", "copies", "codes", "err")}
-            for i, (sig, data, n, c, codes, err, _) in enumerate(zip(*cols)):
-                mine = xxhash.xxh3_64_intdigest(sig) % int(cuts[c])
-                to = [(c, mine, 0)]  # stands in its own block, asks the earlier ones of its list and all of later lists
-                to += [(c, k, 1) for k in range(mine)]
-                to += [(int(j), k, 1) for j in np.flatnonzero(probe[i]) if j > c for k in range(cuts[j])]
-                for j, k, role in to:
-                    for name, v in zip(out, (j, k, role, sig, data, n, codes, err)):
-                        out[name].append(v)
+            which = np.array(cols[3])
+            out: dict = {k: [] for k in ("bin", "block", "role", "sig", "x", "copies", "list", "codes", "err")}
+            for w, at, x in by_width(b.column(1)):
+                span = slice(first[w], first[w] + len(quants[w].coarse))
+                probe = quants[w].probes(x, which[at] - first[w], radius[span], r)
+                for i, asks in zip(at, probe):
+                    sig, data, n, c, codes, err, _ = (col[i] for col in cols)
+                    own = int(bins[c])
+                    mine = xxhash.xxh3_64_intdigest(sig) % cuts[own]
+                    # asks the earlier blocks of its bin and all of later bins
+                    to = [(own, k) for k in range(mine)]
+                    to += [(j, k) for j in np.unique(bins[span][asks]).tolist() if j > own for k in range(cuts[j])]
+                    for row in [(own, mine, 0, sig, data, n, c, codes, err), *((j, k, 1, sig, data, n, None, None, None) for j, k in to)]:
+                        for name, v in zip(out, row):
+                            out[name].append(v)
             yield out
 
-    dealt = arrow_map(indexed, deal, "list int, block int, role int, sig binary, x binary, copies long, codes binary, err double")
-    dealt = dealt.repartition("list", "block").sortWithinPartitions("list", "block", "role")
+    dealt = arrow_map(indexed, deal, "bin int, block int, role int, sig binary, x binary, copies long, list int, codes binary, err double")
+    dealt = dealt.repartition("bin", "block").sortWithinPartitions("bin", "block", "role")
 
     def search(batches):
-        quant = Quantiser(*parts.value)
+        quants = {w: Quantiser(*q) for w, q in parts.value.items()}
         key, base, asked = None, [], []
 
         def meet(block, queries, itself: bool):
             bx, qx = (np.array([np.frombuffer(t[4]) for t in s]) for s in (block, queries))
-            codes = np.array([np.frombuffer(t[6], np.uint8) for t in block])
-            links = link_block((bx, codes, np.array([t[7] for t in block])), qx, quant, key[0], r, threshold)
+            w = len(block[0][4])
+            codes = np.array([np.frombuffer(t[7], np.uint8) for t in block])
+            links = link_block((bx, np.array([t[6] for t in block]) - first[w], codes, np.array([t[8] for t in block])), qx, quants[w], r, threshold)
             if itself:
                 links |= links.T  # the table distance is not symmetric, the cosine is
                 np.fill_diagonal(links, False)
@@ -266,8 +291,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     found = staged(arrow_map(dealt, search, "sig binary, n long, to binary"), spark)
     counts = found.groupBy("sig").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("sig").alias("u"), F.col("to").alias("v"))).withColumnRenamed("node", "sig")
-    out = rows.withColumn("sig", F.when(F.octet_length("x") == width, F.col("sig"))).select("id", "sig")
-    out = out.join(counts, "sig", "left").join(copies.select("sig", "copies"), "sig", "left").join(roots, "sig", "left")
+    out = rows.select("id", "sig").join(counts, "sig", "left").join(copies.select("sig", "copies"), "sig", "left").join(roots, "sig", "left")
     out = out.withColumn("group", F.coalesce("root", "sig"))
     least = copies.join(roots, "sig", "left").groupBy(F.coalesce("root", "sig").alias("group")).agg(F.min("least").alias("least"))
     out = out.join(least, "group", "left").withColumn("component_id", F.coalesce("least", "id"))

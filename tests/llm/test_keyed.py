@@ -270,6 +270,22 @@ def test_vectors_exact_with_all_probes(spark, monkeypatch, seed):
     assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vectors_brute(rows)
 
 
+@pytest.mark.parametrize("per_list,block", [(20, 16), (10, 64)])
+def test_vectors_equal_brute_force(spark, monkeypatch, per_list, block):
+    """No link is missed, also where near copies differ in two directions only; each length links among its own."""
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", per_list)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    middle, turn = rng.normal(size=24), rng.normal(size=(2, 24)) * 0.6
+    x = [rng.normal(size=24) for _ in range(100)] + [middle + rng.normal(size=2) @ turn for _ in range(300)]
+    short = [rng.normal(size=3) for _ in range(60)]
+    rows, few = ([(i + at, [float(f) for f in v]) for i, v in enumerate(vs)] for at, vs in ((0, x), (1000, short)))
+    got = embedding_dedup.near_duplicates(frame(spark, rows + few, "vec_id long, embedding array<double>")).collect()
+    wide = [(d, v + [0.0] * 21) for d, v in few]
+    assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vectors_brute(rows) + vectors_brute(wide)
+    assert any(r["n_links"] for r in got if r["vec_id"] >= 1000)
+
+
 def test_vectors_empty(spark):
     none = frame(spark, [], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(none).count() == 0
