@@ -4,8 +4,8 @@ A document's tokens are the ids of a byte-level BPE tokenizer file, then id 0.
 dealt to shards by a hash, each of about ``SHARD_BYTES`` of text, and each shard holds an
 inverted index with BM25 weights:
 1. a document's whole windows stand alone; what is left of it (under a window) is an entry;
-2. the longest unused entry seeds a window; its terms (token ids; those in over a quarter of the
-   entries carry no weight) retrieve the unused entries that are lexically nearest;
+2. the longest unused entry seeds a window; its terms (token ids, however common: their idf weighs
+   them; only the closing 0, which all hold, is none) retrieve the unused entries that are lexically nearest;
 3. these fill the window greedily, whole ones first by score, then the nearest is cut to fill the
    window exactly; what is left of it stays in the index;
 4. the last window of a shard, which nothing can fill, is cut into sequences whose lengths are
@@ -33,7 +33,9 @@ from .common import arrow_map, per_worker
 WINDOW = 1024
 SHARD_BYTES = 16 << 20
 K1, B = 1.2, 0.75
-COMMON = 0.25
+DENSE = 1 / 8  # terms in more of the entries stand in a matrix
+DENSE_CELLS = 16 << 20  # its size at most; what has no room there stays in posting lists
+END = 0
 # fixed value: how byte-level BPE of this family cuts texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -88,33 +90,50 @@ class Tokens:
 
 
 class Index:
-    """BM25 over the entries of one shard; terms are token ids."""
+    """BM25 over the entries of one shard; terms are token ids.  Entries of equal tokens form a class,
+    which is scored once.  Weights of common terms stand in a matrix, the others' in posting lists."""
 
     def __init__(self, entries: list[np.ndarray]):
         n = len(entries)
-        terms, tfs = zip(*(np.unique(e, return_counts=True) for e in entries))
+        classes: dict = {}
+        self.of = np.array([classes.setdefault(np.sort(e).tobytes(), len(classes)) for e in entries])
+        _, first, many = np.unique(self.of, return_index=True, return_counts=True)
+        lengths = np.array([len(e) for e in entries])
+        terms, tfs = zip(*(np.unique(entries[k][entries[k] != END], return_counts=True) for k in first))
         self.terms = terms
+        self.n = len(first)
         sizes = np.array([len(t) for t in terms])
-        term, doc, tf = np.concatenate(terms), np.repeat(np.arange(n), sizes), np.concatenate(tfs)
-        lengths = np.array([len(e) for e in entries])
-        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / max(lengths.mean(), 1)))
-        order = np.argsort(term, kind="stable")
-        self.doc, term, weight = doc[order], term[order], weight[order]
-        self.first = np.searchsorted(term, np.arange(int(term.max()) + 2 if len(term) else 1))
-        df = np.diff(self.first)
+        term, doc, tf = np.concatenate(terms).astype(np.int64), np.repeat(np.arange(self.n), sizes), np.concatenate(tfs)
+        df = np.bincount(term, many[doc]).astype(np.int64)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        self.weight = weight * idf[term] if len(term) else weight
-        self.useful = (df > 1) & (df <= max(2, COMMON * n))
-        self.n = n
+        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[first][doc] / max(lengths.mean(), 1))) * idf[term]
+        held = np.bincount(term, minlength=len(df))  # classes
+        common = np.argsort(-held, kind="stable")[:DENSE_CELLS // self.n]
+        common = common[held[common] > max(2, DENSE * self.n)]
+        self.column = np.full(len(df), -1)
+        self.column[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.n), np.float32)
+        dense = self.column[term] >= 0
+        self.matrix[self.column[term[dense]], doc[dense]] = weight[dense]
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.doc, self.weight = doc[rare], weight[rare]
+        self.first = np.searchsorted(term[rare], np.arange(len(df) + 1))
+        self.useful = df > 1
 
     def scores(self, entry: int) -> np.ndarray:
-        t = self.terms[entry]
+        t = self.terms[self.of[entry]]
         t = t[self.useful[t]]
+        column = self.column[t]
+        asked = np.zeros(len(self.matrix), np.float32)
+        asked[column[column >= 0]] = 1
+        out = (asked @ self.matrix).astype(float)
+        t = t[column < 0]
         a, n = self.first[t], self.first[t + 1] - self.first[t]
-        if not n.sum():
-            return np.zeros(self.n)
-        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        if n.sum():
+            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out += np.bincount(self.doc[at], self.weight[at], self.n)
+        return out[self.of]
 
 
 def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW):

@@ -401,6 +401,19 @@ def test_packing_neighbours():
     assert [d for d, _, _ in seqs[1]][:2] in ([1, 3], [3, 1])
 
 
+def test_packing_common_terms():
+    """A group that holds a third of the entries finds its own members, though its terms are common."""
+    rng = np.random.default_rng(3)
+    group = np.arange(10, 210)
+    tails = [np.append(rng.permutation(group), [5000 + i, 0]) if i % 3 == 0 else np.append(rng.integers(300, 4000, 201), 0) for i in range(300)]
+    at = {d for d in range(300) if d % 3 == 0}
+    seqs = list(packing.pack([len(t) for t in tails], tails))
+    mixed = [s for s in seqs if {d for d, _, _ in s} & at and {d for d, _, _ in s} - at]
+    assert len(mixed) <= 3
+    score = packing.Index(tails).scores(0)
+    assert score[list(at)].min() > score[[d for d in range(300) if d not in at]].max()
+
+
 # -- the pipeline
 
 def test_pipeline(spark, sf_small):
