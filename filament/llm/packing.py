@@ -1,8 +1,11 @@
 """Operator 4, lexical retrieval packing into windows of at most ``WINDOW`` tokens.
 
-A document's tokens are the ids of a byte-level BPE tokenizer file, then id 0.  Documents are
-dealt to shards by a hash, each of about ``SHARD_BYTES`` of text, and each shard holds an
-inverted index with BM25 weights:
+A document's tokens are the ids of a byte-level BPE tokenizer file, then id 0.  Document frequencies
+and the mean length are those of all documents.  Documents are sorted by content - by a min-hash of their
+``SALIENT`` terms of highest BM25 weight, see ``sketch`` - and the sorted row is cut into shards of at most
+about ``SHARD_BYTES`` of text.  So documents meet the likelier the more salient terms they share, at any
+size; a term that fills more than a shard is cut by the next one, in the end by a hash of the row.
+Each shard holds an inverted index with BM25 weights over its documents' whole texts:
 1. a document's whole windows stand alone; what is left of it (under a window) is an entry;
 2. the longest unused entry seeds a window; its terms (token ids, however common: their idf weighs
    them; only the closing 0, which all hold, is none) retrieve the unused entries that are lexically nearest;
@@ -10,7 +13,7 @@ inverted index with BM25 weights:
    window exactly; what is left of it stays in the index;
 4. the last window of a shard, which nothing can fill, is cut into sequences whose lengths are
    powers of two, so nothing is padded.
-Shards are bounded, so is every task; tokens move once, two bytes each.
+Shards are bounded, so is every task; tokens are staged and move once, two bytes each.
 
 Defined results: a null or empty text is the one token 0; rows with equal ids are packed each; an
 empty table gives no rows; other columns are not read.  Texts may be of any length.
@@ -25,10 +28,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, per_worker
+from .common import arrow_map, per_worker, staged
 
 WINDOW = 1024
 SHARD_BYTES = 16 << 20
@@ -89,12 +93,77 @@ class Tokens:
                 ([self.special[part]] if part in self.special else self.fast.encode_ordinary(part))]
 
 
+class Corpus:
+    """What all documents share: how many hold each term, their number and mean length."""
+
+    def __init__(self, df: np.ndarray, n: int, mean: float):
+        self.df, self.n, self.mean = df, n, mean
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Corpus:
+        df = np.bincount(np.concatenate([np.unique(d) for d in docs]).astype(np.int64))
+        return cls(df, len(docs), float(np.mean([len(d) for d in docs])))
+
+    def weights(self, term: np.ndarray, tf: np.ndarray, length) -> np.ndarray:
+        df = self.df[term]
+        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
+        return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1))) * idf
+
+
+# fixed value: how ``sketch`` lays out its key, three terms and a hash
+TERM_BITS = (16, 16, 14)
+HASH_BITS = 16
+KEY_BITS = sum(TERM_BITS) + HASH_BITS
+SALIENT = 12
+MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed value: multiplicative hash, wraps around
+
+
+def sketch(ids: np.ndarray, corpus: Corpus, least: float, salt: bytes) -> int:
+    """The place of a document in the order by content.  Of its heaviest terms (those that at least ``least``
+    documents hold come first, as rarer ones would not bring a shard together; those that stand once are none)
+    the three that are first by a hash of the term; then a hash of the row, which cuts what is still too large."""
+    term, tf = np.unique(ids[ids != END], return_counts=True)
+    df = corpus.df[term]
+    weight = corpus.weights(term, tf, len(ids))
+    order = np.lexsort((term, -weight, df < least, df < 2))[:SALIENT]
+    top = term[order[df[order] > 1]].astype(np.uint64)
+    top = top[np.argsort(top * MIX, kind="stable")][:len(TERM_BITS)].tolist()
+    key = 0
+    for bits, t in zip(TERM_BITS, top + [0] * len(TERM_BITS)):
+        key = key << bits | t & (1 << bits) - 1
+    return key << HASH_BITS | xxhash.xxh3_64_intdigest(salt + ids.tobytes()) & (1 << HASH_BITS) - 1
+
+
+def shard_starts(keys: DataFrame) -> list[int]:
+    """First keys of shards of at most about ``SHARD_BYTES``, from ``(key, bytes)`` of all documents: sums by
+    prefix, longer ones only where a prefix holds over a quarter of a shard (so at most 256 rows for each)."""
+    leaves, hot, shift = [], None, KEY_BITS - TERM_BITS[0]
+    while True:
+        prefixed = keys.withColumn("p", F.shiftright("key", shift))
+        if hot is not None:
+            wide = keys.sparkSession.createDataFrame([(h,) for h in hot], "h long")
+            prefixed = prefixed.join(F.broadcast(wide), F.shiftright("key", last) == F.col("h"))
+        sums = [(t["p"], t["b"]) for t in prefixed.groupBy("p").agg(F.sum("bytes").alias("b")).collect()]
+        hot = [p for p, b in sums if b > SHARD_BYTES // 4] if shift else []
+        leaves += [(p << shift, b) for p, b in sums if not shift or b <= SHARD_BYTES // 4]
+        if not hot:
+            break
+        last, shift = shift, max(0, shift - 8)
+    starts, held = [], 0
+    for key, b in sorted(leaves):
+        if not starts or held + b > SHARD_BYTES:
+            starts.append(key)
+            held = 0
+        held += b
+    return starts
+
+
 class Index:
     """BM25 over the entries of one shard; terms are token ids.  Entries of equal tokens form a class,
     which is scored once.  Weights of common terms stand in a matrix, the others' in posting lists."""
 
-    def __init__(self, entries: list[np.ndarray]):
-        n = len(entries)
+    def __init__(self, entries: list[np.ndarray], corpus: Corpus | None = None):
+        corpus = corpus or Corpus.of(entries)
         classes: dict = {}
         self.of = np.array([classes.setdefault(np.sort(e).tobytes(), len(classes)) for e in entries])
         _, first, many = np.unique(self.of, return_index=True, return_counts=True)
@@ -104,9 +173,8 @@ class Index:
         self.n = len(first)
         sizes = np.array([len(t) for t in terms])
         term, doc, tf = np.concatenate(terms).astype(np.int64), np.repeat(np.arange(self.n), sizes), np.concatenate(tfs)
-        df = np.bincount(term, many[doc]).astype(np.int64)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[first][doc] / max(lengths.mean(), 1))) * idf[term]
+        df = np.bincount(term, many[doc])  # here
+        weight = corpus.weights(term, tf, lengths[first][doc])
         held = np.bincount(term, minlength=len(df))  # classes
         common = np.argsort(-held, kind="stable")[:DENSE_CELLS // self.n]
         common = common[held[common] > max(2, DENSE * self.n)]
@@ -136,10 +204,12 @@ class Index:
         return out[self.of]
 
 
-def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW):
+def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, texts: list[np.ndarray] | None = None,
+         corpus: Corpus | None = None):
     """Yields sequences, lists of ``(document, start, length)``.
 
-    ``lengths`` are whole documents', ``tails`` the tokens that their whole windows leave (maybe none).
+    ``lengths`` are whole documents', ``tails`` the tokens that their whole windows leave (maybe none), ``texts``
+    the tokens that a document is found by (its tail if not given); ``corpus`` defaults to these entries.
     """
     for d, n in enumerate(lengths):
         for s in range(0, n // window * window, window):
@@ -147,7 +217,7 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW):
     entries = [d for d, t in enumerate(tails) if len(t)]
     if not entries:
         return
-    index = Index([tails[d] for d in entries])
+    index = Index([(texts or tails)[d] for d in entries], corpus)
     left = np.array([len(tails[d]) for d in entries])
     start = np.array([lengths[d] for d in entries]) - left
     total = int(left.sum())
@@ -208,23 +278,61 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         content = spark.sparkContext.broadcast(f.read())
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    size = docs.select(F.sum(F.octet_length("t"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    docs = docs.select(F.pmod(F.xxhash64("id", "t"), F.lit(shards)).cast("int").alias("shard"), "id", "t")
 
     def tokenize(batches):
         tokens = per_worker(("bpe", tokenizer_path), lambda: Tokens(content.value))
         for b in batches:
-            ids = [np.array([*tokens.ids(t), 0], "<u4") for t in b.column(2).to_pylist()]
-            yield {"shard": b.column(0), "id": b.column(1), "wide": [bool((x > 0xFFFF).any()) for x in ids],
+            ids = [np.array([*tokens.ids(t), END], "<u4") for t in b.column(1).to_pylist()]
+            yield {"id": b.column(0), "wide": [bool((x > 0xFFFF).any()) for x in ids], "bytes": b.column(2),
                    "ids": [x.tobytes() if (x > 0xFFFF).any() else x.astype("<u2").tobytes() for x in ids]}
 
+    def arrays(b):
+        return [np.frombuffer(x, "<u4" if wide else "<u2") for x, wide in zip(b.column("ids").to_pylist(), b.column("wide").to_pylist())]
+
+    def count(batches):
+        df, n, total = np.zeros(1 << 16, np.int64), 0, 0
+        for b in batches:
+            for x in arrays(b):
+                u = np.unique(x)
+                df = np.append(df, np.zeros(max(0, int(u[-1]) + 1 - len(df)), np.int64))
+                df[u] += 1
+                n, total = n + 1, total + len(x)
+        held = np.flatnonzero(df)
+        yield {"term": [*held.tolist(), -1, -2], "n": [*df[held].tolist(), n, total]}
+
+    docs = docs.select("id", "t", F.coalesce(F.octet_length("t"), F.lit(0)).cast("long").alias("bytes"))
+    docs = staged(arrow_map(docs, tokenize, f"id {kind}, wide boolean, bytes long, ids binary"), spark)
+    held = {t["term"]: t["n"] for t in arrow_map(docs, count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}  # vocabulary
+    n, total = held.pop(-1, 0), held.pop(-2, 0)
+    df = np.zeros(max(held, default=0) + 1, np.int64)
+    df[list(held)] = list(held.values())
+    shared = spark.sparkContext.broadcast((df, n, total / max(n, 1)))
+    size = docs.select(F.sum("bytes")).first()[0] or 0
+    least = max(2, n / max(1, size / SHARD_BYTES) / 16)
+
+    def keys_of(b):
+        corpus = Corpus(*shared.value)
+        return [sketch(x, corpus, least, repr(i).encode()) for x, i in zip(arrays(b), b.column("id").to_pylist())]
+
+    def key(batches):
+        for b in batches:
+            yield {"key": keys_of(b), "bytes": b.column("bytes")}
+
+    starts = shard_starts(staged(arrow_map(docs, key, "key long, bytes long"), spark)) if size > SHARD_BYTES else [0]
+    cuts = spark.sparkContext.broadcast(np.array(starts[1:], np.int64))
+
+    def deal(batches):
+        for b in batches:
+            shard = np.searchsorted(cuts.value, keys_of(b), "right") if len(cuts.value) else np.zeros(b.num_rows, int)
+            yield {"shard": shard, "id": b.column("id"), "wide": b.column("wide"), "ids": b.column("ids")}
+
     def pack_shard(t: pa.Table) -> pa.Table:
         rows = sorted(zip(*(t.column(c).to_pylist() for c in ("id", "ids", "wide"))), key=lambda r: (r[0] is None, r[0], r[1]))
         ids = [np.frombuffer(x, "<u4" if wide else "<u2") for _, x, wide in rows]
         shard = t.column("shard")[0].as_py()
         out: dict = {k: [] for k in names}
-        for q, pieces in enumerate(pack([len(x) for x in ids], [x[len(x) // window * window:] for x in ids], window)):
+        for q, pieces in enumerate(pack([len(x) for x in ids], [x[len(x) // window * window:] for x in ids], window,
+                                        ids, Corpus(*shared.value))):
             offset = 0
             for d, s, n in pieces:
                 part = ids[d][s:s + n].astype("<u4")
@@ -240,4 +348,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
              (", ids array<int>" if with_ids else "")
     arrow = to_arrow_schema(_parse_datatype_string(schema))
     names = list(arrow.names)
-    return arrow_map(docs, tokenize, f"shard int, id {kind}, wide boolean, ids binary").groupBy("shard").applyInArrow(pack_shard, schema)
+    return arrow_map(docs, deal, f"shard int, id {kind}, wide boolean, ids binary").groupBy("shard").applyInArrow(pack_shard, schema)

@@ -414,6 +414,38 @@ def test_packing_common_terms():
     assert score[list(at)].min() > score[[d for d in range(300) if d not in at]].max()
 
 
+def test_packing_shards_by_content(spark, monkeypatch):
+    """Documents of one topic, and a group larger than a shard, share windows however many shards there are."""
+    monkeypatch.setattr(packing, "SHARD_BYTES", 40000)
+    rng = random.Random(8)
+    words = sorted(w[1:] for w in Tokenizer.from_file(BPE).get_vocab() if len(w) > 5 and w[0] == "Ġ" and w[1:].isascii() and w[1:].islower())
+    rng.shuffle(words)
+    common, topics = words[:300], [words[k:k + 10] for k in range(300, 600, 10)]
+    topic = {i: i // 2 % 30 if i % 2 else 0 for i in range(300)}
+    texts = {i: " ".join(rng.choice(topics[t] if rng.random() < 0.5 else common) for _ in range(200)) for i, t in topic.items()}
+    got = packing.pack_documents(frame(spark, list(texts.items())), BPE).collect()
+    assert check_packing(texts, got) == 0
+    windows = collections.defaultdict(list)
+    for r in got:
+        windows[r["sequence_id"]].append(topic[r["doc_id"]])
+    assert len({s >> 32 for s in windows}) > 5
+    same = [a == b for w in windows.values() for a, b in itertools.combinations(w, 2) if a or b]  # the large group by itself is no feat
+    assert sum(same) > 0.3 * len(same)  # dealt by a hash of the row: about 0.1
+
+
+def test_packing_whole_text_and_corpus():
+    """A long document is found by its whole text; weights follow all documents."""
+    rng = np.random.default_rng(1)
+    a, b = np.arange(10, 60), np.arange(100, 150)
+    texts = [np.append(np.resize(head, 1024), rng.integers(1000, 9000, 400)) for head in (a, b, a, b)]
+    seqs = list(packing.pack([len(t) for t in texts], [t[1024:] for t in texts], texts=texts))
+    assert {d for d, _, _ in seqs[4][:2]} in ({0, 2}, {1, 3})
+    df = np.ones(200, int)
+    df[10:60] = 500  # common elsewhere
+    index = packing.Index([np.array([10, 150]), np.array([10, 11]), np.array([12, 150])], packing.Corpus(df, 1000, 2.0))
+    assert index.scores(0)[2] > index.scores(0)[1] > 0
+
+
 # -- the pipeline
 
 def test_pipeline(spark, sf_small):
