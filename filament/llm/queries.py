@@ -28,7 +28,8 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, byte_fallback=token_counts.has_byte_pieces(path))
 
 
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

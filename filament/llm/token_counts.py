@@ -43,6 +43,14 @@ def load_vocabulary(path: str) -> list[tuple[str, float]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
 
 
+def has_byte_pieces(path: str) -> bool:
+    """Does the model file hold byte pieces, so that it writes unknown characters as bytes?"""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    return any(sp.is_byte(i) for i in range(sp.get_piece_size()))
+
+
 class Counter:
     """Counts the pieces of texts under one vocabulary."""
 

@@ -83,6 +83,19 @@ def vocabulary():
     return token_counts.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def test_token_counts_query_byte_fallback(spark, tmp_path):
+    """The model file has byte pieces: characters outside the vocabulary count one piece a byte."""
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert token_counts.has_byte_pieces(path)
+    texts = ["a\n\n\n\nb", "\t\t\t", "\U0001F9FF\U0001F9FF x"]
+    frame(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_tokens"] for r in queries.op3_token_counts(spark, str(tmp_path)).collect()}
+    assert all(got[i] >= sum(len(c.encode()) for c in t if sp.piece_to_id(c) == sp.unk_id() and c != " ") > 1 for i, t in enumerate(texts))
+
+
 def test_token_counts(spark, sf_small, vocabulary):
     exact = Tokenizer(models.Unigram([("<unk>", 0.0)] + vocabulary, unk_id=0, byte_fallback=False))
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").limit(60).collect()]
