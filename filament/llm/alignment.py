@@ -4,6 +4,9 @@ Each text is encoded by tokenizer A (byte-level BPE, of space + text) and by B (
 adds the space); both cover the same bytes, or the row has no tokens.  Byte offsets where tokens of both end
 cut the row into groups; an A and a B token whose byte ranges overlap are linked.
 
+Where neither tokenizer has tokens across it, a text is cut at single spaces between words (``Aligner.pieces``): a
+word's tokens and links are those of the word as a text of its own, so each task aligns its distinct words once.
+
 1. First pass: the tasks align texts and stage their distinct id pairs, each once with its count (at most
    ``FLUSH_KEYS`` pairs a row).
 2. The pairs are dealt to buckets by hash.  Each bucket gets a minimal perfect hash (``PerfectHash``) of its
@@ -27,7 +30,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
+from collections import Counter
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +52,19 @@ BUCKET_PAIRS = 1 << 18
 BROADCAST_PAIRS = 1 << 22
 #: rows that one task adds up
 FAN = 64
+#: words, and characters of words, that a task or worker remembers
+WORDS = 1 << 18
+WORD_CHARS = 1 << 25
+#: words are encoded as one text of about this size; longer words alone
+RUN_CHARS = 1 << 16
+LONG_WORD = 256
+#: not between words: spaces at an end, white space side by side
+RAGGED = re.compile(r"^ | $|\s\s")
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 GAMMA = 2
 ONE = np.uint64(1)
+FIRST = itemgetter(0)
+COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
 class Aligner:
@@ -65,6 +82,8 @@ class Aligner:
         self.a_bytes = [bytes(letters[c] for c in names.get(i, "") if c in letters) for i in range(max(names) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        # B has no piece with a space behind another character, and A's way of cutting texts is known
+        self.by_words = self.a.fast is not None and not any(b" " in x.lstrip(b" ") for x in self.b_bytes)
         self.sizes = [np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes)]
         # a token's text with what stands before it: a comma, or ; (A) and | (B) at the start of a group
         self.written = [f"{c}{i}" for n, first in ((len(self.a_bytes), ";"), (len(self.b_bytes), "|")) for i in range(n) for c in (",", first)]
@@ -82,19 +101,67 @@ class Aligner:
             return [], []
         return a, b
 
-    def align(self, texts: list[str | None], digests: bool) -> dict:
-        """Over all rows at once, one after the other on one byte axis: ``links`` (row of each link and its key
-        A id << 32 | B id) and per row the counts, with ``digests`` also the hash of its groups."""
-        rows = [self.encode(t) for t in texts]
-        ids, ends, first, per_row = [], [], [], []
-        for side in (0, 1):
-            n = np.array([len(r[side]) for r in rows], np.int64)
-            x = np.fromiter((i for r in rows for i in r[side]), np.int64, int(n.sum()))
-            ids.append(x)
-            per_row.append(n)
-            ends.append(np.cumsum(self.sizes[side][x]))
+    def pieces(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if not self.by_words:
+            return [text]
+        return BETWEEN.split(text) if RAGGED.search(text) else text.split(" ")
+
+    def encode_words(self, words: list[str]) -> tuple[list, list, np.ndarray, np.ndarray]:
+        """Ids of both over all words (from ``pieces``), and how many each word has; words are encoded as one text, which
+        is cut where they end, long ones and those around a misfit by themselves."""
+        if len(words) == 1 or not self.by_words:
+            pairs = [self.encode(w) for w in words]
+            return ([i for a, _ in pairs for i in a], [i for _, b in pairs for i in b],
+                    np.array([len(a) for a, _ in pairs], np.int64), np.array([len(b) for _, b in pairs], np.int64))
+        whole = " ".join(words)
+        a, b = self.encode(whole)
+        if not a:  # halves, down to the misfit
+            x, y = self.encode_words(words[:len(words) // 2]), self.encode_words(words[len(words) // 2:])
+            return x[0] + y[0], x[1] + y[1], np.append(x[2], y[2]), np.append(x[3], y[3])
+        bounds = np.cumsum([len(w) + 1 if w.isascii() else len(w.encode()) + 1 for w in words])
+        n = []
+        for side, ids in enumerate((a, b)):
+            upto = np.searchsorted(np.cumsum(self.sizes[side][ids]), bounds, "right")
+            n.append(np.diff(upto, prepend=0))
+        return a, b, *n
+
+    def encoded(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides, and how many each word has; ``RUN_CHARS`` of them at a time, long words and those with white space at an end alone."""
+        ids, n, run, chars = ([], []), ([], []), [], 0
+
+        def flush(run):
+            if run:
+                for k, x in enumerate(self.encode_words(run)):
+                    (ids if k < 2 else n)[k % 2].append(np.array(x, np.int64))
+
+        for w in words:
+            alone = len(w) >= LONG_WORD or w[:1].isspace() or w[-1:].isspace()
+            if alone or chars >= RUN_CHARS:
+                flush(run)
+                run, chars = [], 0
+            if alone:
+                flush([w])
+            else:
+                run.append(w)
+                chars += len(w)
+        flush(run)
+        none = np.zeros(0, np.int64)
+        return [np.concatenate([none, *x]) for x in ids], [np.concatenate([none, *x]) for x in n]
+
+    def align(self, texts: list[str | None], written: bool, words: bool = False) -> dict:
+        """Over all texts (or ``words`` from ``pieces``) at once, one after the other on one byte axis: ``row`` and
+        ``keys`` (A id << 32 | B id) of each link and the counts of each text, if ``written`` also its ``groups`` as text."""
+        if words:
+            ids, per_row = self.encoded(texts)
+        else:
+            pairs = [self.encode(t) for t in texts]
+            per_row = [np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1)]
+            ids = [np.fromiter((i for p in pairs for i in p[side]), np.int64, int(per_row[side].sum())) for side in (0, 1)]
+        ends = [np.cumsum(self.sizes[side][ids[side]]) for side in (0, 1)]
         a_end, b_end = ends
-        a_row = np.repeat(np.arange(len(rows)), per_row[0])
+        a_row = np.repeat(np.arange(len(texts)), per_row[0])
         at = np.searchsorted(b_end, a_end)
         both = a_end[b_end[np.minimum(at, len(b_end) - 1)] == a_end] if len(b_end) else a_end
         group = [np.searchsorted(both, e) for e in ends]
@@ -104,16 +171,15 @@ class Aligner:
         b_at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         keys = np.repeat(ids[0], n).astype(np.uint64) << np.uint64(32) | ids[1][b_at].astype(np.uint64)
         out = {"row": np.repeat(a_row, n), "keys": keys, "n_a": per_row[0], "n_b": per_row[1],
-               "n_groups": np.bincount(a_row[np.diff(group[0], prepend=-1) > 0], minlength=len(rows))}
-        if digests:
+               "n_groups": np.bincount(a_row[np.diff(group[0], prepend=-1) > 0], minlength=len(texts))}
+        if written:
             code = np.zeros(len(a_end) + len(b_end), np.int64)
             for side, base in ((0, 0), (1, 2 * len(self.a_bytes))):
                 other = np.searchsorted(group[1 - side], group[side], "right" if side else "left")
                 code[np.arange(len(other)) + other] = base + 2 * ids[side] + (np.diff(group[side], prepend=-1) > 0)
-            cut = np.cumsum(per_row[0] + per_row[1])
-            out["groups_sha256"] = [
-                hashlib.sha256("".join(map(self.written.__getitem__, code[a:b].tolist()))[1:].encode()).hexdigest() if b > a else ""
-                for a, b in zip(np.append(0, cut).tolist(), cut.tolist())]
+            cut = np.append(0, np.cumsum(per_row[0] + per_row[1])).tolist()
+            tokens = [self.written[c] for c in code.tolist()]
+            out["groups"] = ["".join(tokens[a:b])[1:] for a, b in zip(cut, cut[1:])]
         return out
 
 
@@ -167,10 +233,14 @@ class Table:
         self.best = np.unpackbits(np.frombuffer(row["best"], np.uint8), count=len(self.pairs)).astype(bool)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts, and whether they are the best; -1 for pairs that aren't in the table."""
         at = self.hash.index(keys)
-        if len(keys) and (at.min() < 0 or (self.pairs[at] != keys).any()):
-            raise ValueError("the second pass met a pair that the first did not: texts changed between the passes")
-        return self.counts[at], self.best[at]
+        held = (at >= 0) & (self.pairs[at] == keys)
+        return np.where(held, self.counts[at], -1), self.best[at] & held
+
+
+def unmet():
+    raise ValueError("the second pass met a pair that the first did not: texts changed between the passes")
 
 
 def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -198,8 +268,12 @@ def count_pairs(docs: DataFrame, aligner) -> DataFrame:
     def run(batches):
         held: list = []
         size = 0
+        words = Words(aligner())
         for b in batches:
-            held.append(distinct(aligner().align(b.column("t").to_pylist(), False)["keys"]))
+            words.count(b.column("t").to_pylist())
+            if not words.full():
+                continue
+            held.append(words.flush())
             size += len(held[-1][0])
             if size >= 2 * FLUSH_KEYS:
                 held = [summed(*map(np.concatenate, zip(*held)))]
@@ -207,15 +281,58 @@ def count_pairs(docs: DataFrame, aligner) -> DataFrame:
                 if size >= FLUSH_KEYS:
                     yield row(*held[0])
                     held, size = [], 0
-        if held:
-            yield row(*summed(*map(np.concatenate, zip(*held))))
+        held.append(words.flush())
+        yield row(*summed(*map(np.concatenate, zip(*held))))
 
     def row(keys, counts):
-        return {"n": [len(keys)], "keys": [keys.astype("<u8").tobytes()], "counts": [counts.astype("<i8").tobytes()]}
+        return {"n": [len(keys)], "keys": [bytes_of(keys, "<u8")], "counts": [bytes_of(counts, "<i8")]}
 
     return arrow_map(docs, run, "n long, keys binary, counts binary")
 
 
+class Words:
+    """Links of distinct words and how often each word occurred."""
+
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
+        self.clear()
+
+    def clear(self):
+        self.known: dict[str, int] = {}
+        self.occurred: Counter = Counter()
+        self.unfit: set[str] = set()
+        self.links: list[tuple[np.ndarray, np.ndarray]] = []
+        self.chars = 0
+
+    def add(self, new: list[str], words: bool = True):
+        x = self.aligner.align(new, False, words)
+        self.links.append((x["row"] + len(self.known), x["keys"]))
+        self.unfit.update(new[i] for i in np.flatnonzero(x["n_a"] == 0))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.chars += sum(map(len, new))
+
+    def count(self, texts: list[str | None]):
+        cut = [self.aligner.pieces(t) for t in texts]
+        self.add(list(dict.fromkeys(w for p in cut for w in p if w not in self.known)))
+        if self.unfit and (unfit := [k for k, p in enumerate(cut) if not self.unfit.isdisjoint(p)]):
+            for k in unfit:  # as a whole, as the definition has it
+                cut[k] = [texts[k]]
+            self.add(list(dict.fromkeys(texts[k] for k in unfit if texts[k] not in self.known)), words=False)
+        for p in cut:
+            self.occurred.update(p)
+
+    def full(self) -> bool:
+        return len(self.known) >= WORDS or self.chars >= WORD_CHARS
+
+    def flush(self) -> tuple[np.ndarray, np.ndarray]:
+        n = np.fromiter((self.occurred[w] for w in self.known), np.int64, len(self.known))
+        out = summed(np.concatenate([np.zeros(0, np.uint64), *(k for _, k in self.links)]),
+                     n[np.concatenate([np.zeros(0, np.int64), *(i for i, _ in self.links)])])
+        out = tuple(x[out[1] > 0] for x in out)
+        self.clear()
+        return out
+
+
 def bytes_of(x: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
@@ -346,9 +463,6 @@ def per_row(row: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     return np.diff(total[np.searchsorted(row, np.arange(n + 1))])
 
 
-COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-
-
 def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
                      broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """One row per input row: the id, ``COUNTS`` and ``groups_sha256``.  ``a_path`` is a byte-level BPE tokenizer
@@ -368,9 +482,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     counts = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
     schema = f"{id_col} {kind}, {counts}, groups_sha256 string"
 
-    def plain(b, x):
-        n = b.num_rows
-        return {c: x[c] for c in ("n_a", "n_b", "n_groups")} | {"n_links": np.bincount(x["row"], minlength=n), "groups_sha256": x["groups_sha256"]}
+    def digest(groups: str) -> str:
+        return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
 
     if (table.agg(F.sum("n")).first()[0] or 0) <= broadcast_pairs:
         shared = spark.sparkContext.broadcast([r.asDict() for r in table.collect()])  # broadcast_pairs at most
@@ -378,13 +491,43 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
 
         def look_up(batches):
             tables = per_worker(name, lambda: {r["bucket"]: Table(r) for r in shared.value})
-            for b in batches:
-                x = aligner().align(b.column("t").to_pylist(), True)
+            # words, those with pairs that no fit text holds, and how long the words are together
+            known, strange, chars = per_worker(name + " words", lambda: ({}, set(), [0]))
+            none = [()] * (len(COUNTS) + 1)
+
+            def add(new: list[str], words: bool = True):
+                x = aligner().align(new, True, words)
                 count, best = np.zeros(len(x["keys"]), np.int64), np.zeros(len(x["keys"]), bool)
                 for k, at in by_bucket(x["keys"], bits):
                     count[at], best[at] = tables[k](x["keys"][at])
-                yield {id_col: b.column("id")} | plain(b, x) | {
-                    "n_best": per_row(x["row"], b.num_rows, best), "count_sum": per_row(x["row"], b.num_rows, count)}
+                n = len(new)
+                strange.update(new[i] for i in np.unique(x["row"][count < 0]).tolist())
+                chars[0] += sum(map(len, new))
+                known.update(zip(new, zip(*(v.tolist() for v in (
+                    x["n_a"], x["n_b"], x["n_groups"], np.bincount(x["row"], minlength=n), per_row(x["row"], n, best),
+                    per_row(x["row"], n, count))), x["groups"])))
+
+            for b in batches:
+                if len(known) >= WORDS or chars[0] >= WORD_CHARS:
+                    known.clear()
+                    strange.clear()
+                    chars[0] = 0
+                texts = b.column("t").to_pylist()
+                cut = [aligner().pieces(t) for t in texts]
+                add(list(dict.fromkeys(w for p in cut for w in p if w not in known)))
+                columns: list = [[] for _ in none]
+                for text, p in zip(texts, cut):
+                    found = [known[w] for w in p]
+                    if not all(map(FIRST, found)):  # as a whole, as the definition has it
+                        add([text], words=False)
+                        p, found = [text], [known[text]]
+                    if strange and not strange.isdisjoint(p):
+                        unmet()
+                    values = list(zip(*found)) or none
+                    for c, v in zip(columns, values):
+                        c.append(v)
+                yield {id_col: b.column("id"), "groups_sha256": [digest(";".join(v)) for v in columns.pop()]} | {
+                    k: list(map(sum, c)) for k, c in zip(COUNTS, columns)}
 
         return arrow_map(docs, look_up, schema)
 
@@ -397,7 +540,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
             src = (TaskContext.get().partitionId() << 32) + k
             x = aligner().align(b.column("t").to_pylist(), True)
             none = {c: [None] * n for c in ("bucket", "at", "keys", "n_best", "count_sum")}
-            yield none | {"src": [src] * n, "nth": range(n), "id": b.column("id")} | plain(b, x)
+            yield none | {"src": [src] * n, "nth": range(n), "id": b.column("id"), "n_links": np.bincount(x["row"], minlength=n),
+                          "groups_sha256": list(map(digest, x["groups"]))} | {c: x[c] for c in ("n_a", "n_b", "n_groups")}
             own = by_bucket(x["keys"], bits)
             yield {c: [None] * len(own) for c in ("nth", "id", *COUNTS, "groups_sha256")} | {
                 "src": [src] * len(own), "bucket": [i for i, _ in own],
@@ -415,6 +559,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
         for r in rows.to_pylist():
             at = np.frombuffer(r["at"], "<i4")
             count, best = lookup(np.frombuffer(r["keys"], "<u8"))
+            if (count < 0).any():
+                unmet()
             nth = distinct(at)[0]
             n = int(at[-1]) + 1
             out.append(np.array([np.full(len(nth), r["src"]), nth, per_row(at, n, best)[nth], per_row(at, n, count)[nth]]))

@@ -111,12 +111,18 @@ def test_perfect_hash():
         assert ((others >= -1) & (others < max(n, 1))).all()
 
 
-def test_unknown_pair_is_an_error():
+def test_unknown_pair_is_told():
     keys = np.arange(100, dtype=np.uint64)
     h = alignment.PerfectHash.of(keys)
     pairs = np.empty_like(keys)
     pairs[h.index(keys)] = keys
     table = alignment.Table({"words": h.words.tobytes(), "sizes": h.sizes, "pairs": pairs.tobytes(), "counts": np.ones(100, "<i8").tobytes(), "best": b"\xff" * 13})
-    assert table(keys)[0].sum() == 100
-    with pytest.raises(ValueError):
-        table(np.array([500], np.uint64))
+    assert (table(keys)[0] == 1).all() and table(np.array([500, 7], np.uint64))[0].tolist() == [-1, 1]
+
+
+def test_words_alone_and_together():
+    x = alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    words = ["a", "ünd", "don't", "x" * 1000, "日本語", "▁", "1.\n2", "▁b", "end\n", "word ", " ", "  x", "😀"] * 3
+    one, each = x.align(words, True, True), x.align(words, True)
+    assert one.keys() == each.keys() and all(list(one[k]) == list(each[k]) for k in one)
+    assert x.pieces("a b  c\nd \ne f") == ["a", "b  c\nd \ne", "f"] and x.pieces(" a") == [" a"] and x.pieces(None) == []
