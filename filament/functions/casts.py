@@ -37,20 +37,29 @@ _NAN_RE = r"(?i)^nan\z"
 SYNTAX, RANGE, INVALID = 1, 2, 3
 
 
-def _integer(raw: Column, bits: int, signed: bool) -> tuple[Column, Column]:
-    """Base-10 integer with the exact grammar (no sign for unsigned), empty = 0: one guard and
-    one cast, both used by the value and by the code."""
+def parsed_integer(raw: Column, signed: bool) -> Column:
+    """The 64-bit value of a text of the exact grammar (no sign for unsigned), else NULL.  A strict cast that
+    fails builds an error, so it is tried on texts that can't fail; longer ones are rare."""
+    sign = "[+-]?" if signed else ""
+    return (F.when(raw.rlike(rf"^{sign}[0-9]{{1,18}}\z"), raw.try_cast("long"))
+             .when((F.octet_length(raw) > 18) & raw.rlike(rf"^{sign}[0-9]+\z"), raw.try_cast("long")))
+
+
+def _integer(raw: Column, bits: int, signed: bool, parsed: Column | None = None) -> tuple[Column, Column]:
+    """Base-10 integer, empty = 0.  ``parsed`` is ``parsed_integer`` of the text as a column: value and code read it
+    several times."""
     lo = -(2 ** (bits - 1)) if signed else 0
     hi = 2 ** (bits - 1) - 1 if signed else 2 ** bits - 1
     target = spark_type(("int" if signed else "uint") + str(bits))
-    ok = raw.rlike(r"^(?:[+-]?[0-9]+)?\z" if signed else r"^[0-9]*\z")
-    text = F.when(raw == "", F.lit("0")).otherwise(raw)
-    v = text.try_cast("long")
+    v = parsed_integer(raw, signed) if parsed is None else parsed
+    grammar = raw.rlike(r"^[+-]?[0-9]+\z" if signed else r"^[0-9]+\z")
     if hi >= 2 ** 63:
-        v = F.coalesce(v.cast("decimal(20,0)"), text.try_cast("decimal(20,0)"))
-    fits = F.coalesce(v.between(F.lit(lo), F.lit(hi) if hi < 2 ** 63 else F.lit(str(hi)).cast("decimal(20,0)")), F.lit(False))
-    value = F.when(ok & fits, v.cast(target))
-    return value, F.when(~ok, F.lit(SYNTAX)).when(~fits, F.lit(RANGE))
+        v = F.coalesce(v.cast("decimal(20,0)"), F.when((F.octet_length(raw) > 18) & grammar, raw.try_cast("decimal(20,0)")))
+        fits = v.isNotNull() & (v <= F.lit(str(hi)).cast("decimal(20,0)"))
+    else:
+        fits = v.isNotNull() & v.between(F.lit(lo), F.lit(hi)) if bits < 64 else v.isNotNull()
+    value = F.when(fits, v.cast(target)).when(raw == "", F.lit(0).cast(target))
+    return value, F.when(~fits & (raw != ""), F.when(grammar, F.lit(RANGE)).otherwise(F.lit(SYNTAX)))
 
 
 def _float(raw: Column, bits: int) -> tuple[Column, Column]:
@@ -94,8 +103,8 @@ def _time(raw: Column, base: str, layout: str) -> tuple[Column, Column]:
     return value, F.when(ts.isNull(), F.lit(INVALID))
 
 
-def convert_code(raw: Column, base: str, layout: str = "") -> tuple[Column, Column]:
-    """Convert non-null trimmed text by base type → (value, error code or NULL)."""
+def convert_code(raw: Column, base: str, layout: str = "", parsed: Column | None = None) -> tuple[Column, Column]:
+    """Convert non-null trimmed text by base type → (value, error code or NULL).  ``parsed``: see ``_integer``."""
     none = F.lit(None).cast("int")
     if base in STRING_TYPES:
         return raw, none
@@ -105,9 +114,9 @@ def convert_code(raw: Column, base: str, layout: str = "") -> tuple[Column, Colu
                  .when(raw.isin(FALSE_WORDS), F.lit(False)))
         return value, F.when(value.isNull(), F.lit(SYNTAX))
     if base in UINT_BITS:
-        return _integer(raw, UINT_BITS[base], signed=False)
+        return _integer(raw, UINT_BITS[base], False, parsed)
     if base in INT_BITS:
-        return _integer(raw, INT_BITS[base], signed=True)
+        return _integer(raw, INT_BITS[base], True, parsed)
     if base in FLOAT_BITS:
         return _float(raw, FLOAT_BITS[base])
     if base in TIME_TYPES:
@@ -139,14 +148,14 @@ def error_message(f: FieldSpec, code: Column, text: Column) -> Column:
 
 
 def prepared_text(text: Column, f: FieldSpec, trimmed: bool = False) -> Column:
-    """Trimmed text with the declared default applied (the converter's input)."""
-    raw = text if trimmed else go_trim(F.coalesce(text, F.lit("")))
+    """Trimmed text with the declared default applied (the converter's input).  ``trimmed``: it is already."""
+    raw = F.coalesce(text, F.lit("")) if trimmed else go_trim(F.coalesce(text, F.lit("")))
     return F.when(raw == "", F.lit(f.default)).otherwise(raw) if f.default else raw
 
 
-def cast_code(text: Column, f: FieldSpec) -> tuple[Column, Column]:
+def cast_code(text: Column, f: FieldSpec, parsed: Column | None = None) -> tuple[Column, Column]:
     """(typed value, error code) for prepared text (see ``prepared_text``)."""
-    value, code = convert_code(text, f.base_type, f.layout)
+    value, code = convert_code(text, f.base_type, f.layout, parsed)
     dtype = spark_type(f.base_type)
     if f.nullable:
         empty = text == ""

@@ -21,7 +21,8 @@ def col(name: str) -> Column:
 
 
 def go_trim(c: Column) -> Column:
-    """Trim Unicode white space from both ends (``trim`` alone strips U+0020 only)."""
+    """Trim Unicode white space from both ends (``trim`` alone strips U+0020 only).  It copies each character of its
+    input: texts that are known to be trimmed should not pass through it again (see ``chain.trimmed_after``)."""
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 

@@ -9,12 +9,13 @@ An unregistered type (including ``custom``) is a spec error.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filament.functions.text import WHITE_SPACE
 from filament.operators.dictmap import dict_map, dict_map_table
 from filament.operators.iplookup import ip_enrich
 from filament.spec import SpecError, TransformSpec
@@ -30,6 +31,9 @@ class ChainContext:
     ip_attrs: list[str] = field(default_factory=list)
     ip_table_rows: int | None = None
     dict_tables: dict[str, tuple[DataFrame, int | None]] = field(default_factory=dict)
+    #: keys whose texts have no outer white space (the frame's, before a step) and whether the IP table's attributes have none
+    trimmed: frozenset[str] = frozenset()
+    ip_attrs_trimmed: bool = False
 
 
 Transform = Callable[[DataFrame, TransformSpec, ChainContext], DataFrame]
@@ -44,7 +48,8 @@ def register(name: str, fn: Transform) -> None:
 def _ip_matcher(df: DataFrame, step: TransformSpec, ctx: ChainContext) -> DataFrame:
     if ctx.ip_table is None:
         raise SpecError("ip_matcher requires an IP table but none is configured")
-    return ip_enrich(df, list(step.fields), list(step.label_fields), ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows)
+    return ip_enrich(df, list(step.fields), list(step.label_fields), ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows,
+                     ctx.trimmed)
 
 
 def _dict_mapper(df: DataFrame, step: TransformSpec, ctx: ChainContext) -> DataFrame:
@@ -69,15 +74,39 @@ def resolve(steps: list[TransformSpec]) -> list[Transform]:
     return out
 
 
+def trimmed_after(step: TransformSpec, ctx: ChainContext, trimmed: frozenset[str], columns: list[str]) -> frozenset[str]:
+    """Which keys are known to be trimmed after a step, given those before it."""
+    if step.type == "ip_matcher":
+        labels = {f"{step.label_fields[i] if i < len(step.label_fields) else f}_{a}" for i, f in enumerate(step.fields) for a in ctx.ip_attrs}
+        return trimmed | {n for n in labels if n in trimmed or n not in columns} if ctx.ip_attrs_trimmed else trimmed - labels
+    if step.type == "dict_mapper":
+        target = step.target or step.field
+        texts = [step.default, *(() if step.dict_file else (step.dict or {}).values())]
+        clean = all(t == t.strip(WHITE_SPACE) for t in texts) and (target in trimmed or target not in columns)
+        return trimmed | {target} if clean else trimmed - {target}
+    return frozenset()  # a registered transform may write any key
+
+
+def trimmed_after_chain(steps: list[TransformSpec], ctx: ChainContext, columns: list[str]) -> frozenset[str]:
+    """``trimmed_after`` all steps, over a frame of these columns."""
+    trimmed = ctx.trimmed
+    for step in steps:
+        before, trimmed = trimmed, trimmed_after(step, ctx, trimmed, columns)
+        columns = [*columns, *(trimmed - before)]
+    return trimmed
+
+
 def apply_chain(df: DataFrame, steps: list[TransformSpec], ctx: ChainContext) -> DataFrame:
     """P20: run the steps in order.  Keeps ``_transform_error`` (NULL when no step
     failed) so callers can split failed rows off and count them."""
     if TRANSFORM_ERROR not in df.columns:
         df = df.withColumn(TRANSFORM_ERROR, F.lit(None).cast("string"))
     for fn, step in zip(resolve(steps), steps):
+        trimmed = trimmed_after(step, ctx, ctx.trimmed, df.columns)
         prev_err = df[TRANSFORM_ERROR]
         df = df.withColumn("_prev_terr", prev_err)
         df = fn(df, step, ctx)
         # an earlier failure sticks: the row left the chain at that step
         df = df.withColumn(TRANSFORM_ERROR, F.coalesce(F.col("_prev_terr"), F.col(TRANSFORM_ERROR))).drop("_prev_terr")
+        ctx = replace(ctx, trimmed=trimmed)
     return df

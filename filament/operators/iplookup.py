@@ -20,6 +20,8 @@ of the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +71,7 @@ def lookup(df: DataFrame, ip: "F.Column", table: DataFrame, attrs: list[str], pr
 
 
 def ip_enrich(df: DataFrame, fields: list[str], label_fields: list[str], table: DataFrame,
-              attrs: list[str], table_rows: int | None = None) -> DataFrame:
+              attrs: list[str], table_rows: int | None = None, trimmed: Collection[str] = ()) -> DataFrame:
     """For each field in order, look its (trimmed) value up; on a match write
     ``<prefix>_<attr>`` for every attribute the range has, overwriting; empty or absent
     values and misses leave the columns as they are.  The prefix is the label at the
@@ -78,7 +80,7 @@ def ip_enrich(df: DataFrame, fields: list[str], label_fields: list[str], table:
     present = [f for f in fields if f in df.columns]          # absent key: no-op
     # trimmed keys first, as their own columns: the conversion references its input
     # many times inside CASE branches, where Spark does not share subexpressions
-    keys = {f"_ik{j}": go_trim(col(field)) for j, field in enumerate(present)}
+    keys = {f"_ik{j}": (col(field) if field in trimmed else go_trim(col(field))) for j, field in enumerate(present)}
     df = df.withColumns(keys) if keys else df
     ipcols = {f"_ip{j}": F.when(F.col(f"_ik{j}") != "", ip_to_u32(F.col(f"_ik{j}"))) for j in range(len(present))}
     df = df.withColumns(ipcols).drop(*keys) if ipcols else df

@@ -28,6 +28,12 @@ _WS_CLASS = "[" + regex_literal(WHITE_SPACE) + "]"
 _UNQUOTE = r"(?s)^([\"'])(.*)\1\z"
 
 
+def _strip_quotes(trimmed: Column) -> Column:
+    """Strip one matching pair of outer quotes and trim again; the regex runs only where a quote comes first."""
+    quoted = trimmed.startswith("\"") | trimmed.startswith("'")
+    return F.when(quoted, go_trim(F.regexp_replace(trimmed, _UNQUOTE, "$2"))).otherwise(trimmed)
+
+
 def _unquote(part: Column) -> Column:
     """Trim, strip one matching pair of outer quotes, trim again."""
     return go_trim(F.regexp_replace(go_trim(part), _UNQUOTE, "$2"))
@@ -42,8 +48,8 @@ def quoted_parts(line: Column, delimiter: str) -> Column:
 
 
 def split_quoted(line: Column, delimiter: str) -> Column:
-    """P1 as an array of cleaned fields (uses a lambda; the row path uses
-    ``field_values`` instead, which stays inside whole-stage code generation)."""
+    """P1 as an array of cleaned fields (uses a lambda; the row path is
+    ``positional_fields``, which stays inside whole-stage code generation)."""
     return F.transform(quoted_parts(line, delimiter), _unquote)
 
 
@@ -57,13 +63,6 @@ def split_line(line: Column, delimiter: str) -> Column:
     return split_quoted(line, delimiter) if is_single_byte(delimiter) else split_literal(line, delimiter)
 
 
-def field_values(parts: Column, delimiter: str, n: int) -> list[Column]:
-    """Cleaned values of the first ``n`` raw parts (missing → ``""``), one plain
-    expression per field — no lambda, so the projection stays code-generated."""
-    clean = _unquote if is_single_byte(delimiter) else go_trim
-    return [F.coalesce(clean(F.get(parts, i)), F.lit("")) for i in range(n)]
-
-
 def raw_parts(line: Column, delimiter: str) -> Column:
     return quoted_parts(line, delimiter) if is_single_byte(delimiter) else F.split(line, regex_literal(delimiter), -1)
 
@@ -74,5 +73,9 @@ def positional_fields(df: DataFrame, line: Column, names: list[str], delimiter:
     last_pos = {n: i for i, n in enumerate(names)}
     arr = "_parts"
     df = df.withColumn(arr, raw_parts(line, delimiter))
-    vals = field_values(F.col(arr), delimiter, len(names))
-    return df.withColumns({n: vals[i] for n, i in last_pos.items()}).drop(arr)
+    # one plain expression a field, no lambda: the projection stays code-generated; trimmed texts stand in a projection
+    # of their own, as each is read more than once
+    held = {n: f"{arr}{i}" for n, i in last_pos.items()}
+    df = df.withColumns({held[n]: go_trim(F.coalesce(F.get(F.col(arr), i), F.lit(""))) for n, i in last_pos.items()})
+    clean = _strip_quotes if is_single_byte(delimiter) else (lambda c: c)
+    return df.withColumns({n: clean(F.col(h)) for n, h in held.items()}).drop(arr, *held.values())

@@ -10,37 +10,55 @@ message strings are only built where they are read.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filament.functions.casts import cast_code, error_message, prepared_text
+from filament.functions.casts import cast_code, error_message, parsed_integer, prepared_text
 from filament.functions.text import col
-from filament.spec import FieldSpec
+from filament.spec import INT_BITS, UINT_BITS, FieldSpec
 
 ERROR = "_error"
 ERR_FIELD, ERR_KIND, ERR_TEXT = "_err_field", "_err_kind", "_err_text"
 
 
-def typed_codes(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
-    """Typed values plus ``_err_field, _err_kind, _err_text``.
+def prepared(df: DataFrame, fields: list[FieldSpec], keep: list[str], trimmed: Collection[str] = ()):
+    """``keep`` and the prepared text of each field — one column for fields that read the same key with the same
+    default — and, for integers, its parsed value.  Projections of their own: a conversion references its
+    text many times inside CASE branches, where Spark does not share subexpressions.  Returns the frame, each field's
+    text column and its parsed column (or None)."""
+    texts: dict[tuple, str] = {}
+    numbers: dict[tuple, str] = {}
+    for f in fields:
+        texts.setdefault((f.input_name, f.default), f"_tx{len(texts)}")
+        if f.base_type in UINT_BITS or f.base_type in INT_BITS:
+            numbers.setdefault((texts[f.input_name, f.default], f.base_type in INT_BITS), f"_nu{len(numbers)}")
+    by_name = {name: key for key, name in texts.items()}
+    declared = {(f.input_name, f.default): f for f in fields}
+    missing = F.lit(None).cast("string")
+    df = df.select(*[F.col(k) for k in keep], *[
+        prepared_text(col(key[0]) if key[0] in df.columns else missing, declared[key], key[0] in trimmed).alias(name) for name, key in by_name.items()])
+    if numbers:
+        df = df.withColumns({name: parsed_integer(F.col(text), signed) for (text, signed), name in numbers.items()})
+    tx = [texts[f.input_name, f.default] for f in fields]
+    return df, tx, [F.col(numbers[t, f.base_type in INT_BITS]) if (t, f.base_type in INT_BITS) in numbers and
+                    (f.base_type in UINT_BITS or f.base_type in INT_BITS) else None for t, f in zip(tx, fields)]
 
-    Two projections: the prepared text of every field first (one column each), then
-    the conversions over those columns — a conversion references its text many times
-    inside CASE branches, where Spark does not share subexpressions."""
-    texts = {}
-    for i, f in enumerate(fields):
-        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
-        texts[f"_tx{i}"] = prepared_text(src, f)
-    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+
+def typed_codes(df: DataFrame, fields: list[FieldSpec], keep: list[str] = (), trimmed: Collection[str] = ()) -> DataFrame:
+    """Typed values plus ``_err_field, _err_kind, _err_text``.  Keys in ``trimmed`` hold texts without outer white
+    space."""
+    staged, tx, numbers = prepared(df, fields, keep, trimmed)
     values, codes = [], []
     for i, f in enumerate(fields):
-        v, c = cast_code(F.col(f"_tx{i}"), f)
+        v, c = cast_code(F.col(tx[i]), f, numbers[i])
         values.append(v.alias(f.name))
         codes.append(c)
     none_i = F.lit(None).cast("int")
     err_field = F.coalesce(*[F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(codes)], none_i)
     err_kind = F.coalesce(*codes, none_i)
-    err_text = F.coalesce(*[F.when(c.isNotNull(), F.col(f"_tx{i}")) for i, c in enumerate(codes)],
+    err_text = F.coalesce(*[F.when(c.isNotNull(), F.col(tx[i])) for i, c in enumerate(codes)],
                           F.lit(None).cast("string"))
     return staged.select(*[F.col(k) for k in keep], *values, err_field.alias(ERR_FIELD),
                          err_kind.alias(ERR_KIND), err_text.alias(ERR_TEXT))
@@ -63,18 +81,14 @@ def typed_projection(df: DataFrame, fields: list[FieldSpec], keep: list[str] = (
 def typed_with_errors(df: DataFrame, fields: list[FieldSpec], keep: list[str] = ()) -> DataFrame:
     """Each field's value and its own ``<name>_err`` message, in three projections
     (text → value + code → message) so no single generated method grows too large."""
-    texts = {}
-    for i, f in enumerate(fields):
-        src = col(f.input_name) if f.input_name in df.columns else F.lit(None).cast("string")
-        texts[f"_tx{i}"] = prepared_text(src, f)
-    staged = df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in texts.items()])
+    staged, tx, numbers = prepared(df, fields, keep)
     cols = []
     for i, f in enumerate(fields):
-        v, c = cast_code(F.col(f"_tx{i}"), f)
+        v, c = cast_code(F.col(tx[i]), f, numbers[i])
         cols += [v.alias(f.name), c.alias(f"_cd{i}")]
-    coded = staged.select(*[F.col(k) for k in keep], *[F.col(f"_tx{i}") for i in range(len(fields))], *cols)
+    coded = staged.select(*[F.col(k) for k in keep], *[F.col(t) for t in dict.fromkeys(tx)], *cols)
     out = [F.col(k) for k in keep]
     for i, f in enumerate(fields):
         code = F.col(f"_cd{i}")
-        out += [F.col(f.name), F.when(code.isNotNull(), error_message(f, code, F.col(f"_tx{i}"))).alias(f"{f.name}_err")]
+        out += [F.col(f.name), F.when(code.isNotNull(), error_message(f, code, F.col(tx[i]))).alias(f"{f.name}_err")]
     return coded.select(*out)

@@ -10,12 +10,12 @@ dimension tables.  No Python UDF anywhere.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filament.operators.chain import TRANSFORM_ERROR, ChainContext, apply_chain
+from filament.operators.chain import TRANSFORM_ERROR, ChainContext, apply_chain, trimmed_after_chain
 from filament.operators.merge import header_columns, header_merge
 from filament.operators.provenance import add_provenance
 from filament.operators.split import positional_fields
@@ -30,6 +30,7 @@ TOO_LONG_ERROR = "scan file: bufio.Scanner: token too long"
 class Parsed:
     rows: DataFrame          # row-keyed frame after the chain (one column per key)
     order: list[str]         # columns ordering the rows within a file
+    trimmed: frozenset = frozenset()   # keys whose texts have no outer white space
 
 HDR = "_hdr_"
 
@@ -63,8 +64,11 @@ def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_row
         names = [h.name for h in spec.header_fields]
         df = header_merge(df, {n: F.col(HDR + n) for n in names}).drop(*[HDR + n for n in names])
     df = add_provenance(df, spec.dedup)
+    # split and header fields come trimmed
+    ctx = replace(ctx, trimmed=frozenset(spec.input_names) | {h.name for h in spec.header_fields if spec.has_header_meta})
+    trimmed = trimmed_after_chain(spec.transformers, ctx, df.columns)
     df = apply_chain(df, spec.transformers, ctx)
-    return Parsed(df, order_columns(df))
+    return Parsed(df, order_columns(df), trimmed)
 
 
 def typed_rows(parsed: Parsed, spec: PipelineSpec) -> DataFrame:
@@ -74,7 +78,7 @@ def typed_rows(parsed: Parsed, spec: PipelineSpec) -> DataFrame:
     be counted; they carry no conversion error."""
     df = parsed.rows.withColumn("_terr", F.col(TRANSFORM_ERROR))
     keep = ["_file", *parsed.order, "_terr", "_too_long"] + (["_line_no"] if "_line_no" in df.columns else [])
-    typed = typed_codes(df, spec.output_fields, keep=keep)
+    typed = typed_codes(df, spec.output_fields, keep, parsed.trimmed)
     dropped = F.col("_terr").isNotNull()
     return typed.withColumns({
         ERR_FIELD: F.when(F.col("_too_long"), F.lit(-1)).when(~dropped, F.col(ERR_FIELD)),

@@ -54,6 +54,7 @@ def load_context(spark: SparkSession, specs: list[PipelineSpec], ip_path: str =
         ranges = load_ip_table(spark, ip_path, list(ip_columns or []))
         table = bucketed_ranges(ranges).cache()
         ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows = table, list(ip_columns or []), table.count()
+        ctx.ip_attrs_trimmed = True             # by the loader
     for s in specs:
         for t in s.transformers:
             if t.type == "dict_mapper" and t.dict_file and t.dict_file not in ctx.dict_tables:
