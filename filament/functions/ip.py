@@ -149,13 +149,17 @@ def canonical_ip(c: Column) -> Column:
 
 def ip_to_u32(c: Column) -> Column:
     """IPv4 value of a trimmed text: dotted quad, an IPv4-mapped IPv6 address in any
-    spelling, or a decimal integer 0..2^32-1.  NULL when none applies (no error).
-    Regex and string functions only (no lambda), so it stays code-generated."""
-    digits = F.regexp_replace(c, "^0+(?=[0-9])", "")
-    dec = F.when(c.rlike(r"^[0-9]+\z") & (F.length(digits) <= 10), digits.cast("decimal(20,0)"))
-    return (F.when(c.contains(":"), F.when(c.rlike(MAPPED_RE), _mapped_value(c)))
-             .when(is_ipv4(c), _dotted_to_long(c))
-             .when(dec <= F.lit(4294967295), dec.cast("long")))
+    spelling, or a decimal integer 0..2^32-1.  NULL when none applies (no error).  The rare spellings
+    stand in a bound expression: inlined, they make the generated method of a projection too long to be compiled."""
+    def quad(parts: Column) -> Column:
+        return reduce(lambda acc, i: acc * 256 + F.get(parts, i).cast("long"), range(1, 4), F.get(parts, 0).cast("long"))
+
+    def rare(x: Column) -> Column:
+        digits = F.regexp_replace(x, "^0+(?=[0-9])", "")
+        dec = F.when(x.rlike(r"^[0-9]+\z") & (F.length(digits) <= 10), digits.cast("decimal(20,0)"))
+        return F.when(x.rlike(MAPPED_RE), _mapped_value(x)).when(dec <= F.lit(4294967295), dec.cast("long"))
+
+    return F.when(is_ipv4(c), _bound(F.split(c, r"\."), quad)).when(c != "", _bound(c, rare))
 
 
 def u32_to_dotted(c: Column) -> Column:

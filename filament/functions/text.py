@@ -26,6 +26,14 @@ def go_trim(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def trim_column(c: Column) -> Column:
+    """``go_trim`` of a plain column: the copy is made only where the first or last byte isn't a visible ASCII
+    character.  (An expression would be evaluated once for each of its uses here.)"""
+    last = F.substring(c.cast("binary"), -1, 1)
+    visible = F.ascii(c).between(33, 126) & last.between(F.lit(b"!"), F.lit(b"~"))
+    return F.when(visible, c).otherwise(go_trim(c))
+
+
 def strip_cr(c: Column) -> Column:
     """Drop one trailing carriage return, as line scanning does for CRLF input.  Works on
     the bytes: text that is not UTF-8 keeps every other byte (a regex would replace it)."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filament.functions.text import WHITE_SPACE, go_trim, regex_literal
+from filament.functions.text import WHITE_SPACE, go_trim, regex_literal, trim_column
 
 
 def is_single_byte(delimiter: str) -> bool:
@@ -76,6 +76,7 @@ def positional_fields(df: DataFrame, line: Column, names: list[str], delimiter:
     # one plain expression a field, no lambda: the projection stays code-generated; trimmed texts stand in a projection
     # of their own, as each is read more than once
     held = {n: f"{arr}{i}" for n, i in last_pos.items()}
-    df = df.withColumns({held[n]: go_trim(F.coalesce(F.get(F.col(arr), i), F.lit(""))) for n, i in last_pos.items()})
+    df = df.withColumns({held[n]: F.coalesce(F.get(F.col(arr), i), F.lit("")) for n, i in last_pos.items()})
+    df = df.withColumns({h: trim_column(F.col(h)) for h in held.values()})
     clean = _strip_quotes if is_single_byte(delimiter) else (lambda c: c)
     return df.withColumns({n: clean(F.col(h)) for n, h in held.items()}).drop(arr, *held.values())

@@ -50,18 +50,21 @@ def typed_codes(df: DataFrame, fields: list[FieldSpec], keep: list[str] = (), tr
     """Typed values plus ``_err_field, _err_kind, _err_text``.  Keys in ``trimmed`` hold texts without outer white
     space."""
     staged, tx, numbers = prepared(df, fields, keep, trimmed)
+    # codes as columns first: the error columns read each of them three times
     values, codes = [], []
     for i, f in enumerate(fields):
         v, c = cast_code(F.col(tx[i]), f, numbers[i])
         values.append(v.alias(f.name))
-        codes.append(c)
+        codes.append(c.cast("int").alias(f"_cd{i}"))
+    coded = staged.select(*[F.col(k) for k in keep], *[F.col(t) for t in dict.fromkeys(tx)], *values, *codes)
     none_i = F.lit(None).cast("int")
-    err_field = F.coalesce(*[F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(codes)], none_i)
-    err_kind = F.coalesce(*codes, none_i)
-    err_text = F.coalesce(*[F.when(c.isNotNull(), F.col(tx[i])) for i, c in enumerate(codes)],
+    cd = [F.col(f"_cd{i}") for i in range(len(fields))]
+    err_field = F.coalesce(*[F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(cd)], none_i)
+    err_kind = F.coalesce(*cd, none_i)
+    err_text = F.coalesce(*[F.when(c.isNotNull(), F.col(tx[i])) for i, c in enumerate(cd)],
                           F.lit(None).cast("string"))
-    return staged.select(*[F.col(k) for k in keep], *values, err_field.alias(ERR_FIELD),
-                         err_kind.alias(ERR_KIND), err_text.alias(ERR_TEXT))
+    return coded.select(*[F.col(k) for k in keep], *[col(f.name) for f in fields], err_field.alias(ERR_FIELD),
+                        err_kind.alias(ERR_KIND), err_text.alias(ERR_TEXT))
 
 
 def message_column(fields: list[FieldSpec]) -> Column:

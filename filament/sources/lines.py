@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filament.functions.text import decode_file_uri, go_trim, strip_cr
+from filament.functions.text import decode_file_uri, go_trim, strip_cr, trim_column
 from filament.session import local_frame
 
 # Rows in the per-split / per-bucket index beyond which it is joined by shuffle
@@ -101,7 +101,7 @@ def scan_lines(spark: SparkSession, paths: list[str] | str, max_line_bytes: int
         df = more if df is None else df.unionByName(more)
     too_long = F.octet_length("_value") >= F.lit(max_line_bytes) if max_line_bytes else F.lit(False)
     df = (df.withColumn("_raw", strip_cr(F.col("_value")))
-            .withColumn("_line", go_trim(F.col("_raw")))
+            .withColumn("_line", trim_column(F.col("_raw")))
             .withColumn("_too_long", too_long)
             .filter((F.col("_line") != "") | F.col("_too_long") | F.lit(keep_blank))
             .drop("_value"))
