@@ -88,6 +88,40 @@ def recover(latest_df: DataFrame, pipeline: str, now: dt.datetime, seq: int) ->
     return _rewrite(cur, seq, now, status=F.lit("pending"))
 
 
+def step(latest_df: DataFrame, ready: DataFrame, spec_name: str, now: dt.datetime, seq: int, run_id: str, retry_failed: bool,
+         max_retries: int, reclaim: str | None = None) -> DataFrame:
+    """L3, L6, L1 and L2 of a run in one pass: interrupted files (with ``reclaim`` those whose run id starts so) and
+    failed ones that are due become ``pending``, ready files are enqueued, and all that is pending is claimed.
+    One join of the latest records with the listing; up to three records a file, under ``seq`` to ``seq + 2``."""
+    cur = latest_df.filter(F.col("pipeline") == spec_name)
+    new = ready.select(F.col("path").alias("_path"), F.col("size").alias("_size"), F.col("mtime").alias("_mtime"))
+    both = cur.join(new, F.col("file_path") == F.col("_path"), "full_outer")
+    status, listed = F.coalesce("status", F.lit("unknown")), F.col("_path").isNotNull()
+    stuck = status == "processing"
+    if reclaim is not None:
+        stuck = stuck & F.coalesce(F.col("run_id").startswith(reclaim), F.lit(False))
+    due = (status == "failed") & F.lit(retry_failed) & (F.lit(max_retries < 0) | (F.col("attempts") < max_retries)) & (
+        F.col("next_retry_at").isNull() | (_ts(now) >= F.col("next_retry_at")))
+    both = both.withColumns({"_moved": stuck | due, "_due": due, "_known": F.col("file_path").isNotNull()})
+    both = both.withColumn("_new", listed & (F.col("_moved") | status.isin("unknown", "pending")))
+    both = both.withColumn("_claim", F.col("_new") | F.col("_moved") | (status == "pending")).filter("_claim")
+    none = {n: F.lit(None).cast(t) for n, t in LEDGER_COLUMNS}
+    held = {n: F.col(n) for n, _ in LEDGER_COLUMNS}
+    moved = held | {"processed_at": _ts(now), "seq": F.lit(seq).cast("bigint"), "status": F.lit("pending"),
+                    "next_retry_at": F.when(F.col("_due"), none["next_retry_at"]).otherwise(F.col("next_retry_at"))}
+    queued = none | {"pipeline": F.lit(spec_name), "file_path": F.col("_path"), "file_size": F.col("_size"), "file_mod_time": F.col("_mtime"),
+                     "status": F.lit("pending"), "rows": F.lit(0).cast("bigint"), "attempts": F.coalesce("attempts", F.lit(0)),
+                     "processed_at": _ts(now), "dead_letter_to": F.lit(""), "error": F.lit(""), "seq": F.lit(seq + 1).cast("bigint"), "run_id": F.lit(run_id)}
+    claimed = {n: F.when(F.col("_new"), queued[n]).otherwise(moved[n] if n == "next_retry_at" else held[n]) for n, _ in LEDGER_COLUMNS} | {
+        "processed_at": _ts(now), "seq": F.lit(seq + 2).cast("bigint"), "status": F.lit("processing"), "run_id": F.lit(run_id)}
+
+    def record(values: dict, when) -> Column:
+        return F.when(when, F.struct(*[values[n].cast(t).alias(n) for n, t in LEDGER_COLUMNS]))
+
+    rows = F.array(record(moved, F.col("_moved")), record(queued, F.col("_new")), record(claimed, F.lit(True)))
+    return both.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+
+
 def done(claimed: DataFrame, verdict: DataFrame, now: dt.datetime, seq: int, run_id: str) -> DataFrame:
     """L4: rows set, error cleared, attempts kept.  ``verdict``: ``file_path, rows`` and, where
     rows were dropped on the way, ``rows_read``."""

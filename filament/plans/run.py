@@ -4,8 +4,8 @@
 chain → typed projection → per-file verdict → publish good files → ledger
 done/failed/dead (+ dead-letter rows)``.
 
-Many files are handled by one set of jobs.  The control plane (paths, one verdict
-row per file) is small and is the only thing brought to the driver; the data is read
+Many files are handled by one set of jobs.  The driver holds the claimed paths (the reader
+needs their names) and counts; records and verdicts stay DataFrames.  The data is read
 three times at most (split index when numbering is needed, verdict, publication)
 and never cached, so a lost executor only costs the recomputation of its tasks.
 Publication is all-or-nothing per file: a bad file contributes no rows.  A file that
@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 import time
+import urllib.parse
 import uuid
 import warnings
 from dataclasses import dataclass, field
@@ -31,18 +33,24 @@ from filament.operators import ledger as L
 from filament.operators.chain import ChainContext
 from filament.operators.iplookup import bucketed_ranges
 from filament.operators.ready import ready_files
-from filament.operators.verdict import first_error_messages, split_verdicts
+from filament.operators.verdict import file_verdict
 from filament.session import local_frame, shared_dir
 from filament.plans.ingest import error_message, output_only, parse, typed_rows
+from filament.sinks import ledger_store as store
 from filament.sinks.files import archive_rows, dead_letter_rows, write_lines
 from filament.sinks.table import write_run
 from filament.sources.dictionary import load_dict_file
 from filament.sources.ipdb import load_ip_table
 from filament.sources.lines import scan_lines
-from filament.sources.listing import list_dir
+from filament.sources.listing import list_dir, list_entries
 from filament.spec import PipelineSpec
 
-BROADCAST_FILE_LIST = 100_000
+#: failed files that are named in the filter of a publication; more are joined
+LITERAL_FILES = 300
+#: errors that a result shows; the ledger has them all
+SHOWN_ERRORS = 1000
+# fixed values: endings of compressed files that the text reader unpacks
+COMPRESSED = ("gz", "bz2", "deflate", "zst", "snappy", "lz4")
 
 
 def load_context(spark: SparkSession, specs: list[PipelineSpec], ip_path: str = "",
@@ -64,15 +72,13 @@ def load_context(spark: SparkSession, specs: list[PipelineSpec], ip_path: str =
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return L.empty_ledger(spark)
-    return L.conform(spark.read.parquet(path))
+    """All records of all pipelines."""
+    return store.read_history(spark, path)
 
 
 def append_ledger(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("append").parquet(path)
+    """One batch of records, in a folder of its own (``store.batch_dir``)."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -85,19 +91,30 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def missing_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Claimed paths that are not there (any more), with the error they fail with."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = {}
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if not hp.getFileSystem(conf).exists(hp):
-            out[p] = f"open {p}: no such file or directory"
-    return out
+    """Claimed paths that are not there (any more), with the error they fail with: one listing for each folder."""
+    there = {e[0] for folder in {p.rpartition("/")[0] if "/" in p else "." for p in paths} for e in list_entries(spark, folder or "/")}
+    return {p: f"open {p}: no such file or directory" for p in paths if p not in there}
+
+
+#: kinds of failures that name the file they met
+READ_ERRORS = ("FAILED_READ_FILE", "PATH_NOT_FOUND", "FileNotFoundException")
+#: failed attempts after which the compressed files are probed together
+PROBE_AFTER = 2
+
+
+def named_files(error: Exception, paths: list[str]) -> list[str]:
+    """Files among ``paths`` that a failed read names (none: it failed for another reason, like a lost executor)."""
+    text = str(error)
+    if not any(k in text for k in READ_ERRORS):
+        return []
+    text += urllib.parse.unquote(text)
+    return [p for p in paths if re.search(re.escape(p.removeprefix("./")) + r"(?![^\s.,;:'\")\]]|[.][A-Za-z0-9])", text)]
 
 
 def unreadable_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Reads every file to its end, a task each, and returns the errors of those that fail.  Run
-    only after a read failed, to find out which files to blame."""
+    """Reads the files to their end, a task each, and returns the errors of those that fail."""
+    if not paths:
+        return {}
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for p in paths:
@@ -125,6 +142,21 @@ def unreadable_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     return {r.path: r.error for r in files.mapInArrow(probe, "path string, error string").collect()}
 
 
+def read_failures(spark: SparkSession, error: Exception, paths: list[str], attempt: int) -> dict[str, str]:
+    """Which of ``paths`` a failed stage could not read.  Files that are gone, and those that the error names; from
+    ``PROBE_AFTER`` attempts on also compressed ones that can't be read to their end (plain text can't be corrupt), so
+    many bad files don't cost a stage each.  Nothing else is read again, whatever the failure."""
+    named = named_files(error, paths)
+    if not named and not any(k in str(error) for k in READ_ERRORS):
+        return {}
+    found = missing_files(spark, paths)
+    left = [p for p in paths if p not in found]
+    suspects = [p for p in left if p in named or attempt >= PROBE_AFTER and p.rsplit(".", 1)[-1].lower() in COMPRESSED]
+    found |= unreadable_files(spark, suspects)
+    reason = (str(error).strip().splitlines() or [""])[0][:500]
+    return found | {p: f"read {p}: {reason}" for p in named if p not in found}
+
+
 class _Phases:
     """Wall time per phase of a run (kept on the result for the bench report)."""
 
@@ -154,26 +186,17 @@ class RunResult:
 
 
 def _control_plane(spark: SparkSession, spec: PipelineSpec, ledger_path: str, now: dt.datetime, run_id: str,
-                   ready: DataFrame, reclaim: str | None = None) -> tuple[list, int]:
-    """Recover/retry, enqueue ``ready`` files and claim every pending file, computed on
-    the small ledger frame and appended in one write.  Returns the claimed records.  With
+                   ready: DataFrame, reclaim: str | None = None) -> tuple[DataFrame, int]:
+    """Recover/retry, enqueue ``ready`` files and claim every pending file: one pass over the latest
+    records, appended in one write.  Returns the claimed records.  With
     ``reclaim`` only interrupted files whose run id starts so are recovered (a stream takes back
     what its own crashed batches held)."""
-    ledger = read_ledger(spark, ledger_path)
-    seq0 = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
-    cur = L.latest(ledger)
-    mine = cur if reclaim is None else cur.filter(F.col("run_id").startswith(reclaim))
-    moved = L.recover(mine, spec.name, now, seq0)
-    if spec.retry_failed:
-        moved = moved.unionByName(L.retry(cur, spec.name, spec.max_retries, now, seq0))
-    moved = local_frame(spark, moved.collect(), L.LEDGER_SCHEMA)
-    cur = L.latest(ledger.unionByName(moved))
-    enq = local_frame(spark, L.enqueue(cur, ready, spec.name, now, seq0 + 1, run_id).collect(), L.LEDGER_SCHEMA)
-    cur = L.latest(ledger.unionByName(moved).unionByName(enq))
-    claimed_rows = L.claim(cur, spec.name, now, seq0 + 2, run_id).collect()   # control plane: one row per file
-    claimed = local_frame(spark, claimed_rows, L.LEDGER_SCHEMA)
-    append_ledger(moved.unionByName(enq).unionByName(claimed), ledger_path)
-    return claimed_rows, seq0 + 3
+    batch = store.next_batch(spark, ledger_path, spec.name)
+    records = L.step(store.read_latest(spark, ledger_path, spec.name), ready, spec.name, now, batch * store.SEQS, run_id,
+                     spec.retry_failed, spec.max_retries, reclaim)
+    path = store.batch_dir(ledger_path, spec.name, batch)
+    append_ledger(records, path)
+    return L.conform(spark.read.parquet(path)).filter(F.col("status") == "processing"), (batch + 1) * store.SEQS
 
 
 def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_path: str, table_path: str,
@@ -183,9 +206,9 @@ def run_once(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_
     run_id = run_id or now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     t0 = time.time()
     ready = ready_files(list_dir(spark, spec.watch_dir_clean), spec, now)
-    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready)
+    claimed, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready)
     control = time.time() - t0
-    res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
+    res = ingest_claimed(spark, spec, ctx, claimed, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.phases = {"control_plane": round(control, 3), **res.phases}
     res.seconds = time.time() - t0
     return res
@@ -201,33 +224,35 @@ def run_files(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, files:
     run_id = f"{owner}-{now.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     t0 = time.time()
     ready = local_frame(spark, [(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
-    claimed_rows, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, reclaim=owner + "-")
-    res = ingest_claimed(spark, spec, ctx, claimed_rows, seq, ledger_path, table_path, now, run_id, dead_letter_path)
+    claimed, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, reclaim=owner + "-")
+    res = ingest_claimed(spark, spec, ctx, claimed, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.seconds = time.time() - t0
     return res
 
 
-def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, claimed_rows: list, seq: int,
+def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, claimed: DataFrame, seq: int,
                    ledger_path: str, table_path: str, now: dt.datetime, run_id: str,
                    dead_letter_path: str = "") -> RunResult:
-    """Read, parse, enrich, convert and publish the claimed files; append the verdicts."""
+    """Read, parse, enrich, convert and publish the claimed files; append the verdicts.
+
+    The driver holds the claimed paths and sizes (the reader needs their names), counts, and
+    at most ``SHOWN_ERRORS`` errors; verdicts and records stay DataFrames."""
     res = RunResult(run_id)
     ph = _Phases()
     t0 = time.time()
-    if not claimed_rows:
+    held = claimed.select("file_path", "file_size").toArrow()
+    paths, lengths = held.column(0).to_pylist(), held.column(1).to_pylist()
+    if not paths:
         return res
-    claimed = local_frame(spark, claimed_rows, L.LEDGER_SCHEMA)
-    res.files_claimed = len(claimed_rows)
+    res.files_claimed = len(paths)
+    sizes = {p: n or 0 for p, n in zip(paths, lengths)}
+    unread = missing_files(spark, paths)
+    visible = [p for p in paths if p not in unread]
 
-    paths = [r.file_path for r in claimed_rows]
-    sizes = {r.file_path: (r.file_size or 0) for r in claimed_rows}
-    errors = missing_files(spark, paths)
-    visible = [p for p in paths if p not in errors]
-
-    verdicts: dict[str, tuple[int, str | None, int]] = {}
-    staged = lines = None
+    lines = None
     stage_dir = shared_dir(spark, f"staging/{spec.name}/{run_id}")
     max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    attempt = 0
     while visible:
         # One pass over the expensive part (parse, enrich, convert): the typed rows are
         # staged in the shared folder — this also cuts the lineage, so a lost executor
@@ -236,92 +261,88 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
         lines = scan_lines(spark, visible, spec.max_line_bytes, directory=spec.watch_dir_clean)
         try:
-            typed_rows(parse(lines, spec, ctx, est_splits), spec).write.mode("overwrite").parquet(stage_dir)
+            typed_rows(parse(lines, spec, ctx, est_splits), spec).write.mode("overwrite").parquet(stage_dir + "/rows")
             break
-        except Exception:
-            found = missing_files(spark, visible)
-            found |= unreadable_files(spark, [p for p in visible if p not in found])
+        except Exception as e:
+            attempt += 1
+            found = read_failures(spark, e, visible, attempt)
             if not found:
                 raise
-            errors |= found
+            unread |= found
             visible = [p for p in visible if p not in found]
-    if visible:
-        ph.mark("parse_convert_stage")
-        staged = spark.read.parquet(stage_dir)
-        per_file: dict[str, list] = {}
-        for r in split_verdicts(staged).collect():              # one row per input split
-            per_file.setdefault(r._file, []).append(r)
-        firsts = []
-        for f, units in per_file.items():
-            bad = [u for u in units if u._nerr]
-            if bad:
-                u = min(bad, key=lambda x: x._block)
-                firsts.append((f, u._block, u._epos))
-        msgs = {}
-        if firsts:                                    # only when some file failed
-            keys = local_frame(spark, firsts, "_file string, _eblock long, _epos long")
-            msgs = {r._file: r.first_error for r in
-                    first_error_messages(staged, keys, error_message(spec), n_firsts=len(firsts)).collect()}
-        for f, units in per_file.items():
-            verdicts[f] = (sum(u._n for u in units), msgs.get(f), sum(u._nterr or 0 for u in units))
+    ph.mark("parse_convert_stage")
 
+    # one row a file: rows, dropped rows, first error
+    unread_df = local_frame(spark, list(unread.items()), "_file string, _unread string")
+    staged = spark.read.parquet(stage_dir + "/rows") if visible else None
+    outcome = claimed.select(F.col("file_path").alias("_file"))
+    if visible:
+        outcome = outcome.join(file_verdict(staged, error_message(spec)).select("_file", "rows", "dropped", "first_error"), "_file", "left")
+    else:
+        outcome = outcome.select("_file", F.lit(0).alias("rows"), F.lit(0).alias("dropped"), F.lit(None).cast("string").alias("first_error"))
+    outcome = outcome.join(unread_df, "_file", "left").select(
+        F.col("_file").alias("file_path"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows_read"),
+        F.coalesce("dropped", F.lit(0)).cast("long").alias("dropped"), F.coalesce("_unread", "first_error").alias("error"),
+        F.col("_unread").isNotNull().alias("unread"))
+    outcome.write.mode("overwrite").parquet(stage_dir + "/outcome")
+    outcome = spark.read.parquet(stage_dir + "/outcome")
+    good, bad = outcome.filter("error IS NULL"), outcome.filter("error IS NOT NULL")
+    total = outcome.groupBy(F.col("error").isNull().alias("good"), "unread").agg(
+        F.count("*").alias("n"), F.sum("rows_read").alias("r"), F.sum("dropped").alias("d")).collect()
+    n_good = sum(t.n for t in total if t.good)
+    n_bad = sum(t.n for t in total if not t.good)
+    n_bad_read = sum(t.n for t in total if not t.good and not t.unread)
     ph.mark("verdict")
-    for p in visible:
-        n, err, _ = verdicts.get(p, (0, None, 0))
-        if err is not None:
-            errors[p] = err
-    good = [p for p in visible if p not in errors]
 
-    if staged is not None and good:
+    if n_good and staged is not None:
         out = staged.filter(F.col("_terr").isNull())
-        bad_files = [p for p in visible if p in errors]
-        if len(bad_files) <= BROADCAST_FILE_LIST:
-            if bad_files:
-                out = out.filter(~F.col("_file").isin(bad_files))
-        else:
-            out = out.join(local_frame(spark, [(p,) for p in bad_files], "_file string"), "_file", "left_anti")
+        if n_bad_read:
+            failed_files = bad.filter("NOT unread").select(F.col("file_path").alias("_file"))
+            if n_bad_read <= LITERAL_FILES:
+                out = out.filter(~F.col("_file").isin([r._file for r in failed_files.collect()]))
+            else:
+                out = out.join(failed_files, "_file", "left_anti")
         write_run(output_only(out, spec), table_path, run_id, spec.event_time_field, spec.sort_fields)
         ph.mark("publish")
 
     now_done = now + dt.timedelta(seconds=time.time() - t0)     # what the files really took
-    done_v = local_frame(spark,
-        [(p, v[0] - v[2], v[0]) for p in good for v in [verdicts.get(p, (0, None, 0))]],
-        "file_path string, rows long, rows_read long")
-    new_rows = L.done(claimed, done_v, now_done, seq, run_id)
-    if errors:
-        err_df = local_frame(spark, list(errors.items()), "file_path string, error string")
-        failed = L.fail(claimed, err_df, now_done, seq, spec.retry_failed, spec.retry_interval_s,
-                        spec.max_retries, spec.dead_letter_dir, run_id)
-        failed_rows = failed.collect()
-        new_rows = new_rows.unionByName(local_frame(spark, failed_rows, failed.schema))
-        dead = [r for r in failed_rows if r.status == "dead"]
-        res.files_failed = len(failed_rows)
-        res.files_dead = len(dead)
-        if dead and dead_letter_path and lines is not None:
-            dead_df = local_frame(spark, [(r.file_path, r.error) for r in dead], "file_path string, error string")
-            write_lines(dead_letter_rows(lines, dead_df, spec.name, n_dead=len(dead)), dead_letter_path, run_id)
-    append_ledger(new_rows, ledger_path)            # commit point
-    _remove(spark, stage_dir)
+    records = L.done(claimed, good.select("file_path", (F.col("rows_read") - F.col("dropped")).alias("rows"), "rows_read"), now_done, seq, run_id)
+    if n_bad:
+        res.errors = {r.file_path: r.error for r in bad.orderBy("file_path").limit(SHOWN_ERRORS).collect()}
+        records = records.unionByName(L.fail(claimed, bad.select("file_path", "error"), now_done, seq, spec.retry_failed, spec.retry_interval_s,
+                                             spec.max_retries, spec.dead_letter_dir, run_id))
+        records.write.mode("overwrite").parquet(stage_dir + "/records")
+        records = spark.read.parquet(stage_dir + "/records")
+        dead = records.filter("status = 'dead'").select("file_path", "error").join(outcome.select("file_path", "unread"), "file_path")
+        res.files_dead = dead.count()
+        res.files_failed = n_bad
+        if res.files_dead and dead_letter_path:
+            # of a file that can't be read, the reason alone is kept
+            letters = dead.filter("unread").select(F.lit(spec.name).alias("pipeline"), "file_path", F.lit(None).cast("string").alias("line"), F.col("error").alias("reason"))
+            if n_bad_read:
+                letters = letters.unionByName(dead_letter_rows(lines, dead.filter("NOT unread"), spec.name, n_dead=res.files_dead))
+            write_lines(letters, dead_letter_path, run_id)
+    append_ledger(records, store.batch_dir(ledger_path, spec.name, seq // store.SEQS))            # commit point
     ph.mark("ledger_commit")
-    if spec.archive_dir and good:
+    if spec.archive_dir and n_good and lines is not None:
         # the files are done: an archive that fails takes nothing back
         try:
-            done_files = local_frame(spark, [(p,) for p in good], "file_path string")
-            write_lines(archive_rows(lines, done_files, spec.name, n_files=len(good)), spec.archive_dir, run_id)
+            write_lines(archive_rows(lines, good, spec.name, n_files=n_good), spec.archive_dir, run_id)
         except Exception as e:
             warnings.warn(f"pipeline {spec.name}: archive of run {run_id} failed: {e}")
         ph.mark("archive")
+    _remove(spark, stage_dir)
+    store.compact(spark, ledger_path, spec.name)
     res.phases = ph.times
-    res.files_done = len(good)
-    res.rows_read = sum(verdicts[p][0] for p in good if p in verdicts)
-    res.transform_errors = sum(verdicts[p][2] for p in good if p in verdicts)
+    res.files_done = n_good
+    res.rows_read = sum(t.r for t in total if t.good)
+    res.transform_errors = sum(t.d for t in total if t.good)
     res.rows_written = res.rows_read - res.transform_errors
-    res.errors = errors
     return res
 
 
 def committed_runs(spark: SparkSession, ledger_path: str, pipeline: str, status: str = "done") -> DataFrame:
     """Run ids holding published rows: runs named by a current ``done`` record (dead-letter
     rows: ``status="dead"``)."""
-    cur = L.latest(read_ledger(spark, ledger_path))
-    return cur.filter((F.col("pipeline") == pipeline) & (F.col("status") == status)).select("run_id").distinct()
+    cur = store.read_latest(spark, ledger_path, pipeline)
+    return cur.filter(F.col("status") == status).select("run_id").distinct()
