@@ -33,6 +33,7 @@ import json
 import re
 import uuid
 from collections import Counter
+from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -313,7 +314,7 @@ class Words:
 
     def count(self, texts: list[str | None]):
         cut = [self.aligner.pieces(t) for t in texts]
-        self.add(list(dict.fromkeys(w for p in cut for w in p if w not in self.known)))
+        self.add(list(set(chain.from_iterable(cut)).difference(self.known)))
         if self.unfit and (unfit := [k for k, p in enumerate(cut) if not self.unfit.isdisjoint(p)]):
             for k in unfit:  # as a whole, as the definition has it
                 cut[k] = [texts[k]]
@@ -514,7 +515,7 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
                     chars[0] = 0
                 texts = b.column("t").to_pylist()
                 cut = [aligner().pieces(t) for t in texts]
-                add(list(dict.fromkeys(w for p in cut for w in p if w not in known)))
+                add(list(set(chain.from_iterable(cut)).difference(known)))
                 columns: list = [[] for _ in none]
                 for text, p in zip(texts, cut):
                     found = [known[w] for w in p]
