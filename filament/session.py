@@ -27,6 +27,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.files.minPartitionNum", str(2 * max(1, shuffle_partitions)))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the call site of every column expression costs a dozen round trips to the JVM; plans here have thousands
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
