@@ -3,11 +3,17 @@
 Three base patterns (``assign``, ``access``, ``hex``) are found leftmost and
 non-overlapping, each kind on its own.  On top of them the text is lexed as source or
 configuration syntax into name-literal pairs (``name = "x"``, ``"name": 'x'``,
-``export NAME=x``, ``name: x``, ``name := x``, literals joined by ``+``); identifiers and
-``${...}`` references on a right-hand side are replaced by the literal that was last
+``export NAME=x``, ``name: x``, ``name := x``, ``table["name"] = "x"``, ``name: type = "x"``, ``ENV NAME x``,
+``<name>x</name>``; literals also in triple quotes, or joined by ``+``); identifiers and
+``${...}`` references on a right-hand side (``{...}`` in an f-string) are replaced by the literal that was last
 assigned to them, and each literal is scored by how sensitive its target's name is and how
-much it looks like a random value.  Literals that score at least ``THRESHOLD`` become
-spans of kind ``lexed`` (the span is the literal itself, where it stands).
+much it looks like a random value.  Names that say little (``key``, ``signature``, ``salt``) count only with a long random
+value; blanks may stand in a passphrase only.  Literals that score at least ``THRESHOLD`` become
+spans of kind ``lexed`` (the span is the literal itself, where it stands).  Scopes aren't told apart: the last assignment
+above a use counts.
+
+A joined constant is a node that refers to its parts and holds what the score needs (character counts), so texts that
+double a constant line by line cost a step a line; a part's spans are reported once.
 
 Defined results: a null text counts as empty; an empty text has no spans; every row gives
 one row, also repeated ids and null ids; other columns are not read.  Offsets are code
@@ -36,60 +42,171 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: how strongly part of a name speaks for a secret value
 NAME_WEIGHTS = {
-    "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 0.9,
+    "password": 1.0, "passwd": 1.0, "pwd": 0.9, "pw": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 0.9,
     "credential": 0.9, "credentials": 0.9, "privatekey": 1.0, "accesskey": 0.9, "secretkey": 1.0, "authkey": 0.9,
-    "bearer": 0.8, "auth": 0.6, "key": 0.4, "salt": 0.5, "signature": 0.4,
+    "encryptionkey": 0.9, "signingkey": 0.9, "sshkey": 0.9, "masterkey": 0.9, "storagekey": 0.9,
+    "bearer": 0.8, "auth": 0.6, "key": 0.4, "salt": 0.4, "signature": 0.4,
 }
-LEX_STEMS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "salt", "signature")
+#: what a weight under ``THRESHOLD`` becomes beside a literal that looks random
+LIFTED = 0.6
+#: characters from which a literal can look random
+RANDOM_LENGTH = 16
+LEX_STEMS = ("pass", "pw", "secret", "token", "key", "credential", "auth", "bearer", "salt", "signature")
+LEX_SIGNS = ("=", ":", "ENV", "ARG", "</")
 NEGATIVE = frozenset("file path url uri name id length size count type public hint field label column".split())
 PLACEHOLDER = re.compile(r"(?i)^(?:<.*>|\*+|x+|\.+|changeme|example|placeholder|none|null|true|false|your[\W_].*|test)$")
-PAIR = re.compile(r"""(?<![\w.\-])(["']?)([A-Za-z_][\w.\-]*+)\1[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+""", re.A)
-QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`''')
+PAIR = re.compile(r"""
+    (?m:^)[ \t]*+(?:ENV|ARG)[ \t]++(?P<env>[A-Za-z_]\w*+)[ \t]++(?!=)
+  | \[[ \t]*+(?P<q>["'])(?P<item>[A-Za-z_][\w.\-]*+)(?P=q)[ \t]*+\][ \t]*+=(?!=)[ \t]*+
+  | <(?P<tag>[A-Za-z_][\w.\-]*+)>[ \t]*+
+  | (?<![\w.\-])(?P<p>["']?)(?P<name>[A-Za-z_][\w.\-]*+)(?P=p)[ \t]*+
+    (?: :[ \t]*+[A-Za-z_][\w.<>\[\]|?]*+[ \t]++=(?!=) | := | => | =(?!=) | :(?![:/]) )[ \t]*+
+""", re.A | re.X)
+QUOTED = re.compile(r"""
+    (?P<prefix>[fFrRbBuU]{0,2})
+    (?: \"{3}([^"]*+(?:"(?!"")[^"]*+)*+)\"{3} | '{3}([^']*+(?:'(?!'')[^']*+)*+)'{3}
+      | "((?:[^"\\\n]|\\.)*+)" | '((?:[^'\\\n]|\\.)*+)' | `([^`\n]*+)` )
+""", re.X)
+ELEMENT = re.compile(r"[^<\n]++(?=</)")
 REF = re.compile(r"\$\{([\w.\-]+)\}|\$([A-Za-z_]\w*)|\{\{\s*([\w.\-]+)\s*\}\}", re.A)
+FIELD = re.compile(r"(?<!\{)\{([A-Za-z_][\w.]*)[!:}]", re.A)
 BARE = re.compile(r"""[^\s"'`,;#<>(){}\[\]$]+""")
 JOIN = re.compile(r"[ \t]*\+[ \t]*")
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+#: a joined constant's counts are scaled down beyond this length: only proportions matter there
+LONG = 2.0 ** 40
+
+
+def name_parts(name: str) -> list[str]:
+    """Lower-case words of an identifier (snake, dotted, camel case), after its last dot."""
+    return [p.lower() for p in NAME_PART.findall(name.rpartition(".")[2])]
 
 
 def name_score(name: str) -> float:
-    """0..1: the weight of the most telling part of an identifier (snake, dotted, camel case)."""
-    parts = [p.lower() for p in NAME_PART.findall(name.rpartition(".")[2])]
+    """0..1: the weight of the most telling part of an identifier."""
+    parts = name_parts(name)
     if parts and parts[-1] in NEGATIVE:
         return 0.0
     pairs = parts + [a + b for a, b in zip(parts, parts[1:])]
     return max((NAME_WEIGHTS.get(p, 0.0) for p in pairs), default=0.0)
 
 
-def literal_score(value: str) -> float:
-    """0..1: length, entropy and mixture of character classes; placeholders score 0."""
-    n = len(value)
-    if n < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+class Constant:
+    """What a name stands for: a literal in the text, or literals and constants joined (``parts``).
+
+    ``n`` characters, ``counts`` of them by code point (beyond ASCII by code point modulo 128, so that a
+    constant's size is bounded); ``head`` and ``last`` tell placeholders.
+    """
+
+    __slots__ = ("n", "counts", "head", "last", "parts", "span", "told")
+
+    def __init__(self, value: str = "", span: tuple[int, int] | None = None, parts: "list[Constant] | None" = None):
+        self.span, self.parts, self.told = span, parts or [], False
+        if parts is None:
+            self.n, self.head, self.last, self.counts = float(len(value)), value[:16], value[-1:], None
+            self.parts = value
+            return
+        self.n = sum(p.n for p in parts)
+        self.head, self.last, self.counts = "", "", Counter()
+        for p in parts:
+            self.head = (self.head + p.head)[:16] if len(self.head) < 16 else self.head
+            self.last = p.last or self.last
+            self.counts.update(p.characters())
+        if self.n > LONG:
+            self.counts = Counter({c: k * (LONG / self.n) for c, k in self.counts.items()})
+            self.n = LONG
+
+    def characters(self) -> Counter:
+        if self.counts is None:
+            self.counts = Counter()
+            for c, k in Counter(self.parts).items():
+                o = ord(c)
+                # white space beyond ASCII counts as a space
+                self.counts[32 if c.isspace() else o if o < 128 else 128 + o % 128] += k
+        return self.counts
+
+    def placeholder(self) -> bool:
+        if self.n <= 16:
+            return bool(PLACEHOLDER.match(self.head))
+        if len(self.characters()) <= 2 and {chr(c).lower() for c in self.counts} in ({"*"}, {"x"}, {"."}):
+            return True
+        return self.head[0] == "<" and self.last == ">" or bool(re.match(r"(?i)your[\W_]", self.head))
+
+    def spans(self) -> list[tuple[int, int]]:
+        """The literals it is made of, but those told before."""
+        out, todo = [], [self]
+        while todo:
+            c = todo.pop()
+            if not c.told:
+                c.told = True
+                if c.span:
+                    out.append(c.span)
+                else:
+                    todo += c.parts
+        return out
+
+
+def literal_score(value: "Constant | str", blanks: bool = False) -> float:
+    """0..1: length, entropy and mixture of character classes; placeholders score 0, and so do texts with
+    white space unless ``blanks`` may stand in them."""
+    v = Constant(value) if isinstance(value, str) else value
+    if v.n < 6 or v.placeholder():
+        return 0.0
+    counts = v.characters()
+    if not blanks and any(chr(c).isspace() for c in counts if c < 128):
+        return 0.0
+    entropy = -sum(k / v.n * math.log2(k / v.n) for k in counts.values())
+    return min(1.0, entropy / 3.5) * min(1.0, v.n / 10) * (1.0 if _classes(counts) >= 2 else 0.4)
+
+
+def _classes(counts: Counter) -> int:
+    """Digits, lower case, upper case and others; letters beyond ASCII count as lower case."""
+    return len({"d" if 48 <= c <= 57 else "u" if 65 <= c <= 90 else "l" if 97 <= c <= 122 or c >= 128 else "o" for c in counts})
+
+
+def looks_random(v: Constant) -> bool:
+    """Long, of many characters, and letters and digits mixed."""
+    counts = v.characters()
+    digits = sum(k for c, k in counts.items() if 48 <= c <= 57)
+    return v.n >= RANDOM_LENGTH and literal_score(v) == 1.0 and 0.1 * v.n <= digits < v.n
+
+
+def secret_score(name: str, value: Constant) -> float:
+    weight = name_score(name)
+    if not weight:
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum((any(c.isdigit() for c in value), any(c.islower() for c in value),
-                   any(c.isupper() for c in value), any(not c.isalnum() for c in value)))
-    return min(1.0, entropy / 3.5) * min(1.0, n / 10) * (1.0 if classes >= 2 else 0.4)
+    score = literal_score(value, blanks="passphrase" in name_parts(name))
+    if weight < THRESHOLD and score == 1.0 and looks_random(value):
+        weight = LIFTED
+    return weight * score
 
 
 def lex_pairs(text: str):
-    """Yields ``(name, [(value, start, end), ...])``: the literals that reach each target, with
-    constants propagated in order of assignment."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    """Yields ``(name, constant)``: what reaches each target, with constants propagated in order of assignment."""
+    known: dict[str, Constant] = {}
     for m in PAIR.finditer(text):
         pos, parts = m.end(), []
+        if m["tag"]:
+            if e := ELEMENT.match(text, pos):
+                value = e.group().rstrip()
+                if value:
+                    yield m["tag"], Constant(value, (pos, pos + len(value)))
+            continue
         while True:
             if q := QUOTED.match(text, pos):
                 g = q.lastindex
-                inner = q.group(g) if g else ""
-                refs = [x for r in REF.finditer(inner) for x in known.get(next(filter(None, r.groups())), [])]
-                parts += refs or ([(inner, q.start(g), q.end(g))] if inner else [])
-                pos = q.end()
+                inner, pos = q.group(g), q.end()
+                names = [next(filter(None, r.groups())) for r in REF.finditer(inner)]
+                if "f" in q["prefix"].lower():
+                    names += [r[1] for r in FIELD.finditer(inner)]
+                refs = [known[n] for n in names if n in known]
+                parts += refs or ([Constant(inner, q.span(g))] if inner else [])
             elif r := REF.match(text, pos):
-                parts += known.get(next(filter(None, r.groups())), [])
+                parts += [known[n] for n in [next(filter(None, r.groups()))] if n in known]
                 pos = r.end()
             elif b := BARE.match(text, pos):
                 word = b.group().rstrip(".")
-                parts += known.get(word) or ([(word, b.start(), b.start() + len(word))] if word else [])
+                parts += [known[word]] if word in known else [Constant(word, (b.start(), b.start() + len(word)))] if word else []
                 pos = b.end()
             else:
                 break
@@ -97,8 +214,9 @@ def lex_pairs(text: str):
                 break
             pos = j.end()
         if parts:
-            known[m.group(2)] = parts
-            yield m.group(2), parts
+            name = m["name"] or m["item"] or m["env"]
+            known[name] = parts[0] if len(parts) == 1 else Constant(parts=parts)
+            yield name, known[name]
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, int]]:
@@ -112,11 +230,11 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if ("=" in text or ":" in text) and any(s in lower for s in LEX_STEMS):
+    if any(s in text for s in LEX_SIGNS) and any(s in lower for s in LEX_STEMS):
         lexed = set()
-        for name, parts in lex_pairs(text):
-            if (s := name_score(name)) and s * literal_score("".join(p[0] for p in parts)) >= THRESHOLD:
-                lexed.update((a, 3, b) for _, a, b in parts)
+        for name, value in lex_pairs(text):
+            if secret_score(name, value) >= THRESHOLD:
+                lexed.update((a, 3, b) for a, b in value.spans())
         out += lexed
     return sorted(out)
 

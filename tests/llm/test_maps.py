@@ -174,3 +174,45 @@ def test_toxicity(spark):
     nothing = toxicity.fit_toxicity(docs, labs.limit(0))
     assert not any(r["toxic"] for r in toxicity.predict_toxicity(docs, nothing).collect())
     assert toxicity.predict_toxicity(docs.limit(0), model).count() == 0
+
+
+RANDOM_VALUE = "k3J9xQz81LmW4tYb"
+
+
+@pytest.mark.parametrize("form", [
+    'encryption_key = "{}"', "ssh_key: {}", 'signing_key = "{}"', 'config["password"] = "{}"', 'os.environ["AUTH_TOKEN"] = "{}"',
+    "const apiKey: string = '{}'", 'password = """{}"""', "password = '''{}'''", 'A = "{}"\npassword = f"{{A}}x"', 'pw = "{}"', "ENV SECRET_KEY {}",
+    "<password>{}</password>", 'key = "{}"', 'A = "{}"\nB = A\npassword = "x" + B',
+])
+def test_secret_forms(form):
+    text = form.replace("{}", RANDOM_VALUE).replace("{{", "{").replace("}}", "}")
+    at = text.index(RANDOM_VALUE)
+    assert (at, 3, at + len(RANDOM_VALUE)) in secret_scan.find_spans(text)
+
+
+@pytest.mark.parametrize("text", [
+    'key = "user_profile_page"', "key: this is a sentence", 'password = "<your password here>"', 'password = "xxxxxxxxxxxxxxxxxxxx"',
+    'secret_path = "k3J9xQz81LmW4tYb"', 'password = "one two three 4"', "if key == 'k3J9xQz81LmW4tYb':", "ENV ", "<password></password>", '["key"] =',
+])
+def test_no_secret(text):
+    assert not [s for s in secret_scan.find_spans(text) if s[1] == 3]
+
+
+def test_passphrase_may_hold_blanks():
+    assert (14, 3, 44) in secret_scan.find_spans('passphrase = "correct horse battery staple 9"')
+
+
+def test_joined_constants_score_as_their_text():
+    values = ["", "a", "k3J9", "xxxx", "<", ">", "your_", "hunter2", "....", "9 z", "Q" * 20, RANDOM_VALUE]
+    for a in values:
+        for b in values:
+            for c in values:
+                joined = secret_scan.Constant(parts=[secret_scan.Constant(a), secret_scan.Constant(parts=[secret_scan.Constant(b), secret_scan.Constant(c)])])
+                assert secret_scan.literal_score(joined) == pytest.approx(secret_scan.literal_score(a + b + c)), (a, b, c)
+
+
+def test_doubling_constants_are_linear():
+    text = 'a = "k3J9xQz81L"\n' + "a = a + a\n" * 10_000 + "secret_key = a\n"
+    assert secret_scan.find_spans(text) == [(5, 3, 15)]
+    chain = 'a0 = "k3J9xQz81L"\n' + "".join(f'a{i + 1} = a{i} + "x{i}"\npassword = a{i}\n' for i in range(5_000))
+    assert len(secret_scan.find_spans(chain)) == 5_000
