@@ -41,7 +41,7 @@ from filament.sinks.files import archive_rows, dead_letter_rows, write_lines
 from filament.sinks.table import write_run
 from filament.sources.dictionary import load_dict_file
 from filament.sources.ipdb import load_ip_table
-from filament.sources.lines import scan_lines
+from filament.sources.lines import file_heads, open_source, qualified, scan_lines
 from filament.sources.listing import list_dir, list_entries
 from filament.spec import PipelineSpec
 
@@ -115,21 +115,16 @@ def unreadable_files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """Reads the files to their end, a task each, and returns the errors of those that fail."""
     if not paths:
         return {}
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        rows.append((hp.getFileSystem(conf).makeQualified(hp).toString(), p))
+    rows = list(zip(qualified(spark, paths), paths))
 
     def probe(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
         for b in batches:
             failed, errors = [], []
             for where, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
-                    source, name = fs.FileSystem.from_uri("file://" + where[5:] if where.startswith("file:/") and where[5:7] != "//" else where)
+                    source, name = open_source(where)
                     with source.open_input_stream(name) as stream:
                         while stream.read(8 << 20):
                             pass
@@ -220,10 +215,16 @@ def run_files(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, files:
     """Ingest a given set of files ``(path, size, mtime)`` (a streaming micro-batch): take back what
     an interrupted batch of the same ``owner`` still holds, retry what is due, enqueue the files,
     claim what is pending, ingest.  Files already done are skipped."""
+    ready = local_frame(spark, [(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
+    return run_ready(spark, spec, ctx, ready, ledger_path, table_path, owner, now, dead_letter_path)
+
+
+def run_ready(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ready: DataFrame, ledger_path: str, table_path: str,
+              owner: str, now: dt.datetime | None = None, dead_letter_path: str = "") -> RunResult:
+    """``run_files`` for a frame of ready files (``path, size, mtime``)."""
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = f"{owner}-{now.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     t0 = time.time()
-    ready = local_frame(spark, [(p, sz, mt) for p, sz, mt in files], "path string, size long, mtime timestamp")
     claimed, seq = _control_plane(spark, spec, ledger_path, now, run_id, ready, reclaim=owner + "-")
     res = ingest_claimed(spark, spec, ctx, claimed, seq, ledger_path, table_path, now, run_id, dead_letter_path)
     res.seconds = time.time() - t0
@@ -261,7 +262,8 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
         lines = scan_lines(spark, visible, spec.max_line_bytes, directory=spec.watch_dir_clean)
         try:
-            typed_rows(parse(lines, spec, ctx, est_splits), spec).write.mode("overwrite").parquet(stage_dir + "/rows")
+            heads = file_heads(spark, visible, spec.max_line_bytes) if spec.has_header_meta else None
+            typed_rows(parse(lines, spec, ctx, est_splits, heads), spec).write.mode("overwrite").parquet(stage_dir + "/rows")
             break
         except Exception as e:
             attempt += 1

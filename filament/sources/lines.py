@@ -21,8 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filament.functions.text import decode_file_uri, go_trim, strip_cr, trim_column
+from filament.functions.text import WHITE_SPACE, decode_file_uri, go_trim, strip_cr, trim_column
 from filament.session import local_frame
+from filament.sources.listing import list_entries
 
 # Rows in the per-split / per-bucket index beyond which it is joined by shuffle
 # instead of broadcast (the index has one row per input split or key bucket).
@@ -34,43 +35,159 @@ def is_hidden(path: str) -> bool:
     return path.rsplit("/", 1)[-1][:1] in ("_", ".")
 
 
-def _hidden_text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``_uri, _block, _value`` of files whose names the text source passes over: each file is
-    streamed by one task (they are rare, and not splittable here)."""
+def qualified(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Paths with scheme and root, as the session's file system has them; one call for each folder."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    full = []
+    folders: dict[str, str] = {}
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        full.append((hp.getFileSystem(conf).makeQualified(hp).toString(), p))
+        folder = p.rpartition("/")[0] or ("/" if p.startswith("/") else ".")
+        if folder not in folders:
+            hp = jvm.org.apache.hadoop.fs.Path(folder)
+            folders[folder] = hp.getFileSystem(conf).makeQualified(hp).toString().rstrip("/")
+    return [folders[p.rpartition("/")[0] or ("/" if p.startswith("/") else ".")] + "/" + p.rsplit("/", 1)[-1] for p in paths]
+
+
+def open_source(where: str):
+    """Arrow file system and name in it of a qualified path (called in tasks)."""
+    from pyarrow import fs
+
+    if where.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + where[5:].lstrip("/")
+    return fs.FileSystem.from_uri(where)
+
+
+# fixed values: endings that the stream reader unpacks; such files are one range
+_PACKED = ("gz", "bz2", "zst", "lz4")
+
+
+def byte_ranges(files: list[tuple[str, str, int]], width: int) -> list[tuple[str, str, int, int]]:
+    """``(qualified, path, start, end)``: a file's bytes in ranges of ``width`` (compressed ones in one)."""
+    out = []
+    for where, path, size in files:
+        step = max(size, 1) if path.rsplit(".", 1)[-1].lower() in _PACKED else width
+        out += [(where, path, at, min(at + step, size)) for at in range(0, size, step)]
+    return out
+
+
+def range_lines(where: str, start: int, end: int, chunk: int = 4 << 20):
+    """Lists of the lines that begin in ``[start, end)`` of a file.  A range begins behind the first line feed at or
+    after the byte before it, and reads on to the end of its last line."""
+    source, name = open_source(where)
+    if name.rsplit(".", 1)[-1].lower() in _PACKED:
+        with source.open_input_stream(name) as stream:
+            rest = []
+            while got := stream.read(chunk):
+                *lines, last = got.split(b"\n")
+                if lines:
+                    yield [b"".join(rest) + lines[0], *lines[1:]]
+                    rest = []
+                rest.append(last)
+            if last := b"".join(rest):
+                yield [last]
+        return
+    with source.open_input_file(name) as stream:
+        at = start
+        if start:
+            at = start - 1
+            stream.seek(at)
+            while True:
+                got = stream.read(min(chunk, 1 << 16))
+                if not got:
+                    return
+                cut = got.find(b"\n")
+                if cut >= 0:
+                    at += cut + 1
+                    break
+                at += len(got)
+            stream.seek(at)
+        rest: list[bytes] = []       # parts of the line that begins at ``at``
+        while at < end and (got := stream.read(chunk)):
+            *lines, last = got.split(b"\n")
+            if not lines:
+                rest.append(last)
+                continue
+            lines[0] = b"".join(rest) + lines[0]
+            keep = []
+            for line in lines:
+                if at >= end:
+                    break
+                keep.append(line)
+                at += len(line) + 1
+            yield keep
+            rest = [last] if last else []
+        if at < end and rest:
+            yield [b"".join(rest)]
+
+
+def _hidden_text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``_uri, _block, _value`` of files whose names the text source passes over.  Each byte range of
+    ``spark.sql.files.maxPartitionBytes`` is a row of its own, so one large file is read by many tasks."""
+    sizes = {e[0]: e[3] for folder in {p.rpartition("/")[0] or ("/" if p.startswith("/") else ".") for p in paths}
+             for e in list_entries(spark, folder)}
+    width = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    ranges = byte_ranges([(where, p, sizes.get(p, 1)) for where, p in zip(qualified(spark, paths), paths)], width)
 
     def read(batches):
         import urllib.parse
 
         import pyarrow as pa
-        from pyarrow import fs
-
-        def batch(lines):
-            return pa.RecordBatch.from_arrays([pa.array([uri] * len(lines)), pa.array([0] * len(lines), pa.int64()),
-                                               pa.array(lines, pa.binary())], names=["_uri", "_block", "_bytes"])
 
         for b in batches:
-            for where, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for where, path, start, end in zip(*(b.column(i).to_pylist() for i in range(4))):
                 uri = "file:" + urllib.parse.quote(path) if "://" not in path else path
-                source, name = fs.FileSystem.from_uri("file://" + where[5:] if where.startswith("file:/") and where[5:7] != "//" else where)
-                with source.open_input_stream(name) as stream:
-                    rest = b""
-                    while chunk := stream.read(4 << 20):
-                        *lines, rest = (rest + chunk).split(b"\n")
-                        if lines:
-                            yield batch(lines)
-                    if rest:
-                        yield batch([rest])
-
-    files = local_frame(spark, full, "qualified string, path string").repartition(len(full))
+                for lines in range_lines(where, start, end):
+                    yield pa.RecordBatch.from_arrays([pa.array([uri] * len(lines)), pa.array([start] * len(lines), pa.int64()),
+                                                      pa.array(lines, pa.binary())], names=["_uri", "_block", "_bytes"])
+
+    files = local_frame(spark, ranges, "qualified string, path string, start long, end long").repartition(max(1, len(ranges)))
     got = files.mapInArrow(read, "_uri string, _block long, _bytes binary")
     return got.select("_uri", "_block", F.col("_bytes").cast("string").alias("_value"))
 
 
+#: schemes whose files tasks open themselves to read a first line
+HEAD_SCHEMES = ("file",)
+
+
+def file_heads(spark: SparkSession, paths: list[str], keep_bytes: int | None = None) -> DataFrame | None:
+    """``_file, _head_raw, _head_line``: each file's first non-blank line (S6), read by tasks from the file's beginning
+    instead of a second scan of all lines.  ``_file`` is the path as given.  With ``keep_bytes``, a line of that many bytes
+    is the first even if blank, as ``scan_lines`` keeps it.  A file that can't be read is an error that
+    names it.  None where tasks can't open the files (another scheme or packing): the caller then probes the scan."""
+    where = qualified(spark, paths)
+    if any(w.partition(":")[0] not in HEAD_SCHEMES for w in where) or any(
+            p.rsplit(".", 1)[-1].lower() in ("deflate", "snappy", "lz4") for p in paths):
+        return None
+
+    def first_line(source: str, path: str) -> bytes | None:
+        mark = b"" if is_hidden(path) else b"\xef\xbb\xbf"      # the text source drops it
+        for lines in range_lines(source, 0, 1 << 62, 1 << 16):
+            for line in lines:
+                line, mark = line.removeprefix(mark), b""
+                if line.decode("utf-8", "replace").strip(WHITE_SPACE) or keep_bytes and len(line) >= keep_bytes:
+                    return line
+        return None
+
+    def read(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            names, heads = [], []
+            for source, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    head = first_line(source, path)
+                except OSError as e:
+                    raise OSError(f"FAILED_READ_FILE {path} : {e}") from e    # named as the text source does
+                if head is not None:
+                    names.append(path)
+                    heads.append(head)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(heads, pa.binary())], names=["_file", "_bytes"])
+
+    files = local_frame(spark, list(zip(where, paths)), "qualified string, path string").repartition(max(1, min(len(paths) // 64 + 1, 1000)))
+    got = files.mapInArrow(read, "_file string, _bytes binary").select("_file", F.col("_bytes").cast("string").alias("_value"))
+    got = got.withColumn("_head_raw", strip_cr(F.col("_value")))
+    return got.select("_file", "_head_raw", trim_column(F.col("_head_raw")).alias("_head_line"))
+
+
 def escape_glob(p: str) -> str:
     """A literal path for readers that expand globs."""
     return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in p)
@@ -109,7 +226,9 @@ def scan_lines(spark: SparkSession, paths: list[str] | str, max_line_bytes: int
     df = df.withColumn("_mid", F.monotonically_increasing_id())
     plain = decode_file_uri(F.col("_uri"))
     if directory is not None:
-        name = F.substring_index(plain, "/", -1)
+        # only names with escapes are decoded
+        name = F.substring_index(F.col("_uri"), "/", -1)
+        name = F.when(name.contains("%"), F.substring_index(plain, "/", -1)).otherwise(name)
         if directory in (".", ""):
             plain = name
         else:
@@ -150,19 +269,20 @@ def attach_heads(numbered: DataFrame, heads: DataFrame, est_files: int | None) -
 
 
 def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: bool = True,
-                   head_fn=None) -> DataFrame:
+                   head_fn=None, heads: DataFrame | None = None) -> DataFrame:
     """S3 on scanned lines: adds ``_line_no`` (1-based over non-blank lines) and, with
     ``with_head``, the file's first non-blank line ``_head_raw`` / ``_head_line``.
     ``est_splits`` (from the file listing) decides between broadcasting the split index
-    and a shuffle join.  The first lines are found by a broadcast probe on
-    (file, first row id): one more light scan, no sort."""
+    and a shuffle join.  The first lines are those of ``heads`` (``file_heads``) or, without it, found
+    by a broadcast probe on (file, first row id): one more light scan, no sort."""
     idx = split_index(lines)
     out = _join_index(lines, idx, ["_uri", "_block"], est_splits)
     out = out.withColumn("_line_no", F.col("_base") + (F.col("_mid") - F.col("_mid0")) + 1)
     if with_head:
-        head_ids = idx.select("_uri", F.col("_head_mid").alias("_mid")).distinct()
-        heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], est_splits)
-                 .select("_file", F.col("_raw").alias("_head_raw"), F.col("_line").alias("_head_line")))
+        if heads is None:
+            head_ids = idx.select("_uri", F.col("_head_mid").alias("_mid")).distinct()
+            heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], est_splits)
+                     .select("_file", F.col("_raw").alias("_head_raw"), F.col("_line").alias("_head_line")))
         out = attach_heads(out, head_fn(heads) if head_fn else heads, est_splits)
     return out.drop("_base", "_mid0", "_head_mid")
 

@@ -12,8 +12,12 @@ begun anew, never share a run folder; a batch that is replayed after a crash tak
 files that its stream left ``processing``, and each batch retries failed files that are due.
 The text source passes over hidden names (``_x``, ``.x``); each batch adds those from
 the folder's listing.
-Only the ``atomic_rename`` readiness fits a streaming source; ``marker`` and
-``stable_size`` need the listing of ``run_once``.
+With the ``marker`` and ``stable_size`` readiness a file becomes ready without a new file
+appearing (it grows old, or an empty marker joins it, which the text source never
+offers).  Such a stream ticks: each trigger is one micro-batch of one row of
+Spark's ``rate-micro-batch`` source, its handler lists the folder, and the files that are
+ready by now go to the ledger, which is the stream's state: handled files drop out
+of the same join that claims the new ones.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filament.functions.text import decode_file_uri
 from filament.operators.chain import ChainContext
-from filament.plans.run import run_files
+from filament.plans.run import run_files, run_ready
 from filament.operators.ready import ready_files
 from filament.session import shared_dir
 from filament.sources.listing import list_dir
@@ -37,16 +41,20 @@ from filament.spec import PipelineSpec, SpecError
 def start_stream(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, ledger_path: str, table_path: str,
                  checkpoint: str | None = None, available_now: bool = True, interval: str = "30 seconds",
                  max_files_per_trigger: int | None = None, dead_letter_path: str = "") -> StreamingQuery:
-    if spec.ready_strategy != "atomic_rename":
-        raise SpecError("the streaming source supports the atomic_rename readiness only; use run_once")
+    ticks = spec.ready_strategy != "atomic_rename"
+    if ticks and max_files_per_trigger:
+        raise SpecError("max_files_per_trigger needs the atomic_rename readiness: a tick takes all files that are ready")
     checkpoint = checkpoint or shared_dir(spark, f"stream-{spec.name}")
-    reader = (spark.readStream.format("text").option("lineSep", "\n")
-              .option("pathGlobFilter", spec.file_pattern).option("maxFileAge", "36500d"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.load(spec.watch_dir_clean).select(F.col("_metadata.file_path").alias("_uri"),
-                                                   F.col("_metadata.file_size").alias("_size"),
-                                                   F.col("_metadata.file_modification_time").alias("_mtime"))
+    if ticks:
+        src = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load())
+    else:
+        reader = (spark.readStream.format("text").option("lineSep", "\n")
+                  .option("pathGlobFilter", spec.file_pattern).option("maxFileAge", "36500d"))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        src = reader.load(spec.watch_dir_clean).select(F.col("_metadata.file_path").alias("_uri"),
+                                                       F.col("_metadata.file_size").alias("_size"),
+                                                       F.col("_metadata.file_modification_time").alias("_mtime"))
     owner = None
 
     def stream_id() -> str:
@@ -74,6 +82,13 @@ def start_stream(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, led
         if todo:
             run_files(spark, spec, ctx, todo, ledger_path, table_path, owner, dead_letter_path=dead_letter_path)
 
-    w = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    def tick(batch, epoch_id: int) -> None:
+        nonlocal owner
+        owner = owner or stream_id()
+        now = dt.datetime.now(dt.timezone.utc)
+        ready = ready_files(list_dir(spark, base), spec, now).select("path", "size", "mtime")
+        run_ready(spark, spec, ctx, ready, ledger_path, table_path, owner, now, dead_letter_path)
+
+    w = src.writeStream.foreachBatch(tick if ticks else handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

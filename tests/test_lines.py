@@ -98,3 +98,85 @@ def test_limits_are_opt_in(spark, tmp):
     assert scan_lines(spark, [p], 1000, directory=tmp).filter("_too_long").count() == 1
     df = spark.createDataFrame([("/x", "a\nb\n\n c \r", 1)], "p string, t string, o long")
     assert sorted(r._line for r in lines_from_frame(df, F.col("p"), F.col("t"), F.col("o")).collect()) == ["a", "b", "c"]
+
+
+def test_byte_ranges_of_hidden_files(spark, tmp):
+    """A hidden file is read range by range (here 7 bytes each): every line once, in order, whatever the cuts."""
+    from filament.sources.lines import byte_ranges, range_lines
+    data = b"\nab\r\n\n" + b"x" * 40 + b"\nlast line\n\n12345\n1234567\nend"
+    p = _write(tmp, "_r.txt", data)
+    want = data.split(b"\n")
+    for width in range(1, 20):
+        for chunk in (1, 3, 1 << 16):
+            got = [line for _, _, a, b in byte_ranges([("file:" + p, p, len(data))], width)
+                   for lines in range_lines("file:" + p, a, b, chunk) for line in lines]
+            assert got == want
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7b")
+    try:
+        n = number_scanned(scan_lines(spark, [p], directory=tmp))
+        rows = sorted((r._line_no, r._raw, r._head_raw) for r in n.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert rows == [(i + 1, x, "ab") for i, x in enumerate(["ab", "x" * 40, "last line", "12345", "1234567", "end"])]
+
+
+def test_first_lines_by_tasks(spark, tmp):
+    """The first lines that tasks read equal those found by the scan: byte order mark, CR, blank lines, packed files."""
+    import gzip
+
+    from filament.sources.lines import file_heads
+    files = {"a.txt": b"\n \t\r\n  head\xa7 1 \r\nrow\n", "b.txt": b"\xef\xbb\xbfmarked\nrow\n", "_c.txt": b"\xef\xbb\xbfmarked\nrow\n",
+             "d e%.txt": b"only", "f.gz": gzip.compress(b"\npacked\nrow\n"), "empty.txt": b"", "blank.txt": b"\n\n \n",
+             "long.txt": b"y" * 200_000 + b"\nrow\n", "mark.txt": b"\xef\xbb\xbf\nsecond\n"}
+    paths = [_write(tmp, name, data) for name, data in files.items()]
+    lines = scan_lines(spark, paths, directory=tmp)
+    heads = file_heads(spark, paths)
+    cols = ["_file", "_line_no", "_line", "_head_raw", "_head_line"]
+    probed, fetched = number_scanned(lines).select(cols), number_scanned(lines, heads=heads).select(cols)
+    hexed = [F.hex(F.col(c).cast("binary")).alias(c) if c != "_line_no" else F.col(c) for c in cols]
+    assert sorted(probed.select(hexed).collect()) == sorted(fetched.select(hexed).collect())
+    assert heads.count() == 7
+    plan = fetched._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") < probed._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+@pytest.mark.parametrize("scheme", ["file", "viewfs"])
+def test_listing_in_few_calls(spark, tmp, monkeypatch, scheme):
+    """Many entries cost a handful of calls to the JVM; odd names keep their path, size, kind and time."""
+    from py4j.clientserver import ClientServerConnection
+
+    from filament.sources.listing import list_entries
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.lst.link./in", "file:" + tmp)
+    root = tmp if scheme == "file" else "viewfs://lst/in"
+    many = 3000 if scheme == "file" else 120
+    odd = ["a; isDirectory=true; modification_time=1", "b c%20.txt", "é, ü.log", "{path=x", "_h", ".d"]
+    for name in [*odd, *(f"f{i}.txt" for i in range(many))]:
+        _write(tmp, name, name.encode())
+    os.mkdir(os.path.join(tmp, "sub"))
+    os.utime(os.path.join(tmp, "_h"), (1_000_000_000, 1_000_000_000))
+    calls = []
+    send = ClientServerConnection.send_command
+    monkeypatch.setattr(ClientServerConnection, "send_command", lambda self, *a, **k: (calls.append(1), send(self, *a, **k))[1])
+    got = {e[1]: e for e in list_entries(spark, root)}
+    monkeypatch.undo()
+    assert len(calls) < 100 or scheme == "viewfs"                      # its statuses are printed without paths
+    assert set(got) == {*odd, "sub"} | {f"f{i}.txt" for i in range(many)}
+    for name in odd:
+        assert got[name][0] == root + "/" + name and got[name][3] == len(name.encode()) and not got[name][2]
+        hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(("file:" if scheme == "file" else "") + root, name)
+        assert got[name][5] == hp.toUri().toString()
+    assert got["sub"][2] and got["_h"][4].timestamp() == 1_000_000_000
+    assert list_entries(spark, root + "/none") == [] and list_entries(spark, root + "/sub") == []
+
+
+def test_statuses_printed_in_one_text(spark):
+    from filament.sources.listing import _printed_statuses
+    jvm = spark.sparkContext._jvm
+    want = [("hdfs://n:8020/w/a; isDirectory=true; modification_time=1;", False, 7, 5), ("hdfs://n:8020/w/{path=x", False, 0, 6),
+            ("hdfs://n:8020/w/two\nlines", True, 0, 1_700_000_000_123)]
+    found = jvm.java.util.ArrayList()
+    for path, is_dir, size, mtime in want:
+        found.add(jvm.org.apache.hadoop.fs.FileStatus(size, is_dir, 1, 1024, mtime, jvm.org.apache.hadoop.fs.Path(path)))
+    assert _printed_statuses(spark, found) == want
+    assert _printed_statuses(spark, jvm.java.util.ArrayList()) == []

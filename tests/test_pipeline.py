@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,6 +239,47 @@ def test_streaming_retries(spark, ctx, tmp):
     assert states(spark, tmp) == {"a.log": ("done", 1), "b.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 4
 
 
+def test_streaming_by_age(spark, ctx, tmp):
+    """A stream with stable_size takes a file once it is old enough, though no new file starts a batch."""
+    watch = folder(tmp)
+    spec = shop_spec(watch)
+    spec.ready_strategy, spec.stable_delay_s = "stable_size", 3600
+    for name in ("a.log", "b.log"):
+        shutil.copy(GOOD, os.path.join(watch, name))
+    long_ago = time.time() - 7200
+    os.utime(os.path.join(watch, "a.log"), (long_ago, long_ago))
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 2
+    os.utime(os.path.join(watch, "b.log"), (long_ago, long_ago))
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("done", 0), "b.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 4
+    stream(spark, spec, ctx, tmp)
+    assert rows_of(spark, tmp, spec, "s").count() == 4
+
+
+def test_streaming_by_marker(spark, ctx, tmp):
+    """A stream with marker takes a file when its empty marker is there, in ticks of a running query too."""
+    watch = folder(tmp)
+    spec = shop_spec(watch)
+    spec.ready_strategy, spec.marker_suffix = "marker", ".ok"
+    for name in ("a.log", "b.log"):
+        shutil.copy(GOOD, os.path.join(watch, name))
+    open(os.path.join(watch, "a.log.ok"), "w").close()
+    stream(spark, spec, ctx, tmp)
+    assert states(spark, tmp) == {"a.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 2
+    from filament.streaming.stream import start_stream
+    running = start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/ck2", available_now=False,
+                           interval="1 second")
+    try:
+        open(os.path.join(watch, "b.log.ok"), "w").close()
+        end = time.time() + 60
+        while states(spark, tmp).get("b.log") != ("done", 0) and time.time() < end:
+            time.sleep(1)
+    finally:
+        running.stop()
+    assert states(spark, tmp) == {"a.log": ("done", 0), "b.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 4
+
+
 def test_plan_shape(spark, ctx):
     """No nested-loop join, no Python on the row path, and no shuffle at all when
     the spec needs no line numbers."""
