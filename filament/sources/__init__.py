@@ -1,0 +1,7 @@
+"""Sources.  Their functions travel with the tasks, so executors need not have this package installed."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
