@@ -26,10 +26,10 @@ TRANSFORM_ERROR = "_transform_error"
 @dataclass
 class ChainContext:
     """Dimension inputs shared by the steps: the bucketed IP table (with its attribute
-    names and checked size) and loaded dictionary tables by file path."""
+    names and counted bytes) and loaded dictionary tables by file path."""
     ip_table: DataFrame | None = None
     ip_attrs: list[str] = field(default_factory=list)
-    ip_table_rows: int | None = None
+    ip_table_bytes: int | None = None
     dict_tables: dict[str, tuple[DataFrame, int | None]] = field(default_factory=dict)
     #: keys whose texts have no outer white space (the frame's, before a step) and whether the IP table's attributes have none
     trimmed: frozenset[str] = frozenset()
@@ -48,7 +48,7 @@ def register(name: str, fn: Transform) -> None:
 def _ip_matcher(df: DataFrame, step: TransformSpec, ctx: ChainContext) -> DataFrame:
     if ctx.ip_table is None:
         raise SpecError("ip_matcher requires an IP table but none is configured")
-    return ip_enrich(df, list(step.fields), list(step.label_fields), ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows,
+    return ip_enrich(df, list(step.fields), list(step.label_fields), ctx.ip_table, ctx.ip_attrs, ctx.ip_table_bytes,
                      ctx.trimmed)
 
 
@@ -56,8 +56,8 @@ def _dict_mapper(df: DataFrame, step: TransformSpec, ctx: ChainContext) -> DataF
     if step.dict_file:
         if step.dict_file not in ctx.dict_tables:
             raise SpecError(f"dictionary file {step.dict_file!r} is not loaded")
-        table, rows = ctx.dict_tables[step.dict_file]
-        return dict_map_table(df, step.field, table, rows, step.target, step.default)
+        table, n_bytes = ctx.dict_tables[step.dict_file]
+        return dict_map_table(df, step.field, table, n_bytes, step.target, step.default)
     return dict_map(df, step.field, dict(step.dict or {}), step.target, step.default)
 
 

@@ -3,8 +3,8 @@
 Exact, case-sensitive lookup of a row key.  Absent key → no-op; hit → mapped value
 (which may be empty); miss → value kept, or ``default`` when one is set; the result
 goes to ``target`` (else in place).  Small dictionaries become a map literal inside
-the projection (no join at all); large ones a broadcast left join on the key, or a
-shuffle join above the broadcast bound.
+the projection (no join at all); large ones a left join on the key, broadcast
+while its counted bytes allow.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filament.functions.text import col
+from filament.operators.size import frame_bytes, small_side
 
 MAP_LITERAL_MAX = 1000
-BROADCAST_DICT_ROWS = 5_000_000
 
 
 def map_literal(d: dict[str, str]):
@@ -42,17 +42,16 @@ def dict_map(df: DataFrame, field: str, mapping: dict[str, str], target: str = "
         return _apply(df, field, hit, looked, target, default)
     spark = df.sparkSession
     table = spark.createDataFrame(list(mapping.items()), "key string, value string")
-    return dict_map_table(df, field, table, len(mapping), target, default)
+    return dict_map_table(df, field, table, frame_bytes(table), target, default)
 
 
-def dict_map_table(df: DataFrame, field: str, table: DataFrame, table_rows: int | None = None,
+def dict_map_table(df: DataFrame, field: str, table: DataFrame, table_bytes: int | None = None,
                    target: str = "", default: str = "") -> DataFrame:
     """J3 with a dictionary DataFrame ``key, value`` (unique keys)."""
     if field not in df.columns:
         return df
     right = table.select(F.col("key").alias("_dk"), F.col("value").alias("_dv"), F.lit(True).alias("_dhit"))
-    if table_rows is not None and table_rows <= BROADCAST_DICT_ROWS:
-        right = F.broadcast(right)
+    right = small_side(right, table_bytes)
     j = df.join(right, col(field) == F.col("_dk"), "left")
     out = _apply(j, field, F.col("_dhit").isNotNull(), F.col("_dv"), target, default)
     return out.drop("_dk", "_dv", "_dhit")

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from filament.functions.ip import ip_to_u32
 from filament.functions.text import col, go_trim
-
-BROADCAST_RANGE_ROWS = 5_000_000
+from filament.operators.size import small_side
 
 
 def disjoint_ranges(ranges: DataFrame) -> DataFrame:
@@ -56,22 +55,21 @@ def bucketed_ranges(ranges: DataFrame) -> DataFrame:
 
 
 def lookup(df: DataFrame, ip: "F.Column", table: DataFrame, attrs: list[str], prefix: str,
-           table_rows: int | None = None) -> DataFrame:
+           table_bytes: int | None = None) -> DataFrame:
     """Left-join the attributes of the range containing ``ip`` as ``_m_<attr>`` plus a
-    ``_m_hit`` flag.  ``table`` comes from ``bucketed_ranges``; ``table_rows`` is its
-    checked size (broadcast below ``BROADCAST_RANGE_ROWS``)."""
+    ``_m_hit`` flag.  ``table`` comes from ``bucketed_ranges``; ``table_bytes`` is its
+    counted size (``size.frame_bytes``; broadcast while small)."""
     probe = df.withColumn("_ipv", ip).withColumn("_ipb", F.shiftright("_ipv", 16))
     right = table.select(
         F.col("_bucket").alias("_rb"), F.col("start").alias("_rs"), F.col("end").alias("_re"),
         *[F.col(a).alias(f"_m_{a}") for a in attrs], F.lit(True).alias("_m_hit"))
-    if table_rows is not None and table_rows <= BROADCAST_RANGE_ROWS:
-        right = F.broadcast(right)
+    right = small_side(right, table_bytes)
     cond = ((F.col("_ipb") == F.col("_rb")) & (F.col("_ipv") >= F.col("_rs")) & (F.col("_ipv") <= F.col("_re")))
     return probe.join(right, cond, "left").drop("_ipv", "_ipb", "_rb", "_rs", "_re")
 
 
 def ip_enrich(df: DataFrame, fields: list[str], label_fields: list[str], table: DataFrame,
-              attrs: list[str], table_rows: int | None = None, trimmed: Collection[str] = ()) -> DataFrame:
+              attrs: list[str], table_bytes: int | None = None, trimmed: Collection[str] = ()) -> DataFrame:
     """For each field in order, look its (trimmed) value up; on a match write
     ``<prefix>_<attr>`` for every attribute the range has, overwriting; empty or absent
     values and misses leave the columns as they are.  The prefix is the label at the
@@ -87,7 +85,7 @@ def ip_enrich(df: DataFrame, fields: list[str], label_fields: list[str], table:
     for j, field in enumerate(present):
         idx = fields.index(field)
         prefix = label_fields[idx] if idx < len(label_fields) else field
-        df = lookup(df, F.col(f"_ip{j}"), table, attrs, prefix, table_rows)
+        df = lookup(df, F.col(f"_ip{j}"), table, attrs, prefix, table_bytes)
         updates = {}
         for a in attrs:
             name = f"{prefix}_{a}"

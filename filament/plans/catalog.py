@@ -27,6 +27,7 @@ from filament.operators.merge import header_columns, header_merge, static_merge
 from filament.operators.provenance import add_provenance, record_id, row_hash
 from filament.operators.ready import ready_files
 from filament.operators.report import agg_count, agg_extent, counters_from_ledger, throughput_from_ledger
+from filament.operators.size import frame_bytes
 from filament.operators.split import positional_fields, split_line, split_literal, split_quoted
 from filament.operators.typed import typed_projection, typed_with_errors
 from filament.operators.verdict import file_verdict, verdict_for_files
@@ -124,7 +125,7 @@ def _ranges_ctx(spark: SparkSession, sf_dir: str) -> ChainContext:
     """The customer-derived IP table, bucketed (a dimension table, counted before it is
     broadcast)."""
     table = bucketed_ranges(D.customer_ranges(spark, sf_dir))
-    return ChainContext(ip_table=table, ip_attrs=list(D.RANGE_ATTRS), ip_table_rows=table.count())
+    return ChainContext(ip_table=table, ip_attrs=list(D.RANGE_ATTRS), ip_table_bytes=frame_bytes(table))
 
 
 # ---------------------------------------------------------------------------
@@ -949,7 +950,7 @@ def q_ip_enrich(spark, sf_dir):
                   F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.lit("kept")).alias("other"))
     # both fields write under the same label: the second (b) overwrites on a match
     ctx = _ranges_ctx(spark, sf_dir)
-    out = ip_enrich(df, ["a", "b"], ["geo", "geo"], ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows)
+    out = ip_enrich(df, ["a", "b"], ["geo", "geo"], ctx.ip_table, ctx.ip_attrs, ctx.ip_table_bytes)
     # b is NULL (absent) for event_id % 3 = 0 → skipped; the oracle mirrors that below
     return out.select("event_id", "geo_segment", "geo_nation", "other")
 

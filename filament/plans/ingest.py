@@ -45,20 +45,21 @@ def _parsed_heads(spec: PipelineSpec):
     return fn
 
 
-def number(lines: DataFrame, spec: PipelineSpec, est_index_rows: int | None = None, heads: DataFrame | None = None) -> DataFrame:
+def number(lines: DataFrame, spec: PipelineSpec, index_bytes: int | None = None, heads: DataFrame | None = None,
+           heads_bytes: int | None = None) -> DataFrame:
     if not spec.needs_line_numbers:
         return lines
     head_fn = _parsed_heads(spec) if spec.has_header_meta else None
     if "_block" in lines.columns:
-        return number_scanned(lines, est_index_rows, with_head=spec.has_header_meta, head_fn=head_fn, heads=heads)
-    return number_by_key(lines, est_buckets=est_index_rows, with_head=spec.has_header_meta, head_fn=head_fn)
+        return number_scanned(lines, index_bytes, with_head=spec.has_header_meta, head_fn=head_fn, heads=heads, heads_bytes=heads_bytes)
+    return number_by_key(lines, index_bytes=index_bytes, with_head=spec.has_header_meta, head_fn=head_fn)
 
 
-def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, est_index_rows: int | None = None,
-          heads: DataFrame | None = None) -> Parsed:
+def parse(lines: DataFrame, spec: PipelineSpec, ctx: ChainContext, index_bytes: int | None = None,
+          heads: DataFrame | None = None, heads_bytes: int | None = None) -> Parsed:
     """Row-keyed frame: split + positional names, header merge, provenance, chain.  ``heads`` (scanned lines):
-    the files' first lines (``lines.file_heads``), else they are looked up in a scan of their own."""
-    df = number(lines, spec, est_index_rows, heads)
+    the files' first lines (``lines.file_heads``) and their counted bytes, else they are looked up in a scan of their own."""
+    df = number(lines, spec, index_bytes, heads, heads_bytes)
     if spec.skip_lines:
         df = df.filter((F.col("_line_no") > F.lit(spec.skip_lines)) | F.col("_too_long"))
     df = positional_fields(df, F.col("_line"), spec.input_names, spec.delimiter)

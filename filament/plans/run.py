@@ -26,13 +26,14 @@ import uuid
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from filament.operators import ledger as L
 from filament.operators.chain import ChainContext
 from filament.operators.iplookup import bucketed_ranges
 from filament.operators.ready import ready_files
+from filament.operators.size import ROW_BYTES, frame_bytes, row_bytes
 from filament.operators.verdict import file_verdict
 from filament.session import local_frame, shared_dir
 from filament.plans.ingest import error_message, output_only, parse, typed_rows
@@ -61,13 +62,13 @@ def load_context(spark: SparkSession, specs: list[PipelineSpec], ip_path: str =
     if ip_path:
         ranges = load_ip_table(spark, ip_path, list(ip_columns or []))
         table = bucketed_ranges(ranges).cache()
-        ctx.ip_table, ctx.ip_attrs, ctx.ip_table_rows = table, list(ip_columns or []), table.count()
+        ctx.ip_table, ctx.ip_attrs, ctx.ip_table_bytes = table, list(ip_columns or []), frame_bytes(table)
         ctx.ip_attrs_trimmed = True             # by the loader
     for s in specs:
         for t in s.transformers:
             if t.type == "dict_mapper" and t.dict_file and t.dict_file not in ctx.dict_tables:
                 d = load_dict_file(spark, t.dict_file).cache()
-                ctx.dict_tables[t.dict_file] = (d, d.count())
+                ctx.dict_tables[t.dict_file] = (d, frame_bytes(d))
     return ctx
 
 
@@ -259,11 +260,15 @@ def ingest_claimed(spark: SparkSession, spec: PipelineSpec, ctx: ChainContext, c
         # staged in the shared folder — this also cuts the lineage, so a lost executor
         # never re-parses other tasks' input — and verdict and publication read the
         # staged columns.  If it fails, the files that cannot be read fail and the rest goes on.
-        est_splits = sum(max(1, math.ceil(sizes[p] / max_split)) for p in visible)
+        index_bytes = sum(max(1, math.ceil(sizes[p] / max_split)) * (3 * len(p) + ROW_BYTES) for p in visible)
         lines = scan_lines(spark, visible, spec.max_line_bytes, directory=spec.watch_dir_clean)
         try:
-            heads = file_heads(spark, visible, spec.max_line_bytes) if spec.has_header_meta else None
-            typed_rows(parse(lines, spec, ctx, est_splits, heads), spec).write.mode("overwrite").parquet(stage_dir + "/rows")
+            heads, heads_bytes = file_heads(spark, visible, spec.max_line_bytes) if spec.has_header_meta else None, None
+            if heads is not None:
+                counted = Observation()
+                heads.observe(counted, F.coalesce(F.sum(row_bytes(heads)), F.lit(0)).alias("n")).write.mode("overwrite").parquet(stage_dir + "/heads")
+                heads, heads_bytes = spark.read.schema(heads.schema).parquet(stage_dir + "/heads"), counted.get["n"]
+            typed_rows(parse(lines, spec, ctx, index_bytes, heads, heads_bytes), spec).write.mode("overwrite").parquet(stage_dir + "/rows")
             break
         except Exception as e:
             attempt += 1

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from filament.functions.ip import ip_to_u32
 from filament.functions.text import go_trim
+from filament.operators.size import ROW_BYTES
 
 # Words that mark physical line 1 of an IP table as a header.
 HEADER_WORDS = ["start", "begin", "起始"]
@@ -56,8 +57,8 @@ def load_ip_table(spark: SparkSession, path: str, columns: list[str], check: boo
     hp = jvm.org.apache.hadoop.fs.Path(path)
     size = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp).getLen()
     max_split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    est_splits = size // max_split + 1                           # one index row per split
-    lines = number_scanned(scan_lines(spark, path, keep_blank=True), est_splits=est_splits, with_head=False)
+    index_bytes = (size // max_split + 1) * (3 * len(path) + ROW_BYTES)      # one row per split
+    lines = number_scanned(scan_lines(spark, path, keep_blank=True), index_bytes=index_bytes, with_head=False)
     lines = lines.withColumn("_phys", F.col("_line_no")).withColumn("_order", F.col("_line_no"))
     ranges = ranges_from_lines(lines, columns).cache()          # a small dimension, used twice
     if check:

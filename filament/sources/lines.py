@@ -22,13 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filament.functions.text import WHITE_SPACE, decode_file_uri, go_trim, strip_cr, trim_column
+from filament.operators.size import small_side
 from filament.session import local_frame
 from filament.sources.listing import list_entries
 
-# Rows in the per-split / per-bucket index beyond which it is joined by shuffle
-# instead of broadcast (the index has one row per input split or key bucket).
-BROADCAST_INDEX_ROWS = 2_000_000
-
 
 def is_hidden(path: str) -> bool:
     """Names that Spark's file sources pass over."""
@@ -252,38 +249,34 @@ def split_index(lines: DataFrame) -> DataFrame:
             .select("_uri", "_block", "_base", "_mid0", "_head_mid"))
 
 
-def _join_index(df: DataFrame, index: DataFrame, keys: list[str], est_rows: int | None) -> DataFrame:
+def _join_index(df: DataFrame, index: DataFrame, keys: list[str], n_bytes: int | None) -> DataFrame:
     """Broadcast the index only behind a known bound (one row per split or bucket,
     estimated from the listing); without one, AQE converts the join at run time when
     the materialised index is small, else it stays a shuffle join."""
-    if est_rows is not None and est_rows <= BROADCAST_INDEX_ROWS:
-        index = F.broadcast(index)
-    return df.join(index, keys, "inner")
+    return df.join(small_side(index, n_bytes), keys, "inner")
 
 
-def attach_heads(numbered: DataFrame, heads: DataFrame, est_files: int | None) -> DataFrame:
+def attach_heads(numbered: DataFrame, heads: DataFrame, n_bytes: int | None) -> DataFrame:
     """Join each file's first line (``_head_raw``, ``_head_line``) onto its rows."""
-    if est_files is not None and est_files <= BROADCAST_INDEX_ROWS:
-        heads = F.broadcast(heads)
-    return numbered.join(heads, "_file", "left")
+    return numbered.join(small_side(heads, n_bytes), "_file", "left")
 
 
-def number_scanned(lines: DataFrame, est_splits: int | None = None, with_head: bool = True,
-                   head_fn=None, heads: DataFrame | None = None) -> DataFrame:
+def number_scanned(lines: DataFrame, index_bytes: int | None = None, with_head: bool = True,
+                   head_fn=None, heads: DataFrame | None = None, heads_bytes: int | None = None) -> DataFrame:
     """S3 on scanned lines: adds ``_line_no`` (1-based over non-blank lines) and, with
     ``with_head``, the file's first non-blank line ``_head_raw`` / ``_head_line``.
-    ``est_splits`` (from the file listing) decides between broadcasting the split index
+    ``index_bytes`` (one row a split, from the file listing) decides between broadcasting the split index
     and a shuffle join.  The first lines are those of ``heads`` (``file_heads``) or, without it, found
     by a broadcast probe on (file, first row id): one more light scan, no sort."""
     idx = split_index(lines)
-    out = _join_index(lines, idx, ["_uri", "_block"], est_splits)
+    out = _join_index(lines, idx, ["_uri", "_block"], index_bytes)
     out = out.withColumn("_line_no", F.col("_base") + (F.col("_mid") - F.col("_mid0")) + 1)
     if with_head:
         if heads is None:
             head_ids = idx.select("_uri", F.col("_head_mid").alias("_mid")).distinct()
-            heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], est_splits)
+            heads = (_join_index(lines.select("_uri", "_mid", "_file", "_raw", "_line"), head_ids, ["_uri", "_mid"], index_bytes)
                      .select("_file", F.col("_raw").alias("_head_raw"), F.col("_line").alias("_head_line")))
-        out = attach_heads(out, head_fn(heads) if head_fn else heads, est_splits)
+        out = attach_heads(out, head_fn(heads) if head_fn else heads, heads_bytes)
     return out.drop("_base", "_mid0", "_head_mid")
 
 
@@ -301,7 +294,7 @@ def lines_from_frame(df: DataFrame, path: Column, text: Column, order: Column,
     return out
 
 
-def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int | None = None,
+def number_by_key(lines: DataFrame, bucket_width: int = 65536, index_bytes: int | None = None,
                   with_head: bool = True, head_fn=None) -> DataFrame:
     """S3 on a lines frame ordered by (``_ord``, ``_pos``): ``_line_no`` and the file's
     first line.  Lines are bucketed by ``_ord // bucket_width``; a bucket's rows are
@@ -316,15 +309,15 @@ def number_by_key(lines: DataFrame, bucket_width: int = 65536, est_buckets: int
            .withColumn("_head_ord", F.first("_ord0").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     rn = F.row_number().over(Window.partitionBy("_file", "_bucket").orderBy("_ord", "_pos"))
     numbered = b.withColumn("_rn", rn)
-    out = _join_index(numbered, idx.select("_file", "_bucket", "_base"), ["_file", "_bucket"], est_buckets)
+    out = _join_index(numbered, idx.select("_file", "_bucket", "_base"), ["_file", "_bucket"], index_bytes)
     out = out.withColumn("_line_no", F.col("_base") + F.col("_rn")).drop("_base", "_rn", "_bucket")
     if with_head:
         head_ids = idx.select("_file", F.col("_head_ord").alias("_ord")).distinct()
-        first_text = _join_index(lines.select("_file", "_ord", "_pos", "_raw", "_line"), head_ids, ["_file", "_ord"], est_buckets)
+        first_text = _join_index(lines.select("_file", "_ord", "_pos", "_raw", "_line"), head_ids, ["_file", "_ord"], index_bytes)
         # lines of one text per file: small, so a struct-valued min_by is fine here
         heads = first_text.groupBy("_file").agg(F.min_by(F.struct("_raw", "_line"), "_pos").alias("_h")).select(
             "_file", F.col("_h._raw").alias("_head_raw"), F.col("_h._line").alias("_head_line"))
-        out = attach_heads(out, head_fn(heads) if head_fn else heads, est_buckets)
+        out = attach_heads(out, head_fn(heads) if head_fn else heads, None)
     return out
 
 

@@ -76,7 +76,7 @@ def test_numbering_across_splits(spark, tmp):
     p = _write(tmp, "big.txt", ("\n".join(lines) + "\n").encode())
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        n = number_scanned(scan_lines(spark, [p], directory=tmp), est_splits=100)
+        n = number_scanned(scan_lines(spark, [p], directory=tmp), index_bytes=100)
         got = sorted((r._line_no, r._line) for r in n.select("_line_no", "_line").collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")

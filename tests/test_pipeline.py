@@ -3,6 +3,7 @@ empty, vanished and unreadable files, crashes, provenance, streaming and plan sh
 import datetime as dt
 import hashlib
 import os
+import re
 import shutil
 import time
 
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 
 from filament.operators import ledger as L
 from filament.plans import run as R
+from filament.plans.ingest import parse, typed_rows
 from filament.plans.run import committed_runs, load_context, read_ledger, run_once
 from filament.sinks.files import read_lines
 from filament.sinks.table import read_table, write_run
+from filament.sources.lines import scan_lines
 from filament.spec import DedupSpec, FieldSpec
 
+from filament.streaming.stream import start_stream
 from specs import DATA, GEO, shop_spec, voice_spec
 
 NOW = dt.datetime(2025, 5, 1, tzinfo=dt.timezone.utc)
@@ -189,7 +193,6 @@ def test_provenance_fields(spark, ctx, tmp):
 
 
 def stream(spark, spec, ctx, tmp, ck="ck"):
-    from filament.streaming.stream import start_stream
     start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/{ck}").awaitTermination()
 
 
@@ -267,7 +270,6 @@ def test_streaming_by_marker(spark, ctx, tmp):
     open(os.path.join(watch, "a.log.ok"), "w").close()
     stream(spark, spec, ctx, tmp)
     assert states(spark, tmp) == {"a.log": ("done", 0)} and rows_of(spark, tmp, spec, "s").count() == 2
-    from filament.streaming.stream import start_stream
     running = start_stream(spark, spec, ctx, f"{tmp}/ledger", f"{tmp}/tables/s", checkpoint=f"{tmp}/ck2", available_now=False,
                            interval="1 second")
     try:
@@ -283,8 +285,6 @@ def test_streaming_by_marker(spark, ctx, tmp):
 def test_plan_shape(spark, ctx):
     """No nested-loop join, no Python on the row path, and no shuffle at all when
     the spec needs no line numbers."""
-    from filament.plans.ingest import parse, typed_rows
-    from filament.sources.lines import scan_lines
     spec = shop_spec(DATA + "/shop")
     typed = typed_rows(parse(scan_lines(spark, [GOOD], directory=DATA + "/shop"), spec, ctx), spec)
     plan = typed._jdf.queryExecution().executedPlan().toString()
@@ -297,10 +297,36 @@ def test_aggregates_are_hash_based(spark, ctx, tmp):
     """The per-split line index and the per-file verdict aggregate counts and minimum
     positions only: hash aggregation with partial aggregation, never a sort of all rows."""
     from filament.operators.verdict import split_verdicts
-    from filament.plans.ingest import parse, typed_rows
     from filament.sources.lines import scan_lines, split_index
     spec = voice_spec(DATA + "/voice")
     lines = scan_lines(spark, [DATA + "/voice/calls_a.cdr"], directory=DATA + "/voice")
     for df in (split_index(lines), split_verdicts(typed_rows(parse(lines, spec, ctx, 1), spec))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_one_broadcast_serves_all_ip_fields(spark, ctx):
+    """Two IP fields are looked up in one broadcast table: the second join reuses the exchange."""
+    spec = shop_spec(DATA + "/shop")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")        # the reuse is planned ahead then
+    try:
+        typed = typed_rows(parse(scan_lines(spark, [GOOD], directory=DATA + "/shop"), spec, ctx), spec)
+        plan = typed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"ReusedExchange \[_rb#", plan)) == 1
+
+
+def test_sides_over_the_bound_are_not_broadcast(spark, ctx, monkeypatch):
+    from filament.operators import size
+    monkeypatch.setattr(size, "BROADCAST_BYTES", 10)
+    assert ctx.ip_table_bytes > 10
+    spec = shop_spec(DATA + "/shop")
+    typed = typed_rows(parse(scan_lines(spark, [GOOD], directory=DATA + "/shop"), spec, ctx), spec)
+    assert "strategy=broadcast" not in typed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_frame_bytes(spark):
+    from filament.operators.size import ROW_BYTES, frame_bytes
+    df = spark.createDataFrame([("é", None, 1), (None, "abc", 2)], "a string, `b.c` string, n int")
+    assert frame_bytes(df) == 2 * ROW_BYTES + 5 and frame_bytes(df.limit(0)) == 0
