@@ -34,6 +34,13 @@ class ChainContext:
     #: keys whose texts have no outer white space (the frame's, before a step) and whether the IP table's attributes have none
     trimmed: frozenset[str] = frozenset()
     ip_attrs_trimmed: bool = False
+    #: cached frames behind the tables
+    held: list[DataFrame] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Release what was cached for this context (its tables are read anew if used again)."""
+        while self.held:
+            self.held.pop().unpersist()
 
 
 Transform = Callable[[DataFrame, TransformSpec, ChainContext], DataFrame]

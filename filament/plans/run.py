@@ -62,12 +62,14 @@ def load_context(spark: SparkSession, specs: list[PipelineSpec], ip_path: str =
     if ip_path:
         ranges = load_ip_table(spark, ip_path, list(ip_columns or []))
         table = bucketed_ranges(ranges).cache()
+        ctx.held += [ranges, table]
         ctx.ip_table, ctx.ip_attrs, ctx.ip_table_bytes = table, list(ip_columns or []), frame_bytes(table)
         ctx.ip_attrs_trimmed = True             # by the loader
     for s in specs:
         for t in s.transformers:
             if t.type == "dict_mapper" and t.dict_file and t.dict_file not in ctx.dict_tables:
                 d = load_dict_file(spark, t.dict_file).cache()
+                ctx.held.append(d)
                 ctx.dict_tables[t.dict_file] = (d, frame_bytes(d))
     return ctx
 

@@ -50,8 +50,9 @@ def ranges_from_lines(lines: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def load_ip_table(spark: SparkSession, path: str, columns: list[str], check: bool = True) -> DataFrame:
-    """Read an IP table file into ``start, end, <columns…>, _order`` (one Spark job
-    checks for bad IPs when ``check``; the table is a small dimension)."""
+    """Read an IP table file into ``start, end, <columns…>, _order, _bad`` (one Spark job
+    checks for bad IPs when ``check``; the table is a small dimension).  The frame is cached; who loads it
+    releases it."""
     from filament.sources.lines import number_scanned, scan_lines
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
@@ -65,4 +66,4 @@ def load_ip_table(spark: SparkSession, path: str, columns: list[str], check: boo
         bad = ranges.filter(F.col("_bad").isNotNull()).select("_bad").limit(1).collect()
         if bad:
             raise IPTableError(bad[0][0])
-    return ranges.drop("_bad")
+    return ranges

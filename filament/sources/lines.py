@@ -141,8 +141,9 @@ def _hidden_text(spark: SparkSession, paths: list[str]) -> DataFrame:
     return got.select("_uri", "_block", F.col("_bytes").cast("string").alias("_value"))
 
 
-#: schemes whose files tasks open themselves to read a first line
-HEAD_SCHEMES = ("file",)
+#: session setting: schemes, comma-separated, whose files tasks open themselves to read a first line (through Arrow's file
+#: systems, with the credentials that these find); local files if it is not set
+HEAD_SCHEMES = "spark.filament.headSchemes"
 
 
 def file_heads(spark: SparkSession, paths: list[str], keep_bytes: int | None = None) -> DataFrame | None:
@@ -151,7 +152,8 @@ def file_heads(spark: SparkSession, paths: list[str], keep_bytes: int | None = N
     is the first even if blank, as ``scan_lines`` keeps it.  A file that can't be read is an error that
     names it.  None where tasks can't open the files (another scheme or packing): the caller then probes the scan."""
     where = qualified(spark, paths)
-    if any(w.partition(":")[0] not in HEAD_SCHEMES for w in where) or any(
+    schemes = spark.conf.get(HEAD_SCHEMES, "file").split(",")
+    if any(w.partition(":")[0] not in schemes for w in where) or any(
             p.rsplit(".", 1)[-1].lower() in ("deflate", "snappy", "lz4") for p in paths):
         return None
 

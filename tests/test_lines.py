@@ -137,6 +137,9 @@ def test_first_lines_by_tasks(spark, tmp):
     hexed = [F.hex(F.col(c).cast("binary")).alias(c) if c != "_line_no" else F.col(c) for c in cols]
     assert sorted(probed.select(hexed).collect()) == sorted(fetched.select(hexed).collect())
     assert heads.count() == 7
+    spark.conf.set("spark.filament.headSchemes", "hdfs")
+    assert file_heads(spark, paths) is None                       # the caller probes the scan
+    spark.conf.unset("spark.filament.headSchemes")
     plan = fetched._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") < probed._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
 

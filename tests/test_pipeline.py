@@ -330,3 +330,12 @@ def test_frame_bytes(spark):
     from filament.operators.size import ROW_BYTES, frame_bytes
     df = spark.createDataFrame([("é", None, 1), (None, "abc", 2)], "a string, `b.c` string, n int")
     assert frame_bytes(df) == 2 * ROW_BYTES + 5 and frame_bytes(df.limit(0)) == 0
+
+
+def test_context_releases_its_tables(spark, tmp):
+    spec = shop_spec(folder(tmp))
+    own = load_context(spark, [spec], os.path.join(DATA, "sites.csv"), GEO)
+    held = list(own.held)
+    assert len(held) == 3 and all(d.storageLevel.useMemory for d in held)
+    own.close()
+    assert not own.held and not any(d.storageLevel.useMemory for d in held)
