@@ -18,8 +18,12 @@ Two sets with Jaccard >= ``T`` share a shingle among the first |x| - ceil(T |x|)
    shared path, and leaves subtrees that cannot reach the overlap needed by their
    remaining lengths, or that hold its own component only.  Its links go to ``components``.
 4. Shingles whose sets are still in several components are joined the same way, each
-   group of candidates once, cut into sub-blocks that meet in pairs.  No pair of candidates is left out.
-Blocks hold at most about ``BLOCK`` sets, so no group lands in one task.
+   group of candidates once.  Sets of groups larger than ``BLOCK`` are filed anew: cut by hash into
+   more parts than partners' sets may differ in shingles (``part_keys``), so that partners agree in a part.
+   Groups that are large even so are cut into sub-blocks that meet in pairs.  No pair of candidates is left out.
+Blocks hold at most about ``BLOCK`` sets (and of long ones fewer), so no group lands in one task.  Before sets are sent, their
+parities (``parity``, about 1/20 of a set) meet in the blocks: two sets differ in at least as many shingles
+as their parities do in bits, so sets that can reach no set of another component there stay away.
 
 Defined results: a null text is empty: 0 shingles, its own component.  Rows with equal ids are
 joined by their texts like others; a null id is passed over when the smallest id is taken.
@@ -29,6 +33,7 @@ Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -40,7 +45,9 @@ from .keyset import LOW, distinct, maybe_repeated, mix, repeated_keys
 
 N = 3
 T_NUM, T_DEN = 9, 10
-BLOCK = 128
+BLOCK = 512
+#: bytes of sets that a trie is made of
+BLOCK_BYTES = 32 << 20
 LEVEL_SHIFT = np.uint64(58)
 HASH_MASK = np.uint64((1 << 58) - 1)
 UNKNOWN = 62
@@ -96,6 +103,57 @@ def length_class(n: int, num: int, den: int) -> int:
     return k
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A bit for each value of the shingles' low hash bits: do an odd number of them have it?  Halves
+    combined by exclusive or are the parity of half the width."""
+    width = max(64, 1 << (2 * len(s) - 1).bit_length())
+    at = (mix(s & HASH_MASK) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def reaching(sizes: list[int], parities: list[bytes], known: list, num: int, den: int) -> np.ndarray:
+    """Which sets have one of another component that they may link with, going by sizes and parities."""
+    width = min(map(len, parities)) // 8
+    bits = []
+    for p in parities:
+        x = np.frombuffer(p, np.uint64)
+        while len(x) > width:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        bits.append(x)
+    bits, n = np.array(bits), np.array(sizes, np.int64)
+    firsts: dict = {}
+    part = np.array([firsts.setdefault(k, i) if k is not None else i for i, k in enumerate(known)])
+    out = np.zeros(len(n), bool)
+    for i in range(1, len(n)):
+        both = n[i] + n[:i]
+        least = np.bitwise_count(bits[i] ^ bits[:i]).sum(axis=1, dtype=np.int64)  # they differ in
+        shared = np.minimum((both - least) // 2, np.minimum(n[i], n[:i]))
+        near = (shared * (num + den) >= num * both) & (part[:i] != part[i])
+        out[:i] |= near
+        out[i] = near.any()
+    return out
+
+
+def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys of a set of which two sets with Jaccard >= num/den share one: for its length's class and the next, the
+    hash space is cut into more parts than partners may differ in shingles, and each part's content is a
+    key.  Empty parts are keys only where a set has too few others to agree with any partner in one of those."""
+    h, n, out = mix(s & HASH_MASK), len(s), []
+    for k in (length_class(n, num, den), length_class(n, num, den) + 1):
+        longest = int((den / num) ** (k + 1)) + 1
+        most = 2 * (den - num) * longest // (num + den)  # partners differ in
+        parts = most + most // 4 + 2
+        place = (mix(h + np.uint64(MULTIPLIERS[1])) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        first = np.flatnonzero(np.diff(place[order], prepend=-1))
+        at, content = place[order][first], np.add.reduceat(h[order], first)
+        if len(at) <= min(most, (den - num) * n // num):
+            none = np.setdiff1d(np.arange(parts), at)
+            at, content = np.append(at, none), np.append(content, np.zeros(len(none), np.uint64))
+        out.append(mix(content + mix(at.astype(np.uint64) + np.uint64(k << 32))))
+    return np.concatenate(out).astype(np.int64)
+
+
 class Trie:
     """Sets in global order as a path-compressed trie, and the walk that joins a set with it.
 
@@ -212,14 +270,55 @@ def join_block(nodes: list[bytes], sets: list[np.ndarray], known: list, num: int
     return [(nodes[q], nodes[y]) for q in range(len(sets)) for y in trie.walk(q, num, den)]
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (staged, with ``id`` and ``tkey``) and the texts ``t`` that they name."""
+    size = wanted.agg(F.sum(F.lit(64) + (8 * F.size("blocks") if "blocks" in wanted.columns else F.lit(0)))).first()[0] or 0
+    side = (F.broadcast(wanted) if size <= BROADCAST_ID_BYTES else wanted).withColumnRenamed("id", "wid").withColumnRenamed("tkey", "wkey")
+    return docs.join(side, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tkey") == F.col("wkey")))
+
+
+def may_link(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``members`` without the blocks in which a class can link with none of another component."""
+    rows = members.join(classes.select("sig", "n", "parity"), "sig").select(F.explode("blocks").alias("block"), "sig", "known", "n", "parity")
+    rows = rows.repartition("block").sortWithinPartitions("block", "sig")
+
+    def run(batches):
+        block, held = None, ([], [], [], [])
+
+        def close():
+            out: dict = {"block": [], "sig": [], "known": []}
+            at = np.flatnonzero(reaching(*held[1:], num, den)) if len(held[0]) > 1 else []
+            pieces = -(-2 * sum(8 * held[1][i] for i in at) // BLOCK_BYTES)
+            pairs = combinations(range(pieces), 2) if pieces > 2 else [(0, 0)]  # long sets meet in pairs of pieces
+            for k, pair in enumerate(pairs):
+                own = [i for m, i in enumerate(at) if pieces <= 2 or m % pieces in pair]
+                out["block"] += [xxhash.xxh3_64_intdigest(f"{block} {k}") - (1 << 63)] * len(own)
+                out["sig"] += [held[0][i] for i in own]
+                out["known"] += [held[3][i] for i in own]
+            return out
+
+        for b in batches:
+            for key, sig, known, n, bits in zip(*(c.to_pylist() for c in b.columns)):
+                if key != block:
+                    if held[0]:
+                        yield close()
+                    block, held = key, ([], [], [], [])
+                if not held[0] or held[0][-1] != sig:
+                    for to, v in zip(held, (sig, n, bits, known)):
+                        to.append(v)
+        if held[0]:
+            yield close()
+
+    near = arrow_map(rows, run, "block long, sig binary, known binary")
+    return near.groupBy("sig", "known").agg(F.collect_set("block").alias("blocks"))
+
+
 def join_blocks(docs: DataFrame, members: DataFrame, classes: DataFrame, order: Callable, n: int, num: int, den: int) -> DataFrame:
     """A trie per block: ``members(sig, blocks, known)`` says which blocks a class goes to, and
-    ``classes(sig, id, tkey)`` which document gives its set.  Sets are made from the texts and go to
-    their blocks in one shuffle.  Returns ``u, v``."""
-    wanted = staged(members.join(classes, "sig"))
-    size = wanted.agg(F.sum(F.lit(64) + 8 * F.size("blocks"))).first()[0] or 0
-    side = (F.broadcast(wanted) if size <= BROADCAST_ID_BYTES else wanted).withColumnRenamed("id", "wid").withColumnRenamed("tkey", "wkey")
-    texts = docs.join(side, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tkey") == F.col("wkey")))
+    ``classes(sig, id, tkey, n, parity)`` which document gives its set.  Sets are made from the texts and go, in
+    one shuffle, to those of their blocks where they may link.  Returns ``u, v``."""
+    wanted = staged(may_link(members, classes, num, den).join(classes.drop("n", "parity"), "sig"))
+    texts = texts_of(docs, wanted)
 
     def deal(batches):
         ranked = order()
@@ -266,6 +365,30 @@ def join_blocks(docs: DataFrame, members: DataFrame, classes: DataFrame, order:
     return arrow_map(rows, run, "u binary, v binary")
 
 
+def blocks_of_leads(filed: DataFrame) -> DataFrame:
+    """``sig, blocks`` from ``filed(token, sig, lead)``: a block for each lead; large ones are cut, the lead goes to each piece."""
+    pairs = filed.select("lead", "sig").distinct()
+    size = pairs.groupBy("lead").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("cuts"))
+    dealt = pairs.join(size, "lead").withColumn("salt", F.when(
+        F.col("sig") == F.col("lead"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))))
+    return dealt.select("lead", "sig", F.explode("salt").alias("salt")).groupBy("sig").agg(
+        F.collect_list(F.xxhash64("lead", "salt")).alias("blocks"))
+
+
+def with_components(filed: DataFrame, roots: DataFrame) -> DataFrame:
+    """``filed(token, sig)`` and the component ``known`` of each class."""
+    return staged(filed.select("token", "sig").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+                  .select("token", "sig", F.coalesce("root", "sig").alias("known")))
+
+
+def open_groups(filed: DataFrame) -> DataFrame:
+    """``token, m``: groups of ``filed(token, sig, known)`` with several components, equal ones once."""
+    groups = filed.groupBy("token").agg(F.min("known").alias("a"), F.max("known").alias("b"), F.count("*").alias("m"),
+                                        F.bit_xor(F.xxhash64("sig")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), "sig")).alias("h2")).where("a < b")
+    return groups.groupBy("h1", "h2", "m").agg(F.min("token").alias("token")).select("token", "m")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
                        num: int = T_NUM, den: int = T_DEN) -> DataFrame:
     """One row per document: the id, ``n_shingles`` and ``component_id``; links hold where
@@ -292,9 +415,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for b in batches:
             sets = [ranked(shingle_hashes(t, n)) for t in b.column(2).to_pylist()]
             yield {"id": b.column(0), "tkey": b.column(1), "n": [len(s) for s in sets], "sig": [signature(s) for s in sets],
-                   "prefix": [s[:prefix_length(len(s), num, den)].tobytes() for s in sets]}
+                   "prefix": [s[:prefix_length(len(s), num, den)].tobytes() for s in sets], "parity": list(map(parity, sets))}
 
-    feat = staged(arrow_map(docs.select("id", "tkey", "t"), features, f"id {id_type}, tkey long, n long, sig binary, prefix binary"), spark)
+    feat = staged(arrow_map(docs.select("id", "tkey", "t"), features, f"id {id_type}, tkey long, n long, sig binary, prefix binary, parity binary"), spark)
     bitmap, _ = repeated_keys(feat.where("n > 0").select("prefix"),
                            lambda b: (mix(np.frombuffer(p, np.uint64)) for p in b.column(0).to_pylist()))
 
@@ -320,30 +443,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # one document per candidate class gives its set
     place = feat.where("n > 0").join(occ.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(
-        F.min(F.struct("id", "tkey")).alias("p"))
-    classes = staged(place.select("sig", "p.id", "p.tkey"), spark)
+        F.min(F.struct("id", "tkey", "n", "parity")).alias("p"))
+    classes = staged(place.select("sig", "p.*"), spark)
 
-    # blocks of the smallest class that shares a shingle; large ones are cut, the leader goes to each piece
-    pairs = occ.select("lead", "sig").distinct()
-    size = pairs.groupBy("lead").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("cuts"))
-    dealt = pairs.join(size, "lead").withColumn("salt", F.when(
-        F.col("sig") == F.col("lead"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))))
-    members = dealt.select("lead", "sig", F.explode("salt").alias("salt")).groupBy("sig").agg(
-        F.collect_list(F.xxhash64("lead", "salt")).alias("blocks")).withColumn("known", F.lit(None).cast("binary"))
+    members = blocks_of_leads(occ).withColumn("known", F.lit(None).cast("binary"))
     links = staged(join_blocks(docs, members, classes, order, n, num, den), spark)  # blocks whose hashes meet only test more
     first = components(links)
 
-    # shingles whose classes are still in several components; equal groups of candidates once
-    at = staged(occ.select("token", "sig").join(first.withColumnRenamed("node", "sig"), "sig", "left")
-                .select("token", "sig", F.coalesce("root", "sig").alias("known")), spark)
-    open_ = at.groupBy("token").agg(F.min("known").alias("a"), F.max("known").alias("b"), F.count("*").alias("m"),
-                                    F.bit_xor(F.xxhash64("sig")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), "sig")).alias("h2")).where("a < b")
-    once = open_.groupBy("h1", "h2", "m").agg(F.min("token").alias("token")).select(
-        "token", F.when(F.col("m") <= BLOCK, 1).otherwise(F.ceil(F.col("m") / F.lit(BLOCK / 2))).cast("int").alias("cuts"))
-    rest = at.join(once, "token").withColumn("i", F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))
-    rest = rest.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("cuts = 1 or i <> j")
-    rest = rest.groupBy("sig", "known").agg(F.collect_set(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j"))).alias("blocks"))
+    # shingles whose classes are still in several components; sets of large groups are filed by their parts
+    at = with_components(occ, first)
+    groups = staged(open_groups(at), spark)
+    large = at.join(groups.where(F.col("m") > BLOCK), "token", "left_semi").select("sig").distinct()
+    large = staged(large.join(classes.select("sig", "id", "tkey"), "sig"), spark)
+
+    def parts(batches):
+        for b in batches:
+            for text, sig in zip(*(c.to_pylist() for c in b.columns)):
+                keys = part_keys(shingle_hashes(text, n), num, den)
+                yield {"token": keys, "sig": [sig] * len(keys)}
+
+    filed = with_components(arrow_map(texts_of(docs, large).select("t", "sig"), parts, "token long, sig binary").distinct(), first)
+    small = at.join(groups.where(F.col("m") <= BLOCK), "token").select("sig", "known", F.xxhash64("token").alias("block"))
+    cut = filed.join(open_groups(filed).withColumn(
+        "cuts", F.when(F.col("m") <= BLOCK, 1).otherwise(F.ceil(F.col("m") / F.lit(BLOCK / 2))).cast("int")), "token")
+    cut = cut.withColumn("i", F.pmod(F.xxhash64("sig"), F.col("cuts")).cast("int"))
+    cut = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("cuts = 1 or i <> j")
+    cut = cut.select("sig", "known", F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("block"))
+    rest = small.unionByName(cut).groupBy("sig", "known").agg(F.collect_set("block").alias("blocks"))
     more = staged(join_blocks(docs, rest, classes, order, n, num, den), spark)
 
     final = components(links.unionByName(more).unionByName(first.select(F.col("node").alias("u"), F.col("root").alias("v"))))

@@ -160,6 +160,40 @@ def test_trie_blocks():
         assert [want.find(i) for i in range(len(sets))] == [got.find(i) for i in range(len(sets))]
 
 
+@pytest.mark.parametrize("num, den", [(9, 10), (4, 5)])
+def test_parities_and_parts_lose_no_partner(num, den):
+    """Linked sets pass by their parities and share a part; unrelated ones with common shingles are not sent to tries."""
+    rng = np.random.default_rng(11)
+    fresh = lambda n: np.unique(rng.integers(0, 1 << 58, n).astype(np.uint64))
+    linked = 0
+    for n in (1, 2, 5, 9, 20, 60, 150, 700) * 12:
+        x = fresh(n)
+        gone, new = rng.integers(0, max(1, n // 5) + 1, 2)
+        y = np.unique(np.concatenate([rng.permutation(x)[gone:], fresh(int(new))]))
+        o = len(np.intersect1d(x, y))
+        if len(y) and den * o >= num * (len(x) + len(y) - o):
+            linked += 1
+            assert ngram_join.reaching([len(x), len(y)], [ngram_join.parity(x), ngram_join.parity(y)], [None, None], num, den).all()
+            assert not ngram_join.reaching([len(x), len(y)], [ngram_join.parity(x), ngram_join.parity(y)], [b"a", b"a"], num, den).any()
+            assert len(np.intersect1d(ngram_join.part_keys(x, num, den), ngram_join.part_keys(y, num, den)))
+    assert linked > 20
+    common = fresh(60)
+    sets = [np.union1d(common, fresh(140)) for _ in range(40)]
+    assert not ngram_join.reaching(list(map(len, sets)), list(map(ngram_join.parity, sets)), [None] * 40, num, den).any()
+
+
+def test_sets_that_cannot_link_stay_away(spark):
+    """Of a block only the sets that may link with another component's go to its trie; long ones in pieces."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 58, 300).astype(np.uint64)) for _ in range(6)]
+    sets.append(np.append(sets[0][:-2], sets[0][-1:]))
+    rows = [(bytes([i]), [5], None, len(s), ngram_join.parity(s)) for i, s in enumerate(sets)]
+    df = frame(spark, rows, "sig binary, blocks array<bigint>, known binary, n long, parity binary")
+    out = ngram_join.may_link(df.select("sig", "blocks", "known"), df.select("sig", "n", "parity"), 9, 10).collect()
+    assert sorted(bytes(r["sig"]) for r in out) == [b"\x00", b"\x06"]
+    assert len({b for r in out for b in r["blocks"]}) == 1
+
+
 def test_keep_one(spark):
     base = " ".join(f"t{i}" for i in range(60))
     rows = [(5, base), (2, base + " more"), (9, "other words altogether here now"), (9, "other words altogether here now"), (None, base), (7, None), (8, "")]
