@@ -25,6 +25,8 @@ import heapq
 import json
 import re
 import zlib
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ SHARD_BYTES = 16 << 20
 K1, B = 1.2, 0.75
 DENSE = 1 / 8  # terms in more of the entries stand in a matrix
 DENSE_CELLS = 16 << 20  # its size at most; what has no room there stays in posting lists
+AHEAD = 32  # seeds that are scored together
 END = 0
 # fixed value: how byte-level BPE of this family cuts texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -125,7 +128,12 @@ def sketch(ids: np.ndarray, corpus: Corpus, least: float, salt: bytes) -> int:
     term, tf = np.unique(ids[ids != END], return_counts=True)
     df = corpus.df[term]
     weight = corpus.weights(term, tf, len(ids))
-    order = np.lexsort((term, -weight, df < least, df < 2))[:SALIENT]
+    first = np.flatnonzero(df >= max(least, 2))
+    if len(first) > SALIENT:  # the others come behind these
+        first = first[weight[first] >= np.partition(weight[first], -SALIENT)[-SALIENT]]
+        order = first[np.lexsort((term[first], -weight[first]))][:SALIENT]
+    else:
+        order = np.lexsort((term, -weight, df < least, df < 2))[:SALIENT]
     top = term[order[df[order] > 1]].astype(np.uint64)
     top = top[np.argsort(top * MIX, kind="stable")][:len(TERM_BITS)].tolist()
     key = 0
@@ -188,15 +196,25 @@ class Index:
         self.doc, self.weight = doc[rare], weight[rare]
         self.first = np.searchsorted(term[rare], np.arange(len(df) + 1))
         self.useful = df > 1
-
-    def scores(self, entry: int) -> np.ndarray:
-        t = self.terms[self.of[entry]]
-        t = t[self.useful[t]]
-        column = self.column[t]
-        asked = np.zeros(len(self.matrix), np.float32)
-        asked[column[column >= 0]] = 1
-        out = (asked @ self.matrix).astype(float)
-        t = t[column < 0]
+        self.held: dict[int, np.ndarray] = {}  # by class, what the matrix adds
+
+    def common_scores(self, classes: list[int]) -> np.ndarray:
+        """What the matrix adds to the scores of each class; one product for several is faster than one for each."""
+        asked = np.zeros((len(classes), len(self.matrix)), np.float32)
+        for row, c in zip(asked, classes):
+            column = self.column[self.terms[c][self.useful[self.terms[c]]]]
+            row[column[column >= 0]] = 1
+        return asked @ self.matrix
+
+    def scores(self, entry: int, ahead: Callable = list) -> np.ndarray:
+        """Scores of all entries; ``ahead`` names entries that are likely to be asked for next."""
+        own = int(self.of[entry])
+        if own not in self.held:
+            classes = list(dict.fromkeys([own, *(int(self.of[k]) for k in ahead())]))
+            self.held = dict(zip(classes, self.common_scores(classes)))
+        out = self.held[own].astype(float)
+        t = self.terms[own]
+        t = t[self.useful[t] & (self.column[t] < 0)]
         a, n = self.first[t], self.first[t + 1] - self.first[t]
         if n.sum():
             at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -231,6 +249,9 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, text
                 heapq.heappush(heap, (-int(left[k]), k))
         return heap[0][1]
 
+    def ahead() -> list[int]:
+        return [k for n, k in heapq.nsmallest(AHEAD, heap) if left[k] == -n]
+
     def take(k: int, n: int) -> tuple[int, int, int]:
         piece = (entries[k], int(start[k]), n)
         start[k] += n
@@ -239,7 +260,7 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, text
 
     while total >= window:
         seed = longest()
-        score = index.scores(seed)
+        score = index.scores(seed, ahead)
         pieces = [take(seed, int(left[seed]))]
         room = window - pieces[0][2]
         if room:
@@ -282,9 +303,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def tokenize(batches):
         tokens = per_worker(("bpe", tokenizer_path), lambda: Tokens(content.value))
         for b in batches:
-            ids = [np.array([*tokens.ids(t), END], "<u4") for t in b.column(1).to_pylist()]
-            yield {"id": b.column(0), "wide": [bool((x > 0xFFFF).any()) for x in ids], "bytes": b.column(2),
-                   "ids": [x.tobytes() if (x > 0xFFFF).any() else x.astype("<u2").tobytes() for x in ids]}
+            ids = [np.frombuffer(array("I", tokens.ids(t) + [END]), np.uint32) for t in b.column(1).to_pylist()]
+            wide = [bool(x.max() > 0xFFFF) for x in ids]
+            yield {"id": b.column(0), "wide": wide, "bytes": b.column(2),
+                   "ids": [x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(ids, wide)]}
 
     def arrays(b):
         return [np.frombuffer(x, "<u4" if wide else "<u2") for x, wide in zip(b.column("ids").to_pylist(), b.column("wide").to_pylist())]

@@ -426,6 +426,18 @@ def test_packing_edges(spark, monkeypatch):
     assert packing.pack_documents(frame(spark, []), BPE).count() == 0
 
 
+def test_packing_scores_ahead():
+    """Scores of seeds that are made together are those of each alone, and are made once for many seeds."""
+    rng = np.random.default_rng(2)
+    docs = [np.append(rng.integers(1, 400, rng.integers(20, 300)), 0).astype("<u2") for _ in range(90)]
+    alone, index, made = packing.Index(docs), packing.Index(docs), []
+    products = index.common_scores
+    index.common_scores = lambda classes: made.append(len(classes)) or products(classes)
+    for k in range(90):
+        assert np.allclose(index.scores(k, lambda: range(k, min(k + 30, 90))), alone.scores(k), rtol=1e-5)
+    assert made == [30, 30, 30]
+
+
 def test_packing_neighbours():
     """A seed's window is filled with the lexically nearest entries."""
     a, b = np.arange(10, 40), np.arange(50, 80)
