@@ -62,12 +62,24 @@ LONG_WORD = 256
 #: not between words: spaces at an end, white space side by side
 RAGGED = re.compile(r"^ | $|\s\s")
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: white space of ASCII as spaces
+SPACES = bytes(32 if chr(i).isspace() else i for i in range(128)) + bytes(range(128, 256))
+#: how other white space begins
+WIDE_SPACES = sorted({chr(i).encode()[:2] for i in range(128, 0x110000) if chr(i).isspace()})
 GAMMA = 2
 ONE = np.uint64(1)
 FIRST = itemgetter(0)
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
+def ragged(text: str) -> bool:
+    """Does ``RAGGED`` match?  Bytes tell that several times faster where only ASCII has white space."""
+    data = text.encode()
+    if not text.isascii() and any(x in data for x in WIDE_SPACES):
+        return RAGGED.search(text) is not None
+    return data[:1] == b" " or data[-1:] == b" " or b"  " in data.translate(SPACES)
+
+
 class Aligner:
     """Ids, byte lengths and names of both tokenizers."""
 
@@ -107,7 +119,7 @@ class Aligner:
             return []
         if not self.by_words:
             return [text]
-        return BETWEEN.split(text) if RAGGED.search(text) else text.split(" ")
+        return BETWEEN.split(text) if ragged(text) else text.split(" ")
 
     def encode_words(self, words: list[str]) -> tuple[list, list, np.ndarray, np.ndarray]:
         """Ids of both over all words (from ``pieces``), and how many each word has; words are encoded as one text, which

@@ -126,3 +126,10 @@ def test_words_alone_and_together():
     one, each = x.align(words, True, True), x.align(words, True)
     assert one.keys() == each.keys() and all(list(one[k]) == list(each[k]) for k in one)
     assert x.pieces("a b  c\nd \ne f") == ["a", "b  c\nd \ne", "f"] and x.pieces(" a") == [" a"] and x.pieces(None) == []
+
+
+def test_ragged_is_the_pattern():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(9)))
+             for letters in (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x00ab", " \n\x85\u3000\xa0é\x1ca") for _ in range(20_000)]
+    assert [alignment.ragged(t) for t in texts] == [alignment.RAGGED.search(t) is not None for t in texts]
