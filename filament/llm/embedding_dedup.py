@@ -9,14 +9,16 @@ r = sqrt(2 - 2t).  Bit-equal vectors form a class and are handled once, with the
 3. Search: a vector probes each list whose cell comes within r of it: the distance to the plane between
    its own centroid's cell and the list's is at most r, and so is the distance to the ball of the
    list's vectors.  No partner can stand in another list; the number of probes isn't capped.
-   Distances to codes come from one table per query (asymmetric; the part that depends on the list is a
-   number per vector); candidates are those with table distance - e <= r, which no partner misses.
+   Distances from queries to codes (asymmetric) come from products with the decoded vectors, which a block
+   decodes once, in single precision with the rounding error allowed for; candidates are those with
+   distance - e <= r, which no partner misses.  Only lists that some query of a slice probes are multiplied.
 4. Rerank: exact cosine in double precision.
-Lists stand together in bins of about ``BLOCK`` vectors, and larger ones are cut into blocks of that size;
-a query goes once to a bin of which it probes any list, and each pair of bins meets once.  So no list is
-held by one task, and a vector is dealt to as many blocks as there are at most.  A block returns its
-vectors' numbers of links and, for the components, each vector's smallest linked one: as many rows as
-vectors, not pairs.
+Lists stand in an order that keeps near ones together, in bins of about one block, and larger bins are cut into
+blocks of that size: ``BLOCKS`` blocks of at least ``BLOCK`` vectors, and more where they would hold over
+``BLOCK_BYTES``.  A query goes once to a bin of which it probes any list, and each pair of bins meets once, at
+either of them by turns.  So no list is held by one task, and up to BLOCKS * BLOCK_BYTES of vectors the number of
+blocks that a vector is dealt to doesn't grow.  A block returns its vectors' numbers of links and, for the
+components, each vector's smallest linked one: as many rows as vectors, not pairs.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing; the others link with those of their own length only, each length with lists of its own.  Rows
@@ -39,8 +41,12 @@ PER_LIST = 200
 MAX_LISTS = 2048
 SUBSPACE = 8
 CODES = 256
-BLOCK = 1024
-QUERIES = 256
+BLOCK = 256
+BLOCKS = 16
+BLOCK_BYTES = 16 << 20
+QUERIES = 512  # a slice of queries
+BASE = 2048  # a slice of a block
+PAIR_BYTES = 16 << 20  # vectors that are paired at a time
 SIGMAS = np.inf  # read by nothing: probes reach r, whatever a test sets here
 
 
@@ -60,17 +66,29 @@ def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :], 0)
 
 
+def neighbourly(c: np.ndarray) -> np.ndarray:
+    """An order in which near points stand together: halves along the line between two far points, and so on."""
+    if len(c) <= 2:
+        return np.arange(len(c))
+    one = c[np.argmax(((c - c.mean(axis=0)) ** 2).sum(1))]
+    other = c[np.argmax(((c - one) ** 2).sum(1))]
+    order = np.argsort(c @ (other - one), kind="stable")
+    return np.concatenate([half[neighbourly(c[half])] for half in np.array_split(order, 2)])
+
+
 class Quantiser:
     """Coarse centroids and one codebook per subspace."""
 
     def __init__(self, coarse: np.ndarray, books: list[np.ndarray]):
         self.coarse, self.books = coarse, books
+        self.apart: np.ndarray | None = None  # distances between centroids
         cuts = np.cumsum([0] + [c.shape[1] for c in books])
         self.parts = list(zip(cuts, cuts[1:]))
 
     @classmethod
     def fit(cls, sample: np.ndarray, lists: int) -> Quantiser:
         coarse = kmeans(sample, lists)
+        coarse = coarse[neighbourly(coarse)]
         rest = sample - coarse[np.argmin(squared(sample, coarse), axis=1)]
         return cls(coarse, [kmeans(rest[:, a:a + SUBSPACE], CODES) for a in range(0, sample.shape[1], SUBSPACE)])
 
@@ -83,22 +101,17 @@ class Quantiser:
         back = np.concatenate([c[codes[:, m]] for m, c in enumerate(self.books)], axis=1)
         return own, codes.astype(np.uint8), np.linalg.norm(rest - back, axis=1)
 
-    def probes(self, x: np.ndarray, own: np.ndarray, radius: np.ndarray, r: float) -> np.ndarray:
-        """Which lists (columns) may hold a vector within ``r`` of each row."""
-        d = squared(x, self.coarse)
-        apart = np.sqrt(squared(self.coarse, self.coarse))[own]
-        beyond = d - d[np.arange(len(x)), own][:, None]  # twice the distance to the plane, times ``apart``
-        return (beyond <= 2 * apart * (r + 1e-6) + 1e-9) & (np.sqrt(d) <= radius[None, :] + r + 1e-6)
+    def probes(self, x: np.ndarray, own: np.ndarray, radius: np.ndarray, r: float, among=slice(None)) -> np.ndarray:
+        """Which lists (columns; those of ``among``) may hold a vector within ``r`` of each row."""
+        if self.apart is None:
+            self.apart = np.sqrt(squared(self.coarse, self.coarse))
+        d = squared(x, self.coarse[among])
+        rest = x - self.coarse[own]
+        beyond = d - (rest * rest).sum(1)[:, None]  # twice the distance to the plane, times ``apart``
+        return (beyond <= 2 * self.apart[own][:, among] * (r + 1e-6) + 1e-9) & (np.sqrt(d) <= radius[among][None, :] + r + 1e-6)
 
-    def distances(self, x: np.ndarray, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Distances from unit vectors to coded ones (query, coded): |q|^2 - 2 q.c - 2 q.code + |c + code|^2,
-        where q.code comes from a table per query and subspace."""
-        back = self.coarse[lists] + np.concatenate([c[codes[:, m]] for m, c in enumerate(self.books)], axis=1)
-        near, at = np.unique(lists, return_inverse=True)
-        dot = (x @ self.coarse[near].T)[:, at]
-        for m, ((a, b), c) in enumerate(zip(self.parts, self.books)):
-            dot += np.take(x[:, a:b] @ c.T, codes[:, m], axis=1)
-        return np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * dot + (back * back).sum(1)[None, :], 0))
+    def decode(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        return self.coarse[lists] + np.concatenate([c[codes[:, m]] for m, c in enumerate(self.books)], axis=1)
 
 
 def unit_vectors(column) -> list[np.ndarray | None]:
@@ -118,21 +131,42 @@ def unit_vectors(column) -> list[np.ndarray | None]:
     return out
 
 
-def link_block(base, queries, quant: Quantiser, r: float, threshold: float) -> np.ndarray:
-    """Boolean (query, base): found by table distance, confirmed by exact cosine."""
-    (bx, blists, bcodes, berr), qx = base, queries
-    near = quant.distances(qx, blists, bcodes) - berr[None, :] <= r + 1e-6
+class Base:
+    """A slice of a block, decoded.  A unit vector q is within r of one of its vectors only if q.decoded reaches
+    ``least``: |q - decoded| <= r + err, less what single precision may lose."""
+
+    def __init__(self, x: np.ndarray, lists: np.ndarray, codes: np.ndarray, err: np.ndarray, quant: Quantiser, r: float):
+        back = quant.decode(lists, codes)
+        size = (back * back).sum(1)
+        lost = (x.shape[1] + 8) * np.finfo(np.float32).eps * (1 + np.sqrt(size))
+        self.x, self.back = x, back.astype(np.float32)
+        self.least = ((1 + size - (r + err + 1e-6) ** 2) / 2 - lost).astype(np.float32)
+        self.lists, self.at = np.unique(lists, return_inverse=True)
+
+
+def link_block(base: Base, qx: np.ndarray, own: np.ndarray, quant: Quantiser, radius: np.ndarray, r: float, threshold: float):
+    """``(queries, base vectors, links)``: found by distances to codes in the lists that are probed, confirmed by
+    exact cosine.  ``links`` is boolean, for the queries and vectors that are candidates at all."""
+    asked = quant.probes(qx, own, radius, r, base.lists).any(axis=0)
+    cols = np.flatnonzero(asked[base.at])
+    part = slice(None) if asked.all() else cols
+    near = qx.astype(np.float32) @ base.back[part].T >= base.least[part][None, :]
+    rows, some = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    near, cols = near[np.ix_(rows, some)], cols[some]
+    if near.sum() * 4 > near.size:
+        return rows, cols, near & (qx[rows] @ base.x[cols].T >= threshold - 1e-15)
     links = np.zeros(near.shape, bool)
-    rows = np.flatnonzero(near.any(axis=1))
-    cols = np.flatnonzero(near.any(axis=0))
-    if len(rows):
-        if near.sum() * 4 > len(rows) * len(cols):
-            links[np.ix_(rows, cols)] = qx[rows] @ bx[cols].T >= threshold - 1e-15
-            links &= near
-        else:
-            i, j = np.nonzero(near)
-            links[i, j] = np.einsum("ij,ij->i", qx[i], bx[j]) >= threshold - 1e-15
-    return links
+    i, j = np.nonzero(near)
+    step = max(1, PAIR_BYTES // (16 * qx.shape[1]))
+    for a in range(0, len(i), step):
+        k, m = i[a:a + step], j[a:a + step]
+        links[k, m] = np.einsum("ij,ij->i", qx[rows[k]], base.x[cols[m]]) >= threshold - 1e-15
+    return rows, cols, links
+
+
+def travels(a: int, b: int) -> bool:
+    """Of two blocks (or bins) that meet, does ``a`` go to ``b``?  Each goes to about half of the others."""
+    return (a < b) == ((a + b) % 2 == 0)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -192,14 +226,16 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     sizes = {t["list"]: t for t in indexed.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect()}  # MAX_LISTS a length
     radius = np.array([sizes[i]["away"] if i in sizes else -np.inf for i in range(lists)])
     bins, cuts = np.zeros(lists, int), []
-    held = 0
+    held, block = 0, BLOCK
+    starts = {first[w]: max(BLOCK, min(BLOCK_BYTES // max(w, 1), -(-m // BLOCKS))) for w, m in widths.items()}  # vectors of a block
     for i in range(lists):
         m = sizes[i]["n"] if i in sizes else 0
-        if not cuts or i in first.values() or held + m > BLOCK:
+        block = starts.get(i, block)
+        if not cuts or i in starts or held + m > block:
             cuts.append(1)
             held = 0
         held += m
-        bins[i], cuts[-1] = len(cuts) - 1, max(1, -(-held // BLOCK))
+        bins[i], cuts[-1] = len(cuts) - 1, max(1, -(-held // block))
     shape = spark.sparkContext.broadcast((radius, bins, cuts))
 
     def deal(batches):
@@ -216,77 +252,96 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                     sig, data, n, c, codes, err, _ = (col[i] for col in cols)
                     own = int(bins[c])
                     mine = xxhash.xxh3_64_intdigest(sig) % cuts[own]
-                    # asks the earlier blocks of its bin and all of later bins
-                    to = [(own, k) for k in range(mine)]
-                    to += [(j, k) for j in np.unique(bins[span][asks]).tolist() if j > own for k in range(cuts[j])]
-                    for row in [(own, mine, 0, sig, data, n, c, codes, err), *((j, k, 1, sig, data, n, None, None, None) for j, k in to)]:
+                    # asks half of the other blocks of its bin and all of half of the other bins
+                    to = [(own, k) for k in range(cuts[own]) if k != mine and travels(mine, k)]
+                    to += [(j, k) for j in np.unique(bins[span][asks]).tolist() if j != own and travels(own, j) for k in range(cuts[j])]
+                    for row in [(own, mine, 0, sig, data, n, c, codes, err), *((j, k, 1, sig, data, n, c, None, None) for j, k in to)]:
                         for name, v in zip(out, row):
                             out[name].append(v)
             yield out
 
     dealt = arrow_map(indexed, deal, "bin int, block int, role int, sig binary, x binary, copies long, list int, codes binary, err double")
-    dealt = dealt.repartition("bin", "block").sortWithinPartitions("bin", "block", "role")
+    dealt = dealt.repartition("bin", "block").sortWithinPartitions("bin", "block", "role", "list")
 
     def search(batches):
         quants = {w: Quantiser(*q) for w, q in parts.value.items()}
-        key, base, asked = None, [], []
-
-        def meet(block, queries, itself: bool):
-            bx, qx = (np.array([np.frombuffer(t[4]) for t in s]) for s in (block, queries))
-            w = len(block[0][4])
-            codes = np.array([np.frombuffer(t[7], np.uint8) for t in block])
-            links = link_block((bx, np.array([t[6] for t in block]) - first[w], codes, np.array([t[8] for t in block])), qx, quants[w], r, threshold)
-            if itself:
-                links |= links.T  # the table distance is not symmetric, the cosine is
+        radius = shape.value[0]
+        key, held, bases, asked = None, [], [], []
+
+        def vectors(rows: list) -> np.ndarray:
+            return np.frombuffer(b"".join(t[4] for t in rows)).reshape(len(rows), -1)
+
+        def decoded() -> list:
+            """The slices of the block that is held, with their rows."""
+            for a in range(len(bases) * BASE, len(held), BASE):
+                rows = held[a:a + BASE]
+                w = len(rows[0][4])
+                codes = np.frombuffer(b"".join(t[7] for t in rows), np.uint8).reshape(len(rows), -1)
+                bases.append((rows, Base(vectors(rows), np.array([t[6] for t in rows]) - first[w], codes, np.array([t[8] for t in rows]),
+                                         quants[w], r)))
+            return bases
+
+        def meet(block: tuple, queries: list, itself: bool = False):
+            rows, base = block
+            w = len(rows[0][4])
+            own = np.array([t[6] for t in queries]) - first[w]
+            span = slice(first[w], first[w] + len(quants[w].coarse))
+            qx = base.x if itself else vectors(queries)
+            i, j, links = link_block(base, qx, own, quants[w], radius[span], r, threshold)
+            if itself:  # rounding is not symmetric, the cosine is
+                both = np.union1d(i, j)
+                whole = np.zeros((len(both), len(both)), bool)
+                whole[np.ix_(np.searchsorted(both, i), np.searchsorted(both, j))] = links
+                i, j, links = both, both, whole | whole.T
                 np.fill_diagonal(links, False)
-            bn, qn = (np.array([t[5] for t in s]) for s in (block, queries))
-            bsig, qsig = [t[3] for t in block], [t[3] for t in queries]
-            some = [(qsig, links @ bn)] + ([] if itself else [(bsig, links.T @ qn)])
+            if not links.any():
+                return
+            left, right = [queries[k] for k in i], [rows[k] for k in j]
+            ends = [(left, links, right)] + ([] if itself else [(right, links.T, left)])
             out: dict = {"sig": [], "n": [], "to": []}
-            for sigs, n in some:
-                hit = np.flatnonzero(n)
-                out["sig"] += [sigs[i] for i in hit]
-                out["n"] += n[hit].tolist()
-                out["to"] += [sigs[i] for i in hit]  # a loop: counts no edge
-            return out, spanning(links, qsig, bsig)
+            for some, m, others in ends:
+                n = m @ np.array([t[5] for t in others])
+                hit = [some[k][3] for k in np.flatnonzero(n)]
+                out["sig"] += hit
+                out["n"] += n[n > 0].tolist()
+                out["to"] += hit  # a loop: counts no edge
+            edges = spanning(links, [t[3] for t in left], [t[3] for t in right])
+            out["sig"] += [u for u, _ in edges]
+            out["n"] += [0] * len(edges)
+            out["to"] += [v for _, v in edges]
+            yield out
 
         def answer(queries):
-            for a in range(0, len(base), 2 * BLOCK):  # a block by hash may be somewhat larger than BLOCK
-                yield meet(base[a:a + 2 * BLOCK], queries, False)
-
-        def emit(results):
-            for out, edges in results:
-                out["sig"] += [u for u, _ in edges]
-                out["n"] += [0] * len(edges)
-                out["to"] += [v for _, v in edges]
-                yield out
+            for block in decoded():
+                yield from meet(block, queries)
 
         def own():
-            for a in range(0, len(base), 2 * BLOCK):
-                block = base[a:a + 2 * BLOCK]
-                yield meet(block, block, True)
-                for c in range(a + 2 * BLOCK, len(base), 2 * BLOCK):
-                    yield meet(base[c:c + 2 * BLOCK], block, False)
+            slices = decoded()
+            for k, block in enumerate(slices):
+                yield from meet(block, block[0], True)
+                for later, _ in slices[k + 1:]:
+                    for a in range(0, len(later), QUERIES):
+                        yield from meet(block, later[a:a + QUERIES])
 
         for b in batches:
             for t in zip(*(c.to_pylist() for c in b.columns)):
                 if t[:2] != key:
                     if asked:
-                        yield from emit(answer(asked))
-                    if base:
-                        yield from emit(own())
-                    key, base, asked = t[:2], [], []
+                        yield from answer(asked)
+                    if held:
+                        yield from own()
+                    key, held, bases, asked = t[:2], [], [], []
                 if t[2] == 0:
-                    base.append(t)
+                    held.append(t)
                 else:
                     asked.append(t)
                     if len(asked) == QUERIES:
-                        yield from emit(answer(asked))
+                        yield from answer(asked)
                         asked = []
         if asked:
-            yield from emit(answer(asked))
-        if base:
-            yield from emit(own())
+            yield from answer(asked)
+        if held:
+            yield from own()
 
     found = staged(arrow_map(dealt, search, "sig binary, n long, to binary"), spark)
     counts = found.groupBy("sig").agg(F.sum("n").alias("n"))

@@ -320,6 +320,56 @@ def test_vectors_equal_brute_force(spark, monkeypatch, per_list, block):
     assert any(r["n_links"] for r in got if r["vec_id"] >= 1000)
 
 
+def test_vectors_dealt_in_proportion(spark, monkeypatch):
+    """Where all lists are near each other, four times the vectors are dealt to as many blocks each as before, and every link is found."""
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", 10)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    counts, real = [], embedding_dedup.arrow_map
+
+    def counted(df, fn, schema):
+        out = real(df, fn, schema)
+        if schema.startswith("bin "):
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "arrow_map", counted)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2400, 24))
+    x[1::5] = x[::5] + rng.normal(size=(480, 24)) * 0.25
+    for n in (600, 2400):
+        rows = [(i, [float(f) for f in v]) for i, v in enumerate(x[:n])]
+        got = embedding_dedup.near_duplicates(frame(spark, rows, "vec_id long, embedding array<double>")).collect()
+        assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == vectors_brute(rows)
+    assert counts[1] <= 6 * counts[0]
+
+
+def test_vectors_blocks_meet_once():
+    pairs = [(a, b) for a in range(20) for b in range(20) if a != b and embedding_dedup.travels(a, b)]
+    assert sorted(map(sorted, pairs)) == [[a, b] for a in range(20) for b in range(a + 1, 20)]
+    assert {sum(a == k for a, _ in pairs) for k in range(20)} <= {9, 10}
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.6])
+def test_vectors_slices_miss_nothing(spread):
+    """Products in single precision let no partner go, at the threshold itself either."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12, 40))[rng.integers(12, size=900)] + rng.normal(size=(900, 40)) * spread
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    quant = embedding_dedup.Quantiser.fit(x, 30)
+    own, codes, err = quant.encode(x)
+    away = np.linalg.norm(x - quant.coarse[own], axis=1)
+    radius = np.array([away[own == k].max(initial=-np.inf) for k in range(len(quant.coarse))])
+    cosine = np.sort(np.triu(x @ x.T, 1).ravel())
+    for threshold in (0.95, float(cosine[-200])):
+        r = float(np.sqrt(2 - 2 * threshold))
+        base = embedding_dedup.Base(x[400:], own[400:], codes[400:], err[400:], quant, r)
+        rows, cols, links = embedding_dedup.link_block(base, x[:400], own[:400], quant, radius, r, threshold)
+        got = np.zeros((400, 500), bool)
+        got[np.ix_(rows, cols)] = links
+        sure = np.abs(x[:400] @ x[400:].T - threshold) > 1e-13
+        assert ((x[:400] @ x[400:].T >= threshold) == got)[sure].all() and got.any() == (x[:400] @ x[400:].T >= threshold + 1e-13).any()
+
+
 def test_vectors_empty(spark):
     none = frame(spark, [], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(none).count() == 0
