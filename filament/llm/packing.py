@@ -2,7 +2,7 @@
 
 A document's tokens are the ids of a byte-level BPE tokenizer file, then id 0.  Document frequencies
 and the mean length are those of all documents.  Documents are sorted by content - by a min-hash of their
-``SALIENT`` terms of highest BM25 weight, see ``sketch`` - and the sorted row is cut into shards of at most
+``SALIENT`` terms of highest BM25 weight, see ``sketches`` - and the sorted row is cut into shards of at most
 about ``SHARD_BYTES`` of text.  So documents meet the likelier the more salient terms they share, at any
 size; a term that fills more than a shard is cut by the next one, in the end by a hash of the row.
 Each shard holds an inverted index with BM25 weights over its documents' whole texts:
@@ -30,11 +30,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, per_worker, staged
+from .common import SLICE_ROWS, arrow_map, per_worker, staged
 
 WINDOW = 1024
 SHARD_BYTES = 16 << 20
@@ -46,6 +47,13 @@ END = 0
 # fixed value: how byte-level BPE of this family cuts texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# fixed values: white space as the pattern knows it; a space that stands inside a stretch of it, where a cut before spaces is not the pattern's
+SPACES = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD = r"^$|^\n|\n$|\n\n|[" + SPACES.replace(r"\t-\r", r"\t\x0b-\r") + "]"
+UNEVEN = rf"[{SPACES}] ([{SPACES}]|\z)"
+TEXT_BYTES = 8 << 20  # texts whose words are encoded together
+KNOWN = 300_000  # words whose ids a worker keeps
+
 
 def byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write bytes with: printable ones stand for
@@ -61,6 +69,21 @@ def has_long_run(text: str, size: int = 1000) -> bool:
     return any(len(text[a:a + size].split(None, 1)) < 2 for a in range(0, len(text) - size + 1, size))
 
 
+def runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...``, ``size`` of them each."""
+    behind = np.cumsum(size)
+    return np.repeat(start - behind + size, size) + np.arange(behind[-1] if len(behind) else 0)
+
+
+def counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids of each document (none is empty), ascending, how often each stands there, and where a document's end."""
+    flat, bounds = np.concatenate([np.sort(x) for x in docs]), np.cumsum([len(x) for x in docs])
+    new = np.append(True, flat[1:] != flat[:-1])
+    new[bounds[:-1]] = True
+    at = np.flatnonzero(new)
+    return flat[at], np.diff(at, append=len(flat)), np.searchsorted(at, bounds)
+
+
 class Tokens:
     """Ids of a byte-level BPE tokenizer file (JSON).  Where its merges rank like its ids, the ids
     come from the same vocabulary as ranks, which is several times faster; texts with very
@@ -83,6 +106,9 @@ class Tokens:
             ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
             self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.special = special
+        gap = self.fast.encode_ordinary("\t") if self.fast else []
+        self.gap = gap[0] if len(gap) == 1 else None
+        self.known, self.known_ids, self.known_sizes = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def ids(self, text: str | None) -> list[int]:
@@ -96,11 +122,76 @@ class Tokens:
                 ([self.special[part]] if part in self.special else self.fast.encode_ordinary(part))]
 
 
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """``ids`` of each text.  Texts are cut before spaces, and each distinct word is encoded once; words that
+        came more than once are kept, ``KNOWN`` at most."""
+        texts = pc.fill_null(texts, "")
+        out: list = [None] * len(texts)
+        whole = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
+        for i, t in enumerate(texts.to_pylist()):
+            if self.gap is None or whole[i] or has_long_run(t) or any(s in t for s in self.special):
+                out[i] = np.array(self.ids(t), np.uint32)
+        rest = [i for i, x in enumerate(out) if x is None]
+        if not rest:
+            return out
+        words = pc.split_pattern(texts.take(pa.array(rest)), " ")
+        ends = np.asarray(words.offsets)[1:] - words.offsets[0].as_py()
+        firsts = np.append(0, ends[:-1])  # the only words that no space stands before
+        coded = words.flatten().dictionary_encode()
+        at = np.asarray(coded.indices).astype(np.int64)
+        lead, at[firsts] = np.unique(at[firsts], return_inverse=True)
+        at[firsts] += len(coded.dictionary)
+        held = pc.index_in(coded.dictionary, self.known.cast(coded.dictionary.type))
+        new = held.is_null().to_numpy(zero_copy_only=False)
+        fresh = coded.dictionary.filter(pa.array(new))
+        more, sizes = self.words(fresh)
+        bare = [self.fast.encode_ordinary(w) for w in coded.dictionary.take(pa.array(lead)).to_pylist()]
+        tokens = np.concatenate([self.known_ids, more, np.array([k for x in bare for k in x], np.uint32)])
+        sizes = np.concatenate([self.known_sizes, sizes, np.array([len(x) for x in bare], np.int64)])
+        start = np.cumsum(sizes) - sizes
+        place = pc.fill_null(held, 0).to_numpy().astype(np.int64)  # of each word of the batch: where its ids are
+        place[new] = len(self.known) + np.arange(len(fresh))
+        place = np.append(place, len(self.known) + len(fresh) + np.arange(len(lead)))
+        start, sizes = start[place], sizes[place]
+        keep = np.flatnonzero((np.bincount(at, minlength=len(place))[:len(new)] > 1) & new)[:KNOWN - len(self.known)]
+        if len(keep):
+            self.known_ids = np.append(self.known_ids, tokens[runs(start[keep], sizes[keep])])
+            self.known_sizes = np.append(self.known_sizes, sizes[keep])
+            self.known = pa.concat_arrays([self.known, coded.dictionary.take(pa.array(keep)).cast(self.known.type)])
+        for a in range(0, len(rest), SLICE_ROWS):
+            b = min(len(rest), a + SLICE_ROWS)
+            some = at[firsts[a]:ends[b - 1]]
+            cuts = np.cumsum(sizes[some])[ends[a:b] - firsts[a] - 1]
+            for i, x in zip(rest[a:b], np.split(tokens[runs(start[some], sizes[some])], cuts[:-1])):
+                out[i] = x
+        return out
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each with a space in front, and how many ids each has.  Words without white space but single
+        line ends inside are encoded together, parted by tabs, which no id of theirs holds."""
+        odd = pc.match_substring_regex(words, ODD).to_numpy(zero_copy_only=False)
+        ids, sizes = np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
+        plain = words.filter(pa.array(~odd))
+        if len(plain):
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(plain)], pa.int64()), plain), "\t ")[0].as_py()
+            ids = np.frombuffer(array("I", self.fast.encode_ordinary(" " + joined)), np.uint32)
+            gaps = np.flatnonzero(ids == self.gap)
+            sizes[~odd] = np.diff(gaps, prepend=-1, append=len(ids)) - 1
+            ids = np.delete(ids, gaps)
+        at = np.cumsum(sizes)
+        single = [self.fast.encode_ordinary(" " + w) for w in words.filter(pa.array(odd)).to_pylist()]
+        if single:
+            sizes[odd] = n = [len(x) for x in single]
+            ids = np.insert(ids, np.repeat(at[odd], n), [k for x in single for k in x])
+        return ids, sizes
+
+
 class Corpus:
     """What all documents share: how many hold each term, their number and mean length."""
 
     def __init__(self, df: np.ndarray, n: int, mean: float):
         self.df, self.n, self.mean = df, n, mean
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
 
     @classmethod
     def of(cls, docs: list[np.ndarray]) -> Corpus:
@@ -108,12 +199,10 @@ class Corpus:
         return cls(df, len(docs), float(np.mean([len(d) for d in docs])))
 
     def weights(self, term: np.ndarray, tf: np.ndarray, length) -> np.ndarray:
-        df = self.df[term]
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
-        return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1))) * idf
+        return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1))) * self.idf[term]
 
 
-# fixed value: how ``sketch`` lays out its key, three terms and a hash
+# fixed value: how ``sketches`` lays out its key, three terms and a hash
 TERM_BITS = (16, 16, 14)
 HASH_BITS = 16
 KEY_BITS = sum(TERM_BITS) + HASH_BITS
@@ -121,25 +210,34 @@ SALIENT = 12
 MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed value: multiplicative hash, wraps around
 
 
-def sketch(ids: np.ndarray, corpus: Corpus, least: float, salt: bytes) -> int:
-    """The place of a document in the order by content.  Of its heaviest terms (those that at least ``least``
+def sketches(docs: list[np.ndarray], corpus: Corpus, least: float, salts: list[bytes]) -> list[int]:
+    """The places of documents in the order by content.  Of a document's heaviest terms (those that at least ``least``
     documents hold come first, as rarer ones would not bring a shard together; those that stand once are none)
     the three that are first by a hash of the term; then a hash of the row, which cuts what is still too large."""
-    term, tf = np.unique(ids[ids != END], return_counts=True)
+    term, tf, ends = counted(docs)
+    starts = np.append(0, ends[:-1])
     df = corpus.df[term]
-    weight = corpus.weights(term, tf, len(ids))
-    first = np.flatnonzero(df >= max(least, 2))
-    if len(first) > SALIENT:  # the others come behind these
-        first = first[weight[first] >= np.partition(weight[first], -SALIENT)[-SALIENT]]
-        order = first[np.lexsort((term[first], -weight[first]))][:SALIENT]
-    else:
-        order = np.lexsort((term, -weight, df < least, df < 2))[:SALIENT]
-    top = term[order[df[order] > 1]].astype(np.uint64)
-    top = top[np.argsort(top * MIX, kind="stable")][:len(TERM_BITS)].tolist()
-    key = 0
-    for bits, t in zip(TERM_BITS, top + [0] * len(TERM_BITS)):
-        key = key << bits | t & (1 << bits) - 1
-    return key << HASH_BITS | xxhash.xxh3_64_intdigest(salt + ids.tobytes()) & (1 << HASH_BITS) - 1
+    weight = corpus.weights(term, tf, np.repeat([len(x) for x in docs], ends - starts))
+    mixed = term.astype(np.uint64) * MIX
+    fit = np.flatnonzero((df >= max(least, 2)) & (term != END))
+    keys, fits = [], np.searchsorted(fit, np.append(starts, ends[-1])).tolist()
+    fit_weight = weight[fit]
+    for x, salt, i, j, a, b in zip(docs, salts, starts.tolist(), ends.tolist(), fits, fits[1:]):
+        if b - a > SALIENT:  # the others come behind these
+            heavy = fit_weight[a:b]
+            at = fit[a:b][heavy >= np.partition(heavy, -SALIENT)[-SALIENT]]
+            if len(at) > SALIENT:
+                at = at[np.lexsort((term[at], -weight[at]))][:SALIENT]
+        else:
+            at = np.arange(i, j)[term[i:j] != END]
+            at = at[np.lexsort((term[at], -weight[at], df[at] < least, df[at] < 2))][:SALIENT]
+            at = at[df[at] > 1]
+        top = term[at[np.argsort(mixed[at], kind="stable")[:len(TERM_BITS)]]].tolist()
+        key = 0
+        for bits, t in zip(TERM_BITS, top + [0] * len(TERM_BITS)):
+            key = key << bits | t & (1 << bits) - 1
+        keys.append(key << HASH_BITS | xxhash.xxh3_64_intdigest(salt + x.tobytes()) & (1 << HASH_BITS) - 1)
+    return keys
 
 
 def shard_starts(keys: DataFrame) -> list[int]:
@@ -176,11 +274,12 @@ class Index:
         self.of = np.array([classes.setdefault(np.sort(e).tobytes(), len(classes)) for e in entries])
         _, first, many = np.unique(self.of, return_index=True, return_counts=True)
         lengths = np.array([len(e) for e in entries])
-        terms, tfs = zip(*(np.unique(entries[k][entries[k] != END], return_counts=True) for k in first))
-        self.terms = terms
         self.n = len(first)
-        sizes = np.array([len(t) for t in terms])
-        term, doc, tf = np.concatenate(terms).astype(np.int64), np.repeat(np.arange(self.n), sizes), np.concatenate(tfs)
+        term, tf, ends = counted([entries[k] for k in first])
+        doc = np.repeat(np.arange(self.n), np.diff(ends, prepend=0))
+        some = term != END
+        term, tf, doc = term[some].astype(np.int64), tf[some], doc[some]
+        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, self.n)))
         df = np.bincount(term, many[doc])  # here
         weight = corpus.weights(term, tf, lengths[first][doc])
         held = np.bincount(term, minlength=len(df))  # classes
@@ -217,8 +316,8 @@ class Index:
         t = t[self.useful[t] & (self.column[t] < 0)]
         a, n = self.first[t], self.first[t + 1] - self.first[t]
         if n.sum():
-            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out += np.bincount(self.doc[at], self.weight[at], self.n)
+            spans = [slice(i, i + k) for i, k in zip(a.tolist(), n.tolist())]
+            out += np.bincount(np.concatenate([self.doc[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), self.n)
         return out[self.of]
 
 
@@ -290,6 +389,19 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, text
         yield pieces
 
 
+def grouped(batches):
+    """Batches together that hold about ``TEXT_BYTES`` of text (by their third column)."""
+    group, held = [], 0
+    for b in batches:
+        group.append(b)
+        held += pc.sum(b.column(2)).as_py() or 0
+        if held >= TEXT_BYTES:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, ``start, length, ids_crc32, doc_tokens, sequence_id, offset`` and,
@@ -302,29 +414,31 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     def tokenize(batches):
         tokens = per_worker(("bpe", tokenizer_path), lambda: Tokens(content.value))
-        for b in batches:
-            ids = [np.frombuffer(array("I", tokens.ids(t) + [END]), np.uint32) for t in b.column(1).to_pylist()]
-            wide = [bool(x.max() > 0xFFFF) for x in ids]
-            yield {"id": b.column(0), "wide": wide, "bytes": b.column(2),
-                   "ids": [x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(ids, wide)]}
+        df, n, total = np.zeros(1 << 16, np.int64), 0, 0
+        for group in grouped(batches):
+            sizes = [b.num_rows for b in group]
+            ids = iter(tokens.batch(pa.concat_arrays([b.column(1) for b in group])))
+            for b, rows in zip(group, sizes):
+                part = [np.append(next(ids), np.uint32(END)) for _ in range(rows)]
+                wide = [bool(x.max() > 0xFFFF) for x in part]
+                part = [x.astype("<u4" if w else "<u2") for x, w in zip(part, wide)]
+                held = np.bincount(counted(part)[0], minlength=len(df))
+                df = np.append(df, np.zeros(len(held) - len(df), np.int64)) + held
+                n, total = n + rows, total + sum(map(len, part))
+                yield {"id": b.column(0), "wide": wide, "bytes": b.column(2), "ids": [x.tobytes() for x in part],
+                       "terms": [None] * rows, "counts": [None] * rows}
+        held = np.flatnonzero(df)  # one row a task, not a document
+        yield {"id": [None], "wide": [None], "bytes": [None], "ids": [None],
+               "terms": [[*held.tolist(), -1, -2]], "counts": [[*df[held].tolist(), n, total]]}
 
     def arrays(b):
         return [np.frombuffer(x, "<u4" if wide else "<u2") for x, wide in zip(b.column("ids").to_pylist(), b.column("wide").to_pylist())]
 
-    def count(batches):
-        df, n, total = np.zeros(1 << 16, np.int64), 0, 0
-        for b in batches:
-            for x in arrays(b):
-                u = np.unique(x)
-                df = np.append(df, np.zeros(max(0, int(u[-1]) + 1 - len(df)), np.int64))
-                df[u] += 1
-                n, total = n + 1, total + len(x)
-        held = np.flatnonzero(df)
-        yield {"term": [*held.tolist(), -1, -2], "n": [*df[held].tolist(), n, total]}
-
     docs = docs.select("id", "t", F.coalesce(F.octet_length("t"), F.lit(0)).cast("long").alias("bytes"))
-    docs = staged(arrow_map(docs, tokenize, f"id {kind}, wide boolean, bytes long, ids binary"), spark)
-    held = {t["term"]: t["n"] for t in arrow_map(docs, count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}  # vocabulary
+    docs = staged(arrow_map(docs, tokenize, f"id {kind}, wide boolean, bytes long, ids binary, terms array<int>, counts array<long>"), spark)
+    held = docs.where("terms is not null").select(F.explode(F.arrays_zip("terms", "counts")).alias("t"))
+    held = {t["term"]: t["n"] for t in held.groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.counts").alias("n")).collect()}  # vocabulary
+    docs = docs.where("terms is null").select("id", "wide", "bytes", "ids")
     n, total = held.pop(-1, 0), held.pop(-2, 0)
     df = np.zeros(max(held, default=0) + 1, np.int64)
     df[list(held)] = list(held.values())
@@ -332,20 +446,21 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     size = docs.select(F.sum("bytes")).first()[0] or 0
     least = max(2, n / max(1, size / SHARD_BYTES) / 16)
 
-    def keys_of(b):
-        corpus = Corpus(*shared.value)
-        return [sketch(x, corpus, least, repr(i).encode()) for x, i in zip(arrays(b), b.column("id").to_pylist())]
+    def keys_of(b, corpus):
+        return sketches(arrays(b), corpus, least, [repr(i).encode() for i in b.column("id").to_pylist()])
 
     def key(batches):
+        corpus = Corpus(*shared.value)
         for b in batches:
-            yield {"key": keys_of(b), "bytes": b.column("bytes")}
+            yield {"key": keys_of(b, corpus), "bytes": b.column("bytes")}
 
     starts = shard_starts(staged(arrow_map(docs, key, "key long, bytes long"), spark)) if size > SHARD_BYTES else [0]
     cuts = spark.sparkContext.broadcast(np.array(starts[1:], np.int64))
 
     def deal(batches):
+        corpus = Corpus(*shared.value)
         for b in batches:
-            shard = np.searchsorted(cuts.value, keys_of(b), "right") if len(cuts.value) else np.zeros(b.num_rows, int)
+            shard = np.searchsorted(cuts.value, keys_of(b, corpus), "right") if len(cuts.value) else np.zeros(b.num_rows, int)
             yield {"shard": shard, "id": b.column("id"), "wide": b.column("wide"), "ids": b.column("ids")}
 
     def pack_shard(t: pa.Table) -> pa.Table:

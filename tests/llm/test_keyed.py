@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -476,6 +477,57 @@ def test_packing_edges(spark, monkeypatch):
     assert packing.pack_documents(frame(spark, []), BPE).count() == 0
 
 
+class Counting:
+    """A tokeniser that adds up the characters it is given."""
+
+    def __init__(self, real):
+        self.real, self.seen = real, 0
+
+    def encode_ordinary(self, text):
+        self.seen += len(text)
+        return self.real.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("keep", [0, 40, 300_000])
+def test_packing_ids_of_batches(monkeypatch, keep):
+    """Ids of texts taken together are those of each text alone, and words that come again aren't encoded again."""
+    monkeypatch.setattr(packing, "KNOWN", keep)
+    with open(BPE, encoding="utf-8") as f:
+        tokens = packing.Tokens(f.read())
+    rng = random.Random(4)
+    bits = ["a", "b", "it's", " ", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "\u180e", "\u3000", "é", "ß", "日本",
+            "😀", "Ⅷ", "²", "1", "!", "?", "\ufeff", "<|endoftext|>"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(14))) for _ in range(4000)]
+    texts += [None, "", " ", "  ", "\n", " a", "a ", "a" * 5000, "b " * 3000, "\n \n", "x\ny z\n\nw", "def f():\n    return 1\n"]
+    want = [tokens.slow.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (len(texts), 700):
+        got = [x.tolist() for a in range(0, len(texts), size) for x in tokens.batch(pa.array(texts[a:a + size], pa.string()))]
+        assert got == want
+    assert len(tokens.known) <= keep
+    assert tokens.batch(pa.array([], pa.string())) == [] and [len(x) for x in tokens.batch(pa.array([None, ""], pa.string()))] == [0, 0]
+
+    words = ["w" + "".join(rng.choices("abcdefgh", k=8)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=100)) for _ in range(100)]
+    tokens.fast = Counting(tokens.fast)
+    assert [x.tolist() for x in tokens.batch(pa.array(texts))] == [tokens.fast.real.encode_ordinary(t) for t in texts]
+    assert tokens.fast.seen < sum(map(len, texts)) / 10
+
+
+def test_packing_places():
+    """Places by content of documents taken together are those of each alone."""
+    rng = np.random.default_rng(6)
+    docs = [np.append(rng.integers(0, 70000 if i % 9 == 0 else 90, size=rng.integers(0, 60)), 0).astype("<u4" if i % 9 == 0 else "<u2") for i in range(300)]
+    corpus = packing.Corpus.of(docs)
+    salts = [repr(i).encode() for i in range(300)]
+    for least in (2, 20, 1000):
+        together = packing.sketches(docs, corpus, least, salts)
+        assert together == [packing.sketches([d], corpus, least, [s])[0] for d, s in zip(docs, salts)] and len(set(together)) > 250
+    term, tf, ends = packing.counted(docs)
+    for d, t, n in zip(docs, np.split(term, ends[:-1]), np.split(tf, ends[:-1])):
+        u, c = np.unique(d, return_counts=True)
+        assert (u == t).all() and (c == n).all()
+
+
 def test_packing_scores_ahead():
     """Scores of seeds that are made together are those of each alone, and are made once for many seeds."""
     rng = np.random.default_rng(2)
