@@ -5,19 +5,21 @@ adds the space); both cover the same bytes, or the row has no tokens.  Byte offs
 cut the row into groups; an A and a B token whose byte ranges overlap are linked.
 
 Where neither tokenizer has tokens across it, a text is cut at single spaces between words (``Aligner.pieces``): a
-word's tokens and links are those of the word as a text of its own, so each task aligns its distinct words once.
+word's tokens and links are those of the word as a text of its own, so distinct words are aligned once; a worker
+keeps those that come again (``Words``).
 
 1. First pass: the tasks align texts and stage their distinct id pairs, each once with its count (at most
-   ``FLUSH_KEYS`` pairs a row).
+   ``FLUSH_KEYS`` pairs a row).  Beside them they stage the texts, ``SLICE_ROWS`` a row, as places in a list of their
+   distinct words with the words' ids.
 2. The pairs are dealt to buckets by hash.  Each bucket gets a minimal perfect hash (``PerfectHash``) of its
    distinct pairs: about four bits a pair, no pair stored in it.
 3. Counts become dense vectors indexed by that hash.  ``FAN`` staged rows make one vector, ``FAN`` vectors one
    more, until a bucket has one: no task adds more than that, however many tasks counted a pair.  The pairs
    stand beside the counts in the order of the hash and verify each look-up.
-4. Second pass: the texts are aligned again and each row's links are looked up.
+4. Second pass: the staged words' links are looked up and added up for each text; no text is read or encoded again.
 
-Up to ``BROADCAST_PAIRS`` pairs (about 17 bytes each) the table is broadcast.  Beyond it the second pass deals
-its distinct pairs to (bucket, salt) and meets the bucket's part of the table there; ``FAN`` slices of
+Up to ``BROADCAST_PAIRS`` pairs (about 17 bytes each) the table is broadcast.  Beyond it the second pass aligns the texts
+again, deals its distinct pairs to (bucket, salt) and meets the bucket's part of the table there; ``FAN`` slices of
 ``SLICE_ROWS`` rows share a salt, so a task's share is bounded and the results are equal.
 
 Defined results: null and empty texts, and texts whose tokens' bytes differ from space + text (U+2581 in the
@@ -32,20 +34,19 @@ import hashlib
 import json
 import re
 import uuid
-from collections import Counter
 from itertools import chain
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from .common import arrow_map, per_worker, staged
+from .common import arrow_map, forget, per_worker, staged
 from .keyset import distinct, mix
-from .packing import Tokens, byte_letters, has_long_run
+from .packing import Tokens, byte_letters, has_long_run, runs
 
 FLUSH_KEYS = 1 << 20
 #: pairs a bucket should hold, and the most of all buckets that are broadcast
@@ -68,7 +69,8 @@ SPACES = bytes(32 if chr(i).isspace() else i for i in range(128)) + bytes(range(
 WIDE_SPACES = sorted({chr(i).encode()[:2] for i in range(128, 0x110000) if chr(i).isspace()})
 GAMMA = 2
 ONE = np.uint64(1)
-FIRST = itemgetter(0)
+PAIRS = ("n", "keys", "counts")
+CODED = ("words", "at", "a", "n_a", "b", "n_b")
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -95,6 +97,7 @@ class Aligner:
         self.a_bytes = [bytes(letters[c] for c in names.get(i, "") if c in letters) for i in range(max(names) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        self.id_type = "<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4"
         # B has no piece with a space behind another character, and A's way of cutting texts is known
         self.by_words = self.a.fast is not None and not any(b" " in x.lstrip(b" ") for x in self.b_bytes)
         self.sizes = [np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes)]
@@ -121,6 +124,19 @@ class Aligner:
             return [text]
         return BETWEEN.split(text) if ragged(text) else text.split(" ")
 
+    def cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """``pieces`` of texts: the distinct ones, where each piece stands among them, and the texts they are of, one
+        after the other, with the number of their pieces; texts without pieces are left out."""
+        listed = texts.to_pylist()
+        plain = [k for k, t in enumerate(listed) if t and self.by_words and not ragged(t)]
+        alone = set(plain)
+        rest = [k for k, t in enumerate(listed) if t and k not in alone]
+        others = [self.pieces(listed[k]) for k in rest]
+        split = pc.split_pattern(texts.take(pa.array(plain, pa.int64())), " ")
+        n = np.append(pc.list_value_length(split).to_numpy(), [len(p) for p in others]).astype(np.int64)
+        coded = pa.concat_arrays([split.flatten(), pa.array(chain.from_iterable(others), texts.type)]).dictionary_encode()
+        return coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64), np.array(plain + rest, np.int64), n
+
     def encode_words(self, words: list[str]) -> tuple[list, list, np.ndarray, np.ndarray]:
         """Ids of both over all words (from ``pieces``), and how many each word has; words are encoded as one text, which
         is cut where they end, long ones and those around a misfit by themselves."""
@@ -133,7 +149,7 @@ class Aligner:
         if not a:  # halves, down to the misfit
             x, y = self.encode_words(words[:len(words) // 2]), self.encode_words(words[len(words) // 2:])
             return x[0] + y[0], x[1] + y[1], np.append(x[2], y[2]), np.append(x[3], y[3])
-        bounds = np.cumsum([len(w) + 1 if w.isascii() else len(w.encode()) + 1 for w in words])
+        bounds = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
         n = []
         for side, ids in enumerate((a, b)):
             upto = np.searchsorted(np.cumsum(self.sizes[side][ids]), bounds, "right")
@@ -142,39 +158,37 @@ class Aligner:
 
     def encoded(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides, and how many each word has; ``RUN_CHARS`` of them at a time, long words and those with white space at an end alone."""
-        ids, n, run, chars = ([], []), ([], []), [], 0
-
-        def flush(run):
-            if run:
-                for k, x in enumerate(self.encode_words(run)):
-                    (ids if k < 2 else n)[k % 2].append(np.array(x, np.int64))
-
-        for w in words:
-            alone = len(w) >= LONG_WORD or w[:1].isspace() or w[-1:].isspace()
-            if alone or chars >= RUN_CHARS:
-                flush(run)
-                run, chars = [], 0
-            if alone:
-                flush([w])
-            else:
-                run.append(w)
-                chars += len(w)
-        flush(run)
+        ids, n = ([], []), ([], [])
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        alone = (size >= LONG_WORD) | np.fromiter((w != w.strip() for w in words), bool, len(words))
+        before = np.append(0, np.cumsum(size))
+        part = np.cumsum(alone) + np.append(False, alone[:-1]).cumsum() if len(words) else alone  # changes before and behind a word alone
+        run = (before[:-1] - np.maximum.accumulate(np.where(np.diff(part, prepend=-1) != 0, before[:-1], 0))) // RUN_CHARS
+        cuts = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(run, prepend=-1) != 0)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(words)]):
+            for k, x in enumerate(self.encode_words(words[a:b])):
+                (ids if k < 2 else n)[k % 2].append(np.asarray(x, np.int64))
         none = np.zeros(0, np.int64)
         return [np.concatenate([none, *x]) for x in ids], [np.concatenate([none, *x]) for x in n]
 
-    def align(self, texts: list[str | None], written: bool, words: bool = False) -> dict:
-        """Over all texts (or ``words`` from ``pieces``) at once, one after the other on one byte axis: ``row`` and
-        ``keys`` (A id << 32 | B id) of each link and the counts of each text, if ``written`` also its ``groups`` as text."""
+    def tokens(self, texts: list[str | None], words: bool = False) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides over all texts (or ``words`` from ``pieces``), one after the other, and how many each has."""
         if words:
-            ids, per_row = self.encoded(texts)
-        else:
-            pairs = [self.encode(t) for t in texts]
-            per_row = [np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1)]
-            ids = [np.fromiter((i for p in pairs for i in p[side]), np.int64, int(per_row[side].sum())) for side in (0, 1)]
+            return self.encoded(texts)
+        pairs = [self.encode(t) for t in texts]
+        n = [np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1)]
+        return [np.fromiter((i for p in pairs for i in p[side]), np.int64, int(n[side].sum())) for side in (0, 1)], n
+
+    def align(self, texts: list[str | None], written: bool, words: bool = False) -> dict:
+        return self.link(*self.tokens(texts, words), written)
+
+    def link(self, ids: list[np.ndarray], per_row: list[np.ndarray], written: bool) -> dict:
+        """From ``tokens``, all on one byte axis: ``row`` and ``keys`` (A id << 32 | B id) of each link and the counts
+        of each text, if ``written`` also its ``groups`` as text."""
+        n_rows = len(per_row[0])
         ends = [np.cumsum(self.sizes[side][ids[side]]) for side in (0, 1)]
         a_end, b_end = ends
-        a_row = np.repeat(np.arange(len(texts)), per_row[0])
+        a_row = np.repeat(np.arange(n_rows), per_row[0])
         at = np.searchsorted(b_end, a_end)
         both = a_end[b_end[np.minimum(at, len(b_end) - 1)] == a_end] if len(b_end) else a_end
         group = [np.searchsorted(both, e) for e in ends]
@@ -184,7 +198,7 @@ class Aligner:
         b_at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         keys = np.repeat(ids[0], n).astype(np.uint64) << np.uint64(32) | ids[1][b_at].astype(np.uint64)
         out = {"row": np.repeat(a_row, n), "keys": keys, "n_a": per_row[0], "n_b": per_row[1],
-               "n_groups": np.bincount(a_row[np.diff(group[0], prepend=-1) > 0], minlength=len(texts))}
+               "n_groups": np.bincount(a_row[np.diff(group[0], prepend=-1) > 0], minlength=n_rows)}
         if written:
             code = np.zeros(len(a_end) + len(b_end), np.int64)
             for side, base in ((0, 0), (1, 2 * len(self.a_bytes))):
@@ -275,18 +289,22 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return k[first], np.add.reduceat(counts[order], first) if len(k) else counts
 
 
-def count_pairs(docs: DataFrame, aligner) -> DataFrame:
-    """First pass: rows of distinct ``keys`` with ``counts``."""
+def count_pairs(docs: DataFrame, first) -> DataFrame:
+    """First pass: rows of distinct ``keys`` with ``counts``, and of texts in terms of their words (``Words.count``).
+    ``first`` gives the worker's ``Words``."""
 
     def run(batches):
         held: list = []
         size = 0
-        words = Words(aligner())
+        words = first()
+        words.n[:] = 0  # what a task that was stopped left
         for b in batches:
-            words.count(b.column("t").to_pylist())
+            ids = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column("id"))
+            yield dict.fromkeys(PAIRS, [None]) | {"ids": ids} | {c: [x] for c, x in words.count(b.column("t")).items()}
             if not words.full():
                 continue
             held.append(words.flush())
+            words.shrink()
             size += len(held[-1][0])
             if size >= 2 * FLUSH_KEYS:
                 held = [summed(*map(np.concatenate, zip(*held)))]
@@ -298,54 +316,115 @@ def count_pairs(docs: DataFrame, aligner) -> DataFrame:
         yield row(*summed(*map(np.concatenate, zip(*held))))
 
     def row(keys, counts):
-        return {"n": [len(keys)], "keys": [bytes_of(keys, "<u8")], "counts": [bytes_of(counts, "<i8")]}
+        return {"n": [len(keys)], "keys": [bytes_of(keys, "<u8")], "counts": [bytes_of(counts, "<i8")]} | dict.fromkeys(("ids", *CODED), [None])
 
-    return arrow_map(docs, run, "n long, keys binary, counts binary")
+    kind = docs.schema["id"].dataType.simpleString()
+    return arrow_map(docs, run, f"n long, keys binary, counts binary, ids array<{kind}>, " + ", ".join(c + " binary" for c in CODED))
 
 
 class Words:
-    """Links of distinct words and how often each word occurred."""
+    """Distinct words that a worker knows: their tokens, their links and how often each occurred in a task.  Once they are
+    ``WORDS``, or ``WORD_CHARS`` long, only those seen most often stay."""
 
     def __init__(self, aligner: Aligner):
         self.aligner = aligner
-        self.clear()
-
-    def clear(self):
         self.known: dict[str, int] = {}
-        self.occurred: Counter = Counter()
-        self.unfit: set[str] = set()
-        self.links: list[tuple[np.ndarray, np.ndarray]] = []
+        self.seen, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.unfit = np.zeros(0, bool)
         self.chars = 0
+        self.links = Lists(np.uint64)
+        self.ids = Lists(aligner.id_type), Lists(aligner.id_type)
 
     def add(self, new: list[str], words: bool = True):
-        x = self.aligner.align(new, False, words)
-        self.links.append((x["row"] + len(self.known), x["keys"]))
-        self.unfit.update(new[i] for i in np.flatnonzero(x["n_a"] == 0))
+        """``new`` are distinct and not known."""
+        ids, sizes = self.aligner.tokens(new, words)
+        x = self.aligner.link(ids, sizes, False)
+        self.links.add(x["keys"], np.bincount(x["row"], minlength=len(new)))
+        for held, i, n in zip(self.ids, ids, sizes):
+            held.add(i, n)
+        self.unfit = np.append(self.unfit, sizes[0] == 0)
+        self.seen, self.n = (np.append(v, np.zeros(len(new), np.int64)) for v in (self.seen, self.n))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
         self.chars += sum(map(len, new))
 
-    def count(self, texts: list[str | None]):
-        cut = [self.aligner.pieces(t) for t in texts]
-        self.add(list(set(chain.from_iterable(cut)).difference(self.known)))
-        if self.unfit and (unfit := [k for k, p in enumerate(cut) if not self.unfit.isdisjoint(p)]):
-            for k in unfit:  # as a whole, as the definition has it
-                cut[k] = [texts[k]]
-            self.add(list(dict.fromkeys(texts[k] for k in unfit if texts[k] not in self.known)), words=False)
-        for p in cut:
-            self.occurred.update(p)
+    def meet(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of texts (their places), which texts these are, and the number of their words.  A text with an unfit
+        word is one word, as a whole, as the definition has it."""
+        names, at, rows, n = self.aligner.cut(texts)
+        place = np.fromiter((self.known.get(w, -1) for w in names), np.int64, len(names))
+        new = np.flatnonzero(place < 0)
+        place[new] = np.arange(len(self.known), len(self.known) + len(new))
+        self.add([names[k] for k in new.tolist()])
+        at = place[at]
+        if (bad := self.unfit[at]).any():
+            row = np.repeat(np.arange(len(rows)), n)
+            whole = np.zeros(len(rows), bool)
+            whole[row[bad]] = True
+            listed = texts.take(pa.array(rows[whole])).to_pylist()
+            self.add([t for t in dict.fromkeys(listed) if t not in self.known], words=False)
+            at = np.append(at[~whole[row]], np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed)))
+            rows, n = np.append(rows[~whole], rows[whole]), np.append(n[~whole], np.ones(len(listed), np.int64))
+        return at, rows, n
 
     def full(self) -> bool:
         return len(self.known) >= WORDS or self.chars >= WORD_CHARS
 
+    def shrink(self):
+        """Keeps words that came again, the most frequent ones and up to half of the room."""
+        words = list(self.known)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        best = np.argsort(-self.seen, kind="stable")[:WORDS // 2]
+        best = np.sort(best[(self.seen[best] > 1) & (np.cumsum(size[best]) <= WORD_CHARS // 2)])
+        self.known = {words[k]: i for i, k in enumerate(best.tolist())}
+        self.seen, self.n, self.unfit, self.chars = self.seen[best] // 2, self.n[best], self.unfit[best], int(size[best].sum())
+        for held in (self.links, *self.ids):
+            held.set(*held.take(best))
+
+    def count(self, texts: pa.Array) -> dict:
+        """Counts the words of texts; gives these in terms of their distinct words: how many words a text has, where they
+        stand, and the tokens of each."""
+        at, rows, n = self.meet(texts)
+        self.n += np.bincount(at, minlength=len(self.n))
+        some, place = np.unique(at, return_inverse=True)
+        order = np.argsort(rows, kind="stable")  # texts in their order
+        many = np.zeros(len(texts), np.int64)
+        many[rows] = n
+        out = {"words": bytes_of(many, "<u4"), "at": bytes_of(place[runs((np.cumsum(n) - n)[order], n[order])], "<u4")}
+        for name, held in zip("ab", self.ids):
+            ids, sizes = held.take(some)
+            out |= {name: bytes_of(ids, self.aligner.id_type), "n_" + name: bytes_of(sizes, "<u4")}
+        return out
+
     def flush(self) -> tuple[np.ndarray, np.ndarray]:
-        n = np.fromiter((self.occurred[w] for w in self.known), np.int64, len(self.known))
-        out = summed(np.concatenate([np.zeros(0, np.uint64), *(k for _, k in self.links)]),
-                     n[np.concatenate([np.zeros(0, np.int64), *(i for i, _ in self.links)])])
-        out = tuple(x[out[1] > 0] for x in out)
-        self.clear()
+        """Links and how often each occurred since the last time."""
+        some = np.flatnonzero(self.n)
+        keys, sizes = self.links.take(some)
+        out = summed(keys, np.repeat(self.n[some], sizes))
+        self.seen += self.n
+        self.n[:] = 0
         return out
 
 
+class Lists:
+    """Lists of numbers, one after the other."""
+
+    def __init__(self, kind):
+        self.set(np.zeros(0, kind), np.zeros(0, np.int64))
+
+    def set(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size, self.more = flat, size, []
+
+    def add(self, flat: np.ndarray, size: np.ndarray):
+        self.more.append((flat.astype(self.flat.dtype), size))
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists ``at``, one after the other, and their sizes."""
+        if self.more:
+            self.set(*map(np.concatenate, zip((self.flat, self.size), *self.more)))
+        start = np.cumsum(self.size) - self.size
+        return self.flat[runs(start[at], self.size[at])], self.size[at]
+
+
 def bytes_of(x: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
@@ -476,6 +555,16 @@ def per_row(row: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     return np.diff(total[np.searchsorted(row, np.arange(n + 1))])
 
 
+def of_texts(x: dict, count: np.ndarray, best: np.ndarray, many: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """``COUNTS`` and groups of texts of ``many`` words each, which stand ``at`` places of the aligned ones in ``x``."""
+    n = len(x["n_a"])
+    words = np.array([x["n_a"], x["n_b"], x["n_groups"], np.bincount(x["row"], minlength=n), per_row(x["row"], n, best), per_row(x["row"], n, count)], np.int64)
+    ends = np.cumsum(many)
+    total = np.append(np.zeros((len(words), 1), np.int64), np.cumsum(words[:, at], axis=1), axis=1)
+    names = list(map(x["groups"].__getitem__, at.tolist()))
+    return total[:, ends] - total[:, ends - many], [";".join(names[a:b]) for a, b in zip((ends - many).tolist(), ends.tolist())]
+
+
 def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
                      broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """One row per input row: the id, ``COUNTS`` and ``groups_sha256``.  ``a_path`` is a byte-level BPE tokenizer
@@ -489,7 +578,9 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     def aligner() -> Aligner:
         return per_worker(("aligner", a_path, b_path), lambda: Aligner(*files.value))
 
-    counted = staged(count_pairs(docs, aligner), spark)
+    first_words = ("words", a_path, b_path)
+    first = staged(count_pairs(docs, lambda: per_worker(first_words, lambda: Words(aligner()))), spark)
+    counted = first.where("n IS NOT NULL").select(*PAIRS)
     bits = bits_for(counted)
     table = pair_table(counted, bits)
     counts = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
@@ -503,46 +594,21 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
         name = f"pairs {uuid.uuid4()}"
 
         def look_up(batches):
+            forget(first_words)
             tables = per_worker(name, lambda: {r["bucket"]: Table(r) for r in shared.value})
-            # words, those with pairs that no fit text holds, and how long the words are together
-            known, strange, chars = per_worker(name + " words", lambda: ({}, set(), [0]))
-            none = [()] * (len(COUNTS) + 1)
-
-            def add(new: list[str], words: bool = True):
-                x = aligner().align(new, True, words)
-                count, best = np.zeros(len(x["keys"]), np.int64), np.zeros(len(x["keys"]), bool)
-                for k, at in by_bucket(x["keys"], bits):
-                    count[at], best[at] = tables[k](x["keys"][at])
-                n = len(new)
-                strange.update(new[i] for i in np.unique(x["row"][count < 0]).tolist())
-                chars[0] += sum(map(len, new))
-                known.update(zip(new, zip(*(v.tolist() for v in (
-                    x["n_a"], x["n_b"], x["n_groups"], np.bincount(x["row"], minlength=n), per_row(x["row"], n, best),
-                    per_row(x["row"], n, count))), x["groups"])))
-
             for b in batches:
-                if len(known) >= WORDS or chars[0] >= WORD_CHARS:
-                    known.clear()
-                    strange.clear()
-                    chars[0] = 0
-                texts = b.column("t").to_pylist()
-                cut = [aligner().pieces(t) for t in texts]
-                add(list(set(chain.from_iterable(cut)).difference(known)))
-                columns: list = [[] for _ in none]
-                for text, p in zip(texts, cut):
-                    found = [known[w] for w in p]
-                    if not all(map(FIRST, found)):  # as a whole, as the definition has it
-                        add([text], words=False)
-                        p, found = [text], [known[text]]
-                    if strange and not strange.isdisjoint(p):
+                for k in range(b.num_rows):
+                    coded = {c: np.frombuffer(b.column(c)[k].as_buffer(), aligner().id_type if c in "ab" else "<u4").astype(np.int64) for c in CODED}
+                    x = aligner().link([coded["a"], coded["b"]], [coded["n_a"], coded["n_b"]], True)
+                    count, best = np.zeros(len(x["keys"]), np.int64), np.zeros(len(x["keys"]), bool)
+                    for bucket, at in by_bucket(x["keys"], bits):
+                        count[at], best[at] = tables[bucket](x["keys"][at])
+                    if (count < 0).any():
                         unmet()
-                    values = list(zip(*found)) or none
-                    for c, v in zip(columns, values):
-                        c.append(v)
-                yield {id_col: b.column("id"), "groups_sha256": [digest(";".join(v)) for v in columns.pop()]} | {
-                    k: list(map(sum, c)) for k, c in zip(COUNTS, columns)}
+                    values, groups = of_texts(x, count, best, coded["words"], coded["at"])
+                    yield {id_col: b.column("ids")[k].values, "groups_sha256": list(map(digest, groups))} | dict(zip(COUNTS, values))
 
-        return arrow_map(docs, look_up, schema)
+        return arrow_map(first.where("n IS NULL").select("ids", *CODED), look_up, schema)
 
     def ask(batches):
         """Rows of documents (bucket null) and the questions of each slice to each bucket."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
@@ -70,9 +72,27 @@ def per_worker(key, make: Callable):
     held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__.setdefault("held", {})
     if key not in held:
         held[key] = make()
+        give_back()
     return held[key]
 
 
+def forget(key):
+    """Drops what a worker holds under ``key``; nothing if it holds none."""
+    held = getattr(sys.modules.get("_llm_worker"), "held", {})
+    if held.pop(key, None) is not None:
+        give_back()
+
+
+def give_back():
+    """Hands free memory back to the system.  Arrow's pool and malloc keep it otherwise, and a worker's is the executor's.
+    It is taken anew at a cost, so this is for where something large has gone, not for each batch."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def semi_join_ids(df: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose key is in ``ids`` (or not, for ``left_anti``).  ``ids`` should be
     staged: it is counted, and broadcast only under the documented byte bound."""

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -133,3 +134,42 @@ def test_ragged_is_the_pattern():
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(9)))
              for letters in (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x00ab", " \n\x85\u3000\xa0é\x1ca") for _ in range(20_000)]
     assert [alignment.ragged(t) for t in texts] == [alignment.RAGGED.search(t) is not None for t in texts]
+
+
+def test_texts_are_read_once(spark):
+    """The second pass works with the words that the first staged: texts are neither read nor encoded again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [(i, t) for i, t in enumerate([*TEXTS, "a b a", "b a  b"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).mapInArrow(count, "doc_id long, text string")
+    assert sorted(map(tuple, alignment.align_tokenizers(docs, A, B).collect())) == sorted(brute(rows))
+    assert read.value == len(rows)
+
+
+def test_words_that_come_again_stay(monkeypatch):
+    """A full worker keeps its frequent words, and what it counts and codes is that of whole texts."""
+    monkeypatch.setattr(alignment, "WORDS", 200)
+    x = alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    words, rng, want, got = alignment.Words(x), random.Random(4), Counter(), Counter()
+    often = [f"often{i}" for i in range(20)]
+    for _ in range(6):
+        texts = [None, "", "▁ x", *(" ".join([*rng.choices(often, k=9), f"once{rng.random()}", *rng.choices(["", " \n", "日本"], k=1)]) for _ in range(60))]
+        coded = words.count(pa.array(texts))
+        c = {k: np.frombuffer(v, x.id_type if k in "ab" else "<u4").astype(np.int64) for k, v in coded.items()}
+        linked, alone = x.link([c["a"], c["b"]], [c["n_a"], c["n_b"]], True), x.align(texts, True)
+        none = np.zeros(len(linked["keys"]), np.int64)
+        values, groups = alignment.of_texts(linked, none, none, c["words"], c["at"])
+        assert groups == alone["groups"]
+        assert all((v == w).all() for v, w in zip(values, (alone["n_a"], alone["n_b"], alone["n_groups"], np.bincount(alone["row"], minlength=len(texts)))))
+        want.update(alone["keys"].tolist())
+        if words.full():
+            got.update(dict(zip(*(v.tolist() for v in words.flush()))))
+            words.shrink()
+            assert set(often) <= set(words.known) and len(words.known) <= 100
+    got.update(dict(zip(*(v.tolist() for v in words.flush()))))
+    assert got == want
