@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import sys
 import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,9 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 BROADCAST_ID_BYTES = 32 << 20
 #: rows that a Python function holds as Python objects at a time
 SLICE_ROWS = 512
+#: rows of whole texts, sets or ids that Spark hands to Python at a time where it stages; both sides hold them
+BATCH_ROWS = 4 * SLICE_ROWS
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +50,25 @@ def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     never recomputes what came before, and later uses do not run it again."""
     spark = spark or df.sparkSession
     path = shared_folder(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most ``BATCH_ROWS`` rows (fewer if the session says so); the session's setting comes back."""
+    rows = spark.conf.get(BATCH_SETTING)
+    if 0 < int(rows) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, rows)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` for a generator of column dicts (name -> list, numpy or Arrow array).  It
     gets at most ``SLICE_ROWS`` rows at a time, however large Spark's batches are."""
@@ -62,6 +80,8 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[d
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=f.type)
                  for f in arrow for c in [cols[f.name]]], schema=arrow)
+        cols = None
+        give_back()
 
     return df.mapInArrow(run, st)
 
@@ -84,9 +104,8 @@ def forget(key):
 
 
 def give_back():
-    """Hands free memory back to the system.  Arrow's pool and malloc keep it otherwise, and a worker's is the executor's.
-    It is taken anew at a cost, so this is for where something large has gone, not for each batch."""
-    gc.collect()
+    """Hands free memory back to the system.  Arrow's pool and malloc keep what a task freed otherwise, and it counts for
+    the executor in all stages to come.  It is taken anew at a cost, so this is for the end of a task, not for each batch."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:

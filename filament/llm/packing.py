@@ -26,7 +26,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, arrow_map, per_worker, staged
+from .common import SLICE_ROWS, arrow_map, forget, give_back, per_worker, staged
 
 WINDOW = 1024
 SHARD_BYTES = 16 << 20
@@ -53,6 +53,7 @@ ODD = r"^$|^\n|\n$|\n\n|[" + SPACES.replace(r"\t-\r", r"\t\x0b-\r") + "]"
 UNEVEN = rf"[{SPACES}] ([{SPACES}]|\z)"
 TEXT_BYTES = 8 << 20  # texts whose words are encoded together
 KNOWN = 300_000  # words whose ids a worker keeps
+WORDS_TOGETHER = 1 << 15  # new words that are encoded as one text
 
 
 def byte_letters() -> dict[str, int]:
@@ -121,31 +122,48 @@ class Tokens:
         return [i for part in self.cut.split(text) for i in
                 ([self.special[part]] if part in self.special else self.fast.encode_ordinary(part))]
 
-
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        return list(self.each(texts))
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """``ids`` of each text.  Texts are cut before spaces, and each distinct word is encoded once; words that
         came more than once are kept, ``KNOWN`` at most."""
         texts = pc.fill_null(texts, "")
-        out: list = [None] * len(texts)
-        whole = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
-        for i, t in enumerate(texts.to_pylist()):
-            if self.gap is None or whole[i] or has_long_run(t) or any(s in t for s in self.special):
-                out[i] = np.array(self.ids(t), np.uint32)
-        rest = [i for i, x in enumerate(out) if x is None]
-        if not rest:
-            return out
-        words = pc.split_pattern(texts.take(pa.array(rest)), " ")
+        whole = np.array(pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False), bool)
+        for a in range(0, len(texts), SLICE_ROWS):
+            for i, t in enumerate(texts.slice(a, SLICE_ROWS).to_pylist(), a):
+                if self.gap is None or has_long_run(t) or any(s in t for s in self.special):
+                    whole[i] = True
+        rest = np.flatnonzero(~whole)
+        if len(rest):
+            at, firsts, ends, tokens, start, sizes = self.by_words(texts.take(pa.array(rest)))
+        for a in range(0, len(texts), SLICE_ROWS):
+            b = min(len(texts), a + SLICE_ROWS)
+            lo, hi = np.searchsorted(rest, (a, b)).tolist()
+            ids: list[np.ndarray] = []
+            if lo < hi:
+                some = at[firsts[lo]:ends[hi - 1]]
+                cuts = np.cumsum(sizes[some])[ends[lo:hi] - firsts[lo] - 1]
+                ids = np.split(tokens[runs(start[some], sizes[some])], cuts[:-1])
+            there = iter(ids)
+            for i in range(a, b):
+                yield np.array(self.ids(texts[i].as_py()), np.uint32) if whole[i] else next(there)
+
+    def by_words(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """The words of texts, one after the other, as places; where each text's words start and end; ids, and which are a place's."""
+        words = pc.split_pattern(texts, " ")
         ends = np.asarray(words.offsets)[1:] - words.offsets[0].as_py()
         firsts = np.append(0, ends[:-1])  # the only words that no space stands before
         coded = words.flatten().dictionary_encode()
-        at = np.asarray(coded.indices).astype(np.int64)
-        lead, at[firsts] = np.unique(at[firsts], return_inverse=True)
-        at[firsts] += len(coded.dictionary)
-        held = pc.index_in(coded.dictionary, self.known.cast(coded.dictionary.type))
+        del words
+        at, coded = np.array(coded.indices), coded.dictionary
+        lead, place = np.unique(at[firsts], return_inverse=True)
+        at[firsts] = place + len(coded)
+        held = pc.index_in(coded, self.known.cast(coded.type))
         new = held.is_null().to_numpy(zero_copy_only=False)
-        fresh = coded.dictionary.filter(pa.array(new))
+        fresh = coded.filter(pa.array(new))
         more, sizes = self.words(fresh)
-        bare = [self.fast.encode_ordinary(w) for w in coded.dictionary.take(pa.array(lead)).to_pylist()]
+        bare = [self.fast.encode_ordinary(w) for w in coded.take(pa.array(lead)).to_pylist()]
         tokens = np.concatenate([self.known_ids, more, np.array([k for x in bare for k in x], np.uint32)])
         sizes = np.concatenate([self.known_sizes, sizes, np.array([len(x) for x in bare], np.int64)])
         start = np.cumsum(sizes) - sizes
@@ -157,14 +175,8 @@ class Tokens:
         if len(keep):
             self.known_ids = np.append(self.known_ids, tokens[runs(start[keep], sizes[keep])])
             self.known_sizes = np.append(self.known_sizes, sizes[keep])
-            self.known = pa.concat_arrays([self.known, coded.dictionary.take(pa.array(keep)).cast(self.known.type)])
-        for a in range(0, len(rest), SLICE_ROWS):
-            b = min(len(rest), a + SLICE_ROWS)
-            some = at[firsts[a]:ends[b - 1]]
-            cuts = np.cumsum(sizes[some])[ends[a:b] - firsts[a] - 1]
-            for i, x in zip(rest[a:b], np.split(tokens[runs(start[some], sizes[some])], cuts[:-1])):
-                out[i] = x
-        return out
+            self.known = pa.concat_arrays([self.known, coded.take(pa.array(keep)).cast(self.known.type)])
+        return at, firsts, ends, tokens, start, sizes
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each with a space in front, and how many ids each has.  Words without white space but single
@@ -172,12 +184,15 @@ class Tokens:
         odd = pc.match_substring_regex(words, ODD).to_numpy(zero_copy_only=False)
         ids, sizes = np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
         plain = words.filter(pa.array(~odd))
-        if len(plain):
-            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(plain)], pa.int64()), plain), "\t ")[0].as_py()
+        parts = []
+        for a in range(0, len(plain), WORDS_TOGETHER):  # a list of ids takes ten times their room
+            part = plain.slice(a, WORDS_TOGETHER)
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(part)], pa.int64()), part), "\t ")[0].as_py()
             ids = np.frombuffer(array("I", self.fast.encode_ordinary(" " + joined)), np.uint32)
             gaps = np.flatnonzero(ids == self.gap)
-            sizes[~odd] = np.diff(gaps, prepend=-1, append=len(ids)) - 1
-            ids = np.delete(ids, gaps)
+            parts.append((np.delete(ids, gaps), np.diff(gaps, prepend=-1, append=len(ids)) - 1))
+        if parts:
+            ids, sizes[~odd] = map(np.concatenate, zip(*parts))
         at = np.cumsum(sizes)
         single = [self.fast.encode_ordinary(" " + w) for w in words.filter(pa.array(odd)).to_pylist()]
         if single:
@@ -278,47 +293,68 @@ class Index:
         term, tf, ends = counted([entries[k] for k in first])
         doc = np.repeat(np.arange(self.n), np.diff(ends, prepend=0))
         some = term != END
-        term, tf, doc = term[some].astype(np.int64), tf[some], doc[some]
-        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, self.n)))
+        term, tf, doc = term[some].astype(np.int32), tf[some].astype(np.int32), doc[some].astype(np.int32)
         df = np.bincount(term, many[doc])  # here
         weight = corpus.weights(term, tf, lengths[first][doc])
         held = np.bincount(term, minlength=len(df))  # classes
         common = np.argsort(-held, kind="stable")[:DENSE_CELLS // self.n]
         common = common[held[common] > max(2, DENSE * self.n)]
-        self.column = np.full(len(df), -1)
-        self.column[common] = np.arange(len(common))
+        column = np.full(len(df), -1, np.int32)
+        column[common] = np.arange(len(common))
         self.matrix = np.zeros((len(common), self.n), np.float32)
-        dense = self.column[term] >= 0
-        self.matrix[self.column[term[dense]], doc[dense]] = weight[dense]
+        at = column[term]
+        dense = at >= 0
+        self.matrix[at[dense], doc[dense]] = weight[dense]
         rare = np.flatnonzero(~dense)
         rare = rare[np.argsort(term[rare], kind="stable")]
-        self.doc, self.weight = doc[rare], weight[rare]
-        self.first = np.searchsorted(term[rare], np.arange(len(df) + 1))
-        self.useful = df > 1
+        self.doc, self.weight = doc[rare].astype(np.int64), weight[rare]
+        first = np.searchsorted(term[rare], np.arange(len(df) + 1))
+        # by class, of its terms that others hold too: rows of the matrix, and posting lists
+        useful, cuts = (df > 1)[term], np.arange(1, self.n)
+        asks, seeks = useful & dense, useful & ~dense
+        self.rows = np.split(at[asks], np.searchsorted(doc[asks], cuts))
+        self.ends = np.searchsorted(doc[seeks], np.arange(self.n + 1))
+        self.lists = first[term[seeks]], first[term[seeks] + 1]
         self.held: dict[int, np.ndarray] = {}  # by class, what the matrix adds
+        self.scored, self.at = np.arange(self.n), self.of  # classes that are scored, and where an entry's stands among them
+
+    def narrow(self, unused: np.ndarray):
+        """Leaves out classes without ``unused`` entries, whose scores are 0 from now on, once they are a quarter of those scored."""
+        keep = (np.bincount(self.of, unused, self.n) > 0)[self.scored]
+        if 4 * np.count_nonzero(keep) > 3 * len(keep):
+            return
+        self.scored, place = self.scored[keep], np.cumsum(keep) - 1
+        at = np.full(self.n, len(self.scored))
+        at[self.scored] = np.arange(len(self.scored))
+        self.at = at[self.of]
+        self.matrix, self.held = self.matrix.compress(keep, 1), {c: x[keep] for c, x in self.held.items()}
+        some = keep[self.doc]
+        before = np.append(0, np.cumsum(some))
+        self.doc, self.weight, self.lists = place[self.doc[some]], self.weight[some], tuple(before[x] for x in self.lists)
 
     def common_scores(self, classes: list[int]) -> np.ndarray:
         """What the matrix adds to the scores of each class; one product for several is faster than one for each."""
         asked = np.zeros((len(classes), len(self.matrix)), np.float32)
         for row, c in zip(asked, classes):
-            column = self.column[self.terms[c][self.useful[self.terms[c]]]]
-            row[column[column >= 0]] = 1
+            row[self.rows[c]] = 1
         return asked @ self.matrix
 
-    def scores(self, entry: int, ahead: Callable = list) -> np.ndarray:
-        """Scores of all entries; ``ahead`` names entries that are likely to be asked for next."""
+    def scores(self, entry: int, ahead: Callable = list, unused: Callable | None = None) -> np.ndarray:
+        """Scores of all entries; ``ahead`` names entries that are likely to be asked for next, ``unused`` marks
+        those that may have a score other than 0."""
         own = int(self.of[entry])
         if own not in self.held:
-            classes = list(dict.fromkeys([own, *(int(self.of[k]) for k in ahead())]))
-            self.held = dict(zip(classes, self.common_scores(classes)))
-        out = self.held[own].astype(float)
-        t = self.terms[own]
-        t = t[self.useful[t] & (self.column[t] < 0)]
-        a, n = self.first[t], self.first[t + 1] - self.first[t]
-        if n.sum():
-            spans = [slice(i, i + k) for i, k in zip(a.tolist(), n.tolist())]
-            out += np.bincount(np.concatenate([self.doc[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), self.n)
-        return out[self.of]
+            if unused:
+                self.narrow(unused())
+            classes = dict.fromkeys([own, *(int(self.of[k]) for k in ahead())])
+            new = [c for c in classes if c not in self.held]  # a seed that was cut comes between those made before
+            self.held = {c: self.held[c] for c in classes if c in self.held} | dict(zip(new, map(np.copy, self.common_scores(new))))
+        out = np.append(self.held[own], 0.0).astype(float)
+        at = slice(self.ends[own], self.ends[own + 1])
+        spans = [slice(a, b) for a, b in zip(*(x[at].tolist() for x in self.lists))]
+        if spans:
+            out += np.bincount(np.concatenate([self.doc[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), len(out))
+        return out[self.at]
 
 
 def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, texts: list[np.ndarray] | None = None,
@@ -359,7 +395,7 @@ def pack(lengths: list[int], tails: list[np.ndarray], window: int = WINDOW, text
 
     while total >= window:
         seed = longest()
-        score = index.scores(seed, ahead)
+        score = index.scores(seed, ahead, lambda: left > 0)
         pieces = [take(seed, int(left[seed]))]
         room = window - pieces[0][2]
         if room:
@@ -396,8 +432,9 @@ def grouped(batches):
         group.append(b)
         held += pc.sum(b.column(2)).as_py() or 0
         if held >= TEXT_BYTES:
-            yield group
-            group, held = [], 0
+            full, group, held, b = group, [], 0, None
+            yield full
+            del full
     if group:
         yield group
 
@@ -411,22 +448,25 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         content = spark.sparkContext.broadcast(f.read())
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    own = ("bpe", tokenizer_path)
 
     def tokenize(batches):
-        tokens = per_worker(("bpe", tokenizer_path), lambda: Tokens(content.value))
+        tokens = per_worker(own, lambda: Tokens(content.value))
         df, n, total = np.zeros(1 << 16, np.int64), 0, 0
         for group in grouped(batches):
-            sizes = [b.num_rows for b in group]
-            ids = iter(tokens.batch(pa.concat_arrays([b.column(1) for b in group])))
-            for b, rows in zip(group, sizes):
+            ids = tokens.each(pa.concat_arrays([b.column(1) for b in group]))
+            group = [b.select(["id", "bytes"]) for b in group]  # their texts aren't held twice
+            for b in group:
+                rows = b.num_rows
                 part = [np.append(next(ids), np.uint32(END)) for _ in range(rows)]
                 wide = [bool(x.max() > 0xFFFF) for x in part]
                 part = [x.astype("<u4" if w else "<u2") for x, w in zip(part, wide)]
                 held = np.bincount(counted(part)[0], minlength=len(df))
                 df = np.append(df, np.zeros(len(held) - len(df), np.int64)) + held
                 n, total = n + rows, total + sum(map(len, part))
-                yield {"id": b.column(0), "wide": wide, "bytes": b.column(2), "ids": [x.tobytes() for x in part],
+                yield {"id": b.column("id"), "wide": wide, "bytes": b.column("bytes"), "ids": [x.tobytes() for x in part],
                        "terms": [None] * rows, "counts": [None] * rows}
+            give_back()  # a group takes as much again as a worker keeps
         held = np.flatnonzero(df)  # one row a task, not a document
         yield {"id": [None], "wide": [None], "bytes": [None], "ids": [None],
                "terms": [[*held.tolist(), -1, -2]], "counts": [[*df[held].tolist(), n, total]]}
@@ -464,6 +504,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield {"shard": shard, "id": b.column("id"), "wide": b.column("wide"), "ids": b.column("ids")}
 
     def pack_shard(t: pa.Table) -> pa.Table:
+        forget(own)  # no more texts to encode: an executor has its memory for the indexes
         rows = sorted(zip(*(t.column(c).to_pylist() for c in ("id", "ids", "wide"))), key=lambda r: (r[0] is None, r[0], r[1]))
         ids = [np.frombuffer(x, "<u4" if wide else "<u2") for _, x, wide in rows]
         shard = t.column("shard")[0].as_py()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, staged
+from .common import arrow_map, give_back, staged
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 2_000
@@ -152,5 +152,6 @@ def drop_toxic(df: DataFrame, model: OrdinalModel, text_col: str = "text") -> Da
     def run(batches):
         for b in batches:
             yield b.filter(pa.array([model.at_least(t)[0] < 0.5 for t in b.column(i).to_pylist()], pa.bool_()))
+        give_back()
 
     return df.mapInArrow(run, df.schema)

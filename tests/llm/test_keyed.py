@@ -594,6 +594,44 @@ def test_packing_whole_text_and_corpus():
     assert index.scores(0)[2] > index.scores(0)[1] > 0
 
 
+def test_packing_used_entries():
+    """Entries that are used up are left out of the scoring; the others' scores stay."""
+    rng = np.random.default_rng(5)
+    docs = [np.append(rng.integers(1, 400, rng.integers(20, 300)), 0).astype("<u2") for _ in range(60)]
+    docs += docs[:5]
+    whole, index = packing.Index(docs), packing.Index(docs)
+    for left in (np.arange(65) % 2 == 0, np.arange(65) % 8 == 0, np.arange(65) == 64):
+        for k in np.flatnonzero(left).tolist():
+            index.held.clear()
+            score = index.scores(k, unused=lambda left=left: left)
+            assert np.allclose(score[left], whole.scores(k)[left], rtol=1e-5)
+    assert len(index.scored) == index.matrix.shape[1] == 1
+
+
+# -- memory of the workers
+
+def test_batches_of_staged_tables_are_small(spark):
+    """Spark hands a bounded number of rows to Python at a time where tables are staged, whatever the session says."""
+    before = spark.conf.get(common.BATCH_SETTING)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows], pa.int64())], names=["id"])
+
+    counted = common.staged(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "id long")).agg({"id": "max"}).first()[0]
+    assert counted <= common.BATCH_ROWS and spark.conf.get(common.BATCH_SETTING) == before
+
+
+def test_worker_forgets():
+    made = []
+    for _ in range(2):
+        assert common.per_worker("test", lambda: made.append(1) or "x") == "x"
+    common.forget("test")
+    common.forget("test")
+    assert common.per_worker("test", lambda: made.append(1) or "y") == "y" and len(made) == 2
+    common.forget("test")
+
+
 # -- the pipeline
 
 def test_pipeline(spark, sf_small):
